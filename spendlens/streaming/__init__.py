@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The attribution job is a daily batch recompute over dated tables: it has no stream, watermark,
+late-data rule or streaming state. The report delay is a static date cut-off
+(``ReportWindow``), so nothing here re-expresses it as a streaming query.
+"""

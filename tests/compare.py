@@ -1,0 +1,66 @@
+"""Spark-vs-DuckDB comparison in the driver's terms: row count, column names and an
+order-insensitive hash of the values (columns sorted by name)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(v)
+    if isinstance(v, decimal.Decimal):
+        return repr(float(v))
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return repr(v)
+
+
+def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    lines = sorted("|".join(str(_norm(r[i])) for i in order) for r in rows)
+    h = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return len(rows), [columns[i] for i in order], h
+
+
+def spark_rows(df):
+    return df.columns, [tuple(r) for r in df.collect()]
+
+
+def duck_rows(con, sql):
+    cur = con.execute(sql)
+    cols = [d[0] for d in cur.description]
+    return cols, cur.fetchall()
+
+
+def diff(spark_cols, s_rows, duck_cols, d_rows, limit=5):
+    """First differing rows (sorted by name-ordered columns), for debugging."""
+    so = sorted(range(len(spark_cols)), key=lambda i: spark_cols[i])
+    do = sorted(range(len(duck_cols)), key=lambda i: duck_cols[i])
+    s = sorted("|".join(str(_norm(r[i])) for i in so) for r in s_rows)
+    d = sorted("|".join(str(_norm(r[i])) for i in do) for r in d_rows)
+    ss, dd = set(s), set(d)
+    return [x for x in s if x not in dd][:limit], [x for x in d if x not in ss][:limit]
