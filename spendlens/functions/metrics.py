@@ -1,4 +1,8 @@
-"""Column helpers shared by the operators: decimal normalisation, clamping, zero metrics."""
+"""Column helpers shared by the operators: decimal normalisation, clamping, metric sums.
+
+Wide projections are written as SQL expression text (``selectExpr`` / ``F.expr``): one
+JVM call per expression instead of one per Column node, and the same Catalyst plan.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from .rates import sql_col
+
+METRIC_DECIMAL_SQL = f"DECIMAL({C.METRIC_DECIMAL.precision},{C.METRIC_DECIMAL.scale})"
+
+
+def _needs_rebase(dtype: T.DataType) -> bool:
+    return (
+        isinstance(dtype, T.DecimalType)
+        and dtype != C.METRIC_DECIMAL
+        and dtype.scale <= C.METRIC_DECIMAL.scale
+    )
 
 
 def normalize_decimals(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -18,31 +33,35 @@ def normalize_decimals(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     scale digits. Re-basing after each roll-up keeps every value exact. Non-decimal columns
     (double or long inputs) are left alone.
     """
-    target = C.METRIC_DECIMAL
     wanted = set(columns)
-    casts = {}
-    for f in df.schema.fields:
-        if f.name in wanted and isinstance(f.dataType, T.DecimalType):
-            if f.dataType != target and f.dataType.scale <= target.scale:
-                casts[f.name] = F.col(f.name).cast(target)
-    return df.withColumns(casts) if casts else df
+    fields = df.schema.fields
+    if not any(f.name in wanted and _needs_rebase(f.dataType) for f in fields):
+        return df
+    exprs = [
+        f"CAST({sql_col(f.name)} AS {METRIC_DECIMAL_SQL}) AS {sql_col(f.name)}"
+        if f.name in wanted and _needs_rebase(f.dataType)
+        else sql_col(f.name)
+        for f in fields
+    ]
+    return df.selectExpr(*exprs)
 
 
 def zero_metric() -> Column:
     return F.lit(0).cast(C.METRIC_DECIMAL)
 
 
+def clamp_sql(metric: str, alias: str | None = None) -> str:
+    """Negative and NULL become 0; NaN and non-negative values pass."""
+    m = sql_col(metric)
+    return f"CASE WHEN {m} >= 0 THEN {m} ELSE 0 END AS {sql_col(alias or metric)}"
+
+
 def clamp_nonnegative(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Negative values and NULL become 0; NaN and non-negative values pass (one projection)."""
-    present = set(df.columns)
-    return df.withColumns(
-        {
-            m: F.when(F.col(m) >= 0, F.col(m)).otherwise(F.lit(0))
-            for m in metrics
-            if m in present
-        }
-    )
+    """Clamp every listed metric in one projection, keeping the column order."""
+    wanted = set(metrics)
+    return df.selectExpr(*[clamp_sql(c) if c in wanted else sql_col(c) for c in df.columns])
 
 
 def sum_metrics(metrics: Sequence[str], prefix: str = "") -> list[Column]:
-    return [F.sum(m).alias(prefix + m) for m in metrics]
+    """``sum(m) AS prefix+m`` for each metric."""
+    return [F.expr(f"sum({sql_col(m)}) AS {sql_col(prefix + m)}") for m in metrics]

@@ -1,13 +1,14 @@
 """Revenue-share netting (gross -> publisher share) as generated Catalyst expressions.
 
 A share card is data: (application, rate) pairs plus a default. It compiles into one
-``CASE WHEN`` chain over built-in expressions, so netting stays inside whole-stage codegen
-and costs no join or shuffle. Tiered cards (subscription revenue) pick a card by market and
-effective date first.
+``CASE WHEN`` chain of Spark SQL text, parsed once on the JVM (``F.expr``), so netting is
+a plain built-in expression inside whole-stage codegen and costs no join or shuffle.
+Tiered cards (subscription revenue) pick a card by market and effective date first.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -18,8 +19,21 @@ from pyspark.sql import functions as F
 from .. import config as C
 
 
-def _rate(value: Decimal) -> Column:
-    return F.lit(value)
+def sql_str(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_date(value: dt.date) -> str:
+    return f"DATE'{value.isoformat()}'"
+
+
+def sql_col(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _scaled(measure: str, rate: Decimal | None) -> str:
+    return measure if rate is None else f"{measure} * {rate}"
 
 
 @dataclass(frozen=True)
@@ -40,41 +54,35 @@ class ShareCard:
                 return rate
         return self.default
 
-    def apply(
-        self,
-        measure: Column,
-        app: Column,
-        overrides: Mapping[str, Column] | None = None,
-    ) -> Column:
-        """``measure * share(app)``; ``overrides`` swaps the measure for named applications."""
+    def sql(self, measure: str, app: str = C.APP, overrides: Mapping[str, str] | None = None) -> str:
+        """``measure * share(app)`` as SQL over column names; ``overrides`` swaps the
+        measure column for named applications."""
         overrides = overrides or {}
+        m, a = sql_col(measure), sql_col(app)
+        arms = " ".join(
+            f"WHEN {a} = {sql_str(name)} THEN {_scaled(sql_col(overrides.get(name, measure)), rate)}"
+            for name, rate in self.by_app
+        )
+        fallback = _scaled(m, self.default)
+        return f"CASE {arms} ELSE {fallback} END" if arms else fallback
 
-        def scaled(m: Column, rate: Decimal | None) -> Column:
-            return m if rate is None else m * _rate(rate)
-
-        expr = None
-        for name, rate in self.by_app:
-            value = scaled(overrides.get(name, measure), rate)
-            cond = app == F.lit(name)
-            expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-        fallback = scaled(measure, self.default)
-        return fallback if expr is None else expr.otherwise(fallback)
+    def column(self, measure: str, app: str = C.APP, overrides: Mapping[str, str] | None = None) -> Column:
+        return F.expr(self.sql(measure, app, overrides))
 
 
 @dataclass(frozen=True)
 class TieredCard:
-    """Ordered (condition, card) arms; the first true condition picks the card, else zero."""
+    """Ordered (SQL condition, card) arms; the first true condition picks the card, else 0.
+    A NULL measure also counts as 0."""
+
+    arms: tuple[tuple[str, ShareCard], ...]
 
-    arms: tuple[tuple[Column, ShareCard], ...]
+    def sql(self, measure: str, app: str = C.APP) -> str:
+        arms = " ".join(f"WHEN {cond} THEN {card.sql(measure, app)}" for cond, card in self.arms)
+        return f"coalesce(CASE {arms} ELSE 0 END, 0)" if arms else "0"
 
-    def apply(self, measure: Column, app: Column) -> Column:
-        expr = None
-        for cond, card in self.arms:
-            value = card.apply(measure, app)
-            expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-        zero = F.lit(0)
-        # NULL measures count as zero, as does any market or date no arm covers.
-        return F.coalesce(expr.otherwise(zero) if expr is not None else zero, zero)
+    def column(self, measure: str, app: str = C.APP) -> Column:
+        return F.expr(self.sql(measure, app))
 
 
 class RateBook:
@@ -87,38 +95,40 @@ class RateBook:
         self.sub_full_fee = ShareCard.from_table(C.SUB_SHARE_FULL_FEE, cfg.tiers)
         self.sub_reduced_fee = ShareCard.from_table(C.SUB_SHARE_REDUCED_FEE, cfg.tiers)
 
-    def _google_arms(self, market: Column, date: Column) -> list[tuple[Column, ShareCard]]:
-        cut = F.lit(self.cfg.google_reduced_fee_from)
-        go = market == F.lit(C.GOOGLE_MARKET)
+    def _google_arms(self, market: str, date: str) -> list[tuple[str, ShareCard]]:
+        go = f"{sql_col(market)} = {sql_str(C.GOOGLE_MARKET)}"
+        cut = sql_date(self.cfg.google_reduced_fee_from)
+        d = sql_col(date)
         return [
-            (go & (date < cut), self.sub_full_fee),
-            (go & (date >= cut), self.sub_reduced_fee),
+            (f"{go} AND {d} < {cut}", self.sub_full_fee),
+            (f"{go} AND {d} >= {cut}", self.sub_reduced_fee),
         ]
 
-    def subscription_revenue(self, market: Column, date: Column) -> TieredCard:
+    def subscription_revenue(self, market: str = C.MARKET, date: str = C.DATE) -> TieredCard:
         """Subscription revenue: Google by cut-over date, iOS by age relative to the run date."""
-        boundary = F.lit(self.cfg.window.ios_reduced_fee_before)
-        it = market == F.lit(C.IOS_MARKET)
+        it = f"{sql_col(market)} = {sql_str(C.IOS_MARKET)}"
+        boundary = sql_date(self.cfg.window.ios_reduced_fee_before)
+        d = sql_col(date)
         return TieredCard(
             tuple(
                 self._google_arms(market, date)
                 + [
-                    (it & (date < boundary), self.sub_reduced_fee),
-                    (it & (date >= boundary), self.sub_full_fee),
+                    (f"{it} AND {d} < {boundary}", self.sub_reduced_fee),
+                    (f"{it} AND {d} >= {boundary}", self.sub_full_fee),
                 ]
             )
         )
 
-    def subscription_ltv(self, market: Column, date: Column) -> TieredCard:
+    def subscription_ltv(self, market: str = C.MARKET, date: str = C.DATE) -> TieredCard:
         """Projected subscription LTV: Google by cut-over date, iOS always at the full fee."""
-        it = market == F.lit(C.IOS_MARKET)
+        it = f"{sql_col(market)} = {sql_str(C.IOS_MARKET)}"
         return TieredCard(tuple(self._google_arms(market, date) + [(it, self.sub_full_fee)]))
 
-    def tier_c_day1_overrides(self, day: int) -> dict[str, Column]:
+    def tier_c_day1_overrides(self, day: int) -> dict[str, str]:
         """Legacy quirk: tier-c day-14 and day-28 IAP revenue read day-1 revenue."""
         tier_c = self.cfg.tiers.tier_c
         if self.cfg.legacy_day1_override and tier_c is not None and day in (14, 28):
-            return {tier_c: F.col("REVS_DAY_001_AMT")}
+            return {tier_c: "REVS_DAY_001_AMT"}
         return {}
 
 

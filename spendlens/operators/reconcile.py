@@ -6,20 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.metrics import clamp_nonnegative, normalize_decimals
+from ..functions.metrics import clamp_sql, normalize_decimals, sum_metrics
+from ..functions.rates import sql_col, sql_str
 
 _PART = "_PART"
 
 
-def _tagged(df: DataFrame, tag: str, drop_null_keys: bool) -> DataFrame:
-    if drop_null_keys:
-        cond = F.lit(True)
-        for k in C.K3:
-            cond = cond & F.col(k).isNotNull()
-        df = df.where(cond)
-    return df.select(*C.K3, F.lit(tag).alias(_PART), *C.METRICS_RAW)
-
-
 def residual_parts(
     details: DataFrame, enriched: DataFrame, remainder: DataFrame, cfg: C.JobConfig
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -33,10 +25,20 @@ def residual_parts(
 
 def part_sums(df: DataFrame, prefix: str) -> DataFrame:
     """Sums of every campaign metric per app, market and day, prefixed (one residual part)."""
-    out = df.groupBy(*C.K3).agg(*[F.sum(m).alias(prefix + m) for m in C.METRICS_RAW])
+    out = df.groupBy(*C.K3).agg(*sum_metrics(C.METRICS_RAW, prefix))
     return normalize_decimals(out, [prefix + m for m in C.METRICS_RAW])
 
 
+def _tagged(df: DataFrame, tag: str, drop_null_keys: bool) -> DataFrame:
+    if drop_null_keys:
+        df = df.where(" AND ".join(f"{sql_col(k)} IS NOT NULL" for k in C.K3))
+    return df.selectExpr(
+        *[sql_col(k) for k in C.K3],
+        f"{sql_str(tag)} AS {_PART}",
+        *[sql_col(m) for m in C.METRICS_RAW],
+    )
+
+
 def organic_residual(
     details: DataFrame, enriched: DataFrame, remainder: DataFrame, cfg: C.JobConfig
 ) -> DataFrame:
@@ -56,30 +58,23 @@ def organic_residual(
         .unionByName(_tagged(paid, "P", drop_null_keys=True))
         .unionByName(_tagged(skan, "S", drop_null_keys=True))
     )
-    part = F.col(_PART)
-    aggs = [F.count(F.when(part == "T", F.lit(1))).alias("_TOTAL_ROWS")]
+    aggs = [F.expr(f"count(CASE WHEN {_PART} = 'T' THEN 1 END) AS _TOTAL_ROWS")]
     for m in C.METRICS_RAW:
         for tag in ("T", "P", "S"):
-            aggs.append(F.sum(F.when(part == tag, F.col(m))).alias(f"_{tag}_{m}"))
+            aggs.append(
+                F.expr(f"sum(CASE WHEN {_PART} = '{tag}' THEN {sql_col(m)} END) AS _{tag}_{m}")
+            )
     grouped = parts.groupBy(*C.K3).agg(*aggs).where(F.col("_TOTAL_ROWS") > 0)
     grouped = normalize_decimals(
         grouped, [f"_{t}_{m}" for m in C.METRICS_RAW for t in ("T", "P", "S")]
     )
-    zero = F.lit(0)
-    out = grouped.select(
-        *C.K3,
-        F.lit(C.ORGANIC_SOURCE_TYPE).alias(C.SOURCE_TYPE),
-        F.lit(C.MMP_SOURCE).alias(C.SOURCE),
-        F.lit(C.ORGANIC).alias(C.CHANNEL),
-        F.lit(C.ORGANIC).alias(C.PROMOTION),
-        *[
-            (
-                F.col(f"_T_{m}")
-                - F.coalesce(F.col(f"_P_{m}"), zero)
-                - F.coalesce(F.col(f"_S_{m}"), zero)
-            ).alias(m)
-            for m in C.METRICS_RAW
-        ],
+    out = grouped.selectExpr(
+        *[sql_col(k) for k in C.K3],
+        f"{sql_str(C.ORGANIC_SOURCE_TYPE)} AS {sql_col(C.SOURCE_TYPE)}",
+        f"{sql_str(C.MMP_SOURCE)} AS {sql_col(C.SOURCE)}",
+        f"{sql_str(C.ORGANIC)} AS {sql_col(C.CHANNEL)}",
+        f"{sql_str(C.ORGANIC)} AS {sql_col(C.PROMOTION)}",
+        *[f"_T_{m} - coalesce(_P_{m}, 0) - coalesce(_S_{m}, 0) AS {sql_col(m)}" for m in C.METRICS_RAW],
     )
     return normalize_decimals(out, C.METRICS_RAW)
 
@@ -93,7 +88,7 @@ def assemble_campaign(
 ) -> DataFrame:
     """The complete campaign table: iOS organic residual, iOS MMP non-organic campaigns
     SKAN does not report, SKAN campaigns, and all Google campaigns; every metric clamped
-    to be non-negative; INSTALL_NUM renamed INSTALL."""
+    to be non-negative; INSTALL_NUM renamed INSTALL (one final projection)."""
     residual = organic_residual(details, enriched, remainder, cfg)
     ios_mmp = remainder.where(
         (F.col(C.MARKET) == F.lit(C.IOS_MARKET))
@@ -109,6 +104,9 @@ def assemble_campaign(
         .unionByName(enriched.select(*cols))
         .unionByName(google.select(*cols))
     )
+    renamed = {C.INSTALL_RAW: C.INSTALL}
     if clamp:
-        union = clamp_nonnegative(union, C.METRICS_RAW)
-    return union.withColumnRenamed(C.INSTALL_RAW, C.INSTALL)
+        metric_exprs = [clamp_sql(m, renamed.get(m)) for m in C.METRICS_RAW]
+    else:
+        metric_exprs = [f"{sql_col(m)} AS {sql_col(renamed.get(m, m))}" for m in C.METRICS_RAW]
+    return union.selectExpr(*[sql_col(k) for k in C.CAMPAIGN_KEYS], *metric_exprs)

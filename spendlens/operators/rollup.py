@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.fold import fold_organic
-from ..functions.metrics import normalize_decimals, zero_metric
-from ..functions.rates import RateBook
+from ..functions.metrics import normalize_decimals, sum_metrics, zero_metric
+from ..functions.rates import RateBook, sql_col
 from .snapshot import latest_per_key
 
 
+def sum_of(sql: str, name: str):
+    """``sum(<sql expression>) AS name``, parsed once on the JVM."""
+    return F.expr(f"sum({sql}) AS {sql_col(name)}")
+
+
 def scope_fact(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     """Rows of the campaign fact inside the run: apps, markets, trusted channels, window,
     new-install campaigns. The channel test reads the raw name, before any alias."""
@@ -39,31 +44,25 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     """
     folded = fold_organic(scope_fact(fact, cfg), cfg.paid_source_types, cfg.channel_alias)
     book = RateBook(cfg)
-    app, market, date = F.col(C.APP), F.col(C.MARKET), F.col(C.DATE)
-    sub_card = book.subscription_revenue(market, date)
+    sub_card = book.subscription_revenue()
     aggs = [
-        F.sum("EXPENSE_AMT").alias("SPEND"),
-        F.sum("USER_QTY").alias(C.INSTALL_RAW),
-        *[F.sum(m).alias(m) for m in C.RETENTION_METRICS],
+        sum_of("EXPENSE_AMT", "SPEND"),
+        sum_of("USER_QTY", C.INSTALL_RAW),
+        *sum_metrics(C.RETENTION_METRICS),
     ]
     for d in C.REVENUE_DAYS:
         day = f"{d:03d}"
         aggs += [
-            F.sum(
-                book.iap.apply(
-                    F.col(f"REVS_DAY_{day}_AMT"), app, book.tier_c_day1_overrides(d)
-                )
-            ).alias(f"IAP_REVS_DAY_{day}_AMT"),
-            F.sum(book.ad.apply(F.col(f"AD_REVS_DAY_{day}_AMT"), app)).alias(
-                f"AD_REVS_DAY_{day}_AMT"
-            ),
-            F.sum(sub_card.apply(F.col(f"SUBSCRIPTIONS_REVS_DAY_{day}_AMT"), app)).alias(
-                f"SUB_REVS_DAY_{day}_AMT"
+            sum_of(
+                book.iap.sql(f"REVS_DAY_{day}_AMT", overrides=book.tier_c_day1_overrides(d)),
+                f"IAP_REVS_DAY_{day}_AMT",
             ),
+            sum_of(book.ad.sql(f"AD_REVS_DAY_{day}_AMT"), f"AD_REVS_DAY_{day}_AMT"),
+            sum_of(sub_card.sql(f"SUBSCRIPTIONS_REVS_DAY_{day}_AMT"), f"SUB_REVS_DAY_{day}_AMT"),
         ]
     aggs += [
-        F.sum(book.iap.apply(F.col("LTV_365_LASTEST_VAL"), app)).alias("IAP_LTV"),
-        F.sum(book.ad.apply(F.col("AD_LTV_365_LASTEST_VAL"), app)).alias("AD_LTV"),
+        sum_of(book.iap.sql("LTV_365_LASTEST_VAL"), "IAP_LTV"),
+        sum_of(book.ad.sql("AD_LTV_365_LASTEST_VAL"), "AD_LTV"),
     ]
     out = (
         folded.groupBy(*C.K6)
@@ -106,10 +105,10 @@ def install_ltv_rollup(
     joined = scoped.join(latest_user_ltv(projections), on=list(C.USER_KEY), how="inner")
     alias = cfg.channel_alias if cfg.alias_install_channels else None
     folded = fold_organic(joined, cfg.paid_source_types, alias)
-    card = RateBook(cfg).subscription_ltv(F.col(C.MARKET), F.col(C.DATE))
+    card = RateBook(cfg).subscription_ltv()
     out = folded.groupBy(*C.K6).agg(
         F.sum("LATEST_ROWS").alias("INDIVIDUAL_INSTALLS"),
-        F.sum(card.apply(F.col("LATEST_SUB_LTV"), F.col(C.APP))).alias("SUB_LTV"),
+        sum_of(card.sql("LATEST_SUB_LTV"), "SUB_LTV"),
     )
     return normalize_decimals(out, ["SUB_LTV"])
 
@@ -121,9 +120,8 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
     The window runs to the day before the run date (not lagged like the MMP side).
     """
     w = cfg.window
-    app = F.col(C.APP)
     scoped = skan.where(
-        app.isin(list(cfg.apps))
+        F.col(C.APP).isin(list(cfg.apps))
         & ~F.col(C.CHANNEL).like(cfg.excluded_channel_pattern)
         & (F.col("INSTALL_DT") >= F.lit(w.start))
         & (F.col("INSTALL_DT") < F.lit(w.skan_end_exclusive))
@@ -131,7 +129,7 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
     book = RateBook(cfg)
     agg = scoped.groupBy(C.APP, C.CHANNEL, "PROMOTION_CD", "INSTALL_DT").agg(
         F.sum("INSTALL_NUM").alias(C.INSTALL_RAW),
-        F.sum(book.iap.apply(F.col("GROSS_IAP_LTV_365_LATEST_VAL"), app)).alias("IAP_LTV"),
+        sum_of(book.iap.sql("GROSS_IAP_LTV_365_LATEST_VAL"), "IAP_LTV"),
         F.sum("NET_OVERALL_LTV_365_LATEST_VAL").alias("TOTAL_LTV"),
     )
     zero = zero_metric()
@@ -154,7 +152,7 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
 
 def channel_rollup(campaign: DataFrame) -> DataFrame:
     """X10: the complete campaign table summed to channel grain (promotion dropped)."""
-    out = campaign.groupBy(*C.KCH).agg(*[F.sum(m).alias(m) for m in C.METRICS])
+    out = campaign.groupBy(*C.KCH).agg(*sum_metrics(C.METRICS))
     return normalize_decimals(out, C.METRICS)
 
 

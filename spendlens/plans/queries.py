@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.fold import fold_organic
-from ..functions.rates import RateBook
+from ..functions.metrics import clamp_nonnegative
+from ..functions.rates import RateBook, sql_col
 from ..functions.window import mmp_window_class, skan_window_class
 from ..operators.merge import merge_details
 from ..operators.precedence import enrich_winner, loser_remainder
@@ -30,6 +31,7 @@ from ..operators.reconcile import (
     residual_parts,
 )
 from ..operators.rollup import (
+    sum_of,
     campaign_rollup,
     channel_rollup,
     game_rollup,
@@ -53,12 +55,17 @@ GATE_PASS_SHIFT_DAYS = -91
 
 def present(df: DataFrame) -> DataFrame:
     """Decimals as DOUBLE, everything else unchanged (one projection)."""
-    casts = {
-        f.name: F.col(f.name).cast("double")
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.DecimalType)
-    }
-    return df.withColumns(casts) if casts else df
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, T.DecimalType) for f in fields):
+        return df
+    return df.selectExpr(
+        *[
+            f"CAST({sql_col(f.name)} AS DOUBLE) AS {sql_col(f.name)}"
+            if isinstance(f.dataType, T.DecimalType)
+            else sql_col(f.name)
+            for f in fields
+        ]
+    )
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[Sources, C.JobConfig]:
@@ -72,6 +79,12 @@ def _details(src: Sources, cfg: C.JobConfig) -> DataFrame:
     )
 
 
+def _stages(spark: SparkSession, sf_dir: str, cfg: C.JobConfig | None = None, campaign_twice: bool = False):
+    """The run's stages with the multiply-read relations materialized (see ``build``)."""
+    src, base_cfg = _inputs(spark, sf_dir)
+    return build(src, cfg or base_cfg, materialized=True, materialize_campaign=campaign_twice)
+
+
 def _precedence(src: Sources, cfg: C.JobConfig):
     details = _details(src, cfg)
     skan = skan_rollup(src.skan, cfg)
@@ -91,48 +104,38 @@ def q02_net_iap(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean differ only for the tier-c application)."""
     src, cfg = _inputs(spark, sf_dir)
     legacy, clean = RateBook(cfg), RateBook(cfg.clean())
-    app = F.col(C.APP)
     aggs = []
     for d in C.REVENUE_DAYS:
         day = f"{d:03d}"
-        gross = F.col(f"REVS_DAY_{day}_AMT")
+        gross = f"REVS_DAY_{day}_AMT"
         aggs.append(
-            F.sum(legacy.iap.apply(gross, app, legacy.tier_c_day1_overrides(d))).alias(
-                f"IAP_REVS_DAY_{day}_AMT"
-            )
+            sum_of(legacy.iap.sql(gross, overrides=legacy.tier_c_day1_overrides(d)), f"IAP_REVS_DAY_{day}_AMT")
         )
         if d in (14, 28):
             aggs.append(
-                F.sum(clean.iap.apply(gross, app, clean.tier_c_day1_overrides(d))).alias(
-                    f"IAP_REVS_DAY_{day}_AMT_CLEAN"
-                )
+                sum_of(clean.iap.sql(gross, overrides=clean.tier_c_day1_overrides(d)), f"IAP_REVS_DAY_{day}_AMT_CLEAN")
             )
-    aggs.append(F.sum(legacy.iap.apply(F.col("LTV_365_LASTEST_VAL"), app)).alias("IAP_LTV"))
+    aggs.append(sum_of(legacy.iap.sql("LTV_365_LASTEST_VAL"), "IAP_LTV"))
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET).agg(*aggs))
 
 
 def q03_net_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, cfg = _inputs(spark, sf_dir)
-    book, app = RateBook(cfg), F.col(C.APP)
+    book = RateBook(cfg)
     aggs = [
-        F.sum(book.ad.apply(F.col(f"AD_REVS_DAY_{d:03d}_AMT"), app)).alias(
-            f"AD_REVS_DAY_{d:03d}_AMT"
-        )
+        sum_of(book.ad.sql(f"AD_REVS_DAY_{d:03d}_AMT"), f"AD_REVS_DAY_{d:03d}_AMT")
         for d in C.REVENUE_DAYS
     ]
-    aggs.append(F.sum(book.ad.apply(F.col("AD_LTV_365_LASTEST_VAL"), app)).alias("AD_LTV"))
+    aggs.append(sum_of(book.ad.sql("AD_LTV_365_LASTEST_VAL"), "AD_LTV"))
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET).agg(*aggs))
 
 
 def q04_net_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscription revenue through the effective-dated card, per app, market and day."""
     src, cfg = _inputs(spark, sf_dir)
-    book, app = RateBook(cfg), F.col(C.APP)
-    card = book.subscription_revenue(F.col(C.MARKET), F.col(C.DATE))
+    card = RateBook(cfg).subscription_revenue()
     aggs = [
-        F.sum(card.apply(F.col(f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT"), app)).alias(
-            f"SUB_REVS_DAY_{d:03d}_AMT"
-        )
+        sum_of(card.sql(f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT"), f"SUB_REVS_DAY_{d:03d}_AMT")
         for d in C.REVENUE_DAYS
     ]
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET, C.DATE).agg(*aggs))
@@ -201,52 +204,48 @@ def q13_skan_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q14_residual_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, cfg = _inputs(spark, sf_dir)
-    details, enriched, remainder = _precedence(src, cfg)
-    return present(organic_residual(details, enriched, remainder, cfg))
+    cfg = fixtures.fixture_config()
+    st = _stages(spark, sf_dir, cfg)
+    return present(organic_residual(st.details, st.enriched, st.remainder, cfg))
 
 
 def q15_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The complete campaign table before the clamp, then clamped: only rows the clamp
     changed, with their clamped metrics."""
-    src, cfg = _inputs(spark, sf_dir)
-    details, enriched, remainder = _precedence(src, cfg)
-    raw = assemble_campaign(details, enriched, remainder, cfg, clamp=False)
+    cfg = fixtures.fixture_config()
+    st = _stages(spark, sf_dir, cfg)
+    raw = assemble_campaign(st.details, st.enriched, st.remainder, cfg, clamp=False)
     negative_or_null = None
     for m in C.METRICS:
         bad = F.col(m).isNull() | (F.col(m) < 0)
         negative_or_null = bad if negative_or_null is None else negative_or_null | bad
-    from ..functions.metrics import clamp_nonnegative
-
     return present(clamp_nonnegative(raw.where(negative_or_null), C.METRICS))
 
 
 def q16_complete_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, cfg = _inputs(spark, sf_dir)
-    return present(build(src, cfg).campaign)
+    return present(_stages(spark, sf_dir).campaign)
 
 
 # -- X10 / X11 / X12 -----------------------------------------------------------------------
 
 
 def q17_channel_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, cfg = _inputs(spark, sf_dir)
-    return present(build(src, cfg).channel)
+    return present(_stages(spark, sf_dir).channel)
 
 
 def q18_game_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, cfg = _inputs(spark, sf_dir)
-    return present(game_rollup(build(src, cfg).channel))
+    return present(game_rollup(_stages(spark, sf_dir).channel))
 
 
 def q19_regression_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate outcomes for two previous publications: a run one quarter earlier (passes) and
     the current run with one application's installs doubled (fails for that application)."""
-    src, cfg = _inputs(spark, sf_dir)
-    new_channel = build(src, cfg).channel
+    cfg = fixtures.fixture_config()
+    current = _stages(spark, sf_dir, cfg, campaign_twice=True)
+    new_channel = current.channel
     earlier = cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS))
-    pass_prev = to_published(build(src, earlier).campaign)
-    fail_prev = to_published(build(src, cfg).campaign)
+    pass_prev = to_published(_stages(spark, sf_dir, earlier).campaign)
+    fail_prev = to_published(current.campaign)
     fail_prev = fail_prev.withColumn(
         C.INSTALL,
         F.when(F.col(C.APP) == GATE_FAIL_APP, F.col(C.INSTALL) * 2).otherwise(F.col(C.INSTALL)),
@@ -264,15 +263,14 @@ def q19_regression_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q20_published_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, cfg = _inputs(spark, sf_dir)
-    return to_published(build(src, cfg).campaign)
+    return to_published(_stages(spark, sf_dir).campaign)
 
 
 def q21_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish campaign and channel tables under a fresh folder of the shared checkpoint
     location, then read the campaign table back through the catalog."""
-    src, cfg = _inputs(spark, sf_dir)
-    stages = build(src, cfg)
+    cfg = fixtures.fixture_config()
+    stages = _stages(spark, sf_dir, cfg, campaign_twice=True)
     root = scratch_path(spark, "q21")
     suffix = root.rsplit("-", 1)[-1]
     stamp = cfg.window.stamp()
