@@ -58,13 +58,13 @@ def build(
     )
     skan = skan_rollup(sources.skan, cfg)
     if materialized:
-        details = materialize(details)
-        skan = materialize(skan)
+        details = materialize(details, "details")
+        skan = materialize(skan, "skan")
     enriched = enrich_winner(skan, details)
     remainder = loser_remainder(details, skan)
     campaign = assemble_campaign(details, enriched, remainder, cfg)
     if materialize_campaign:
-        campaign = materialize(campaign)
+        campaign = materialize(campaign, "campaign")
     channel = channel_rollup(campaign)
     return Stages(details, skan, enriched, remainder, campaign, channel)
 

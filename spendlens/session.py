@@ -48,15 +48,21 @@ def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage for a relation read several times.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage for a relation read several times downstream.
 
-    With a shared checkpoint folder: a reliable checkpoint (survives executor loss, and the
-    later plans start from the written files). Without one: a MEMORY_AND_DISK persist,
-    whose lost blocks Spark recomputes from lineage.
+    With a shared checkpoint folder: write the relation once as Parquet under it and read it
+    back. The written files survive executor loss, later plans start from them (with exact
+    size statistics for adaptive planning and column pruning on read), and the relation is
+    computed exactly once (an eager ``checkpoint()`` of an uncached plan computes it twice).
+    Without a shared folder: a MEMORY_AND_DISK persist, whose lost blocks Spark recomputes
+    from lineage.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if checkpoint_dir(spark):
+        path = scratch_path(spark, f"spendlens-{name}")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 

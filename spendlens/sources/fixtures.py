@@ -251,9 +251,11 @@ def load(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sources:
     else:
         root = f"{base.rstrip('/')}/spendlens-fixtures-{uuid.uuid4().hex[:12]}"
         staged = {}
+        # Enough files that a scan fills every core (a small file is one split).
+        files = 2 * spark.sparkContext.defaultParallelism
         for name in ("fact", "installs", "projections", "skan"):
             path = f"{root}/{name}"
-            getattr(lazy, name).write.mode("overwrite").parquet(path)
+            getattr(lazy, name).repartition(files).write.mode("overwrite").parquet(path)
             staged[name] = spark.read.parquet(path)
         out = Sources(**staged)
     _STAGED[key] = (spark, out)

@@ -1,0 +1,92 @@
+"""Every share-card cell, both date boundaries, the legacy day-1 quirk, NULL rules."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import D
+from pyspark.sql import functions as F
+from rows import fact_df, fact_row
+
+from spendlens.functions.rates import RateBook
+
+APPS = {"HP": "tier_a", "JW": "tier_b", "DC": "tier_c", "OTHER": None}
+IAP = {"HP": "0.616", "JW": "0.525", "DC": "0.546", "OTHER": "0.7"}
+AD = {"HP": "0.88", "JW": "0.75", "DC": "0.78", "OTHER": "1"}
+FULL = {"HP": "0.616", "JW": "0.525", "DC": "0.7", "OTHER": "0.7"}
+REDUCED = {"HP": "0.748", "JW": "0.638", "DC": "0.85", "OTHER": "0.85"}
+
+
+def _eval(spark, cfg, sql, rows):
+    df = fact_df(spark, rows)
+    return [r[0] for r in df.select(F.expr(sql)).collect()]
+
+
+@pytest.mark.parametrize("app", list(APPS))
+def test_iap_and_ad_cards(spark, cfg, app):
+    book = RateBook(cfg)
+    rows = [fact_row(app=app, REVS_DAY_001_AMT=D(100), AD_REVS_DAY_001_AMT=D(100))]
+    assert _eval(spark, cfg, book.iap.sql("REVS_DAY_001_AMT"), rows) == [D(100) * D(IAP[app])]
+    assert _eval(spark, cfg, book.ad.sql("AD_REVS_DAY_001_AMT"), rows) == [D(100) * D(AD[app])]
+
+
+@pytest.mark.parametrize("app", list(APPS))
+def test_subscription_revenue_tiers(spark, cfg, app):
+    book = RateBook(cfg)
+    card = book.subscription_revenue()
+    boundary = cfg.window.ios_reduced_fee_before  # as_of - 366
+    assert boundary == dt.date(2022, 6, 9)
+    cut = cfg.google_reduced_fee_from
+    cases = [
+        ("GO", cut - dt.timedelta(days=1), FULL[app]),
+        ("GO", cut, REDUCED[app]),
+        ("IT", boundary - dt.timedelta(days=1), REDUCED[app]),
+        ("IT", boundary, FULL[app]),
+        ("IT", boundary + dt.timedelta(days=1), FULL[app]),
+        ("XX", boundary, "0"),
+    ]
+    rows = [fact_row(app=app, market=m, date=d, SUBSCRIPTIONS_REVS_DAY_001_AMT=D(200)) for m, d, _ in cases]
+    got = _eval(spark, cfg, card.sql("SUBSCRIPTIONS_REVS_DAY_001_AMT"), rows)
+    assert got == [D(200) * D(r) for _, _, r in cases]
+
+
+def test_subscription_nulls_are_zero(spark, cfg):
+    card = RateBook(cfg).subscription_revenue()
+    rows = [
+        fact_row(app="HP", market="IT", SUBSCRIPTIONS_REVS_DAY_001_AMT=None),
+        fact_row(app="HP", market="GO", date=None, SUBSCRIPTIONS_REVS_DAY_001_AMT=D(5)),
+    ]
+    assert _eval(spark, cfg, card.sql("SUBSCRIPTIONS_REVS_DAY_001_AMT"), rows) == [0, 0]
+
+
+@pytest.mark.parametrize("app", list(APPS))
+def test_subscription_ltv_has_no_ios_date_tier(spark, cfg, app):
+    card = RateBook(cfg).subscription_ltv()
+    rows = [
+        fact_row(app=app, market="IT", date=dt.date(2021, 2, 1), SUBSCRIPTIONS_REVS_DAY_001_AMT=D(10)),
+        fact_row(app=app, market="IT", date=dt.date(2023, 6, 1), SUBSCRIPTIONS_REVS_DAY_001_AMT=D(10)),
+        fact_row(app=app, market="GO", date=dt.date(2021, 2, 1), SUBSCRIPTIONS_REVS_DAY_001_AMT=D(10)),
+        fact_row(app=app, market="GO", date=dt.date(2022, 2, 1), SUBSCRIPTIONS_REVS_DAY_001_AMT=D(10)),
+    ]
+    got = _eval(spark, cfg, card.sql("SUBSCRIPTIONS_REVS_DAY_001_AMT"), rows)
+    assert got == [D(10) * D(r) for r in (FULL[app], FULL[app], FULL[app], REDUCED[app])]
+
+
+@pytest.mark.parametrize("day,legacy_reads_day1", [(1, False), (7, False), (14, True), (28, True)])
+def test_tier_c_day1_override(spark, cfg, day, legacy_reads_day1):
+    def row(app):
+        if day == 1:
+            return [fact_row(app=app, REVS_DAY_001_AMT=D(1000))]
+        return [fact_row(app=app, REVS_DAY_001_AMT=D(1), **{f"REVS_DAY_{day:03d}_AMT": D(1000)})]
+
+    rows = row("DC")
+    for book, expect_day1 in ((RateBook(cfg), legacy_reads_day1), (RateBook(cfg.clean()), False)):
+        sql = book.iap.sql(f"REVS_DAY_{day:03d}_AMT", overrides=book.tier_c_day1_overrides(day))
+        want = D(1 if expect_day1 else 1000) * D("0.546")
+        assert _eval(spark, cfg, sql, rows) == [want]
+    # other applications are never affected
+    book = RateBook(cfg)
+    rows = row("HP")
+    sql = book.iap.sql(f"REVS_DAY_{day:03d}_AMT", overrides=book.tier_c_day1_overrides(day))
+    assert _eval(spark, cfg, sql, rows) == [D(1000) * D("0.616")]
