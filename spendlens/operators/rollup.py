@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.fold import fold_organic
@@ -72,18 +73,34 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     return normalize_decimals(out, C.METRICS_RAW)
 
 
+#: integer digits kept for one user's summed projection, and for an install count; with a
+#: 3-digit share rate the per-row product then fits in 38 digits without Spark dropping
+#: scale digits (overflow raises under ANSI mode instead of rounding silently)
+USER_LTV_INT_DIGITS = 16
+COUNT_DIGITS = 10
+#: (16 + s) + 10 + 1 digits after the count, + 3 + 1 after a 3-digit rate: at most 38
+MAX_PROJECTION_SCALE = 38 - USER_LTV_INT_DIGITS - COUNT_DIGITS - 1 - 3 - 1
+
+
 def latest_user_ltv(projections: DataFrame) -> DataFrame:
     """One row per user key: how many latest (tied) projection rows it has and their
     summed subscription projection. Pre-aggregating here means the install join below
     meets exactly one row per user instead of every tied snapshot row."""
+    sub = "SUB_PROJECTEDREVENUE_365"
     latest = latest_per_key(
-        projections.select(*C.USER_KEY, "PROJECTION_DT", "SUB_PROJECTEDREVENUE_365"),
-        C.USER_KEY,
-        "PROJECTION_DT",
+        projections.select(*C.USER_KEY, "PROJECTION_DT", sub), C.USER_KEY, "PROJECTION_DT"
     )
+    total = f"sum({sql_col(sub)})"
+    dtype = projections.schema[sub].dataType
+    if isinstance(dtype, T.DecimalType):
+        if dtype.scale > MAX_PROJECTION_SCALE:
+            raise ValueError(
+                f"{sub} has scale {dtype.scale}; exact netting supports at most {MAX_PROJECTION_SCALE}"
+            )
+        total = f"CAST({total} AS DECIMAL({USER_LTV_INT_DIGITS + dtype.scale},{dtype.scale}))"
     return latest.groupBy(*C.USER_KEY).agg(
         F.count(F.lit(1)).alias("LATEST_ROWS"),
-        F.sum("SUB_PROJECTEDREVENUE_365").alias("LATEST_SUB_LTV"),
+        F.expr(f"{total} AS LATEST_SUB_LTV"),
     )
 
 
@@ -95,20 +112,36 @@ def install_ltv_rollup(
     Equals joining every install to every tied latest projection row and summing per row:
     the share depends only on install columns, so ``sum(rate * v) = rate * sum(v)`` exactly
     in decimal arithmetic, and a NULL projection contributes 0 either way.
+
+    Skew: installs are first counted per (user key, campaign columns) with a partial
+    aggregate, so a user key holding a large share of all installs (a sentinel account)
+    reaches the join as one row per campaign and day, not one row per install. The user
+    side is already one row per key. Both multiplications by the counts are exact.
     """
     w = cfg.window
-    scoped = installs.withColumnRenamed("INSTALL_DT", C.DATE).where(
-        F.col(C.APP).isin(list(cfg.apps))
-        & F.col(C.MARKET).isin(list(cfg.markets))
-        & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
+    scoped = (
+        installs.withColumnRenamed("INSTALL_DT", C.DATE)
+        .where(
+            F.col(C.APP).isin(list(cfg.apps))
+            & F.col(C.MARKET).isin(list(cfg.markets))
+            & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
+        )
+        .groupBy(*C.USER_KEY, *C.K6)
+        .agg(F.count(F.lit(1)).alias("INSTALLS"))
     )
     joined = scoped.join(latest_user_ltv(projections), on=list(C.USER_KEY), how="inner")
     alias = cfg.channel_alias if cfg.alias_install_channels else None
-    folded = fold_organic(joined, cfg.paid_source_types, alias)
+    folded = fold_organic(joined, cfg.paid_source_types, alias).withColumns(
+        {
+            "MATCHED_ROWS": F.col("INSTALLS") * F.col("LATEST_ROWS"),
+            "MATCHED_SUB_LTV": F.col("LATEST_SUB_LTV")
+            * F.col("INSTALLS").cast(T.DecimalType(COUNT_DIGITS, 0)),
+        }
+    )
     card = RateBook(cfg).subscription_ltv()
     out = folded.groupBy(*C.K6).agg(
-        F.sum("LATEST_ROWS").alias("INDIVIDUAL_INSTALLS"),
-        sum_of(card.sql("LATEST_SUB_LTV"), "SUB_LTV"),
+        sum_of("MATCHED_ROWS", "INDIVIDUAL_INSTALLS"),
+        sum_of(card.sql("MATCHED_SUB_LTV"), "SUB_LTV"),
     )
     return normalize_decimals(out, ["SUB_LTV"])
 

@@ -123,3 +123,44 @@ def test_skan_rollup_window_and_schema(spark, cfg):
     assert (r.MARKET_CD, r.SOURCE, r.PROMOTION_NAME) == ("IT", "SKAN", "P1")
     assert r.IAP_LTV == D(100) * D("0.616") and r.TOTAL_LTV == D(50) and r.AD_LTV == 0
     assert r.SUB_REVS_DAY_028_AMT == 0 and "SPEND" not in r.asDict()
+
+
+def test_install_ltv_hot_key_matches_brute_force(spark, cfg):
+    """One user key holds most installs (a sentinel account): the pre-aggregated join must
+    equal joining every install row to every tied latest projection row."""
+    import random
+
+    rnd = random.Random(7)
+    d1, d2 = dt.date(2022, 1, 1), dt.date(2022, 3, 1)
+    inst, proj = [], []
+    for i in range(600):
+        key = 0 if i % 3 else i  # two thirds on account 0
+        src = rnd.choice(["MK", "MM", "US", None])
+        inst.append(("HP", rnd.choice(["IT", "GO"]), src, rnd.choice(["A", "SKANFB"]), "P1",
+                     rnd.choice([d1, d2]), "X", key, 1))
+    for key in {r[7] for r in inst}:
+        proj.append((key, 1, "X", d1, None, None, D(rnd.randint(1, 999)) / 100))
+        proj.append((key, 1, "X", d2, None, None, D(rnd.randint(1, 999)) / 100))
+        if key == 0:
+            proj.append((key, 1, "X", d2, None, None, D("3.3333")))  # tie on the hot key
+    installs = spark.createDataFrame(inst, INSTALL_SCHEMA)
+    projections = spark.createDataFrame(proj, PROJ_SCHEMA)
+    got = {(r.MARKET_CD, r.USER_SOURCE_TYPE_CD, r.CHANNEL_NAME, r.CALENDAR_DT): (r.INDIVIDUAL_INSTALLS, r.SUB_LTV)
+           for r in install_ltv_rollup(installs, projections, cfg).collect()}
+    latest = {}
+    for k, u, a, d, *_, v in proj:
+        latest.setdefault((k, u, a), []).append((d, v))
+    full, reduced = {"HP": D("0.616")}, {"HP": D("0.748")}
+    want = {}
+    for app, m, st, ch, pr, d, acd, k, u in inst:
+        rows = latest[(k, u, acd)]
+        mx = max(x for x, _ in rows)
+        paid = st in ("MM", "MK", "MC")
+        key = (m, st, ch if paid else "ORGANIC", d)
+        for x, v in rows:
+            if x != mx:
+                continue
+            rate = full[app] if m == "IT" or d < cfg.google_reduced_fee_from else reduced[app]
+            n, s = want.get(key, (0, D(0)))
+            want[key] = (n + 1, s + v * rate)
+    assert got == want
