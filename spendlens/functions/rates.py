@@ -9,6 +9,7 @@ Tiered cards (subscription revenue) pick a card by market and effective date fir
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
@@ -32,6 +33,14 @@ def sql_col(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
+def _expr(measure: str) -> str:
+    """A bare column name is quoted; anything else is taken as a SQL expression."""
+    return sql_col(measure) if _IDENT.match(measure) else f"({measure})"
+
+
 def _scaled(measure: str, rate: Decimal | None) -> str:
     return measure if rate is None else f"{measure} * {rate}"
 
@@ -55,12 +64,13 @@ class ShareCard:
         return self.default
 
     def sql(self, measure: str, app: str = C.APP, overrides: Mapping[str, str] | None = None) -> str:
-        """``measure * share(app)`` as SQL over column names; ``overrides`` swaps the
-        measure column for named applications."""
+        """``measure * share(app)`` as SQL; ``measure`` is a column name or an expression
+        (such as ``sum(x)`` when the share is applied per group), ``overrides`` swaps the
+        measure for named applications."""
         overrides = overrides or {}
-        m, a = sql_col(measure), sql_col(app)
+        m, a = _expr(measure), sql_col(app)
         arms = " ".join(
-            f"WHEN {a} = {sql_str(name)} THEN {_scaled(sql_col(overrides.get(name, measure)), rate)}"
+            f"WHEN {a} = {sql_str(name)} THEN {_scaled(_expr(overrides.get(name, measure)), rate)}"
             for name, rate in self.by_app
         )
         fallback = _scaled(m, self.default)

@@ -25,6 +25,29 @@ def sum_of(sql: str, name: str):
     return F.expr(f"sum({sql}) AS {sql_col(name)}")
 
 
+#: a group sum is narrowed to this precision before a share rate (at most 3 digits)
+#: multiplies it, so the product fits in 38 digits with its full scale
+RATED_SUM_PRECISION = 34
+
+
+def group_sum(df: DataFrame, column: str) -> str:
+    """SQL for ``sum(column)``, ready to be multiplied by a share rate.
+
+    Every share rate depends only on application, market and date, which are grouping keys
+    wherever a rate is applied, so ``sum(x * rate) = rate * sum(x)`` exactly: the rate is
+    applied once per group instead of once per row.
+    """
+    total = f"sum({sql_col(column)})"
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST({total} AS DECIMAL({RATED_SUM_PRECISION},{dtype.scale}))"
+    return total
+
+
+def rated(sql: str, name: str):
+    return F.expr(f"{sql} AS {sql_col(name)}")
+
+
 def scope_fact(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     """Rows of the campaign fact inside the run: apps, markets, trusted channels, window,
     new-install campaigns. The channel test reads the raw name, before any alias."""
@@ -46,6 +69,10 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     folded = fold_organic(scope_fact(fact, cfg), cfg.paid_source_types, cfg.channel_alias)
     book = RateBook(cfg)
     sub_card = book.subscription_revenue()
+
+    def g(column: str) -> str:
+        return group_sum(fact, column)
+
     aggs = [
         sum_of("EXPENSE_AMT", "SPEND"),
         sum_of("USER_QTY", C.INSTALL_RAW),
@@ -53,17 +80,15 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     ]
     for d in C.REVENUE_DAYS:
         day = f"{d:03d}"
+        overrides = {app: g(col) for app, col in book.tier_c_day1_overrides(d).items()}
         aggs += [
-            sum_of(
-                book.iap.sql(f"REVS_DAY_{day}_AMT", overrides=book.tier_c_day1_overrides(d)),
-                f"IAP_REVS_DAY_{day}_AMT",
-            ),
-            sum_of(book.ad.sql(f"AD_REVS_DAY_{day}_AMT"), f"AD_REVS_DAY_{day}_AMT"),
-            sum_of(sub_card.sql(f"SUBSCRIPTIONS_REVS_DAY_{day}_AMT"), f"SUB_REVS_DAY_{day}_AMT"),
+            rated(book.iap.sql(g(f"REVS_DAY_{day}_AMT"), overrides=overrides), f"IAP_REVS_DAY_{day}_AMT"),
+            rated(book.ad.sql(g(f"AD_REVS_DAY_{day}_AMT")), f"AD_REVS_DAY_{day}_AMT"),
+            rated(sub_card.sql(g(f"SUBSCRIPTIONS_REVS_DAY_{day}_AMT")), f"SUB_REVS_DAY_{day}_AMT"),
         ]
     aggs += [
-        sum_of(book.iap.sql("LTV_365_LASTEST_VAL"), "IAP_LTV"),
-        sum_of(book.ad.sql("AD_LTV_365_LASTEST_VAL"), "AD_LTV"),
+        rated(book.iap.sql(g("LTV_365_LASTEST_VAL")), "IAP_LTV"),
+        rated(book.ad.sql(g("AD_LTV_365_LASTEST_VAL")), "AD_LTV"),
     ]
     out = (
         folded.groupBy(*C.K6)
@@ -73,13 +98,12 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     return normalize_decimals(out, C.METRICS_RAW)
 
 
-#: integer digits kept for one user's summed projection, and for an install count; with a
-#: 3-digit share rate the per-row product then fits in 38 digits without Spark dropping
-#: scale digits (overflow raises under ANSI mode instead of rounding silently)
+#: integer digits kept for one user's summed projection, and for an install count: their
+#: product has (16 + s) + 10 + 1 digits, which must stay within 38 for Spark to keep every
+#: scale digit (an overflow raises under ANSI mode instead of rounding silently)
 USER_LTV_INT_DIGITS = 16
 COUNT_DIGITS = 10
-#: (16 + s) + 10 + 1 digits after the count, + 3 + 1 after a 3-digit rate: at most 38
-MAX_PROJECTION_SCALE = 38 - USER_LTV_INT_DIGITS - COUNT_DIGITS - 1 - 3 - 1
+MAX_PROJECTION_SCALE = 38 - USER_LTV_INT_DIGITS - COUNT_DIGITS - 1
 
 
 def latest_user_ltv(projections: DataFrame) -> DataFrame:
@@ -141,7 +165,7 @@ def install_ltv_rollup(
     card = RateBook(cfg).subscription_ltv()
     out = folded.groupBy(*C.K6).agg(
         sum_of("MATCHED_ROWS", "INDIVIDUAL_INSTALLS"),
-        sum_of(card.sql("MATCHED_SUB_LTV"), "SUB_LTV"),
+        rated(card.sql(group_sum(folded, "MATCHED_SUB_LTV")), "SUB_LTV"),
     )
     return normalize_decimals(out, ["SUB_LTV"])
 
@@ -162,7 +186,7 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
     book = RateBook(cfg)
     agg = scoped.groupBy(C.APP, C.CHANNEL, "PROMOTION_CD", "INSTALL_DT").agg(
         F.sum("INSTALL_NUM").alias(C.INSTALL_RAW),
-        sum_of(book.iap.sql("GROSS_IAP_LTV_365_LATEST_VAL"), "IAP_LTV"),
+        rated(book.iap.sql(group_sum(skan, "GROSS_IAP_LTV_365_LATEST_VAL")), "IAP_LTV"),
         F.sum("NET_OVERALL_LTV_365_LATEST_VAL").alias("TOTAL_LTV"),
     )
     zero = zero_metric()

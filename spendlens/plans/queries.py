@@ -31,11 +31,12 @@ from ..operators.reconcile import (
     residual_parts,
 )
 from ..operators.rollup import (
-    sum_of,
     campaign_rollup,
     channel_rollup,
     game_rollup,
+    group_sum,
     install_ltv_rollup,
+    rated,
     scope_fact,
     skan_rollup,
 )
@@ -104,18 +105,21 @@ def q02_net_iap(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean differ only for the tier-c application)."""
     src, cfg = _inputs(spark, sf_dir)
     legacy, clean = RateBook(cfg), RateBook(cfg.clean())
+
+    def g(column: str) -> str:
+        return group_sum(src.fact, column)
+
     aggs = []
     for d in C.REVENUE_DAYS:
         day = f"{d:03d}"
-        gross = f"REVS_DAY_{day}_AMT"
-        aggs.append(
-            sum_of(legacy.iap.sql(gross, overrides=legacy.tier_c_day1_overrides(d)), f"IAP_REVS_DAY_{day}_AMT")
-        )
-        if d in (14, 28):
+        for book, suffix in ((legacy, ""), (clean, "_CLEAN")):
+            if suffix and d not in (14, 28):
+                continue
+            overrides = {app: g(col) for app, col in book.tier_c_day1_overrides(d).items()}
             aggs.append(
-                sum_of(clean.iap.sql(gross, overrides=clean.tier_c_day1_overrides(d)), f"IAP_REVS_DAY_{day}_AMT_CLEAN")
+                rated(book.iap.sql(g(f"REVS_DAY_{day}_AMT"), overrides=overrides), f"IAP_REVS_DAY_{day}_AMT{suffix}")
             )
-    aggs.append(sum_of(legacy.iap.sql("LTV_365_LASTEST_VAL"), "IAP_LTV"))
+    aggs.append(rated(legacy.iap.sql(g("LTV_365_LASTEST_VAL")), "IAP_LTV"))
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET).agg(*aggs))
 
 
@@ -123,10 +127,10 @@ def q03_net_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, cfg = _inputs(spark, sf_dir)
     book = RateBook(cfg)
     aggs = [
-        sum_of(book.ad.sql(f"AD_REVS_DAY_{d:03d}_AMT"), f"AD_REVS_DAY_{d:03d}_AMT")
+        rated(book.ad.sql(group_sum(src.fact, f"AD_REVS_DAY_{d:03d}_AMT")), f"AD_REVS_DAY_{d:03d}_AMT")
         for d in C.REVENUE_DAYS
     ]
-    aggs.append(sum_of(book.ad.sql("AD_LTV_365_LASTEST_VAL"), "AD_LTV"))
+    aggs.append(rated(book.ad.sql(group_sum(src.fact, "AD_LTV_365_LASTEST_VAL")), "AD_LTV"))
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET).agg(*aggs))
 
 
@@ -135,7 +139,10 @@ def q04_net_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, cfg = _inputs(spark, sf_dir)
     card = RateBook(cfg).subscription_revenue()
     aggs = [
-        sum_of(card.sql(f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT"), f"SUB_REVS_DAY_{d:03d}_AMT")
+        rated(
+            card.sql(group_sum(src.fact, f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT")),
+            f"SUB_REVS_DAY_{d:03d}_AMT",
+        )
         for d in C.REVENUE_DAYS
     ]
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET, C.DATE).agg(*aggs))

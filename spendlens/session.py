@@ -67,10 +67,11 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (for sink round trips)."""
+    """A fresh path in shared storage: under the checkpoint folder, else under the SQL
+    warehouse (both are cluster-wide locations; never a machine-local temp folder)."""
     import uuid
 
-    base = checkpoint_dir(spark)
-    if base is None:
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not base:
         raise RuntimeError("no shared folder: set spark.checkpoint.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
