@@ -1,4 +1,16 @@
-"""X8: source precedence. Where SKAN reports a campaign it wins; MMP supplies its spend."""
+"""X8: source precedence. Where SKAN reports a campaign it wins; MMP supplies its spend.
+
+Both halves come from one FULL OUTER join of the MMP campaign details with the SKAN
+roll-up on K5 (one shuffle of each side):
+
+* a row with a SKAN side is an enriched SKAN campaign: SKAN metrics, plus the MMP spend
+  and source type of the matched row (spend 0 and source type MK when unmatched);
+* a row with only an MMP side is an MMP campaign SKAN does not report (the anti join).
+
+The SKAN roll-up is unique on K5, so every MMP row appears exactly once; a SKAN campaign
+matching several MMP source types appears once per match (the published job's fan-out).
+NULL keys never match, so NULL-key rows of either side stay unmatched.
+"""
 
 from __future__ import annotations
 
@@ -6,41 +18,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.rates import sql_col, sql_str
 
+_HAS_MMP = "_HAS_MMP"
+_HAS_SKAN = "_HAS_SKAN"
+_SKAN = "SKAN__"
+_SKAN_METRICS = [m for m in C.METRICS_RAW if m != "SPEND"]
 
-def enrich_winner(skan: DataFrame, details: DataFrame) -> DataFrame:
-    """SKAN campaigns with the MMP spend and source type of the same campaign (K5).
-
-    K5 has no source type, so a SKAN row matching several MMP source types is repeated once
-    per match (the published job's behaviour). Unmatched rows get spend 0 and source type MK.
-    """
-    spend = details.select(*C.K6, "SPEND")
-    joined = skan.join(spend, on=list(C.K5), how="left")
-    return joined.withColumns(
-        {
-            C.SOURCE_TYPE: F.coalesce(F.col(C.SOURCE_TYPE), F.lit(C.SKAN_DEFAULT_SOURCE_TYPE)),
-            "SPEND": F.coalesce(F.col("SPEND"), F.lit(0).cast(C.METRIC_DECIMAL)),
-        }
+
+def precedence_join(details: DataFrame, skan: DataFrame) -> DataFrame:
+    """MMP details FULL OUTER JOIN SKAN roll-up on K5, SKAN metrics prefixed."""
+    mmp = details.select(*C.K6, *C.METRICS_RAW, F.lit(True).alias(_HAS_MMP))
+    sk = skan.select(
+        *C.K5,
+        *[F.col(m).alias(_SKAN + m) for m in _SKAN_METRICS],
+        F.lit(True).alias(_HAS_SKAN),
     )
+    return mmp.join(sk, on=list(C.K5), how="full_outer")
 
 
-def loser_remainder(details: DataFrame, skan: DataFrame) -> DataFrame:
-    """MMP campaigns SKAN does not report (left anti join on K5), tagged Non-SKAN.
-
-    The anti join only needs the SKAN key set, so it reads the SKAN roll-up's keys directly
-    rather than the enriched (possibly fanned-out) relation; NULL-key MMP rows survive.
-    """
-    keys = skan.select(*C.K5)
-    return details.join(keys, on=list(C.K5), how="left_anti").withColumn(
-        C.SOURCE, F.lit(C.MMP_SOURCE)
+def enriched_rows(joined: DataFrame) -> DataFrame:
+    """SKAN campaigns with the matched MMP spend and source type (defaults when unmatched)."""
+    return joined.where(F.col(_HAS_SKAN)).selectExpr(
+        *[sql_col(k) for k in (C.APP, C.MARKET)],
+        f"{sql_str(C.SKAN_SOURCE)} AS {sql_col(C.SOURCE)}",
+        f"coalesce({sql_col(C.SOURCE_TYPE)}, {sql_str(C.SKAN_DEFAULT_SOURCE_TYPE)}) AS {sql_col(C.SOURCE_TYPE)}",
+        *[sql_col(k) for k in (C.CHANNEL, C.PROMOTION, C.DATE)],
+        "coalesce(SPEND, 0) AS SPEND",
+        *[f"{sql_col(_SKAN + m)} AS {sql_col(m)}" for m in _SKAN_METRICS],
+    )
+
+
+def remainder_rows(joined: DataFrame) -> DataFrame:
+    """MMP campaigns SKAN does not report, tagged Non-SKAN."""
+    return joined.where(F.col(_HAS_MMP) & F.col(_HAS_SKAN).isNull()).selectExpr(
+        *[sql_col(k) for k in C.K6],
+        *[sql_col(m) for m in C.METRICS_RAW],
+        f"{sql_str(C.MMP_SOURCE)} AS {sql_col(C.SOURCE)}",
     )
 
 
+def mmp_rows(joined: DataFrame) -> DataFrame:
+    """The MMP campaign details again (each appears exactly once in the join)."""
+    return joined.where(F.col(_HAS_MMP)).select(*C.K6, *C.METRICS_RAW)
+
+
+def enrich_winner(skan: DataFrame, details: DataFrame) -> DataFrame:
+    """Enriched SKAN campaigns (see module doc)."""
+    return enriched_rows(precedence_join(details, skan))
+
+
+def loser_remainder(details: DataFrame, skan: DataFrame) -> DataFrame:
+    """MMP campaigns SKAN does not report (see module doc)."""
+    return remainder_rows(precedence_join(details, skan))
+
+
 def fanout_keys(details: DataFrame, skan: DataFrame) -> DataFrame:
     """SKAN campaigns (K5) that match more than one MMP row, with the match count."""
-    matches = skan.select(*C.K5).join(details.select(*C.K5), on=list(C.K5), how="inner")
+    joined = precedence_join(details, skan).where(F.col(_HAS_SKAN) & F.col(_HAS_MMP))
     return (
-        matches.groupBy(*C.K5)
+        joined.groupBy(*C.K5)
         .agg(F.count(F.lit(1)).alias("MATCHES"))
         .where(F.col("MATCHES") > 1)
     )

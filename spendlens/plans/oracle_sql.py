@@ -86,7 +86,7 @@ dims AS (
          ELSE 'OT' END AS USER_SOURCE_TYPE_CD,
     CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'SKANUAC' WHEN 'BUILDING' THEN 'SKANFB'
          WHEN 'FURNITURE' THEN 'X_UNTRUSTED' WHEN 'HOUSEHOLD' THEN 'ADWORDS' ELSE 'UNITY' END AS CHANNEL_NAME,
-    'P' || CAST(p.p_size % 3 AS VARCHAR) AS PROMOTION_NAME,
+    'P' || CAST(p.p_size % 3 AS VARCHAR(4)) AS PROMOTION_NAME,
     CAST(date_trunc('quarter', l.l_shipdate) AS DATE) AS EVENT_DT,
     CASE WHEN l.l_returnflag = 'R' THEN 'Retargeting' ELSE 'New Installs' END AS MVP_CAMPAIGN_TYPE,
     CAST(l.l_quantity AS DECIMAL(18,0)) AS QTY,
@@ -358,9 +358,18 @@ def _stage_ctes(p: str = "", end: str = END, as_of: str = AS_OF, ios_boundary: s
 )"""
 
 
+#: when False, the SQL reads fixture relations registered as views (promo_fact, install,
+#: individual_ltv, skan_ltv) instead of deriving them inline; used to run the same
+#: reference-shaped SQL on Spark over the staged fixtures (bench.py)
+_INLINE_FIXTURES = True
+
+
 def _with(body: str, *stage_sets: str) -> str:
-    ctes = _fixture_ctes() + "".join("," + s for s in stage_sets)
-    return f"WITH {ctes}\n{body}"
+    parts = ([_fixture_ctes()] if _INLINE_FIXTURES else []) + [s.strip().rstrip(",") for s in stage_sets]
+    parts = [p.strip() for p in parts if p.strip()]
+    if not parts:
+        return body
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 def _present(cols: list[str]) -> str:
@@ -508,7 +517,8 @@ FROM old_game o JOIN new_game n
   ON o.APPLICATION_FAMILY_NAME IS NOT DISTINCT FROM n.APPLICATION_FAMILY_NAME
  AND o.MARKET_CD IS NOT DISTINCT FROM n.MARKET_CD AND o.SOURCE IS NOT DISTINCT FROM n.SOURCE
 WHERE n.NEW_LAST_INSTALL_DT < o.OLD_LAST_INSTALL_DT OR n.NEW_TOTAL_INSTALL < o.OLD_TOTAL_INSTALL - 1"""
-    ctes = _fixture_ctes() + "," + _stage_ctes() + "," + earlier + body
+    head = [_fixture_ctes()] if _INLINE_FIXTURES else []
+    ctes = ",".join([*head, _stage_ctes(), earlier]) + body
     return f"WITH {ctes}"
 
 
@@ -542,7 +552,17 @@ FROM skan_ltv GROUP BY 1"""
     return _with(f"{mmp('fact', 'CALENDAR_DT')}\nUNION ALL\n{mmp('install', 'INSTALL_DT')}\nUNION ALL\n{skan}")
 
 
-def oracle_sql() -> dict[str, str]:
+def oracle_sql(inline_fixtures: bool = True) -> dict[str, str]:
+    """SQL per query. ``inline_fixtures=False`` reads views named like the fixtures."""
+    global _INLINE_FIXTURES
+    _INLINE_FIXTURES = inline_fixtures
+    try:
+        return _oracle_sql()
+    finally:
+        _INLINE_FIXTURES = True
+
+
+def _oracle_sql() -> dict[str, str]:
     fact_metrics = [m for m in MET if m not in ("SUB_LTV", "TOTAL_LTV")]
     published = _with(_published("campaign"), _stage_ctes())
     return {

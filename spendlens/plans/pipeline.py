@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators.merge import merge_details
-from ..operators.precedence import enrich_winner, loser_remainder
+from ..operators.precedence import enriched_rows, mmp_rows, precedence_join, remainder_rows
 from ..operators.publish import PublishTarget, publish
 from ..operators.quality import assert_no_regression
 from ..operators.reconcile import assemble_campaign
@@ -42,26 +42,24 @@ def build(
 ) -> Stages:
     """Compose the operators.
 
-    With ``materialized``, the relations read several times downstream are cut once: the
-    campaign details (read by enrichment, the anti join, the residual and the Google
-    branch) and the SKAN roll-up (enrichment and anti join). ``materialize_campaign`` also
-    cuts the complete campaign table, for callers that read it twice (publish + channel
-    roll-up). Everything else stays lazy.
-
-    Without materialization the campaign details subtree appears eight times in one plan;
-    exchange reuse removes most repeated shuffles, but adaptive re-planning of that plan
-    costs more than writing the details once.
+    The campaign details and the SKAN roll-up meet in one FULL OUTER join on K5
+    (``precedence_join``); enrichment, the anti join, the residual parts and the Google
+    branch are all filters of that one relation. With ``materialized`` it is written once
+    (it would otherwise be recomputed by each of those branches); ``materialize_campaign``
+    also cuts the complete campaign table, for callers that read it twice (publish and the
+    channel roll-up). Everything else stays lazy.
     """
     details = merge_details(
         campaign_rollup(sources.fact, cfg),
         install_ltv_rollup(sources.installs, sources.projections, cfg),
     )
     skan = skan_rollup(sources.skan, cfg)
+    joined = precedence_join(details, skan)
     if materialized:
-        details = materialize(details, "details")
-        skan = materialize(skan, "skan")
-    enriched = enrich_winner(skan, details)
-    remainder = loser_remainder(details, skan)
+        joined = materialize(joined, "precedence")
+        details = mmp_rows(joined)
+    enriched = enriched_rows(joined)
+    remainder = remainder_rows(joined)
     campaign = assemble_campaign(details, enriched, remainder, cfg)
     if materialize_campaign:
         campaign = materialize(campaign, "campaign")

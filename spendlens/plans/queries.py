@@ -21,7 +21,7 @@ from ..functions.metrics import clamp_nonnegative
 from ..functions.rates import RateBook, sql_col
 from ..functions.window import mmp_window_class, skan_window_class
 from ..operators.merge import merge_details
-from ..operators.precedence import enrich_winner, loser_remainder
+from ..operators.precedence import enriched_rows, precedence_join, remainder_rows
 from ..operators.publish import PublishTarget, publish, to_published
 from ..operators.quality import regression_violations
 from ..operators.reconcile import (
@@ -88,8 +88,8 @@ def _stages(spark: SparkSession, sf_dir: str, cfg: C.JobConfig | None = None, ca
 
 def _precedence(src: Sources, cfg: C.JobConfig):
     details = _details(src, cfg)
-    skan = skan_rollup(src.skan, cfg)
-    return details, enrich_winner(skan, details), loser_remainder(details, skan)
+    joined = precedence_join(details, skan_rollup(src.skan, cfg))
+    return details, enriched_rows(joined), remainder_rows(joined)
 
 
 # -- X1 / X3 -------------------------------------------------------------------------------
