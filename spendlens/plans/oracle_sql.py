@@ -256,7 +256,7 @@ def _stage_ctes(p: str = "", end: str = END, as_of: str = AS_OF, ios_boundary: s
     )
     channel_sums = ", ".join(f"{_n(f'sum({m})')} AS {m}" for m in MET_OUT)
     return f"""
-{p}pr_promo AS (
+{p}scoped_fact AS (
   SELECT APPLICATION_FAMILY_NAME, MARKET_CD, MVP_CAMPAIGN_TYPE, USER_SOURCE_TYPE_CD,
     {FOLD},
     CALENDAR_DT, EXPENSE_AMT, USER_QTY, RETENTION_DAY_001_QTY, RETENTION_DAY_003_QTY, RETENTION_DAY_007_QTY,
@@ -268,24 +268,24 @@ def _stage_ctes(p: str = "", end: str = END, as_of: str = AS_OF, ios_boundary: s
 {p}fact_rollup AS (
   SELECT {K6},
     {fact_sums}
-  FROM {p}pr_promo
+  FROM {p}scoped_fact
   GROUP BY {K6}
   HAVING sum(EXPENSE_AMT) > 0 OR sum(USER_QTY) > 0
 ),
-{p}indi_max AS (
+{p}user_max_dt AS (
   SELECT ACCOUNT_ID, USER_ID, APPLICATION_CD, max(PROJECTION_DT) AS MAX_PROJECTION_DT
   FROM individual_ltv GROUP BY ACCOUNT_ID, USER_ID, APPLICATION_CD
 ),
-{p}latest_sub AS (
+{p}user_latest AS (
   SELECT a.ACCOUNT_ID, a.USER_ID, a.APPLICATION_CD, a.SUB_PROJECTEDREVENUE_365 AS SUB_LTV
-  FROM individual_ltv a JOIN {p}indi_max b
+  FROM individual_ltv a JOIN {p}user_max_dt b
     ON a.ACCOUNT_ID = b.ACCOUNT_ID AND a.USER_ID = b.USER_ID AND a.APPLICATION_CD = b.APPLICATION_CD
    AND a.PROJECTION_DT = b.MAX_PROJECTION_DT
 ),
-{p}indi_sub AS (
+{p}install_latest AS (
   SELECT a.APPLICATION_FAMILY_NAME, a.MARKET_CD, a.USER_SOURCE_TYPE_CD, a.CHANNEL_NAME, a.PROMOTION_NAME,
     a.INSTALL_DT AS CALENDAR_DT, b.SUB_LTV
-  FROM install a JOIN {p}latest_sub b
+  FROM install a JOIN {p}user_latest b
     ON a.APPLICATION_CD = b.APPLICATION_CD AND a.ACCOUNT_ID = b.ACCOUNT_ID AND a.USER_ID = b.USER_ID
 ),
 {p}sub_rollup AS (
@@ -295,7 +295,7 @@ def _stage_ctes(p: str = "", end: str = END, as_of: str = AS_OF, ios_boundary: s
     CALENDAR_DT,
     count(*) AS INDIVIDUAL_INSTALLS,
     {_n(f"sum({_sub_ltv('SUB_LTV')})")} AS SUB_LTV
-  FROM {p}indi_sub
+  FROM {p}install_latest
   WHERE APPLICATION_FAMILY_NAME IN {APPS} AND MARKET_CD IN ('IT', 'GO') AND CALENDAR_DT BETWEEN {START} AND {end}
   GROUP BY 1, 2, 3, 4, 5, 6
 ),
@@ -324,16 +324,16 @@ def _stage_ctes(p: str = "", end: str = END, as_of: str = AS_OF, ios_boundary: s
   SELECT d.*, 'Non-SKAN' AS SOURCE FROM {p}details d
   WHERE NOT EXISTS (SELECT 1 FROM {p}enriched e WHERE {K5_ON('e', 'd')})
 ),
-{p}mmp_total AS ({part('MMP_TOTAL_', 'details', "MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD IN ('MK', 'US')")}),
-{p}mmp_paid AS ({part('MMP_PAID_', 'remainder', "MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD = 'MK'")}),
-{p}skan_total AS ({part('SKAN_PAID_', 'enriched', '')}),
+{p}part_total AS ({part('MMP_TOTAL_', 'details', "MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD IN ('MK', 'US')")}),
+{p}part_paid AS ({part('MMP_PAID_', 'remainder', "MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD = 'MK'")}),
+{p}part_skan AS ({part('SKAN_PAID_', 'enriched', '')}),
 {p}residual AS (
   SELECT t.APPLICATION_FAMILY_NAME, t.MARKET_CD, t.CALENDAR_DT, 'US' AS USER_SOURCE_TYPE_CD,
     'Non-SKAN' AS SOURCE, 'ORGANIC' AS CHANNEL_NAME, 'ORGANIC' AS PROMOTION_NAME,
     {residual_cols}
-  FROM {p}mmp_total t
-  LEFT JOIN {p}mmp_paid pd ON {K3_ON('t', 'pd')}
-  LEFT JOIN {p}skan_total s ON {K3_ON('t', 's')}
+  FROM {p}part_total t
+  LEFT JOIN {p}part_paid pd ON {K3_ON('t', 'pd')}
+  LEFT JOIN {p}part_skan s ON {K3_ON('t', 's')}
 ),
 {p}campaign_raw AS (
   SELECT {union_cols} FROM {p}residual
@@ -432,7 +432,7 @@ def _q05() -> str:
   CAST(a.IAP_PROJECTEDREVENUE_365 AS DOUBLE) AS IAP_PROJECTEDREVENUE_365,
   CAST(a.AD_PROJECTEDREVENUE_365 AS DOUBLE) AS AD_PROJECTEDREVENUE_365,
   CAST(a.SUB_PROJECTEDREVENUE_365 AS DOUBLE) AS SUB_PROJECTEDREVENUE_365
-FROM individual_ltv a JOIN indi_max b
+FROM individual_ltv a JOIN user_max_dt b
   ON a.ACCOUNT_ID = b.ACCOUNT_ID AND a.USER_ID = b.USER_ID AND a.APPLICATION_CD = b.APPLICATION_CD
  AND a.PROJECTION_DT = b.MAX_PROJECTION_DT""",
         _stage_ctes(),
@@ -580,9 +580,9 @@ def _oracle_sql() -> dict[str, str]:
         ),
         "q09_precedence_enrich": _q09(),
         "q10_precedence_remainder": _q10(),
-        "q11_ios_total": _q_part("mmp_total", "MMP_TOTAL_"),
-        "q12_ios_paid": _q_part("mmp_paid", "MMP_PAID_"),
-        "q13_skan_total": _q_part("skan_total", "SKAN_PAID_"),
+        "q11_ios_total": _q_part("part_total", "MMP_TOTAL_"),
+        "q12_ios_paid": _q_part("part_paid", "MMP_PAID_"),
+        "q13_skan_total": _q_part("part_skan", "SKAN_PAID_"),
         "q14_residual_raw": _q14(),
         "q15_clamp": _q15(),
         "q16_complete_campaign": _select_stage("campaign", KEYS7, MET_OUT),

@@ -29,9 +29,9 @@ def spark():
 def cfg() -> C.JobConfig:
     """A small run configuration for hand-written rows."""
     return C.JobConfig(
-        apps=("HP", "JW", "DC", "OTHER"),
+        apps=("APP_A", "APP_B", "APP_C", "OTHER"),
         window=C.ReportWindow(start=dt.date(2021, 1, 1), as_of=dt.date(2023, 6, 10)),
-        tiers=C.RoyaltyTiers(tier_a="HP", tier_b="JW", tier_c="DC"),
+        tiers=C.RoyaltyTiers(tier_a="APP_A", tier_b="APP_B", tier_c="APP_C"),
     )
 
 

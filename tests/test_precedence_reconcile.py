@@ -18,13 +18,13 @@ DAY = dt.date(2022, 5, 1)
 FACT_METRICS = [m for m in C.METRICS_RAW if m not in ("SUB_LTV", "TOTAL_LTV")]
 
 
-def detail(src, channel, promo, spend, installs, market="IT", app="HP", date=DAY, fill=D(1)):
+def detail(src, channel, promo, spend, installs, market="IT", app="APP_A", date=DAY, fill=D(1)):
     vals = {m: fill for m in C.METRICS_RAW}
     vals.update(SPEND=spend, INSTALL_NUM=installs)
     return (app, market, src, channel, promo, date, *[vals[m] for m in C.METRICS_RAW])
 
 
-def skan(channel, promo, installs, app="HP", date=DAY):
+def skan(channel, promo, installs, app="APP_A", date=DAY):
     vals = {m: D(0) for m in C.METRICS_RAW}
     vals.update(INSTALL_NUM=installs, IAP_LTV=D(5), TOTAL_LTV=D(7))
     return (app, "IT", "SKAN", channel, promo, date, *[vals[m] for m in C.METRICS_RAW if m != "SPEND"])
@@ -33,16 +33,16 @@ def skan(channel, promo, installs, app="HP", date=DAY):
 def test_merge_details_fill_and_total(spark):
     fact = spark.createDataFrame(
         [
-            ("HP", "IT", "MK", "A", "P", DAY, *[D(1)] * len(FACT_METRICS)),
-            ("HP", "IT", None, "ORGANIC", "ORGANIC", DAY, *[D(1)] * len(FACT_METRICS)),
-            ("HP", "IT", "MC", "A", "P", DAY, *([D(1)] * (len(FACT_METRICS) - 1) + [None])),
+            ("APP_A", "IT", "MK", "A", "P", DAY, *[D(1)] * len(FACT_METRICS)),
+            ("APP_A", "IT", None, "ORGANIC", "ORGANIC", DAY, *[D(1)] * len(FACT_METRICS)),
+            ("APP_A", "IT", "MC", "A", "P", DAY, *([D(1)] * (len(FACT_METRICS) - 1) + [None])),
         ],
         campaign_schema(metrics=FACT_METRICS),
     )
     sub = spark.createDataFrame(
         [
-            ("HP", "IT", "MK", "A", "P", DAY, 3, D(10)),
-            ("HP", "IT", None, "ORGANIC", "ORGANIC", DAY, 3, D(10)),  # NULL key never matches
+            ("APP_A", "IT", "MK", "A", "P", DAY, 3, D(10)),
+            ("APP_A", "IT", None, "ORGANIC", "ORGANIC", DAY, 3, D(10)),  # NULL key never matches
         ],
         "APPLICATION_FAMILY_NAME string, MARKET_CD string, USER_SOURCE_TYPE_CD string, "
         "CHANNEL_NAME string, PROMOTION_NAME string, CALENDAR_DT date, INDIVIDUAL_INSTALLS long, "

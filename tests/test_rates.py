@@ -11,11 +11,11 @@ from rows import fact_df, fact_row
 
 from spendlens.functions.rates import RateBook
 
-APPS = {"HP": "tier_a", "JW": "tier_b", "DC": "tier_c", "OTHER": None}
-IAP = {"HP": "0.616", "JW": "0.525", "DC": "0.546", "OTHER": "0.7"}
-AD = {"HP": "0.88", "JW": "0.75", "DC": "0.78", "OTHER": "1"}
-FULL = {"HP": "0.616", "JW": "0.525", "DC": "0.7", "OTHER": "0.7"}
-REDUCED = {"HP": "0.748", "JW": "0.638", "DC": "0.85", "OTHER": "0.85"}
+APPS = {"APP_A": "tier_a", "APP_B": "tier_b", "APP_C": "tier_c", "OTHER": None}
+IAP = {"APP_A": "0.616", "APP_B": "0.525", "APP_C": "0.546", "OTHER": "0.7"}
+AD = {"APP_A": "0.88", "APP_B": "0.75", "APP_C": "0.78", "OTHER": "1"}
+FULL = {"APP_A": "0.616", "APP_B": "0.525", "APP_C": "0.7", "OTHER": "0.7"}
+REDUCED = {"APP_A": "0.748", "APP_B": "0.638", "APP_C": "0.85", "OTHER": "0.85"}
 
 
 def _eval(spark, cfg, sql, rows):
@@ -54,8 +54,8 @@ def test_subscription_revenue_tiers(spark, cfg, app):
 def test_subscription_nulls_are_zero(spark, cfg):
     card = RateBook(cfg).subscription_revenue()
     rows = [
-        fact_row(app="HP", market="IT", SUBSCRIPTIONS_REVS_DAY_001_AMT=None),
-        fact_row(app="HP", market="GO", date=None, SUBSCRIPTIONS_REVS_DAY_001_AMT=D(5)),
+        fact_row(app="APP_A", market="IT", SUBSCRIPTIONS_REVS_DAY_001_AMT=None),
+        fact_row(app="APP_A", market="GO", date=None, SUBSCRIPTIONS_REVS_DAY_001_AMT=D(5)),
     ]
     assert _eval(spark, cfg, card.sql("SUBSCRIPTIONS_REVS_DAY_001_AMT"), rows) == [0, 0]
 
@@ -80,13 +80,13 @@ def test_tier_c_day1_override(spark, cfg, day, legacy_reads_day1):
             return [fact_row(app=app, REVS_DAY_001_AMT=D(1000))]
         return [fact_row(app=app, REVS_DAY_001_AMT=D(1), **{f"REVS_DAY_{day:03d}_AMT": D(1000)})]
 
-    rows = row("DC")
+    rows = row("APP_C")
     for book, expect_day1 in ((RateBook(cfg), legacy_reads_day1), (RateBook(cfg.clean()), False)):
         sql = book.iap.sql(f"REVS_DAY_{day:03d}_AMT", overrides=book.tier_c_day1_overrides(day))
         want = D(1 if expect_day1 else 1000) * D("0.546")
         assert _eval(spark, cfg, sql, rows) == [want]
     # other applications are never affected
     book = RateBook(cfg)
-    rows = row("HP")
+    rows = row("APP_A")
     sql = book.iap.sql(f"REVS_DAY_{day:03d}_AMT", overrides=book.tier_c_day1_overrides(day))
     assert _eval(spark, cfg, sql, rows) == [D(1000) * D("0.616")]

@@ -111,11 +111,11 @@ SKAN_SCHEMA = T.StructType(
 def test_skan_rollup_window_and_schema(spark, cfg):
     w = cfg.window
     rows = [
-        ("HP", "ADWORDS", "P1", w.as_of - dt.timedelta(days=1), D(2), D(100), D(50)),  # not lagged
-        ("HP", "ADWORDS", "P1", w.as_of, D(2), D(100), D(50)),  # run date excluded
-        ("HP", "X_UNTRUSTED", "P1", IN, D(2), D(100), D(50)),
+        ("APP_A", "ADWORDS", "P1", w.as_of - dt.timedelta(days=1), D(2), D(100), D(50)),  # not lagged
+        ("APP_A", "ADWORDS", "P1", w.as_of, D(2), D(100), D(50)),  # run date excluded
+        ("APP_A", "X_UNTRUSTED", "P1", IN, D(2), D(100), D(50)),
         ("NOPE", "ADWORDS", "P1", IN, D(2), D(100), D(50)),
-        ("HP", "ADWORDS", "P1", w.start - dt.timedelta(days=1), D(2), D(100), D(50)),
+        ("APP_A", "ADWORDS", "P1", w.start - dt.timedelta(days=1), D(2), D(100), D(50)),
     ]
     out = skan_rollup(spark.createDataFrame(rows, SKAN_SCHEMA), cfg).collect()
     assert len(out) == 1
@@ -136,7 +136,7 @@ def test_install_ltv_hot_key_matches_brute_force(spark, cfg):
     for i in range(600):
         key = 0 if i % 3 else i  # two thirds on account 0
         src = rnd.choice(["MK", "MM", "US", None])
-        inst.append(("HP", rnd.choice(["IT", "GO"]), src, rnd.choice(["A", "SKANFB"]), "P1",
+        inst.append(("APP_A", rnd.choice(["IT", "GO"]), src, rnd.choice(["A", "SKANFB"]), "P1",
                      rnd.choice([d1, d2]), "X", key, 1))
     for key in {r[7] for r in inst}:
         proj.append((key, 1, "X", d1, None, None, D(rnd.randint(1, 999)) / 100))
@@ -150,7 +150,7 @@ def test_install_ltv_hot_key_matches_brute_force(spark, cfg):
     latest = {}
     for k, u, a, d, *_, v in proj:
         latest.setdefault((k, u, a), []).append((d, v))
-    full, reduced = {"HP": D("0.616")}, {"HP": D("0.748")}
+    full, reduced = {"APP_A": D("0.616")}, {"APP_A": D("0.748")}
     want = {}
     for app, m, st, ch, pr, d, acd, k, u in inst:
         rows = latest[(k, u, acd)]
