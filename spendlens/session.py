@@ -8,10 +8,18 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "spendlens") -> SparkSession:
+def local_session(
+    cpus: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "spendlens",
+    warehouse_dir: str | None = None,
+) -> SparkSession:
     """A local[N] session with AQE, no UI, UTC, sized for tests and the benchmark."""
+    builder = SparkSession.builder
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

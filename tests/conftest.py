@@ -19,7 +19,14 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(4, shuffle_partitions=8, app="spendlens-tests")
+    import tempfile
+
+    s = local_session(
+        4,
+        shuffle_partitions=8,
+        app="spendlens-tests",
+        warehouse_dir=tempfile.mkdtemp(prefix="spendlens-warehouse-"),
+    )
     ensure_test_checkpoint_dir(s)
     yield s
     s.stop()
