@@ -30,20 +30,26 @@ def sum_of(sql: str, name: str):
 RATED_SUM_PRECISION = 34
 
 
-def group_sum(df: DataFrame, column: str) -> str:
+def group_sum(df: DataFrame | dict, column: str) -> str:
     """SQL for ``sum(column)``, ready to be multiplied by a share rate.
 
     Every share rate depends only on application, market and date, which are grouping keys
     wherever a rate is applied, so ``sum(x * rate) = rate * sum(x)`` exactly: the rate is
-    applied once per group instead of once per row.
+    applied once per group instead of once per row. ``df`` may be a DataFrame or a
+    ``column_types(df)`` mapping (resolve the schema once for many columns).
     """
     total = f"sum({sql_col(column)})"
-    dtype = df.schema[column].dataType
+    types = df if isinstance(df, dict) else column_types(df)
+    dtype = types[column]
     if isinstance(dtype, T.DecimalType):
         return f"CAST({total} AS DECIMAL({RATED_SUM_PRECISION},{dtype.scale}))"
     return total
 
 
+def column_types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 def rated(sql: str, name: str):
     return F.expr(f"{sql} AS {sql_col(name)}")
 
@@ -70,8 +76,10 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     book = RateBook(cfg)
     sub_card = book.subscription_revenue()
 
+    types = column_types(fact)
+
     def g(column: str) -> str:
-        return group_sum(fact, column)
+        return group_sum(types, column)
 
     aggs = [
         sum_of("EXPENSE_AMT", "SPEND"),

@@ -33,6 +33,7 @@ from ..operators.reconcile import (
 from ..operators.rollup import (
     campaign_rollup,
     channel_rollup,
+    column_types,
     game_rollup,
     group_sum,
     install_ltv_rollup,
@@ -106,8 +107,10 @@ def q02_net_iap(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, cfg = _inputs(spark, sf_dir)
     legacy, clean = RateBook(cfg), RateBook(cfg.clean())
 
+    types = column_types(src.fact)
+
     def g(column: str) -> str:
-        return group_sum(src.fact, column)
+        return group_sum(types, column)
 
     aggs = []
     for d in C.REVENUE_DAYS:
@@ -126,11 +129,12 @@ def q02_net_iap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q03_net_ad(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, cfg = _inputs(spark, sf_dir)
     book = RateBook(cfg)
+    types = column_types(src.fact)
     aggs = [
-        rated(book.ad.sql(group_sum(src.fact, f"AD_REVS_DAY_{d:03d}_AMT")), f"AD_REVS_DAY_{d:03d}_AMT")
+        rated(book.ad.sql(group_sum(types, f"AD_REVS_DAY_{d:03d}_AMT")), f"AD_REVS_DAY_{d:03d}_AMT")
         for d in C.REVENUE_DAYS
     ]
-    aggs.append(rated(book.ad.sql(group_sum(src.fact, "AD_LTV_365_LASTEST_VAL")), "AD_LTV"))
+    aggs.append(rated(book.ad.sql(group_sum(types, "AD_LTV_365_LASTEST_VAL")), "AD_LTV"))
     return present(scope_fact(src.fact, cfg).groupBy(C.APP, C.MARKET).agg(*aggs))
 
 
@@ -138,9 +142,10 @@ def q04_net_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscription revenue through the effective-dated card, per app, market and day."""
     src, cfg = _inputs(spark, sf_dir)
     card = RateBook(cfg).subscription_revenue()
+    types = column_types(src.fact)
     aggs = [
         rated(
-            card.sql(group_sum(src.fact, f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT")),
+            card.sql(group_sum(types, f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT")),
             f"SUB_REVS_DAY_{d:03d}_AMT",
         )
         for d in C.REVENUE_DAYS
