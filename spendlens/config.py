@@ -182,6 +182,10 @@ class JobConfig:
     legacy_day1_override: bool = True
     #: apply the channel alias on the install side too (the published job does not)
     alias_install_channels: bool = False
+    #: count installs per (user key, campaign columns) before the projection join: a hot user
+    #: key then reaches the join as one row per campaign and day, at the price of a second
+    #: shuffle of the (reduced) installs; turn off only for data known to have no hot users
+    preaggregate_installs: bool = True
     residual_total_types: tuple[str, ...] = RESIDUAL_TOTAL_TYPES
     residual_paid_type: str = RESIDUAL_PAID_TYPE
 

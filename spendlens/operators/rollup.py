@@ -151,16 +151,15 @@ def install_ltv_rollup(
     side is already one row per key. Both multiplications by the counts are exact.
     """
     w = cfg.window
-    scoped = (
-        installs.withColumnRenamed("INSTALL_DT", C.DATE)
-        .where(
-            F.col(C.APP).isin(list(cfg.apps))
-            & F.col(C.MARKET).isin(list(cfg.markets))
-            & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
-        )
-        .groupBy(*C.USER_KEY, *C.K6)
-        .agg(F.count(F.lit(1)).alias("INSTALLS"))
+    scoped = installs.withColumnRenamed("INSTALL_DT", C.DATE).where(
+        F.col(C.APP).isin(list(cfg.apps))
+        & F.col(C.MARKET).isin(list(cfg.markets))
+        & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
     )
+    if cfg.preaggregate_installs:
+        scoped = scoped.groupBy(*C.USER_KEY, *C.K6).agg(F.count(F.lit(1)).alias("INSTALLS"))
+    else:
+        scoped = scoped.select(*C.USER_KEY, *C.K6, F.lit(1).cast("long").alias("INSTALLS"))
     joined = scoped.join(latest_user_ltv(projections), on=list(C.USER_KEY), how="inner")
     alias = cfg.channel_alias if cfg.alias_install_channels else None
     folded = fold_organic(joined, cfg.paid_source_types, alias).withColumns(

@@ -32,7 +32,6 @@ from ..operators.reconcile import (
 )
 from ..operators.rollup import (
     campaign_rollup,
-    channel_rollup,
     column_types,
     game_rollup,
     group_sum,
