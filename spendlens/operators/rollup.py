@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.fold import fold_organic
-from ..functions.metrics import normalize_decimals, sum_metrics, zero_metric
+from ..functions.metrics import (
+    ansi_enabled,
+    exact_sum_sql,
+    exact_sums,
+    normalize_decimals,
+    sum_metrics,
+    zero_metric,
+)
 from ..functions.rates import RateBook, sql_col
 from .snapshot import latest_per_key
 
@@ -30,7 +37,7 @@ def sum_of(sql: str, name: str):
 RATED_SUM_PRECISION = 34
 
 
-def group_sum(df: DataFrame | dict, column: str) -> str:
+def group_sum(df: DataFrame | tuple, column: str) -> str:
     """SQL for ``sum(column)``, ready to be multiplied by a share rate.
 
     Every share rate depends only on application, market and date, which are grouping keys
@@ -38,16 +45,17 @@ def group_sum(df: DataFrame | dict, column: str) -> str:
     applied once per group instead of once per row. ``df`` may be a DataFrame or a
     ``column_types(df)`` mapping (resolve the schema once for many columns).
     """
-    total = f"sum({sql_col(column)})"
-    types = df if isinstance(df, dict) else column_types(df)
+    types, ansi = df if isinstance(df, tuple) else column_types(df)
     dtype = types[column]
+    total = exact_sum_sql(column, dtype, ansi)
     if isinstance(dtype, T.DecimalType):
         return f"CAST({total} AS DECIMAL({RATED_SUM_PRECISION},{dtype.scale}))"
     return total
 
 
-def column_types(df: DataFrame) -> dict:
-    return {f.name: f.dataType for f in df.schema.fields}
+def column_types(df: DataFrame) -> tuple[dict, bool]:
+    """Column types of ``df`` and whether ANSI mode is on (resolved once, for many sums)."""
+    return {f.name: f.dataType for f in df.schema.fields}, ansi_enabled(df)
 
 
 def rated(sql: str, name: str):
@@ -81,11 +89,11 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     def g(column: str) -> str:
         return group_sum(types, column)
 
-    aggs = [
-        sum_of("EXPENSE_AMT", "SPEND"),
-        sum_of("USER_QTY", C.INSTALL_RAW),
-        *sum_metrics(C.RETENTION_METRICS),
-    ]
+    aggs = exact_sums(
+        fact,
+        ["EXPENSE_AMT", "USER_QTY", *C.RETENTION_METRICS],
+        ["SPEND", C.INSTALL_RAW, *C.RETENTION_METRICS],
+    )
     for d in C.REVENUE_DAYS:
         day = f"{d:03d}"
         overrides = {app: g(col) for app, col in book.tier_c_day1_overrides(d).items()}
@@ -122,8 +130,8 @@ def latest_user_ltv(projections: DataFrame) -> DataFrame:
     latest = latest_per_key(
         projections.select(*C.USER_KEY, "PROJECTION_DT", sub), C.USER_KEY, "PROJECTION_DT"
     )
-    total = f"sum({sql_col(sub)})"
     dtype = projections.schema[sub].dataType
+    total = exact_sum_sql(sub, dtype, ansi_enabled(projections))
     if isinstance(dtype, T.DecimalType):
         if dtype.scale > MAX_PROJECTION_SCALE:
             raise ValueError(
@@ -192,9 +200,9 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
     )
     book = RateBook(cfg)
     agg = scoped.groupBy(C.APP, C.CHANNEL, "PROMOTION_CD", "INSTALL_DT").agg(
-        F.sum("INSTALL_NUM").alias(C.INSTALL_RAW),
+        *exact_sums(skan, ["INSTALL_NUM"], [C.INSTALL_RAW]),
         rated(book.iap.sql(group_sum(skan, "GROSS_IAP_LTV_365_LATEST_VAL")), "IAP_LTV"),
-        F.sum("NET_OVERALL_LTV_365_LATEST_VAL").alias("TOTAL_LTV"),
+        *exact_sums(skan, ["NET_OVERALL_LTV_365_LATEST_VAL"], ["TOTAL_LTV"]),
     )
     zero = zero_metric()
     reported = {C.INSTALL_RAW, "IAP_LTV", "TOTAL_LTV"}
