@@ -138,9 +138,9 @@ def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def promo_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def promo_fact(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> DataFrame:
     """Campaign expense fact: one row per line item."""
-    d = _dims(spark, sf_dir)
+    d = dims if dims is not None else _dims(spark, sf_dir)
     qty, price = F.col("QTY"), F.col("PRICE")
     cols = [
         C.APP, C.MARKET, "MVP_CAMPAIGN_TYPE", C.SOURCE_TYPE, C.CHANNEL, C.PROMOTION,
@@ -160,9 +160,9 @@ def promo_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(*cols)
 
 
-def installs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def installs(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> DataFrame:
     """Install records: the first line of each order is one install of its customer."""
-    d = _dims(spark, sf_dir).where(F.col("l_linenumber") == 1)
+    d = (dims if dims is not None else _dims(spark, sf_dir)).where(F.col("l_linenumber") == 1)
     return d.select(
         C.APP, C.MARKET, C.SOURCE_TYPE, C.CHANNEL, C.PROMOTION,
         F.col("EVENT_DT").alias("INSTALL_DT"),
@@ -190,9 +190,9 @@ def projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def skan_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def skan_ltv(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> DataFrame:
     """SKAN postback LTV for a slice of paid iOS lines; channels arrive already aliased."""
-    d = _dims(spark, sf_dir).where(
+    d = (dims if dims is not None else _dims(spark, sf_dir)).where(
         (F.col("l_suppkey") % 10 == 0)
         & (F.col("l_linestatus") == "O")
         & F.col(C.SOURCE_TYPE).isin(list(C.PAID_SOURCE_TYPES))
@@ -210,13 +210,14 @@ def skan_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def derive(spark: SparkSession, sf_dir: str) -> Sources:
-    """The four fixture inputs as lazy derivations of the TPC-H-style tables."""
+def derive(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> Sources:
+    """The four fixture inputs as lazy derivations of the TPC-H-style tables (``dims``: the
+    line/order/customer/part join, when already computed)."""
     return Sources(
-        fact=promo_fact(spark, sf_dir),
-        installs=installs(spark, sf_dir),
+        fact=promo_fact(spark, sf_dir, dims),
+        installs=installs(spark, sf_dir, dims),
         projections=projections(spark, sf_dir),
-        skan=skan_ltv(spark, sf_dir),
+        skan=skan_ltv(spark, sf_dir, dims),
     )
 
 
@@ -244,15 +245,17 @@ def load(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sources:
     hit = _STAGED.get(key)
     if hit is not None and hit[0] is spark:
         return hit[1]
-    lazy = derive(spark, sf_dir)
     base = checkpoint_dir(spark) if stage else None
     if base is None:
-        out = lazy
+        out = derive(spark, sf_dir)
     else:
         root = f"{base.rstrip('/')}/spendlens-fixtures-{uuid.uuid4().hex[:12]}"
         staged = {}
         # Enough files that a scan fills every core (a small file is one split).
         files = 2 * spark.sparkContext.defaultParallelism
+        # The line/order/customer/part join feeds three fixtures: compute it once.
+        _dims(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/dims")
+        lazy = derive(spark, sf_dir, spark.read.parquet(f"{root}/dims"))
         for name in ("fact", "installs", "projections", "skan"):
             path = f"{root}/{name}"
             getattr(lazy, name).repartition(files).write.mode("overwrite").parquet(path)
