@@ -134,12 +134,6 @@ class ReportWindow:
     def ios_reduced_fee_before(self) -> dt.date:
         return self.as_of - dt.timedelta(days=IOS_REDUCED_FEE_AFTER_DAYS)
 
-    @classmethod
-    def for_run_date(
-        cls, run_date: dt.date, start: dt.date = DEFAULT_START, delay_days: int = REPORT_DELAY_DAYS
-    ) -> ReportWindow:
-        return cls(start=start, as_of=run_date, delay_days=delay_days)
-
     def shifted(self, days: int) -> ReportWindow:
         return replace(self, as_of=self.as_of + dt.timedelta(days=days))
 

@@ -1,8 +1,8 @@
 """Revenue-share netting (gross -> publisher share) as generated Catalyst expressions.
 
 A share card is data: (application, rate) pairs plus a default. It compiles into one
-``CASE WHEN`` chain of Spark SQL text, parsed once on the JVM (``F.expr``), so netting is
-a plain built-in expression inside whole-stage codegen and costs no join or shuffle.
+``CASE WHEN`` chain of Spark SQL text, parsed once on the JVM (``F.expr`` by the caller), so
+netting is a plain built-in expression inside whole-stage codegen and costs no join or shuffle.
 Tiered cards (subscription revenue) pick a card by market and effective date first.
 """
 
@@ -10,13 +10,10 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from .. import config as C
 
 
@@ -76,9 +73,6 @@ class ShareCard:
         fallback = _scaled(m, self.default)
         return f"CASE {arms} ELSE {fallback} END" if arms else fallback
 
-    def column(self, measure: str, app: str = C.APP, overrides: Mapping[str, str] | None = None) -> Column:
-        return F.expr(self.sql(measure, app, overrides))
-
 
 @dataclass(frozen=True)
 class TieredCard:
@@ -91,9 +85,6 @@ class TieredCard:
         arms = " ".join(f"WHEN {cond} THEN {card.sql(measure, app)}" for cond, card in self.arms)
         return f"coalesce(CASE {arms} ELSE 0 END, 0)" if arms else "0"
 
-    def column(self, measure: str, app: str = C.APP) -> Column:
-        return F.expr(self.sql(measure, app))
-
 
 class RateBook:
     """All share cards of one run, bound to the run's configuration."""
@@ -140,14 +131,3 @@ class RateBook:
         if self.cfg.legacy_day1_override and tier_c is not None and day in (14, 28):
             return {tier_c: "REVS_DAY_001_AMT"}
         return {}
-
-
-def share_table_rows(cfg: C.JobConfig) -> Sequence[tuple[str, str, Decimal | None]]:
-    """(card, application, rate) rows, for reports and tests."""
-    book = RateBook(cfg)
-    rows = []
-    for card_name in ("iap", "ad", "sub_full_fee", "sub_reduced_fee"):
-        card: ShareCard = getattr(book, card_name)
-        for app in cfg.apps:
-            rows.append((card_name, app, card.rate_for(app)))
-    return rows

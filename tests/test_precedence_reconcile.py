@@ -10,7 +10,7 @@ from rows import campaign_schema
 from spendlens import config as C
 from spendlens.functions.metrics import clamp_nonnegative
 from spendlens.operators.merge import merge_details
-from spendlens.operators.precedence import enrich_winner, loser_remainder
+from spendlens.operators.precedence import enrich_winner, fanout_keys, loser_remainder
 from spendlens.operators.reconcile import assemble_campaign, organic_residual
 
 DAY = dt.date(2022, 5, 1)
@@ -87,6 +87,12 @@ def test_precedence_fanout_defaults_and_anti_join(spark):
     assert {r.SOURCE for r in remainder.collect()} == {"Non-SKAN"}
 
 
+def test_fanout_keys_lists_campaigns_matching_several_types(spark):
+    details, sk = _inputs(spark)
+    got = [(r.CHANNEL_NAME, r.PROMOTION_NAME, r.MATCHES) for r in fanout_keys(details, sk).collect()]
+    assert got == [("A", "P1", 2)]
+
+
 def test_residual_rules(spark, cfg):
     details, sk = _inputs(spark)
     enriched, remainder = enrich_winner(sk, details), loser_remainder(details, sk)
