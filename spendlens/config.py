@@ -180,6 +180,9 @@ class JobConfig:
     #: key then reaches the join as one row per campaign and day, at the price of a second
     #: shuffle of the (reduced) installs; turn off only for data known to have no hot users
     preaggregate_installs: bool = True
+    #: a SKAN campaign matching several MMP source types: "keep" one enriched row per match
+    #: (the published job), or "error" (fail the run, listing such campaigns)
+    fanout: str = "keep"
     residual_total_types: tuple[str, ...] = RESIDUAL_TOTAL_TYPES
     residual_paid_type: str = RESIDUAL_PAID_TYPE
 

@@ -73,11 +73,25 @@ def loser_remainder(details: DataFrame, skan: DataFrame) -> DataFrame:
     return remainder_rows(precedence_join(details, skan))
 
 
-def fanout_keys(details: DataFrame, skan: DataFrame) -> DataFrame:
-    """SKAN campaigns (K5) that match more than one MMP row, with the match count."""
-    joined = precedence_join(details, skan).where(F.col(_HAS_SKAN) & F.col(_HAS_MMP))
+def fanout_rows(joined: DataFrame) -> DataFrame:
+    """SKAN campaigns (K5) of a precedence join that match more than one MMP row."""
     return (
-        joined.groupBy(*C.K5)
+        joined.where(F.col(_HAS_SKAN) & F.col(_HAS_MMP))
+        .groupBy(*C.K5)
         .agg(F.count(F.lit(1)).alias("MATCHES"))
         .where(F.col("MATCHES") > 1)
     )
+
+
+def fanout_keys(details: DataFrame, skan: DataFrame) -> DataFrame:
+    """SKAN campaigns (K5) that match more than one MMP row, with the match count."""
+    return fanout_rows(precedence_join(details, skan))
+
+
+class FanOutError(Exception):
+    """Raised under ``fanout="error"`` when a SKAN campaign matches several MMP rows."""
+
+    def __init__(self, rows):
+        self.rows = rows
+        keys = ", ".join(f"{r[C.APP]}/{r[C.CHANNEL]}/{r[C.PROMOTION]}/{r[C.DATE]} x{r['MATCHES']}" for r in rows)
+        super().__init__(f"SKAN campaigns matching several MMP source types: {keys}")

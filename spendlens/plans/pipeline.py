@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators.merge import merge_details
-from ..operators.precedence import enriched_rows, mmp_rows, precedence_join, remainder_rows
+from ..operators.precedence import (
+    FanOutError,
+    enriched_rows,
+    fanout_rows,
+    mmp_rows,
+    precedence_join,
+    remainder_rows,
+)
 from ..operators.publish import PublishTarget, publish
 from ..operators.quality import assert_no_regression
 from ..operators.reconcile import assemble_campaign
@@ -58,6 +65,12 @@ def build(
     if materialized:
         joined = materialize(joined, "precedence")
         details = mmp_rows(joined)
+    if cfg.fanout == "error":
+        found = fanout_rows(joined).limit(20).collect()
+        if found:
+            raise FanOutError(found)
+    elif cfg.fanout != "keep":
+        raise ValueError(f"unknown fanout policy {cfg.fanout!r}")
     enriched = enriched_rows(joined)
     remainder = remainder_rows(joined)
     campaign = assemble_campaign(details, enriched, remainder, cfg)

@@ -43,6 +43,17 @@ def test_run_gate_and_publish(spark):
     src.previous = None
 
 
+def test_fanout_error_policy(spark):
+    from dataclasses import replace
+
+    from spendlens.operators.precedence import FanOutError
+
+    cfg = replace(fixtures.fixture_config(), fanout="error")
+    with pytest.raises(FanOutError) as e:
+        build(fixtures.load(spark, SMOKE_DIR), cfg, materialized=True)
+    assert e.value.rows and all(r["MATCHES"] > 1 for r in e.value.rows)
+
+
 def test_channel_sums_equal_campaign_sums(spark):
     cfg = fixtures.fixture_config()
     st = build(fixtures.load(spark, SMOKE_DIR), cfg)
