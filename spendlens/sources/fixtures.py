@@ -253,12 +253,16 @@ def load(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sources:
         staged = {}
         # Enough files that a scan fills every core (a small file is one split).
         files = 2 * spark.sparkContext.defaultParallelism
-        # The line/order/customer/part join feeds three fixtures: compute it once.
-        _dims(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/dims")
+        # The line/order/customer/part join feeds three fixtures: compute it once. Fixtures
+        # derived from it keep its file layout; only the projections need spreading.
+        _dims(spark, sf_dir).repartition(files).write.mode("overwrite").parquet(f"{root}/dims")
         lazy = derive(spark, sf_dir, spark.read.parquet(f"{root}/dims"))
         for name in ("fact", "installs", "projections", "skan"):
             path = f"{root}/{name}"
-            getattr(lazy, name).repartition(files).write.mode("overwrite").parquet(path)
+            df = getattr(lazy, name)
+            if name == "projections":
+                df = df.repartition(files)
+            df.write.mode("overwrite").parquet(path)
             staged[name] = spark.read.parquet(path)
         out = Sources(**staged)
     _STAGED[key] = (spark, out)
