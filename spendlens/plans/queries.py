@@ -1,14 +1,15 @@
 """Registered queries: one per operator of the attribution job, over the fixture inputs.
 
 Every query takes ``(spark, sf_dir)``, derives the fixture relations from the parquet
-tables in ``sf_dir`` and returns a lazy DataFrame. Decimal results are presented as
+tables in ``sf_dir`` and returns a DataFrame; the pipeline queries (q14-q21) first write the
+relation their branches share to the shared folder, as the daily run does, and return a
+lazy plan over it. Decimal results are presented as
 DOUBLE (exact decimal arithmetic inside, one conversion at the end) so that any engine
 computing the same exact values produces identical numbers.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -371,6 +372,3 @@ QUERIES: dict[str, QueryFn] = {
     "q22_channel_fold": q22_channel_fold,
     "q23_reporting_window": q23_reporting_window,
 }
-
-#: run date of the fixture queries (documented for readers of the oracle SQL)
-FIXTURE_RUN_DATE: dt.date = fixtures.FIXTURE_WINDOW.as_of
