@@ -120,3 +120,36 @@ def test_result_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert base == other
+
+
+def _tree(df) -> list[str]:
+    """Operator lines of the formatted physical plan (the tree part only)."""
+    text = _plan(df)
+    body = text.split("\n\n", 1)[0]
+    return [line for line in body.splitlines() if line.strip()]
+
+
+def test_plan_shape_at_scale(spark):
+    """With broadcasts disabled (the shape a large run gets), the campaign details need 8
+    exchanges and 3 sort-merge joins, and everything downstream of the materialized
+    precedence relation needs 2 exchanges and no join."""
+    from spendlens.operators.merge import merge_details
+    from spendlens.operators.rollup import install_ltv_rollup
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cfg = fixtures.fixture_config()
+        src = fixtures.load(spark, SMOKE_DIR)
+        details = merge_details(
+            campaign_rollup(src.fact, cfg), install_ltv_rollup(src.installs, src.projections, cfg)
+        )
+        tree = _tree(details)
+        assert sum("Exchange" in line for line in tree) == 8, "\n".join(tree)
+        assert sum("SortMergeJoin" in line for line in tree) == 3
+        downstream = _tree(build(src, cfg, materialized=True).channel)
+        assert sum("Exchange" in line for line in downstream) == 2, "\n".join(downstream)
+        assert not any("Join" in line for line in downstream)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
