@@ -48,8 +48,8 @@ def organic_residual(
     every enriched SKAN row. Only groups with a total row yield a residual; paid and SKAN
     sums count as 0 when missing, the total does not (NULL stays NULL).
 
-    One shuffle: the three parts are tagged, unioned and aggregated once on K3 with
-    conditional sums (partial aggregation first), instead of three aggregates and two joins.
+    One shuffle: the three parts are tagged, unioned and aggregated once on K3 with signed
+    sums (partial aggregation first), instead of three aggregates and two joins.
     Part rows with a NULL key are dropped because a join would never match them.
     """
     total, paid, skan = residual_parts(details, enriched, remainder, cfg)
@@ -58,23 +58,22 @@ def organic_residual(
         .unionByName(_tagged(paid, "P", drop_null_keys=True))
         .unionByName(_tagged(skan, "S", drop_null_keys=True))
     )
+    # One signed sum per metric (total values added, paid and SKAN values subtracted; NULLs
+    # skipped, so missing parts count as 0) and a count of non-NULL total values, which keeps
+    # an all-NULL total NULL: 24 decimal sums and 24 counts instead of 72 decimal sums.
     aggs = [F.expr(f"count(CASE WHEN {_PART} = 'T' THEN 1 END) AS _TOTAL_ROWS")]
     for m in C.METRICS_RAW:
-        for tag in ("T", "P", "S"):
-            aggs.append(
-                F.expr(f"sum(CASE WHEN {_PART} = '{tag}' THEN {sql_col(m)} END) AS _{tag}_{m}")
-            )
+        c = sql_col(m)
+        aggs.append(F.expr(f"sum(CASE WHEN {_PART} = 'T' THEN {c} ELSE -{c} END) AS _D_{m}"))
+        aggs.append(F.expr(f"count(CASE WHEN {_PART} = 'T' THEN {c} END) AS _N_{m}"))
     grouped = parts.groupBy(*C.K3).agg(*aggs).where(F.col("_TOTAL_ROWS") > 0)
-    grouped = normalize_decimals(
-        grouped, [f"_{t}_{m}" for m in C.METRICS_RAW for t in ("T", "P", "S")]
-    )
     out = grouped.selectExpr(
         *[sql_col(k) for k in C.K3],
         f"{sql_str(C.ORGANIC_SOURCE_TYPE)} AS {sql_col(C.SOURCE_TYPE)}",
         f"{sql_str(C.MMP_SOURCE)} AS {sql_col(C.SOURCE)}",
         f"{sql_str(C.ORGANIC)} AS {sql_col(C.CHANNEL)}",
         f"{sql_str(C.ORGANIC)} AS {sql_col(C.PROMOTION)}",
-        *[f"_T_{m} - coalesce(_P_{m}, 0) - coalesce(_S_{m}, 0) AS {sql_col(m)}" for m in C.METRICS_RAW],
+        *[f"CASE WHEN _N_{m} > 0 THEN _D_{m} END AS {sql_col(m)}" for m in C.METRICS_RAW],
     )
     return normalize_decimals(out, C.METRICS_RAW)
 
