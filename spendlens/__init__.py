@@ -3,9 +3,21 @@
 Layout: ``config`` (keys, metrics, window, share tables), ``functions`` (column
 expressions), ``sources`` (catalog inputs and test fixtures), ``operators`` (roll-ups,
 snapshot, merge, precedence, reconciliation, gate, publication), ``plans`` (the daily
-run and the registered queries).
+run, its command line and the registered queries).
 """
 
 from .config import JobConfig, ReportWindow, RoyaltyTiers
+from .operators.publish import PublishTarget
+from .plans.pipeline import build, run
+from .sources.catalog import Sources, TableNames
 
-__all__ = ["JobConfig", "ReportWindow", "RoyaltyTiers"]
+__all__ = [
+    "JobConfig",
+    "PublishTarget",
+    "ReportWindow",
+    "RoyaltyTiers",
+    "Sources",
+    "TableNames",
+    "build",
+    "run",
+]
