@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -35,6 +36,25 @@ def local_session(
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, for relations written between jobs.
+
+    It is the one ``spark.checkpoint.dir`` names. A ``local[...]`` session without that setting
+    (tests, one process on one machine) gets a scratch folder of its own; on a cluster a
+    missing setting is an error, never a machine-local folder.
+    """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="spendlens-shared-")
+    spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     current = spark.sparkContext.getCheckpointDir()
