@@ -30,6 +30,25 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP8 = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)
+), owned AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(words)) AS owner FROM win
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM owned WHERE owner < doc_id
+), gone_list AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id
+), word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM doc
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN gone_list USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP10 = r"""
 WITH page AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -43,6 +62,7 @@ FROM judged
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_substring_dedup": OP8,
     "op9_decontamination": OP9,
     "op10_warc": OP10,
 }
