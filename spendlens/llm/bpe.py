@@ -7,9 +7,12 @@ live pair that starts under it. Descending from the root towards the left on tie
 leftmost minimum; a merge changes the pairs of at most three live neighbours, each by one
 logarithmic point update, so a piece of n bytes costs O(n log n) however long it is.
 
+The pattern may only let a piece take white space at its start or throughout (as the public
+byte-level patterns do); a text is then cut where white space follows another character.
+
 Scale: two maps, no shuffle. The rank table is read on the driver and broadcast; its size is
 that of the vocabulary file, whatever the documents are. Workers remember the ids of at most
-``MEMO`` short pieces.
+``MEMO`` short pieces and as many stretches of text.
 
 Defined results: a null text encodes as the empty text (no ids, empty bytes); repeated rows
 are encoded row by row; any text decodes to exactly its own bytes.
@@ -18,6 +21,7 @@ are encoded row by row; any text decodes to exactly its own bytes.
 from __future__ import annotations
 
 import base64
+import re
 from functools import partial
 
 import numpy as np
@@ -107,23 +111,41 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder(dict):
-    """Piece -> its ids as little-endian unsigned 32-bit integers."""
+    """Stretch of text -> its ids as little-endian unsigned 32-bit integers.
+
+    A text is taken in stretches of white space and the other characters after it. No piece
+    of the pattern goes on from another character into white space, so each stretch splits
+    into pieces by itself, and common stretches are remembered whole.
+    """
+
+    stretches = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.ranks = ranks
         self.split = compile_pattern(pattern).findall
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            ids = np.array(merge_piece(piece.encode("utf-8"), self.ranks), "<u4").tobytes()
+            if len(piece) <= MEMO_LENGTH:
+                if len(self.pieces) >= MEMO:
+                    self.pieces.clear()
+                self.pieces[piece] = ids
+        return ids
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge_piece(piece.encode("utf-8"), self.ranks), "<u4").tobytes()
-        if len(piece) <= MEMO_LENGTH:
+    def __missing__(self, stretch: str) -> bytes:
+        ids = b"".join(map(self._piece, self.split(stretch)))
+        if len(stretch) <= MEMO_LENGTH:
             if len(self) >= MEMO:
                 self.clear()
-            self[piece] = ids
+            self[stretch] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text)))
+        return b"".join(map(self.__getitem__, self.stretches(text)))
 
 
 def _encode(shared, pattern, batches):
@@ -137,7 +159,9 @@ def _encode(shared, pattern, batches):
 
 
 def _decode(shared, batches):
-    tokens = {rank: token for token, rank in shared.value.items()}
+    tokens: list[bytes] = [b""] * (1 + max(shared.value.values()))
+    for token, rank in shared.value.items():
+        tokens[rank] = token
     for b in batches:
         ids = (np.frombuffer(x or b"", "<u4").tolist() for x in b.column("token_ids").to_pylist())
         text = pa.array([b"".join(map(tokens.__getitem__, x)) for x in ids], pa.binary())

@@ -16,9 +16,11 @@ bucket. Equal texts are one node from the start. Within a bucket no pairs are li
 members are compared with pivots, the member whose buckets hold most documents (the centre of a
 group of copies), the next such member outside the first one's class, and one drawn anew each
 round. Each comparison is the exact similarity of the two texts; links join classes
-(``components``), and further rounds compare what is still apart in a common bucket, until a
-round finds no link. A round costs at most three comparisons a member and bucket, each pair of
-texts being compared once.
+(``components``), and further rounds compare what is still apart in a common bucket, until
+``PATIENCE`` rounds find no link. A round costs at most three comparisons a member and bucket,
+each pair of texts being compared once. What of a bucket is in one class needs no comparison,
+so groups of copies end early; in a large bucket of texts that are not quite alike a link whose
+ends both are never pivots can stay unseen (the README has the measured share).
 
 Scale: one pass for signatures; band rows, pivots and classes are aggregated map-side first; a
 bucket that holds a third of all documents gives each of them a few comparisons, and the joins it
@@ -51,6 +53,9 @@ SIMILARITY = 0.8
 BANDS = 25
 ROWS = 6
 
+#: rounds without a new link, one after the other, that end the comparisons
+PATIENCE = 2
+
 #: cells hashed at a time
 CHUNK = 300_000
 
@@ -241,8 +246,8 @@ def near_duplicates(
     )
     classes = weight.select("node", "weight", F.col("node").alias("component"))
     links = compared = None
-    turn = 0
-    while True:
+    turn = barren = 0
+    while barren < PATIENCE:
         members = met.join(classes, "node").withColumn("draw", F.xxhash64("node", "bucket", F.lit(turn)))
         pairs = _pivots(members)
         if compared is not None:
@@ -255,16 +260,18 @@ def near_duplicates(
             .mapInArrow(partial(_compare, shingle, weigh, least), "u bigint, v bigint"),
             "links",
         )
-        if new.isEmpty():
-            break
-        links = new if links is None else links.union(new)
         done = pairs.select("u", "v")
         compared = done if compared is None else compared.union(done)
+        turn += 1
+        if new.isEmpty():
+            barren = PATIENCE if pairs.isEmpty() else barren + 1
+            continue
+        barren = 0
+        links = new if links is None else links.union(new)
         found = written(components(links), "classes")
         classes = weight.join(found, "node", "left").select(
             "node", "weight", F.coalesce("component", "node").alias("component")
         )
-        turn += 1
     if links is None:
         named = nodes.select("node", F.col("_id").alias("class_id"))
     else:
