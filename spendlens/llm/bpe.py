@@ -7,12 +7,9 @@ live pair that starts under it. Descending from the root towards the left on tie
 leftmost minimum; a merge changes the pairs of at most three live neighbours, each by one
 logarithmic point update, so a piece of n bytes costs O(n log n) however long it is.
 
-The pattern may only let a piece take white space at its start or throughout (as the public
-byte-level patterns do); a text is then cut where white space follows another character.
-
 Scale: two maps, no shuffle. The rank table is read on the driver and broadcast; its size is
 that of the vocabulary file, whatever the documents are. Workers remember the ids of at most
-``MEMO`` short pieces and as many stretches of text.
+2 ``MEMO`` short pieces.
 
 Defined results: a null text encodes as the empty text (no ids, empty bytes); repeated rows
 are encoded row by row; any text decodes to exactly its own bytes.
@@ -21,7 +18,7 @@ are encoded row by row; any text decodes to exactly its own bytes.
 from __future__ import annotations
 
 import base64
-import re
+import struct
 from functools import partial
 
 import numpy as np
@@ -32,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import bounded_batches, rows, texts
 
 #: pieces a worker remembers, and the longest it remembers (characters)
-MEMO = 300_000
+MEMO = 400_000
 MEMO_LENGTH = 64
 
 _NONE = 1 << 60
@@ -60,14 +57,12 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(piece)
     if n < 2:
         return [ranks[piece]] if n else []
-    width = 1
-    while width < n:
-        width *= 2
-    tree = [_NONE] * (2 * width)
     get = ranks.get
-    for i in range(n - 1):
-        tree[width + i] = get(piece[i : i + 2], _NONE)
-    for k in range(width - 1, 0, -1):
+    width = 1 << (n - 1).bit_length()
+    #: node k has the children 2 k and 2 k + 1; the leaf of position i is width + i
+    tree = [_NONE] * (2 * width)
+    tree[width : width + n - 1] = [get(piece[i : i + 2], _NONE) for i in range(n - 1)]
+    for k in range(width + n - 2 >> 1, 0, -1):
         a, b = tree[2 * k], tree[2 * k + 1]
         tree[k] = a if a <= b else b
     #: the live part that starts at i ends at end[i]; the one before it starts at before[i]
@@ -77,19 +72,19 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     def update(i: int, rank: int) -> None:
         k = width + i
         tree[k] = rank
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            low = a if a <= b else b
-            if tree[k] == low:
-                return
-            tree[k] = low
+        while k > 1:
+            other = tree[k ^ 1]
+            if other < rank:
+                rank = other
             k >>= 1
+            if tree[k] == rank:
+                return
+            tree[k] = rank
 
     while (low := tree[1]) != _NONE:
         k = 1
         while k < width:
-            k *= 2
+            k += k
             if tree[k] != low:
                 k += 1
         i = k - width
@@ -111,41 +106,32 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder(dict):
-    """Stretch of text -> its ids as little-endian unsigned 32-bit integers.
+    """Piece -> its ids as little-endian unsigned 32-bit integers.
 
-    A text is taken in stretches of white space and the other characters after it. No piece
-    of the pattern goes on from another character into white space, so each stretch splits
-    into pieces by itself, and common stretches are remembered whole.
+    Remembers at most twice ``MEMO`` short pieces: when that many are new, they become the old
+    generation, and what is not used again in the next one goes.
     """
 
-    stretches = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
-
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.ranks = ranks
+        self.old: dict[str, bytes] = {}
         self.split = compile_pattern(pattern).findall
-        self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(merge_piece(piece.encode("utf-8"), self.ranks), "<u4").tobytes()
-            if len(piece) <= MEMO_LENGTH:
-                if len(self.pieces) >= MEMO:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
-
-    def __missing__(self, stretch: str) -> bytes:
-        ids = b"".join(map(self._piece, self.split(stretch)))
-        if len(stretch) <= MEMO_LENGTH:
+            found = merge_piece(piece.encode(), self.ranks)
+            ids = struct.pack(f"<{len(found)}I", *found)
+        if len(piece) <= MEMO_LENGTH:
             if len(self) >= MEMO:
+                self.old = dict(self)
                 self.clear()
-            self[stretch] = ids
+            self[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.stretches(text)))
+        return b"".join(map(self.__getitem__, self.split(text)))
 
 
 def _encode(shared, pattern, batches):
