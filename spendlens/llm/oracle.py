@@ -30,6 +30,43 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP5 = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), triple AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM doc)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM triple WHERE n > 1) GROUP BY doc_id
+), line AS (
+  SELECT doc_id, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS w,
+         length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS c,
+         len(regexp_extract_all(l, '[|»›>•]')) AS seps, len(regexp_extract_all(l, '[#*$%&|<>]')) AS syms,
+         len(regexp_extract_all(l, '!!')) AS bangs, len(regexp_extract_all(l, '\p{Lu}')) AS caps,
+         len(regexp_extract_all(l, '\p{L}')) AS letters
+  FROM (SELECT doc_id, unnest(lines) AS l FROM doc)
+), lost AS (
+  SELECT doc_id, sum(c) AS chars, sum(CASE WHEN
+      (seps >= 3 AND 4 * seps >= w)
+      OR regexp_matches(l, '(?i)licensed under|licenced under|all rights reserved|terms of use|terms of service|privacy policy|cookie|javascript|copyright|lorem ipsum|sign up|sign in|log in|subscribe|click here|read more')
+      OR 10 * syms > c OR 3 * bangs > w OR (w >= 5 AND 2 * caps > letters) THEN c ELSE 0 END) AS gone
+  FROM line GROUP BY doc_id
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM doc LEFT JOIN repeated USING (doc_id)
+)
+SELECT base.*, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 2 * coalesce(gone, 0) <= coalesce(chars, 0) AS kept
+FROM base LEFT JOIN lost USING (doc_id)
+"""
+
 OP8 = r"""
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -62,6 +99,7 @@ FROM judged
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_quality_rules": OP5,
     "op8_substring_dedup": OP8,
     "op9_decontamination": OP9,
     "op10_warc": OP10,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dedup, substring_dedup, warc
+from . import bpe, decontaminate, near_dedup, quality_rules, secrets, substring_dedup, url_filter, warc
 from .common import bounded_batches
 
 
@@ -19,6 +19,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+URL_RULES = (
+    url_filter.Rule("allow", "com/"),
+    url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"),
+    url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, secrets.fit(docs))
+    listed = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
+    return found.selectExpr(
+        "doc_id",
+        *[f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}" for k in ("assign", "access", "hex")],
+        f"sha2({listed.format("filter(spans, s -> s.kind != 'crf')")}, 256) AS base_sha256",
+        f"{listed.format('spans')} AS spans",
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,6 +57,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.clean_lines(docs, out_col="q").selectExpr(
+        "doc_id", "q.n_words", "q.word_chars", "q.n_symbols", "q.n_dup_lines", "q.n_repeat_words", "q.base_failed", "q.kept"
+    )
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -67,7 +99,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
+    "op3_secret_scan": op3_secret_scan,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality_rules": op5_quality_rules,
     "op6_near_dedup": op6_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
