@@ -3,8 +3,9 @@
 A window is ``window`` consecutive words of one document. A word is removed if some window
 that covers it also starts in a document with a smaller id; windows are judged on the input.
 
-Every window of every document is hashed by a polynomial (Rabin-Karp) rolling hash over
-128 bits, taken from prefix sums. Windows are then counted in Spark in two steps:
+A document whose text another one with a smaller id has too loses all its windows, so only the
+first of equal texts goes on. Every window of those is hashed by a polynomial (Rabin-Karp) rolling
+hash over 128 bits, taken from prefix sums, and windows are counted in Spark in two steps:
 
 1. *Anchors.* The lowest hash of the ``gram``-word runs inside a window is its anchor: equal
    windows have equal anchors, and neighbouring windows mostly share theirs, so a document has
@@ -113,14 +114,14 @@ def _anchors(window, gram, batches):
         of, found = [], []
         for i, text in enumerate(b.column("_text").to_pylist()):
             if (got := hasher.anchors(text)) is not None:
-                own = np.unique(got[0])
-                found.append(_signed(own))
-                of.append(np.full(len(own), i))
+                found.append(_signed(np.unique(got[0])))
+                of.append(i)
         if found:
-            take = pa.array(np.concatenate(of))
+            take = pa.array(of)
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
             yield pa.RecordBatch.from_arrays(
-                [b.column("_id").take(take), b.column("_key").take(take), pa.array(np.concatenate(found))],
-                ["_id", "_key", "anchor"],
+                [*(b.column(c).take(take) for c in ("_id", "_key", "_key2")), lists], ["_id", "_key", "_key2", "anchors"]
             )
 
 
@@ -156,9 +157,12 @@ def merge_windows(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
 def _cut(window, batches):
     for b in batches:
         n_words, spans, kept = [], [], []
-        for text, starts in zip(b.column("_text").to_pylist(), b.column("starts")):
+        for text, starts, copy in zip(b.column("_text").to_pylist(), b.column("starts"), b.column("copy").to_pylist()):
             words = text.split()
-            own = merge_windows(np.asarray(starts.values), window) if starts.is_valid else []
+            if copy:
+                own = [(0, len(words))]
+            else:
+                own = merge_windows(np.asarray(starts.values), window) if starts.is_valid else []
             n_words.append(len(words))
             spans.append([{"start": a, "end": z} for a, z in own])
             for a, z in reversed(own):
@@ -195,9 +199,20 @@ def remove_repeats(
     id_type = base.schema["_id"].dataType.simpleString()
     same_doc = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & a["_key"].eqNullSafe(b["_key"])
 
-    anchors = written(
-        base.mapInArrow(partial(_anchors, window, gram), f"_id {id_type}, _key bigint, anchor bigint"), "anchors"
+    signed = written(
+        base.withColumn("_key2", F.xxhash64(F.lit(1), "_text")).mapInArrow(
+            partial(_anchors, window, gram), f"_id {id_type}, _key bigint, _key2 bigint, anchors array<bigint>"
+        ),
+        "anchors",
+    )
+    # equal texts: the first of them stands for all, and the others go
+    first = signed.groupBy("_key", "_key2").agg(F.min("_id").alias("first"))
+    later = (F.col("first") < F.col("_id")) | (F.col("_id").isNull() & F.col("first").isNotNull())
+    marked = written(
+        signed.join(first, ["_key", "_key2"]).select("_id", "_key", "anchors", F.coalesce(later, F.lit(False)).alias("copy")),
+        "marked",
     )
+    anchors = marked.where("NOT copy").select("_id", "_key", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(_held_by_others().alias("many")).where("many").select("anchor")
     wanted = (
         anchors.join(shared, "anchor")
@@ -220,10 +235,12 @@ def remove_repeats(
         .where((F.col("owner") < F.col("_id")) | F.col("_id").isNull())
         .groupBy("_id", "_key")
         .agg(F.collect_list("start").alias("starts"))
+        .select("_id", "_key", "starts", F.lit(False).alias("copy"))
+        .union(marked.where("copy").select("_id", "_key", F.array().cast("array<int>"), "copy"))
     )
     cut = (
         base.join(removed, same_doc(base, removed), "left")
-        .select(base["_id"], "_text", "starts")
+        .select(base["_id"], "_text", "starts", "copy")
         .mapInArrow(
             partial(_cut, window),
             f"_id {id_type}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",
