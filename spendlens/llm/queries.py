@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dedup, quality_rules, secrets, substring_dedup, url_filter, warc
+from . import bpe, decontaminate, near_dedup, quality_knn, quality_rules, secrets, substring_dedup, toxicity, url_filter, warc
 from .common import bounded_batches
 
 
@@ -19,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 URL_RULES = (
     url_filter.Rule("allow", "com/"),
     url_filter.Rule("block", "example.com/en/"),
@@ -68,6 +73,11 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = quality_knn.pack_terms(_table(spark, sf_dir, "documents"))
+    return quality_knn.score(packed, quality_knn.fit(packed, _table(spark, sf_dir, "labels")))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -99,11 +109,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
     "op3_secret_scan": op3_secret_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_dedup": op6_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
