@@ -9,13 +9,14 @@ column, whatever its name, passes by unread.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_folder
 
@@ -37,8 +38,43 @@ def bounded_batches(spark: SparkSession) -> None:
 def texts(df: DataFrame, id_col: str, text_col: str, binary: bool = False) -> DataFrame:
     """(_id, _text): the two columns an operator reads; null text becomes empty."""
     bounded_batches(df.sparkSession)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return df.select(F.col(id_col).alias("_id"), (text.cast("binary") if binary else text).alias("_text"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return df.select(F.col(f"`{id_col}`").alias("_id"), (text.cast("binary") if binary else text).alias("_text"))
+
+
+def carried(df: DataFrame, text_col: str, binary: bool = False) -> DataFrame:
+    """(_row, _text): all other columns in one struct, so that no name can clash, and the text."""
+    bounded_batches(df.sparkSession)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    return df.select(F.struct(*others).alias("_row"), (text.cast("binary") if binary else text).alias("_text"))
+
+
+def restored(df: DataFrame, like: DataFrame, text_col: str, text: Column, length_col: str | None = None) -> DataFrame:
+    """The columns of ``like`` from a ``carried`` relation, with ``text`` as the text and, if there
+    is such a column, its length in ``length_col``."""
+
+    def column(f: T.StructField) -> Column:
+        if f.name == text_col:
+            return text.alias(f.name)
+        if f.name == length_col:
+            return F.length(text).cast(f.dataType).alias(f.name)
+        return F.col("_row").getField(f.name).alias(f.name)
+
+    return df.select(*map(column, like.schema.fields))
+
+
+def map_columns(df: DataFrame, run: Callable, drop: tuple[str, ...] = (), **added: str) -> DataFrame:
+    """``df.mapInArrow(run)``, its schema being that of ``df`` without ``drop`` and with ``added``."""
+    kept = [f for f in df.schema.fields if f.name not in drop and f.name not in added]
+    new = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in added.items()))
+    return df.mapInArrow(run, T.StructType([*kept, *new.fields]))
+
+
+def with_columns(batch: pa.RecordBatch, drop: tuple[str, ...] = (), **added: pa.Array) -> pa.RecordBatch:
+    """``batch`` without ``drop`` and with ``added``, in the order of ``map_columns``."""
+    kept = {n: c for n, c in zip(batch.schema.names, batch.columns) if n not in drop and n not in added}
+    return pa.RecordBatch.from_arrays([*kept.values(), *added.values()], [*kept, *added])
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -20,13 +20,14 @@ benchmark or document table gives no hits or no rows.
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows, texts
+from .common import carried, map_columns, restored, texts, with_columns
 
 #: words of a window
 WINDOW = 13
@@ -41,7 +42,10 @@ _FOLD = bytes(
 )
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
-_SCHEMA = "_id {}, _text binary, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
+#: spans of at least so many words are cut from documents that stay
+MIN_CUT = WINDOW
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def normal_words(text: bytes) -> list[bytes]:
@@ -192,37 +196,47 @@ def _automata(benchmark: DataFrame, item_col: str, text_col: str, window: int, s
             yield SuffixAutomaton([list(s) for s in order], window), [ids[s] for s in order]
 
 
-def _scanner(shared):
-    def run(batches):
-        automaton, item_ids = shared.value if shared else (None, None)
-        for id_, text, spans, items in rows(batches, "_id", "_text", "spans", "items"):
-            n_words, out_spans, out_items = [], [], []
-            for t, old, named in zip(text, spans, items):
-                words = normal_words(t)
-                new, found = automaton.scan(words) if automaton else ([], ())
-                n_words.append(len(words))
-                merged = new
-                if old:
-                    merged = []
-                    for a, b in sorted([*([x["start"], x["end"]] for x in old), *new]):
-                        if merged and a <= merged[-1][1]:
-                            merged[-1][1] = max(b, merged[-1][1])
-                        else:
-                            merged.append([a, b])
-                out_spans.append([{"start": a, "end": b} for a, b in merged])
-                out_items.append((named or []) + [x for k in found for x in item_ids[k] if x is not None])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(id_),
-                    pa.array(text, pa.binary()),
-                    pa.array(n_words, pa.int64()),
-                    pa.array(out_spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(out_items, pa.list_(pa.string())),
-                ],
-                ["_id", "_text", "n_words", "spans", "items"],
-            )
-
-    return run
+def _merged(spans: list[list[int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return out
+
+
+def _scanner(shared, batches):
+    automaton, item_ids = shared.value if shared else (None, None)
+    for b in batches:
+        n_words, out_spans, out_items = [], [], []
+        for t, old, named in zip(*(b.column(c).to_pylist() for c in ("_text", "spans", "items"))):
+            words = normal_words(t)
+            new, found = automaton.scan(words) if automaton else ([], ())
+            n_words.append(len(words))
+            spans = _merged([*([x["start"], x["end"]] for x in old), *new]) if old else new
+            out_spans.append([{"start": x, "end": y} for x, y in spans])
+            out_items.append((named or []) + [x for k in found for x in item_ids[k] if x is not None])
+        yield with_columns(
+            b,
+            n_words=pa.array(n_words, pa.int64()),
+            spans=pa.array(out_spans, _SPANS),
+            items=pa.array(out_items, pa.list_(pa.string())),
+        )
+
+
+def _scan(
+    base: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, shard_words: int, words_per_hit: int
+) -> DataFrame:
+    """``base`` (with _text) and n_words, n_hit, spans, items, contaminated."""
+    spans, items = "array<struct<start:bigint,end:bigint>>", "array<string>"
+    out = base.withColumns({"spans": F.lit(None).cast(spans), "items": F.lit(None).cast(items)})
+    automata = _automata(benchmark, item_col, item_text_col, window, shard_words)
+    for shared in [base.sparkSession.sparkContext.broadcast(x) for x in automata] or [None]:
+        out = map_columns(out, partial(_scanner, shared), n_words="bigint", spans=spans, items=items)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    hit = out.withColumn("n_hit", n_hit).withColumn("items", F.sort_array(F.array_distinct("items")))
+    return hit.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * words_per_hit >= F.col("n_words")))
 
 
 def find_contamination(
@@ -236,38 +250,47 @@ def find_contamination(
     window: int = WINDOW,
     shard_words: int = SHARD_WORDS,
     words_per_hit: int = WORDS_PER_HIT,
-    keep_text: bool = False,
 ) -> DataFrame:
-    """Per document row: id, n_words, n_hit, spans, items, contaminated (and text, on request).
+    """Per document row: id, n_words, n_hit, spans, items, contaminated.
 
     ``spans`` are merged word ranges [start, end) of all windows, ``items`` the ids of the items
     that have a window in the document, sorted as strings. ``contaminated``: some word is hit,
     and at least one word in ``words_per_hit`` is.
     """
-    spark = docs.sparkSession
     base = texts(docs, id_col, text_col, binary=True)
-    id_type = base.schema["_id"].dataType.simpleString()
-    schema = _SCHEMA.format(id_type)
-    out = base.selectExpr(
-        "_id",
-        "_text",
-        "CAST(NULL AS array<struct<start:bigint,end:bigint>>) AS spans",
-        "CAST(NULL AS array<string>) AS items",
-    )
-    shards = [spark.sparkContext.broadcast(x) for x in _automata(benchmark, item_col, item_text_col, window, shard_words)]
-    for shared in shards or [None]:
-        out = out.mapInArrow(_scanner(shared), schema)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    hit = out.withColumn("n_hit", n_hit)
-    return hit.select(
-        F.col("_id").alias(id_col),
-        "n_words",
-        "n_hit",
-        "spans",
-        F.sort_array(F.array_distinct("items")).alias("items"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * F.lit(words_per_hit) >= F.col("n_words"))).alias("contaminated"),
-        *([F.decode("_text", F.lit("UTF-8")).alias(text_col)] if keep_text else []),
-    )
+    found = _scan(base, benchmark, item_col, item_text_col, window, shard_words, words_per_hit)
+    return found.select(F.col("_id").alias(id_col), "n_words", "n_hit", "spans", "items", "contaminated")
+
+
+def _cut(least, batches):
+    for b in batches:
+        out = []
+        for t, spans in zip(b.column("_text").to_pylist(), b.column("spans").to_pylist()):
+            long_ = [(s["start"], s["end"]) for s in spans if s["end"] - s["start"] >= least]
+            out.append(cut_words(t, long_).decode("utf-8", "replace") if long_ else None)
+        yield with_columns(b, ("spans",), cut=pa.array(out, pa.string()))
+
+
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text_col: str = "text",
+    length_col: str | None = None,
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    shard_words: int = SHARD_WORDS,
+    words_per_hit: int = WORDS_PER_HIT,
+    min_cut: int = MIN_CUT,
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, spans of ``min_cut`` words or more cut out
+    of their texts (a text without such a span stays as it is; null becomes empty)."""
+    base = carried(docs, text_col, binary=True)
+    found = _scan(base, benchmark, item_col, item_text_col, window, shard_words, words_per_hit)
+    clean = found.where(~F.col("contaminated")).select("_row", "_text", "spans")
+    cut = map_columns(clean, partial(_cut, min_cut), ("spans",), cut="string")
+    return restored(cut, docs, text_col, F.coalesce("cut", F.decode("_text", "UTF-8")), length_col)
 
 
 def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -40,7 +40,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, mix64, rows, texts, written
@@ -204,7 +204,7 @@ def _pivots(members: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
+def classes_by_text(
     docs: DataFrame,
     *,
     id_col: str = "doc_id",
@@ -215,7 +215,7 @@ def near_duplicates(
     bands: int = BANDS,
     width: int = ROWS,
 ) -> DataFrame:
-    """Per document row: id and class_id, the smallest id of its class of near copies.
+    """(_key, class_id): the class of every text that has words, by ``text_key``.
 
     ``weigh``: "one" for the similarity of shingle sets, "count" for that of shingle counts.
     """
@@ -278,8 +278,30 @@ def near_duplicates(
         of = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         lowest = of.groupBy("component").agg(F.min("_id").alias("class_id"))
         named = of.join(lowest, "component").select("node", "class_id")
-    by_key = signed.select("_key", "node").distinct().join(named, "node").select("_key", "class_id")
-    ids = base.select("_id", "_key")
-    return ids.join(by_key, "_key", "left").select(
+    return written(signed.select("_key", "node").distinct().join(named, "node").select("_key", "class_id"), "named")
+
+
+def text_key(text_col: str) -> Column:
+    """The key of a text in ``classes_by_text``."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """Per document row: id and class_id, the smallest id of its class of near copies."""
+    classes = classes_by_text(docs, id_col=id_col, text_col=text_col, **settings)
+    ids = docs.select(F.col(f"`{id_col}`").alias("_id"), text_key(text_col).alias("_key"))
+    return ids.join(classes, "_key", "left").select(
         F.col("_id").alias(id_col), F.coalesce("class_id", "_id").alias("class_id")
     )
+
+
+def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class the document with the smallest id.
+
+    Rows that repeat that id all stay; so do rows without an id unless a copy of theirs has one.
+    """
+    classes = classes_by_text(docs, id_col=id_col, text_col=text_col, **settings)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    keyed = docs.select(row, F.col(f"`{id_col}`").alias("_id"), text_key(text_col).alias("_key"))
+    stays = keyed.join(classes, "_key", "left").where(F.col("class_id").isNull() | F.col("class_id").eqNullSafe(F.col("_id")))
+    return stays.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))

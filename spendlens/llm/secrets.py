@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows, texts, written
+from .common import carried, map_columns, restored, rows, texts, with_columns, written
 
 # The kinds of spans, in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex", "crf")
@@ -383,26 +383,48 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_
 def _scan(shared, batches):
     field = shared.value
     scorer = Scorer(field) if field is not None else None
-    for id_, text in rows(batches, "_id", "_text"):
-        out, n_base = [], []
-        for t in text:
+    for b in batches:
+        out = []
+        for t in b.column("_text").to_pylist():
             base = base_spans(t)
-            n_base.append(len(base))
             extra = crf_spans(t, scorer, base) if scorer else []
             spans = sorted([*base, *extra], key=lambda s: (s[1], KINDS.index(s[0])))
-            out.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-        yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(text, pa.string()), pa.array(out, _MARKUP)], ["_id", "_text", "spans"])
+            out.append([{"kind": k, "start": x, "end": y} for k, x, y in spans])
+        yield with_columns(b, spans=pa.array(out, _MARKUP))
+
+
+def _marked(base: DataFrame, field: Field | None) -> DataFrame:
+    shared = base.sparkSession.sparkContext.broadcast(field)
+    return map_columns(base, partial(_scan, shared), spans="array<struct<kind:string,start:bigint,end:bigint>>")
+
+
+def find_secrets(docs: DataFrame, field: Field | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document row: id and spans (kind, start, end), by start and then kind."""
+    return _marked(texts(docs, id_col, text_col), field).select(F.col("_id").alias(id_col), "spans")
 
 
-def find_secrets(
-    docs: DataFrame, field: Field | None, *, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False
+def redact_text(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    """``text`` with every stretch that spans cover replaced by one mark."""
+    out, at = [], 0
+    for a, b in sorted(spans):
+        if a >= at:
+            out += [text[at:a], mark]
+        at = max(at, b)
+    return "".join([*out, text[at:]])
+
+
+def _redact(mark, batches):
+    for b in batches:
+        out = []
+        for t, spans in zip(b.column("_text").to_pylist(), b.column("spans").to_pylist()):
+            out.append(redact_text(t, [(s["start"], s["end"]) for s in spans], mark) if spans else t)
+        yield with_columns(b, ("spans",), _text=pa.array(out, pa.string()))
+
+
+def redact(
+    docs: DataFrame, field: Field | None, *, text_col: str = "text", length_col: str | None = None, mark: str = "[SECRET]"
 ) -> DataFrame:
-    """Per document row: id and spans (kind, start, end), by start and then kind; text on request."""
-    spark = docs.sparkSession
-    base = texts(docs, id_col, text_col)
-    id_type = base.schema["_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(field)
-    found = base.mapInArrow(
-        partial(_scan, shared), f"_id {id_type}, _text string, spans array<struct<kind:string,start:bigint,end:bigint>>"
-    )
-    return found.select(F.col("_id").alias(id_col), "spans", *([F.col("_text").alias(text_col)] if keep_text else []))
+    """``docs`` with every secret replaced by ``mark`` (null texts become empty)."""
+    found = _marked(carried(docs, text_col), field)
+    done = map_columns(found, partial(_redact, mark), ("spans",), _text="string")
+    return restored(done, docs, text_col, F.col("_text"), length_col)
