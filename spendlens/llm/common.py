@@ -22,8 +22,8 @@ from ..session import shared_folder
 
 #: rows and bytes of one Arrow batch: a task holds one batch of texts at a time, so very long
 #: documents never add up in a Python worker
-BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 #: regular-expression class (Java, RE2 and Python alike) of the bytes between words
 BLANKS = r"[\x20\x09-\x0D]"
@@ -91,7 +91,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 class WordHashes(dict):
     """Word -> 64-bit hash, remembered for at most ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 

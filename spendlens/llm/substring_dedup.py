@@ -11,9 +11,10 @@ hash over 128 bits, taken from prefix sums, and windows are counted in Spark in
    windows have equal anchors, and neighbouring windows mostly share theirs, so a document has
    about one anchor for eighteen words. A window whose anchor occurs in one document only
    cannot repeat elsewhere; the others go on. This test is exact: it loses no window.
-2. *Windows.* Of the rest, ``min(id)`` by window hash is aggregated (map-side first), and a
-   window whose hash has a smaller id than its own document's is removed. Removed windows of
-   a document merge into maximal word intervals.
+2. *Windows.* Of the rest, each different window of a document is one row. ``min(id)`` by
+   window hash is aggregated (map-side first), and a window whose hash has a smaller id than
+   its own document's is removed, wherever it stands there. Removed windows of a document
+   merge into maximal word intervals.
 
 Scale: no step gathers the rows of a passage. Both counts are partial aggregates, so a passage
 that a third of all documents hold costs a row for each task; the joins back are on the hash
@@ -126,20 +127,22 @@ def _anchors(window, gram, batches):
 
 
 def _windows(window, gram, batches):
+    """A row for each different window of a document that has one of its wanted anchors."""
     hasher = _Hasher(window, gram)
     for b in batches:
         of, parts = [], []
         for i, (text, wanted) in enumerate(zip(b.column("_text").to_pylist(), b.column("wanted"))):
             anchors, h = hasher.anchors(text)
+            h1, h2 = hasher.windows(h)
             start = np.flatnonzero(np.isin(_signed(anchors), np.asarray(wanted.values)))
-            parts.append([start, *(_signed(x[start]) for x in hasher.windows(h))])
+            start = start[np.unique(h1[start], return_index=True)[1]]
             of.append(np.full(len(start), i))
+            parts.append((_signed(h1[start]), _signed(h2[start])))
         if of:
             take = pa.array(np.concatenate(of))
-            start, h1, h2 = (pa.array(np.concatenate(x)) for x in zip(*parts))
+            h1, h2 = (pa.array(np.concatenate(x)) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
-                [b.column("_id").take(take), b.column("_key").take(take), start.cast(pa.int32()), h1, h2],
-                ["_id", "_key", "start", "h1", "h2"],
+                [b.column("_id").take(take), b.column("_key").take(take), h1, h2], ["_id", "_key", "h1", "h2"]
             )
 
 
@@ -154,15 +157,18 @@ def merge_windows(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
     return list(zip(first.tolist(), last.tolist()))
 
 
-def _cut(window, batches):
+def _cut(window, gram, batches):
+    hasher = _Hasher(window, gram)
     for b in batches:
         n_words, spans, kept = [], [], []
-        for text, starts, copy in zip(b.column("_text").to_pylist(), b.column("starts"), b.column("copy").to_pylist()):
+        for text, gone, copy in zip(b.column("_text").to_pylist(), b.column("gone"), b.column("copy").to_pylist()):
             words = text.split()
+            own = []
             if copy:
                 own = [(0, len(words))]
-            else:
-                own = merge_windows(np.asarray(starts.values), window) if starts.is_valid else []
+            elif gone.is_valid:
+                h1 = hasher.windows(hasher.words.of(words))[0]
+                own = merge_windows(np.flatnonzero(np.isin(_signed(h1), np.asarray(gone.values))), window)
             n_words.append(len(words))
             spans.append([{"start": a, "end": z} for a, z in own])
             for a, z in reversed(own):
@@ -222,7 +228,7 @@ def remove_repeats(
     windows = (
         base.join(wanted, same_doc(base, wanted))
         .select(base["_id"], base["_key"], "_text", "wanted")
-        .mapInArrow(partial(_windows, window, gram), f"_id {id_type}, _key bigint, start int, h1 bigint, h2 bigint")
+        .mapInArrow(partial(_windows, window, gram), f"_id {id_type}, _key bigint, h1 bigint, h2 bigint")
     )
     owners = (
         windows.groupBy("h1", "h2")
@@ -234,15 +240,15 @@ def remove_repeats(
         windows.join(owners, ["h1", "h2"])
         .where((F.col("owner") < F.col("_id")) | F.col("_id").isNull())
         .groupBy("_id", "_key")
-        .agg(F.collect_list("start").alias("starts"))
-        .select("_id", "_key", "starts", F.lit(False).alias("copy"))
-        .union(marked.where("copy").select("_id", "_key", F.array().cast("array<int>"), "copy"))
+        .agg(F.collect_set("h1").alias("gone"))
+        .select("_id", "_key", "gone", F.lit(False).alias("copy"))
+        .union(marked.where("copy").select("_id", "_key", F.array().cast("array<bigint>"), "copy"))
     )
     cut = (
         base.join(removed, same_doc(base, removed), "left")
-        .select(base["_id"], "_text", "starts", "copy")
+        .select(base["_id"], "_text", "gone", "copy")
         .mapInArrow(
-            partial(_cut, window),
+            partial(_cut, window, gram),
             f"_id {id_type}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, kept binary",
         )
     )
