@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import bounded_batches, rows, texts
+from .common import bounded_batches, texts
 
 #: pieces a worker remembers, and the longest it remembers (characters)
 MEMO = 400_000
@@ -136,10 +136,10 @@ class Encoder(dict):
 
 def _encode(shared, pattern, batches):
     encoder = Encoder(shared.value, pattern)
-    for id_, text in rows(batches, "_id", "_text"):
-        ids = [encoder.encode(t) for t in text]
+    for b in batches:
+        ids = [encoder.encode(t) for t in b.column("_text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(id_), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+            [b.column("_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
             ["_id", "n_tokens", "token_ids"],
         )
 

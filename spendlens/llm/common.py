@@ -88,6 +88,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drawn(df: DataFrame, draw: Column, most: int) -> DataFrame:
+    """A sample of at most ``most`` rows: all, if there are no more, else those whose draw (a hash
+    of 63 bits) is below the share wanted.
+
+    The share aims three standard deviations below ``most``. Nothing is sorted or gathered for
+    it: a top-k would send that many rows of every partition to one place.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    return df.where(draw < int((most - 3 * most**0.5) / n * 2**63))
+
+
+def hash63(*columns: Column | str) -> Column:
+    """A hash of the columns as a non-negative 64-bit integer."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 1)
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash, remembered for at most ``limit`` words."""
 

@@ -135,15 +135,15 @@ def _weighted(h: np.ndarray, weigh: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _sign(size, weigh, bands, width, batches):
     words = WordHashes()
-    for id_, key, text in rows(batches, "_id", "_key", "_text"):
-        out_id, out_key, node, keys = [], [], [], []
+    for b in batches:
+        text = b.column("_text").to_pylist()
+        own_rows, node, keys = [], [], []
         group: list[tuple[np.ndarray, np.ndarray]] = []  # weighted sets not signed yet
         cells = 0
-        for n, (i, x, t) in enumerate(zip(id_, key, text), 1):
+        for n, t in enumerate(text, 1):
             h = shingles(words, t, size)
             if len(h):
-                out_id.append(i)
-                out_key.append(x)
+                own_rows.append(n - 1)
                 node.append(xxhash.xxh3_64_intdigest(b" ".join(normal_words(t))) - (1 << 63))
                 group.append(_weighted(h, weigh))
                 cells += len(h)
@@ -154,8 +154,9 @@ def _sign(size, weigh, bands, width, batches):
                 keys.extend(band_keys(signed, bands).view(np.int64).tolist())
                 group, cells = [], 0
         if node:
+            take = pa.array(own_rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_id), pa.array(out_key, pa.int64()), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                [b.column("_id").take(take), b.column("_key").take(take), pa.array(node, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 ["_id", "_key", "node", "keys"],
             )
 

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows, texts, written
+from .common import drawn, hash63, rows, texts, written
 
 HOLD_OUT = 5
 TRAIN_ROWS = 4_000
@@ -105,15 +105,15 @@ class Terms(dict):
 
 def _pack(batches):
     terms = Terms()
-    for id_, text in rows(batches, "_id", "_text"):
+    for b in batches:
         at, times = [], []
-        for t in text:
+        for t in b.column("_text").to_pylist():
             counts = terms.counts(t)
             own = np.flatnonzero(counts)
             at.append(own.astype("<u2").tobytes())
             times.append(np.minimum(counts[own], 65_535).astype("<u2").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(id_), pa.array(at, pa.binary()), pa.array(times, pa.binary())], ["_id", "terms", "counts"]
+            [b.column("_id"), pa.array(at, pa.binary()), pa.array(times, pa.binary())], ["_id", "terms", "counts"]
         )
 
 
@@ -168,14 +168,16 @@ class Voters:
         k = min(NEIGHBOURS, len(self.labels))
         near = np.argpartition(cosine, -k, axis=1)[:, -k:]
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) + 1e-6
-        return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+        return np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1, dtype=float), 0, 1)
 
 
 def _vote(shared, block, batches):
     voters = shared.value
-    for id_, at, times in rows(batches, "_id", "terms", "counts"):
+    for b in batches:
+        at, times = b.column("terms").to_pylist(), b.column("counts").to_pylist()
         score = [voters.scores(at[k : k + block], times[k : k + block]) for k in range(0, len(at), block)]
-        yield pa.RecordBatch.from_arrays([pa.array(id_), pa.array(np.concatenate(score).astype(float))], ["_id", "score"])
+        if score:
+            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(np.concatenate(score).astype(float))], ["_id", "score"])
 
 
 def pack_terms(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,11 +200,10 @@ def fit(
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("label"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(max_rows)
     )
     # at most max_rows ids: bounded, so they can be broadcast
-    sample = packed.join(F.broadcast(known), "_id").select("label", "terms", "counts").collect()
+    chosen = drawn(written(known, "labels"), hash63("_id"), max_rows)
+    sample = packed.join(F.broadcast(chosen), "_id").select("label", "terms", "counts").collect()
     sample = sorted((bytes(r["terms"]), bytes(r["counts"]), r["label"]) for r in sample)
     if not sample:
         return Voters(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))

@@ -92,34 +92,34 @@ transform(
 def clean_lines(docs: DataFrame, *, text_col: str = "text", out_col: str = "_quality") -> DataFrame:
     """``docs`` with a struct column ``out_col``: n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words (bigint), base_failed, lost_chars, kept (boolean) and text, the lines left."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.withColumn(out_col, F.struct(text.alias("t")))
-    carried = [F.col(f"`{c}`") for c in docs.columns if c != out_col]
-    split = base.select(*carried, F.col(out_col)["t"].alias("_text_")).selectExpr(
+    text = F.coalesce(F.col("_row").getField(text_col).cast("string"), F.lit(""))
+    base = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")).withColumn("_text", text)
+    split = base.selectExpr(
         "*",
-        f"{_words('_text_')} AS _words",
-        f"filter(split(_text_, '\\n'), l -> l rlike {_sql(_others(BLANKS))}) AS _lines",
+        f"{_words('_text')} AS _words",
+        f"filter(split(_text, '\\n'), l -> l rlike {_sql(_others(BLANKS))}) AS _lines",
     )
     judged = split.selectExpr(
-        *[f"`{c}`" for c in docs.columns if c != out_col],
+        "_row",
         "CAST(size(_words) AS BIGINT) AS _n_words",
-        f"CAST({_count('_text_', _others(BLANKS))} AS BIGINT) AS _word_chars",
-        f"CAST({_count('_text_', SYMBOLS)} AS BIGINT) AS _n_symbols",
+        f"CAST({_count('_text', _others(BLANKS))} AS BIGINT) AS _word_chars",
+        f"CAST({_count('_text', SYMBOLS)} AS BIGINT) AS _n_symbols",
         "CAST(size(_lines) - size(array_distinct(_lines)) AS BIGINT) AS _n_dup_lines",
         f"CAST(size(array_distinct(flatten(transform({_REPEATED}, i -> array(i, i + 1, i + 2))))) AS BIGINT) AS _n_repeat",
         f"transform(transform(_lines, l -> struct(l AS l, lower(l) AS low, size({_words('l')}) AS w,"
         f" {_count('l', _others(BLANKS))} AS c)), x -> struct(x.l AS l, x.c AS c, {_fails()} AS bad)) AS _judged",
     )
     summed = judged.selectExpr(
-        *[f"`{c}`" for c in docs.columns if c != out_col],
-        "_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat",
+        "*",
         "aggregate(_judged, 0L, (n, x) -> n + if(x.bad, x.c, 0)) AS _lost",
         "array_join(transform(filter(_judged, x -> NOT x.bad), x -> x.l), '\\n') AS _left",
         f"(_n_words < {MIN_WORDS} OR 100 * _n_repeat > {MAX_REPEATED} * _n_words) AS _base_failed",
-    )
-    return summed.selectExpr(
-        *[f"`{c}`" for c in docs.columns if c != out_col],
-        "struct(_n_words AS n_words, _word_chars AS word_chars, _n_symbols AS n_symbols, _n_dup_lines AS n_dup_lines,"
-        " _n_repeat AS n_repeat_words, _base_failed AS base_failed, _lost AS lost_chars,"
-        f" (NOT _base_failed AND {LOST_ONE_IN} * _lost <= _word_chars) AS kept, _left AS text) AS `{out_col}`",
+    )
+    return summed.select(
+        *(F.col("_row").getField(c).alias(c) for c in docs.columns if c != out_col),
+        F.expr(
+            "struct(_n_words AS n_words, _word_chars AS word_chars, _n_symbols AS n_symbols, _n_dup_lines AS n_dup_lines,"
+            " _n_repeat AS n_repeat_words, _base_failed AS base_failed, _lost AS lost_chars,"
+            f" (NOT _base_failed AND {LOST_ONE_IN} * _lost <= _word_chars) AS kept, _left AS text)"
+        ).alias(out_col),
     )

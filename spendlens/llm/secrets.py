@@ -15,8 +15,9 @@ over whole texts. A token whose margin for *outside* exceeds what any choice of
 transitions could win back is outside on every best path, so the chain is cut there and only
 the stretches between such tokens are decoded: the result is that of decoding the whole chain.
 
-Scale: one map over the documents, no shuffle but for the sample's top-k; the weights broadcast are
-a few tables of ``BUCKETS`` rows whatever the input is.
+Scale: one map over the documents for the windows, of which only the sample (rows below a hash
+threshold) leaves the executors, and one for the scan; no shuffle. The weights broadcast are a few
+tables of ``BUCKETS`` rows whatever the input is.
 
 Defined results: a null text is empty and has no spans; offsets are code points, end exclusive; a
 span of the field that meets a base span is left out; a table without any base span trains no field
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, map_columns, restored, rows, texts, with_columns, written
+from .common import carried, drawn, map_columns, restored, rows, texts, with_columns, written
 
 # The kinds of spans, in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex", "crf")
@@ -51,8 +52,9 @@ ASSIGN_CUES = ("passw", "secret", "token", "api")
 MIN_ASSIGNED = 6
 
 TRAIN_WINDOWS = 4_000
-#: tokens of a training window
+#: tokens of a training window at most, and characters on either side that it is cut from
 WINDOW = 40
+MARGIN = 150
 BUCKETS = 4_096
 EPOCHS = 60
 L2 = 2e-3
@@ -90,6 +92,7 @@ def _bucket(feature: str) -> int:
 _CLASS = {i: "d" if chr(i).isdigit() else "A" if chr(i).isupper() else "a" if chr(i).islower() else "." for i in range(128)}
 _RUNS = re.compile(r"(.)\1+")
 _HEX = re.compile(r"[0-9a-f]+")
+_DIGITS = re.compile(r"[0-9]+")
 
 
 def shape(token: str) -> tuple:
@@ -135,10 +138,10 @@ def context_feature(token: str) -> str:
     return f"#{len(token) // 8}{any(map(str.isalpha, token))}"
 
 
-def file_features(n_tokens: int, n_assign: int, n_digits: int) -> list[str]:
-    """Features of the file: how many in a thousand tokens are assignment marks or have digits."""
-    grade = lambda x: int(math.log2(1 + 1000 * x / max(n_tokens, 1)))
-    return [f"assign={grade(n_assign)}", f"digits={grade(n_digits)}"]
+def file_features(text: str) -> list[str]:
+    """Features of the file: how many assignment marks and runs of digits in a thousand characters."""
+    grade = lambda x: int(math.log2(1 + 4000 * x / max(len(text), 1)))
+    return [f"assign={grade(text.count('=') + text.count(':'))}", f"digits={grade(len(_DIGITS.findall(text)))}"]
 
 
 #: places of neighbours, from the token
@@ -164,8 +167,8 @@ class Field:
 
 
 class Scorer:
-    """Scores of tokens under a field. Of at most ``limit`` tokens it remembers the form, the
-    context bucket and two marks (an assignment mark; has a digit), packed into one integer."""
+    """Scores of tokens under a field. Of at most ``limit`` tokens it remembers the form and the
+    context bucket, packed into one integer."""
 
     def __init__(self, field: Field, limit: int = 400_000):
         self.field, self.limit = field, limit
@@ -185,26 +188,25 @@ class Scorer:
 
     def _learn(self, token: str) -> int:
         form = self._form(shape(token))
-        marks = 2 * (token in "=:") + any(map(str.isdigit, token))
-        self.known[token] = code = (form * BUCKETS + _bucket(context_feature(token))) * 4 + marks
+        self.known[token] = code = form * BUCKETS + _bucket(context_feature(token))
         return code
 
-    def scores(self, tokens: list[str]) -> np.ndarray:
+    def scores(self, tokens: list[str], file: list[str]) -> np.ndarray:
+        """State scores of the tokens of a text with the given file features."""
         if len(self.known) >= self.limit or len(self.forms) + len(tokens) >= self.limit:
             self.known.clear()
             self.forms.clear()
         get, learn = self.known.get, self._learn
         codes = np.array([get(t) or learn(t) for t in tokens])
-        out = self.own[codes // (4 * BUCKETS)]
-        context = codes // 4 % BUCKETS
+        out = self.own[codes // BUCKETS]
+        context = codes % BUCKETS
         for p, d in enumerate(_PLACES):
             near = self.field.near[p][context]
             if d < 0:
                 out[-d:] += near[:d]
             else:
                 out[:-d] += near[d:]
-        marks = int((codes & 2).sum()) // 2, int((codes & 1).sum())
-        return out + self.field.file[[_bucket(f) for f in file_features(len(tokens), *marks)]].sum(axis=0)
+        return out + self.field.file[[_bucket(f) for f in file]].sum(axis=0)
 
     def tags(self, scores: np.ndarray) -> list[tuple[int, int]]:
         """(position, tag) of the tokens that the best path tags begin or inside."""
@@ -248,7 +250,7 @@ def crf_spans(text: str, scorer: Scorer, base: list[tuple[str, int, int]]) -> li
     tokens = TOKEN.findall(text)
     if not tokens:
         return []
-    tags = scorer.tags(scorer.scores(tokens))
+    tags = scorer.tags(scorer.scores(tokens, file_features(text)))
     if not tags:
         return []
     at = [m.span() for m in TOKEN.finditer(text)]
@@ -263,37 +265,49 @@ def crf_spans(text: str, scorer: Scorer, base: list[tuple[str, int, int]]) -> li
     return [("crf", a, b) for a, b in spans if not any(a < z and x < b for _, x, z in base)]
 
 
+def _cut_out(text: str, start: int, end: int) -> tuple[int, int]:
+    """[start, end) widened to whole stretches between white space."""
+    while start > 0 and not text[start - 1].isspace():
+        start -= 1
+    while end < len(text) and not text[end].isspace():
+        end += 1
+    return start, end
+
+
+def training_windows(text: str) -> list[tuple[bool, list[str], list[int]]]:
+    """(around a base span?, tokens, tags): the text about each base span, and about one place that
+    a hash of the text names."""
+    spans = base_spans(text)
+    parts = [_secret_part(text, s) for s in spans]
+    anywhere = xxhash.xxh3_64_intdigest(text) % max(len(text), 1)
+    out = []
+    for secret, a, b in [(False, anywhere, anywhere), *((True, a, b) for a, b in parts)]:
+        a, b = _cut_out(text, max(0, a - MARGIN), min(len(text), b + MARGIN))
+        tokens, tags, last = [], [], None
+        for m in TOKEN.finditer(text, a, b):
+            inside = next((k for k, (x, y) in enumerate(parts) if x < m.end() and m.start() < y), None)
+            tokens.append(m.group())
+            tags.append(OUTSIDE if inside is None else INSIDE if inside == last else BEGIN)
+            last = inside
+        if tokens:
+            k = 0 if len(tokens) <= WINDOW else max(0, (len(tokens) - WINDOW) // 2)
+            out.append((secret, tokens[k : k + WINDOW], tags[k : k + WINDOW]))
+    return out
+
+
 def _windows(batches):
-    """Windows of tokens with tags: one around each base span, one from anywhere in each text."""
-    for id_, text in rows(batches, "_id", "_text"):
+    for (text,) in rows(batches, "_text"):
         out = []
-        for i, t in zip(id_, text):
-            base = base_spans(t)
-            found = list(TOKEN.finditer(t))
-            if not found:
-                continue
-            tags = [OUTSIDE] * len(found)
-            marked = []
-            if base:
-                starts = np.array([m.start() for m in found])
-                for a, b in (_secret_part(t, s) for s in base):
-                    k = first = int(np.searchsorted(starts, a, "right")) - 1
-                    while 0 <= k < len(found) and found[k].start() < b:
-                        tags[k] = BEGIN if k == first else INSIDE
-                        k += 1
-                    marked.append(max(first, 0))
-            words = [m.group() for m in found]
-            marks = sum(w in "=:" for w in words), sum(any(map(str.isdigit, w)) for w in words)
-            anywhere = xxhash.xxh3_64_intdigest(t) % len(words)
-            for n, k in enumerate([anywhere, *marked]):
-                a = max(0, k - WINDOW // 2)
-                own = words[a : a + WINDOW]
+        for t in text:
+            file = None
+            for n, (secret, tokens, tags) in enumerate(training_windows(t)):
+                file = file or file_features(t)
                 draw = xxhash.xxh3_64_intdigest(f"{n} {t}") >> 1
-                out.append((n > 0, draw, own, tags[a : a + WINDOW], file_features(len(words), *marks)))
+                out.append((secret, draw, tokens, tags, file))
         if out:
+            kinds = (pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out), (pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string())))],
-                ["secret", "draw", "tokens", "tags", "file"],
+                [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], ["secret", "draw", "tokens", "tags", "file"]
             )
 
 
@@ -375,8 +389,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_
     windows = written(texts(docs, id_col, text_col).mapInArrow(_windows, schema), "windows")
     picked = []
     for secret in (True, False):
-        part = windows.where(F.col("secret") == secret)
-        picked += part.orderBy("draw", F.to_json("tokens")).limit(max_windows // 2).collect()
+        picked += drawn(windows.where(F.col("secret") == secret), F.col("draw"), max_windows // 2).collect()
+    picked.sort(key=lambda w: (w["draw"], w["tokens"]))
     return train(picked) if any(w["secret"] for w in picked) else None
 
 

@@ -242,7 +242,7 @@ def remove_repeats(
         .groupBy("_id", "_key")
         .agg(F.collect_set("h1").alias("gone"))
         .select("_id", "_key", "gone", F.lit(False).alias("copy"))
-        .union(marked.where("copy").select("_id", "_key", F.array().cast("array<bigint>"), "copy"))
+        .union(marked.where("copy").select("_id", "_key").distinct().select("*", F.array().cast("array<bigint>"), F.lit(True)))
     )
     cut = (
         base.join(removed, same_doc(base, removed), "left")

@@ -162,7 +162,10 @@ class _Archive:
 
 def _write(folder, batches):
     archive = None
-    for id_, url, payload in rows(batches, "_id", "_url", "_payload"):
+    for b in batches:
+        id_, url, payload = (b.column(c).to_pylist() for c in ("_id", "_url", "_payload"))
+        if not id_:
+            continue
         report = []
         for i, u, p in zip(id_, url, payload):
             if archive and (archive.bytes >= ARCHIVE_BYTES or archive.records >= ARCHIVE_RECORDS):
@@ -174,7 +177,7 @@ def _write(folder, batches):
             report.append((archive.uri, seq, digest, len(p)))
         uri, seq, digest, size = zip(*report)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(uri), pa.array(seq, pa.int32()), pa.array(id_), pa.array(digest), pa.array(size, pa.int64())],
+            [pa.array(uri), pa.array(seq, pa.int32()), b.column("_id"), pa.array(digest), pa.array(size, pa.int64())],
             ["archive", "seq", "_id", "digest", "bytes"],
         )
     if archive:

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+from spendlens.llm import quality_rules as Q
+
+GOOD = "A plain line of words that nobody minds, number {}, goes on here."
+
+
+def judged(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id int, text string, q string, _words string, _text_ string")
+    out = Q.clean_lines(df, out_col="judged")
+    assert out.columns == [*df.columns, "judged"]
+    return {r.doc_id: r for r in out.collect()}
+
+
+def row(i, text):
+    return (i, text, "extra", "extra", "extra")
+
+
+def test_base_figures(spark):
+    got = judged(
+        spark,
+        [
+            row(1, "a b c a b c\n\nx#$ y\nx#$ y\n \t \n"),
+            row(2, None),
+            row(3, " \n\t\x0b\x0c\r "),
+            row(4, "é x 😀"),
+            row(5, "w " * 20_000),
+            row(6, "a b"),
+        ],
+    )
+    q = got[1].judged
+    assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == (10, 14, 4, 1, 6)
+    assert q.base_failed and not q.kept and got[1].q == got[1]["_words"] == "extra"
+    for i in (2, 3):
+        q = got[i].judged
+        assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words, q.base_failed, q.kept) == (0, 0, 0, 0, 0, True, False)
+    assert (got[4].judged.n_words, got[4].judged.word_chars) == (2, 4)  # a no-break space is no white space here
+    assert got[5].judged.n_repeat_words == 20_000 and got[5].judged.base_failed
+    assert got[6].judged.n_repeat_words == 0
+
+
+def test_lines(spark):
+    good = [" ".join(f"Word{i}x{k} and" for k in range(8)) + f" end{i}." for i in range(12)]
+    bad = [
+        "Home | News | Sport | Weather | Contact",
+        "We use a Cookie to keep you here, friend",
+        "th%% of** the### stuff$$ is&& not* text#",
+        "BUY NOW AND SAVE A LOT OF MONEY",
+        "ab!! cd!! ef!! gh!!",
+    ]
+    got = judged(spark, [row(1, "\n".join([*good[:6], *bad[:3], *good[6:]])), row(2, "\n".join([*good[:5], *bad * 8])), row(3, "\n\n".join(good))])
+    assert got[1].judged.kept and got[1].judged.text == "\n".join(good)
+    assert not got[2].judged.kept
+    assert got[3].judged.kept and got[3].judged.lost_chars == 0
+    alone = judged(spark, [row(i, b) for i, b in enumerate([*bad, good[0]])])
+    assert [alone[i].judged.text == "" for i in range(6)] == [True] * 5 + [False]
+
+
+def test_rejected_by_lost_text_alone(spark):
+    good = [GOOD.format(f"n{i} m{i}") for i in range(5)]
+    menu = [" | ".join(f"item{i}x{k}" for k in range(9)) for i in range(14)]
+    q = judged(spark, [row(1, "\n".join(good + menu))])[1].judged
+    assert not q.base_failed and not q.kept
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "doc_id int, text string")
+    assert Q.clean_lines(df).count() == 0

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import io
+import json
+import zlib
+
+import pytest
+
+from spendlens.llm import warc
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    big = "<p>" + "x" * 200
+    rows = [
+        (5, "http://a/ b?ü", big),
+        (3, "http://b/", big),
+        (9, None, big),
+        (3, "http://b/again", big),
+        (4, "http://c/", "small"),
+        (6, "http://d/", "small"),
+        (7, "http://e/", None),
+        (None, "http://f/", big),
+        (8, "http://g/", "WARC/1.1\r\nContent-Length: 3\r\n\r\n" * 9),
+    ]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+
+def test_records(spark, pages):
+    report = warc.write_archives(pages.repartition(3))
+    done = warc.normalise_archives(report)
+    got = sorted((r.id or "", r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_archives(done).collect())
+    digest = {r.page_id: hashlib.sha256((r.html or "").encode()).hexdigest() for r in pages.collect()}
+    want = sorted(
+        [
+            ("", 203, digest[5], "response", None),
+            ("3", 203, digest[5], "response", None),
+            ("3", 203, digest[5], "response", None),
+            ("4", 5, digest[4], "response", None),
+            ("5", 203, digest[5], "revisit", "3"),
+            ("6", 5, digest[4], "response", None),
+            ("7", 0, digest[7], "response", None),
+            ("8", 9 * 31, digest[8], "response", None),
+            ("9", 203, digest[5], "revisit", "3"),
+        ]
+    )
+    assert [(a, b, c, d, e) for a, b, c, d, e in got] == want
+
+
+def test_normalised_files(spark, pages):
+    """Archives written are one gzip stream; normalised ones have a member a record, found by the index."""
+    report = warc.write_archives(pages.coalesce(1))
+    for r in report.select("archive").distinct().collect():
+        data = _bytes(r.archive)
+        one = zlib.decompressobj(31)
+        one.decompress(data)
+        assert one.eof and not one.unused_data
+    for r in warc.normalise_archives(report).collect():
+        data = _bytes(r.archive)
+        lines = [json.loads(x) for x in _bytes(r["index"]).splitlines()]
+        assert len(lines) == r.members == 9
+        assert sum(x["length"] for x in lines) == len(data)
+        whole = gzip.decompress(data)
+        parts = [zlib.decompress(data[x["offset"] : x["offset"] + x["length"]], 31) for x in lines]
+        assert b"".join(parts) == whole
+        assert [x["id"] for x in lines] == [p.headers["WARC-Record-ID"] for p in warc.parse_records([whole])]
+
+
+def _bytes(uri):
+    fs, path = warc._place(uri)
+    with fs.open_input_stream(path, compression=None) as f:
+        return f.read()
+
+
+def test_parser_takes_any_chunks():
+    records = [warc.response_record(i, f"http://h/{i}", b"z" * i, "d") for i in range(5)]
+    data = b"".join(records)
+    for n in (1, 7, 100, len(data)):
+        chunks = [data[i : i + n] for i in range(0, len(data), n)]
+        assert [r.raw for r in warc.parse_records(chunks)] == records
+    with pytest.raises(ValueError):
+        list(warc.parse_records([data[:-1]]))
+
+
+def test_members_are_read_one_after_the_other():
+    data = gzip.compress(b"one") + gzip.compress(b"two" * 1000)
+    assert b"".join(warc._inflated(io.BytesIO(data))) == b"one" + b"two" * 1000
+
+
+def test_small_archives_and_empty_table(spark, pages, monkeypatch):
+    assert warc.read_archives(warc.normalise_archives(warc.write_archives(pages.limit(0)))).count() == 0
