@@ -64,7 +64,7 @@ def _form(feature: bytes) -> int:
 class Terms(dict):
     """Word -> its word term and form term, remembered for at most ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
         self.forms: dict[bytes, int] = {}
