@@ -1,3 +1,5 @@
+"""Fixtures of these tests; test modules import the ones they use (a second conftest would hide the first)."""
+
 from __future__ import annotations
 
 import pytest

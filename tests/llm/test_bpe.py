@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from llm_fixtures import documents, odd_docs  # noqa: F401
 
 from spendlens.llm import bpe
 from spendlens.llm.queries import QUERIES

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
+from llm_fixtures import odd_docs  # noqa: F401
 
 from spendlens.llm import quality_knn as K
 from spendlens.llm import toxicity as T

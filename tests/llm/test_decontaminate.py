@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from llm_fixtures import odd_docs  # noqa: F401
 
 from spendlens.llm.decontaminate import SuffixAutomaton, cut_words, decontaminate, find_contamination, normal_words
 

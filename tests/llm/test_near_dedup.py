@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+from llm_fixtures import documents, odd_docs  # noqa: F401
 
 from spendlens.llm import near_dedup as N
 from spendlens.llm.components import components

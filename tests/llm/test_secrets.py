@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from llm_fixtures import documents, odd_docs  # noqa: F401
 
 from spendlens.llm import secrets as S
 from spendlens.llm.queries import QUERIES

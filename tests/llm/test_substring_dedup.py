@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from llm_fixtures import odd_docs  # noqa: F401
 
 from spendlens.llm import substring_dedup as S
 
