@@ -66,7 +66,9 @@ COUNT_METRICS = (INSTALL, *RETENTION_METRICS)
 
 #: every decimal metric is cast back to this type after each roll-up, so repeated sums
 #: and differences never exceed precision 38 (Spark would otherwise drop scale digits)
-METRIC_DECIMAL = T.DecimalType(32, 8)
+METRIC_DECIMAL = T.DecimalType(36, 12)
+#: digits of scale an input measure may have (a share rate adds three)
+MAX_INPUT_SCALE = 9
 
 # --------------------------------------------------------------------------------------
 # Revenue shares kept by the publisher, as used by the published job.
@@ -176,12 +178,9 @@ class JobConfig:
     legacy_day1_override: bool = True
     #: apply the channel alias on the install side too (the published job does not)
     alias_install_channels: bool = False
-    #: count installs per (user key, campaign columns) before the projection join: a hot user
-    #: key then reaches the join as one row per campaign and day, at the price of a second
-    #: shuffle of the (reduced) installs; turn off only for data known to have no hot users
-    preaggregate_installs: bool = True
     #: a SKAN campaign matching several MMP source types: "keep" one enriched row per match
-    #: (the published job), or "error" (fail the run, listing such campaigns)
+    #: (the published job), "collapse" them to one row (spends added, source type of the largest
+    #: spend), or "error" (fail the run, naming such campaigns)
     fanout: str = "keep"
     residual_total_types: tuple[str, ...] = RESIDUAL_TOTAL_TYPES
     residual_paid_type: str = RESIDUAL_PAID_TYPE

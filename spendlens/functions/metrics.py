@@ -13,28 +13,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..session import require_ansi
 from .rates import sql_col
 
 METRIC_DECIMAL_SQL = f"DECIMAL({C.METRIC_DECIMAL.precision},{C.METRIC_DECIMAL.scale})"
 
 
 def _needs_rebase(dtype: T.DataType) -> bool:
-    return (
-        isinstance(dtype, T.DecimalType)
-        and dtype != C.METRIC_DECIMAL
-        and dtype.scale <= C.METRIC_DECIMAL.scale
-    )
+    return isinstance(dtype, T.DecimalType) and dtype != C.METRIC_DECIMAL
 
 
 def normalize_decimals(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Cast decimal metric columns back to ``METRIC_DECIMAL`` (exact for scale <= 8).
+    """Cast decimal metric columns back to ``METRIC_DECIMAL``.
 
     Spark widens precision on every sum and difference and, past 38 digits, silently drops
-    scale digits. Re-basing after each roll-up keeps every value exact. Non-decimal columns
-    (double or long inputs) are left alone.
+    scale digits. Re-basing after each roll-up keeps every value exact: a metric has at most
+    ``MAX_INPUT_SCALE`` digits of scale from its input and three from a share rate. A finer
+    column is refused, and so is a session in which an overflowing cast would be NULL. Other
+    columns (double or long inputs) are left alone.
     """
+    require_ansi(df.sparkSession)
     wanted = set(columns)
     fields = df.schema.fields
+    for f in fields:
+        if f.name in wanted and isinstance(f.dataType, T.DecimalType) and f.dataType.scale > C.METRIC_DECIMAL.scale:
+            raise ValueError(f"{f.name} has scale {f.dataType.scale}: inputs may have {C.MAX_INPUT_SCALE} digits of scale")
     if not any(f.name in wanted and _needs_rebase(f.dataType) for f in fields):
         return df
     exprs = [
@@ -62,48 +65,11 @@ def clamp_nonnegative(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return df.selectExpr(*[clamp_sql(c) if c in wanted else sql_col(c) for c in df.columns])
 
 
-#: decimals up to this scale (and precision 18) are summed as unscaled longs
-LONG_SUM_MAX_SCALE = 6
-
-
-def exact_sum_sql(column: str, dtype: T.DataType, ansi: bool) -> str:
-    """``sum(column)`` as SQL, exact.
-
-    Spark adds decimals wider than 18 digits (every decimal sum buffer of an 18-digit input)
-    through ``BigDecimal``. For a decimal of precision <= 18 and scale s <= 6 the value times
-    10^s is an exact integer that fits a long, so this sums that integer as BIGINT and rescales
-    once per group (what Spark's own optimizer does for precision <= 8). Only under ANSI mode,
-    where a long overflow raises instead of wrapping; otherwise a plain decimal sum.
-    """
-    c = sql_col(column)
-    if (
-        ansi
-        and isinstance(dtype, T.DecimalType)
-        and dtype.precision <= 18
-        and dtype.scale <= LONG_SUM_MAX_SCALE
-    ):
-        sc = dtype.scale
-        if sc == 0:
-            return f"CAST(sum(CAST({c} AS BIGINT)) AS DECIMAL(20,0))"
-        return (
-            f"(CAST(sum(CAST({c} * {10 ** sc} AS BIGINT)) AS DECIMAL(20,0))"
-            f" * CAST(1E-{sc} AS DECIMAL({sc},{sc})))"
-        )
-    return f"sum({c})"
-
-
-def ansi_enabled(df: DataFrame) -> bool:
-    return str(df.sparkSession.conf.get("spark.sql.ansi.enabled", "false")).lower() == "true"
-
-
-def exact_sums(df: DataFrame, columns: Sequence[str], names: Sequence[str] | None = None) -> list[Column]:
-    """``exact_sum_sql`` for several columns of ``df`` (schema resolved once)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    ansi = ansi_enabled(df)
-    names = names or columns
-    return [F.expr(f"{exact_sum_sql(c, types[c], ansi)} AS {sql_col(n)}") for c, n in zip(columns, names)]
-
-
 def sum_metrics(metrics: Sequence[str], prefix: str = "") -> list[Column]:
     """``sum(m) AS prefix+m`` for each metric."""
     return [F.expr(f"sum({sql_col(m)}) AS {sql_col(prefix + m)}") for m in metrics]
+
+
+def renamed_sums(columns: Sequence[str], names: Sequence[str]) -> list[Column]:
+    """``sum(column) AS name`` for each pair."""
+    return [F.expr(f"sum({sql_col(c)}) AS {sql_col(n)}") for c, n in zip(columns, names)]

@@ -54,12 +54,6 @@ class ShareCard:
         default = table["default"]
         return cls(tiers.apps_for(table), None if default is None else Decimal(default))
 
-    def rate_for(self, app: str | None) -> Decimal | None:
-        for name, rate in self.by_app:
-            if name == app:
-                return rate
-        return self.default
-
     def sql(self, measure: str, app: str = C.APP, overrides: Mapping[str, str] | None = None) -> str:
         """``measure * share(app)`` as SQL; ``measure`` is a column name or an expression
         (such as ``sum(x)`` when the share is applied per group), ``overrides`` swaps the

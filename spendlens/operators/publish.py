@@ -22,8 +22,11 @@ def to_published(df: DataFrame, policy: str = "legacy") -> DataFrame:
         money = count = C.METRIC_DECIMAL
     else:
         raise ValueError(f"unknown policy {policy!r}")
-    casts = {m: F.col(m).cast(money) for m in C.MONEY_METRICS if m in df.columns}
-    casts.update({m: F.col(m).cast(count) for m in C.COUNT_METRICS if m in df.columns})
+    missing = [m for m in C.METRICS if m not in df.columns]
+    if missing:
+        raise ValueError(f"not a complete table: {', '.join(missing)} missing")
+    casts = {m: F.col(m).cast(money) for m in C.MONEY_METRICS}
+    casts.update({m: F.col(m).cast(count) for m in C.COUNT_METRICS})
     return df.withColumns(casts)
 
 
@@ -66,7 +69,14 @@ def publish(
     channel_target: PublishTarget,
     policy: str = "legacy",
 ) -> None:
-    """Snapshots first, tables last: a failure leaves the tables at the previous run."""
+    """Snapshots first, tables last.
+
+    A failure while the snapshots are written leaves both tables at the previous run. The two
+    tables are not replaced together: if the second ``saveAsTable`` fails, the campaign table is
+    new and the channel table is the previous one, or absent if it failed halfway (an overwrite
+    drops first). Both dated snapshots are complete by then, so running ``write_table`` again
+    from them mends it without computing anything.
+    """
     write_snapshot(to_published(campaign, policy), campaign_target.snapshot_path)
     write_snapshot(to_published(channel, policy), channel_target.snapshot_path)
     write_table(spark, campaign_target.snapshot_path, campaign_target)

@@ -6,29 +6,36 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import Scratch
 from .rollup import game_rollup
 
 #: installs may shrink by at most this much per app, market and source between runs
 INSTALL_TOLERANCE = 1
+#: spend may shrink by this share: a publication holds 32-bit floats, whose rounding is below it
+SPEND_TOLERANCE = "0.000001"
+#: violations written out in the message; all of them are in the relation it names
+SHOWN = 20
 
 
 class QualityGateError(Exception):
-    """Raised when the new result regresses against the previous publication."""
+    """Raised when the new result regresses against the previous publication.
 
-    def __init__(self, violations: list[Row]):
-        self.violations = violations
-        super().__init__(self._message())
+    ``total`` counts all violations, ``path`` is the Parquet relation that holds every one of
+    them, ``shown`` the first few by key.
+    """
 
-    def _message(self) -> str:
-        lines = [f"{len(self.violations)} regression(s) against the previous publication:"]
-        for r in self.violations:
-            lines.append(
-                f"  {r[C.APP]} {r[C.MARKET]} {r[C.SOURCE]}: before {r['OLD_TOTAL_INSTALL']}"
-                f" installs up to {r['OLD_LAST_INSTALL_DT']} for ${float(r['OLD_TOTAL_SPEND'] or 0):.2f};"
-                f" after {r['NEW_TOTAL_INSTALL']} installs up to {r['NEW_LAST_INSTALL_DT']}"
-                f" for ${float(r['NEW_TOTAL_SPEND'] or 0):.2f}"
-            )
-        return "\n".join(lines)
+    def __init__(self, total: int, shown: list[Row], path: str):
+        self.total, self.shown, self.path = total, shown, path
+        head = f"{total} game(s) regressed; all are in {path}. First {len(shown)} of {total}:"
+        super().__init__("\n".join([head, *map(self._line, shown)]))
+
+    @staticmethod
+    def _line(r: Row) -> str:
+        change = ", ".join(
+            f"{name.lower().replace('_', ' ')} {r['OLD_' + name]} -> {r['NEW_' + name]}"
+            for name in ("LAST_INSTALL_DT", "TOTAL_INSTALL", "TOTAL_SPEND")
+        )
+        return f"  [{' / '.join(str(r[k]) for k in C.KG)}] {change}"
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -39,38 +46,44 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def regression_violations(
-    old: DataFrame, new: DataFrame, check_spend: bool = False
-) -> DataFrame:
-    """Games (app, market, source) present on both sides whose last install date went back,
-    or whose installs dropped by more than the tolerance (or whose spend dropped, if
-    ``check_spend``). Both sides are aggregated to game grain before the join, so only a
-    few rows per game meet in it."""
+def gate_outcome(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Every game (app, market, source) present on both sides with its old and new figures, and
+    whether its last install date went back, its installs dropped by more than the tolerance, and
+    its spend by more than its own. Both sides are aggregated to game grain before the join, so
+    only a few rows per game meet in it."""
     o = _prefixed(old, "OLD_")
     n = _prefixed(new, "NEW_")
     cond = None
     for k in C.KG:
         eq = o[k].eqNullSafe(n[k])
         cond = eq if cond is None else cond & eq
-    j = o.join(n, cond, "inner").select(
+    spend_floor = F.col("OLD_TOTAL_SPEND") * F.expr(f"1 - {SPEND_TOLERANCE}")
+    return o.join(n, cond, "inner").select(
         *[o[k] for k in C.KG],
         *[c for c in o.columns if c.startswith("OLD_")],
         *[c for c in n.columns if c.startswith("NEW_")],
+        (F.col("NEW_LAST_INSTALL_DT") < F.col("OLD_LAST_INSTALL_DT")).alias("DATE_WENT_BACK"),
+        (F.col("NEW_TOTAL_INSTALL") < F.col("OLD_TOTAL_INSTALL") - F.lit(INSTALL_TOLERANCE)).alias("INSTALLS_DROPPED"),
+        (F.col("NEW_TOTAL_SPEND") < spend_floor).alias("SPEND_DROPPED"),
     )
-    bad = (F.col("NEW_LAST_INSTALL_DT") < F.col("OLD_LAST_INSTALL_DT")) | (
-        F.col("NEW_TOTAL_INSTALL") < F.col("OLD_TOTAL_INSTALL") - F.lit(INSTALL_TOLERANCE)
-    )
-    if check_spend:
-        bad = bad | (F.col("NEW_TOTAL_SPEND") < F.col("OLD_TOTAL_SPEND"))
-    return j.where(bad)
 
 
-def assert_no_regression(
-    old: DataFrame | None, new: DataFrame, max_report: int = 20, check_spend: bool = False
-) -> None:
-    """Raise QualityGateError listing up to ``max_report`` violations; pass on a first run."""
+def regression_violations(old: DataFrame, new: DataFrame, check_spend: bool = False) -> DataFrame:
+    """The games of ``gate_outcome`` that regressed (in spend too, if ``check_spend``)."""
+    failed = ["DATE_WENT_BACK", "INSTALLS_DROPPED"] + ["SPEND_DROPPED"] * check_spend
+    return gate_outcome(old, new).where(" OR ".join(failed)).drop("DATE_WENT_BACK", "INSTALLS_DROPPED", "SPEND_DROPPED")
+
+
+def assert_no_regression(old: DataFrame | None, new: DataFrame, check_spend: bool = False) -> None:
+    """Raise QualityGateError if anything regressed; pass on a first run.
+
+    The violations are written to shared storage and stay there when the gate fails."""
     if old is None:
         return
-    rows = regression_violations(old, new, check_spend).limit(max_report).collect()
-    if rows:
-        raise QualityGateError(rows)
+    scratch = Scratch(new.sparkSession)
+    found = scratch.write(regression_violations(old, new, check_spend), "violations")
+    total = found.count()
+    if total:
+        shown = found.orderBy(*C.KG).limit(SHOWN).collect()
+        raise QualityGateError(total, shown, scratch.path("violations"))
+    scratch.release()

@@ -15,16 +15,8 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.fold import fold_organic
-from ..functions.metrics import (
-    ansi_enabled,
-    exact_sum_sql,
-    exact_sums,
-    normalize_decimals,
-    sum_metrics,
-    zero_metric,
-)
+from ..functions.metrics import normalize_decimals, renamed_sums, sum_metrics, zero_metric
 from ..functions.rates import RateBook, sql_col
-from .snapshot import latest_per_key
 
 
 def sum_of(sql: str, name: str):
@@ -37,27 +29,27 @@ def sum_of(sql: str, name: str):
 RATED_SUM_PRECISION = 34
 
 
-def group_sum(df: DataFrame | tuple, column: str) -> str:
+def column_types(df: DataFrame) -> dict[str, T.DataType]:
+    """Column types of ``df`` (resolved once, for many sums)."""
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def group_sum(types: dict[str, T.DataType], column: str) -> str:
     """SQL for ``sum(column)``, ready to be multiplied by a share rate.
 
     Every share rate depends only on application, market and date, which are grouping keys
     wherever a rate is applied, so ``sum(x * rate) = rate * sum(x)`` exactly: the rate is
-    applied once per group instead of once per row. ``df`` may be a DataFrame or a
-    ``column_types(df)`` mapping (resolve the schema once for many columns).
+    applied once per group instead of once per row.
     """
-    types, ansi = df if isinstance(df, tuple) else column_types(df)
     dtype = types[column]
-    total = exact_sum_sql(column, dtype, ansi)
+    total = f"sum({sql_col(column)})"
     if isinstance(dtype, T.DecimalType):
+        if dtype.scale > C.MAX_INPUT_SCALE:
+            raise ValueError(f"{column} has scale {dtype.scale}: inputs may have {C.MAX_INPUT_SCALE} digits of scale")
         return f"CAST({total} AS DECIMAL({RATED_SUM_PRECISION},{dtype.scale}))"
     return total
 
 
-def column_types(df: DataFrame) -> tuple[dict, bool]:
-    """Column types of ``df`` and whether ANSI mode is on (resolved once, for many sums)."""
-    return {f.name: f.dataType for f in df.schema.fields}, ansi_enabled(df)
-
-
 def rated(sql: str, name: str):
     return F.expr(f"{sql} AS {sql_col(name)}")
 
@@ -89,8 +81,7 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     def g(column: str) -> str:
         return group_sum(types, column)
 
-    aggs = exact_sums(
-        fact,
+    aggs = renamed_sums(
         ["EXPENSE_AMT", "USER_QTY", *C.RETENTION_METRICS],
         ["SPEND", C.INSTALL_RAW, *C.RETENTION_METRICS],
     )
@@ -115,32 +106,35 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
 
 
 #: integer digits kept for one user's summed projection, and for an install count: their
-#: product has (16 + s) + 10 + 1 digits, which must stay within 38 for Spark to keep every
-#: scale digit (an overflow raises under ANSI mode instead of rounding silently)
+#: product has (16 + s) + 10 + 1 digits, which stays within 38 for every scale allowed
 USER_LTV_INT_DIGITS = 16
 COUNT_DIGITS = 10
-MAX_PROJECTION_SCALE = 38 - USER_LTV_INT_DIGITS - COUNT_DIGITS - 1
 
 
 def latest_user_ltv(projections: DataFrame) -> DataFrame:
     """One row per user key: how many latest (tied) projection rows it has and their
-    summed subscription projection. Pre-aggregating here means the install join below
-    meets exactly one row per user instead of every tied snapshot row."""
+    summed subscription projection.
+
+    One scan of the history and two aggregates, both map-side first: rows are counted and summed
+    per user and date, and of a user's dates the last one's figures are kept. Tied rows have
+    one date, so they stay counted; rows without a key or a date never qualify.
+    """
     sub = "SUB_PROJECTEDREVENUE_365"
-    latest = latest_per_key(
-        projections.select(*C.USER_KEY, "PROJECTION_DT", sub), C.USER_KEY, "PROJECTION_DT"
-    )
     dtype = projections.schema[sub].dataType
-    total = exact_sum_sql(sub, dtype, ansi_enabled(projections))
+    total = f"sum({sql_col(sub)})"
     if isinstance(dtype, T.DecimalType):
-        if dtype.scale > MAX_PROJECTION_SCALE:
-            raise ValueError(
-                f"{sub} has scale {dtype.scale}; exact netting supports at most {MAX_PROJECTION_SCALE}"
-            )
+        if dtype.scale > C.MAX_INPUT_SCALE:
+            raise ValueError(f"{sub} has scale {dtype.scale}: inputs may have {C.MAX_INPUT_SCALE} digits of scale")
         total = f"CAST({total} AS DECIMAL({USER_LTV_INT_DIGITS + dtype.scale},{dtype.scale}))"
-    return latest.groupBy(*C.USER_KEY).agg(
-        F.count(F.lit(1)).alias("LATEST_ROWS"),
-        F.expr(f"{total} AS LATEST_SUB_LTV"),
+    dated = projections.where(
+        " AND ".join(f"{sql_col(c)} IS NOT NULL" for c in (*C.USER_KEY, "PROJECTION_DT"))
+    )
+    by_date = dated.groupBy(*C.USER_KEY, "PROJECTION_DT").agg(
+        F.count(F.lit(1)).alias("DATE_ROWS"), F.expr(f"{total} AS DATE_SUB_LTV")
+    )
+    return by_date.groupBy(*C.USER_KEY).agg(
+        F.max_by("DATE_ROWS", "PROJECTION_DT").alias("LATEST_ROWS"),
+        F.max_by("DATE_SUB_LTV", "PROJECTION_DT").alias("LATEST_SUB_LTV"),
     )
 
 
@@ -164,10 +158,7 @@ def install_ltv_rollup(
         & F.col(C.MARKET).isin(list(cfg.markets))
         & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
     )
-    if cfg.preaggregate_installs:
-        scoped = scoped.groupBy(*C.USER_KEY, *C.K6).agg(F.count(F.lit(1)).alias("INSTALLS"))
-    else:
-        scoped = scoped.select(*C.USER_KEY, *C.K6, F.lit(1).cast("long").alias("INSTALLS"))
+    scoped = scoped.groupBy(*C.USER_KEY, *C.K6).agg(F.count(F.lit(1)).alias("INSTALLS"))
     joined = scoped.join(latest_user_ltv(projections), on=list(C.USER_KEY), how="inner")
     alias = cfg.channel_alias if cfg.alias_install_channels else None
     folded = fold_organic(joined, cfg.paid_source_types, alias).withColumns(
@@ -180,7 +171,7 @@ def install_ltv_rollup(
     card = RateBook(cfg).subscription_ltv()
     out = folded.groupBy(*C.K6).agg(
         sum_of("MATCHED_ROWS", "INDIVIDUAL_INSTALLS"),
-        rated(card.sql(group_sum(folded, "MATCHED_SUB_LTV")), "SUB_LTV"),
+        rated(card.sql(group_sum(column_types(folded), "MATCHED_SUB_LTV")), "SUB_LTV"),
     )
     return normalize_decimals(out, ["SUB_LTV"])
 
@@ -199,10 +190,10 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
         & (F.col("INSTALL_DT") < F.lit(w.skan_end_exclusive))
     )
     book = RateBook(cfg)
+    types = column_types(skan)
     agg = scoped.groupBy(C.APP, C.CHANNEL, "PROMOTION_CD", "INSTALL_DT").agg(
-        *exact_sums(skan, ["INSTALL_NUM"], [C.INSTALL_RAW]),
-        rated(book.iap.sql(group_sum(skan, "GROSS_IAP_LTV_365_LATEST_VAL")), "IAP_LTV"),
-        *exact_sums(skan, ["NET_OVERALL_LTV_365_LATEST_VAL"], ["TOTAL_LTV"]),
+        *renamed_sums(["INSTALL_NUM", "NET_OVERALL_LTV_365_LATEST_VAL"], [C.INSTALL_RAW, "TOTAL_LTV"]),
+        rated(book.iap.sql(group_sum(types, "GROSS_IAP_LTV_365_LATEST_VAL")), "IAP_LTV"),
     )
     zero = zero_metric()
     reported = {C.INSTALL_RAW, "IAP_LTV", "TOTAL_LTV"}
@@ -232,7 +223,8 @@ def game_rollup(df: DataFrame) -> DataFrame:
     """X11: last install date, total spend and total installs per app, market and source."""
     out = df.groupBy(*C.KG).agg(
         F.max(C.DATE).alias("LAST_INSTALL_DT"),
-        F.sum("SPEND").alias("TOTAL_SPEND"),
+        # a publication has 32-bit floats: summed as decimals, the order of rows does not matter
+        F.sum(F.col("SPEND").cast(C.METRIC_DECIMAL)).alias("TOTAL_SPEND"),
         F.sum(C.INSTALL).alias("TOTAL_INSTALL"),
     )
     return normalize_decimals(out, ["TOTAL_SPEND", "TOTAL_INSTALL"])

@@ -42,6 +42,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--delay-days", type=int, default=C.REPORT_DELAY_DAYS)
     p.add_argument("--google-reduced-fee-from", type=_date, default=C.GOOGLE_REDUCED_FEE_FROM)
     p.add_argument("--policy", choices=("legacy", "clean"), default="legacy")
+    p.add_argument("--markets", default=",".join(C.MARKETS), help="comma-separated market codes")
+    p.add_argument("--fanout", choices=("keep", "collapse", "error"), default="keep",
+                   help="SKAN campaigns that match several MMP source types")
+    p.add_argument("--check-spend", action="store_true", help="gate on spend too")
     p.add_argument("--clean", action="store_true", help="corrected preset (no legacy quirks)")
     return p
 
@@ -54,6 +58,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         window=C.ReportWindow(start=args.start, as_of=args.run_date, delay_days=args.delay_days),
         tiers=C.RoyaltyTiers(args.tier_a, args.tier_b, args.tier_c),
         google_reduced_fee_from=args.google_reduced_fee_from,
+        markets=tuple(m.strip() for m in args.markets.split(",") if m.strip()),
+        fanout=args.fanout,
     )
     if args.clean:
         cfg = cfg.clean()
@@ -74,7 +80,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             PublishTarget(names.campaign_table, f"{base}/campaign_{stamp}.parquet"),
             PublishTarget(names.channel_table, f"{base}/channel_{stamp}.parquet"),
         )
-    run(spark, sources, cfg, *targets, policy=args.policy)
+    run(spark, sources, cfg, *targets, policy=args.policy, check_spend=args.check_spend)
     return 0
 
 

@@ -1,600 +1,432 @@
 """Independent SQL formulation of every registered query (runs on DuckDB).
 
-This is deliberately *not* generated from the Spark operators: it states the job the way
-its original SQL does (CASE arms per application, self-join to the maximum projection
-date, three aggregates and two left joins for the residual, NOT EXISTS for the anti join),
-over the same fixture derivation. Agreement between the two is the correctness check.
+Nothing here is imported or generated from the Spark side: run parameters, share rates, aliases
+and the fixtures' multipliers are stated again as small VALUES tables and literals, and rules are
+joins with those tables. Agreement between the two is the correctness check.
 
-Only types are aligned with the Spark side: sums are cast to DECIMAL(32,8) (exact, the
-inputs have at most 7 decimals) and results are presented as DOUBLE.
+Sums are exact decimals; results are presented as DOUBLE.
 """
 
 from __future__ import annotations
 
-from ..sources.fixtures import REVENUE_MULTIPLIERS, RETENTION_MULTIPLIERS
-
-# Fixture run parameters, restated as SQL literals.
-APPS = "('ECONOMY', 'STANDARD', 'PROMO', 'SMALL', 'MEDIUM')"
+# ---------------------------------------------------------------------------------------
+# The fixture run, as SQL literals.
+# ---------------------------------------------------------------------------------------
 START = "DATE '1995-04-01'"
-END = "DATE '2001-06-29'"  # run date 2001-07-02 minus the 3-day report delay
-AS_OF = "DATE '2001-07-02'"
-IOS_BOUNDARY = "DATE '2000-07-01'"  # run date minus 366 days
-GOOGLE_CUTOVER = "DATE '1998-01-01'"
-EARLIER_END = "DATE '2001-03-29'"  # gate pass case: run date 2001-04-02
-EARLIER_AS_OF = "DATE '2001-04-02'"
-EARLIER_IOS_BOUNDARY = "DATE '2000-04-01'"
-
-# Publisher shares as the original SQL states them, with the fixture
-# applications in the licensed roles (ECONOMY, PROMO, SMALL).
-IAP_ARMS = (("ECONOMY", "0.616"), ("PROMO", "0.525"), ("SMALL", "0.546"))
-IAP_ELSE = "0.7"
-AD_ARMS = (("ECONOMY", "0.88"), ("PROMO", "0.75"), ("SMALL", "0.78"))
-SUB_LOW = (("ECONOMY", "0.616"), ("PROMO", "0.525"), (None, "0.7"))
-SUB_HIGH = (("ECONOMY", "0.748"), ("PROMO", "0.638"), (None, "0.85"))
+EVER, NEVER = "DATE '0001-01-01'", "DATE '9999-12-31'"
+CUTOVER = "DATE '1998-01-01'"
+#: last MMP day, run date (SKAN ends before it), run date minus 366 days
+RUN = ("DATE '2001-06-29'", "DATE '2001-07-02'", "DATE '2000-07-01'")
+EARLIER_RUN = ("DATE '2001-03-29'", "DATE '2001-04-02'", "DATE '2000-04-01'")
+
+#: application: share of IAP, of ads, of subscriptions at the full and at the reduced store fee
+SHARES = """(VALUES
+  ('ECONOMY',  0.616, 0.880, 0.616, 0.748),
+  ('STANDARD', 0.700, 1.000, 0.700, 0.850),
+  ('PROMO',    0.525, 0.750, 0.525, 0.638),
+  ('SMALL',    0.546, 0.780, 0.700, 0.850),
+  ('MEDIUM',   0.700, 1.000, 0.700, 0.850))"""
+PAID = "(VALUES ('MM'), ('MK'), ('MC'))"
+ALIASES = "(VALUES ('SKANUAC', 'ADWORDS'), ('SKANFB', 'SGNFB'))"
 
 DAYS = ("001", "003", "007", "014", "028")
-MET = (
-    ["SPEND", "INSTALL_NUM"]
-    + [f"RETENTION_DAY_{d}_QTY" for d in ("001", "003", "007")]
-    + [f"{k}_REVS_DAY_{d}_AMT" for d in DAYS for k in ("IAP", "AD", "SUB")]
-    + ["IAP_LTV", "AD_LTV", "SUB_LTV", "TOTAL_LTV"]
-)
-MET_OUT = ["INSTALL" if m == "INSTALL_NUM" else m for m in MET]
-K6 = "APPLICATION_FAMILY_NAME, MARKET_CD, USER_SOURCE_TYPE_CD, CHANNEL_NAME, PROMOTION_NAME, CALENDAR_DT"
-K5_ON = lambda a, b: " AND ".join(
-    f"{a}.{k} = {b}.{k}"
-    for k in ("APPLICATION_FAMILY_NAME", "MARKET_CD", "CHANNEL_NAME", "PROMOTION_NAME", "CALENDAR_DT")
-)
-K6_ON = lambda a, b: K5_ON(a, b) + f" AND {a}.USER_SOURCE_TYPE_CD = {b}.USER_SOURCE_TYPE_CD"
-K3_ON = lambda a, b: " AND ".join(
-    f"{a}.{k} = {b}.{k}" for k in ("APPLICATION_FAMILY_NAME", "MARKET_CD", "CALENDAR_DT")
-)
-DEC = "DECIMAL(32,8)"
+RETENTION = {"001": "0.60", "003": "0.40", "007": "0.25"}
+GROSS = {
+    "REVS": dict(zip(DAYS, ("0.50", "0.90", "1.40", "1.90", "2.60"))),
+    "AD_REVS": dict(zip(DAYS, ("0.20", "0.35", "0.55", "0.80", "1.10"))),
+    "SUBSCRIPTIONS_REVS": dict(zip(DAYS, ("0.10", "0.25", "0.45", "0.70", "0.95"))),
+}
+
+RETAINED = [f"RETENTION_DAY_{d}_QTY" for d in RETENTION]
+REVENUES = [f"{k}_REVS_DAY_{d}_AMT" for d in DAYS for k in ("IAP", "AD", "SUB")]
+METRICS = ["SPEND", "INSTALL_NUM", *RETAINED, *REVENUES, "IAP_LTV", "AD_LTV", "SUB_LTV", "TOTAL_LTV"]
+OUT = ["INSTALL" if m == "INSTALL_NUM" else m for m in METRICS]
+COUNTS = ["INSTALL", *RETAINED]
+
+GAME = ["APPLICATION_FAMILY_NAME", "MARKET_CD", "SOURCE"]
+DAY_KEYS = ["APPLICATION_FAMILY_NAME", "MARKET_CD", "CALENDAR_DT"]
+PLACE = ["APPLICATION_FAMILY_NAME", "MARKET_CD", "CHANNEL_NAME", "PROMOTION_NAME", "CALENDAR_DT"]
+CAMPAIGN = [*PLACE[:2], "USER_SOURCE_TYPE_CD", *PLACE[2:]]
+FULL = [*GAME, "USER_SOURCE_TYPE_CD", *PLACE[2:]]
+CHANNEL = [k for k in FULL if k != "PROMOTION_NAME"]
+
+
+def _names(*parts) -> str:
+    return ", ".join(x for p in parts for x in ([p] if isinstance(p, str) else p))
 
 
-def _n(expr: str) -> str:
-    return f"CAST({expr} AS {DEC})"
+def _exact(expr: str, name: str) -> str:
+    return f"CAST({expr} AS DECIMAL(36,12)) AS {name}"
 
 
-def _dbl(expr: str, name: str) -> str:
-    return f"CAST({expr} AS DOUBLE) AS {name}"
+def _double(expr: str, name: str | None = None) -> str:
+    return f"CAST({expr} AS DOUBLE) AS {name or expr}"
+
+
+def _same(a: str, b: str, keys: list[str]) -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
 
 
 # ---------------------------------------------------------------------------------------
 # Fixtures
 # ---------------------------------------------------------------------------------------
-
-
-def _fixture_ctes() -> str:
-    fact_cols = []
-    for d, m in zip(("001", "003", "007"), RETENTION_MULTIPLIERS):
-        fact_cols.append(f"CAST(QTY * {m} AS DECIMAL(18,2)) AS RETENTION_DAY_{d}_QTY")
-    for i, d in enumerate(DAYS):
-        for kind, mults in REVENUE_MULTIPLIERS.items():
-            fact_cols.append(f"CAST(QTY * {mults[i]} AS DECIMAL(18,2)) AS {kind}_DAY_{d}_AMT")
-    fact_measures = ",\n    ".join(fact_cols)
+def _fixtures() -> str:
+    quantities = [f"CAST(QTY * {m} AS DECIMAL(18,2)) AS RETENTION_DAY_{d}_QTY" for d, m in RETENTION.items()]
+    quantities += [f"CAST(QTY * {m} AS DECIMAL(18,2)) AS {k}_DAY_{d}_AMT" for k, by in GROSS.items() for d, m in by.items()]
     return f"""
+source_of (o_orderpriority, src) AS (VALUES ('1-URGENT', 'MM'), ('2-HIGH', 'MK'), ('3-MEDIUM', 'MC'), ('4-NOT SPECIFIED', 'US')),
+channel_of (c_mktsegment, chan) AS (VALUES ('AUTOMOBILE', 'SKANUAC'), ('BUILDING', 'SKANFB'), ('FURNITURE', 'X_UNTRUSTED'),
+  ('HOUSEHOLD', 'ADWORDS')),
 dims AS (
-  SELECT
-    p.p_type AS APPLICATION_FAMILY_NAME,
-    CASE WHEN p.p_size = 50 THEN 'XX' WHEN l.l_linestatus = 'O' THEN 'IT' ELSE 'GO' END AS MARKET_CD,
-    CASE WHEN l.l_suppkey % 10 = 3 THEN NULL
-         WHEN o.o_orderpriority = '1-URGENT' THEN 'MM'
-         WHEN o.o_orderpriority = '2-HIGH' THEN 'MK'
-         WHEN o.o_orderpriority = '3-MEDIUM' THEN 'MC'
-         WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN 'US'
-         ELSE 'OT' END AS USER_SOURCE_TYPE_CD,
-    CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'SKANUAC' WHEN 'BUILDING' THEN 'SKANFB'
-         WHEN 'FURNITURE' THEN 'X_UNTRUSTED' WHEN 'HOUSEHOLD' THEN 'ADWORDS' ELSE 'UNITY' END AS CHANNEL_NAME,
-    'P' || CAST(p.p_size % 3 AS VARCHAR(4)) AS PROMOTION_NAME,
-    CAST(date_trunc('quarter', l.l_shipdate) AS DATE) AS EVENT_DT,
-    CASE WHEN l.l_returnflag = 'R' THEN 'Retargeting' ELSE 'New Installs' END AS MVP_CAMPAIGN_TYPE,
-    CAST(l.l_quantity AS DECIMAL(18,0)) AS QTY,
-    CAST(l.l_extendedprice AS DECIMAL(18,2)) AS PRICE,
-    CAST(l.l_discount AS DECIMAL(4,2)) AS DISCOUNT,
-    l.l_linenumber, l.l_suppkey, l.l_linestatus, o.o_custkey, o.o_orderstatus
-  FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
-  JOIN part p ON l.l_partkey = p.p_partkey
+  SELECT p_type AS APPLICATION_FAMILY_NAME,
+    CASE WHEN p_size = 50 THEN 'XX' WHEN l_linestatus = 'O' THEN 'IT' ELSE 'GO' END AS MARKET_CD,
+    CASE WHEN l_suppkey % 10 <> 3 THEN coalesce(src, 'OT') END AS USER_SOURCE_TYPE_CD,
+    coalesce(chan, 'UNITY') AS CHANNEL_NAME,
+    'P' || CAST(p_size % 3 AS VARCHAR(4)) AS PROMOTION_NAME,
+    CAST(date_trunc('quarter', l_shipdate) AS DATE) AS EVENT_DT,
+    CASE l_returnflag WHEN 'R' THEN 'Retargeting' ELSE 'New Installs' END AS MVP_CAMPAIGN_TYPE,
+    CAST(l_quantity AS DECIMAL(18,0)) AS QTY, CAST(l_extendedprice AS DECIMAL(18,2)) AS PRICE,
+    CAST(l_discount AS DECIMAL(4,2)) AS DISCOUNT, l_linenumber, l_linestatus, o_custkey, o_orderstatus
+  FROM lineitem
+  JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey
+  LEFT JOIN source_of USING (o_orderpriority) LEFT JOIN channel_of USING (c_mktsegment)
 ),
 promo_fact AS (
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, MVP_CAMPAIGN_TYPE, USER_SOURCE_TYPE_CD, CHANNEL_NAME,
-    PROMOTION_NAME, EVENT_DT AS CALENDAR_DT,
-    CAST(PRICE * DISCOUNT AS DECIMAL(18,4)) AS EXPENSE_AMT,
-    CAST(QTY AS DECIMAL(18,2)) AS USER_QTY,
-    {fact_measures},
-    PRICE AS LTV_365_LASTEST_VAL,
-    CAST(QTY * 7.25 AS DECIMAL(18,2)) AS AD_LTV_365_LASTEST_VAL
+  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, MVP_CAMPAIGN_TYPE, USER_SOURCE_TYPE_CD, CHANNEL_NAME, PROMOTION_NAME,
+    EVENT_DT AS CALENDAR_DT, CAST(PRICE * DISCOUNT AS DECIMAL(18,4)) AS EXPENSE_AMT, CAST(QTY AS DECIMAL(18,2)) AS USER_QTY,
+    PRICE AS LTV_365_LASTEST_VAL, CAST(QTY * 7.25 AS DECIMAL(18,2)) AS AD_LTV_365_LASTEST_VAL,
+    {_names(quantities)}
   FROM dims
 ),
 install AS (
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, USER_SOURCE_TYPE_CD, CHANNEL_NAME, PROMOTION_NAME,
-    EVENT_DT AS INSTALL_DT, o_orderstatus AS APPLICATION_CD, o_custkey AS ACCOUNT_ID,
-    o_custkey % 7 AS USER_ID
+  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, USER_SOURCE_TYPE_CD, CHANNEL_NAME, PROMOTION_NAME, EVENT_DT AS INSTALL_DT,
+    o_orderstatus AS APPLICATION_CD, o_custkey AS ACCOUNT_ID, o_custkey % 7 AS USER_ID
   FROM dims WHERE l_linenumber = 1
 ),
 individual_ltv AS (
   SELECT o_custkey AS ACCOUNT_ID, o_custkey % 7 AS USER_ID, o_orderstatus AS APPLICATION_CD,
     CAST(date_trunc('quarter', o_orderdate) AS DATE) AS PROJECTION_DT,
-    CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.02 AS DECIMAL(18,4)) AS IAP_PROJECTEDREVENUE_365,
-    CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.03 AS DECIMAL(18,4)) AS AD_PROJECTEDREVENUE_365,
-    CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,4)) AS SUB_PROJECTEDREVENUE_365
+    {_names([f"CAST(CAST(o_totalprice AS DECIMAL(18,2)) * {m} AS DECIMAL(18,4)) AS {k}_PROJECTEDREVENUE_365"
+             for k, m in (("IAP", "0.02"), ("AD", "0.03"), ("SUB", "0.01"))])}
   FROM orders
 ),
 skan_ltv AS (
-  SELECT APPLICATION_FAMILY_NAME,
-    CASE WHEN CHANNEL_NAME = 'SKANUAC' THEN 'ADWORDS' WHEN CHANNEL_NAME = 'SKANFB' THEN 'SGNFB'
-         ELSE CHANNEL_NAME END AS CHANNEL_NAME,
-    PROMOTION_NAME AS PROMOTION_CD, EVENT_DT AS INSTALL_DT,
+  SELECT APPLICATION_FAMILY_NAME, alias.name AS CHANNEL_NAME, PROMOTION_NAME AS PROMOTION_CD, EVENT_DT AS INSTALL_DT,
     CAST(QTY * 0.80 AS DECIMAL(18,2)) AS INSTALL_NUM,
     CAST(PRICE * 0.9 AS DECIMAL(18,3)) AS GROSS_IAP_LTV_365_LATEST_VAL,
     CAST(PRICE * 0.75 AS DECIMAL(18,4)) AS NET_OVERALL_LTV_365_LATEST_VAL
-  FROM dims
-  WHERE l_suppkey % 10 = 0 AND l_linestatus = 'O' AND USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC')
+  FROM dims JOIN alias ON alias.raw = dims.CHANNEL_NAME JOIN paid ON paid.src = dims.USER_SOURCE_TYPE_CD
+  WHERE l_linestatus = 'O'
 )"""
 
 
-# ---------------------------------------------------------------------------------------
-# Share CASE expressions
-# ---------------------------------------------------------------------------------------
-
-
-def _iap(x: str) -> str:
-    arms = " ".join(f"WHEN APPLICATION_FAMILY_NAME = '{a}' THEN {x} * {r}" for a, r in IAP_ARMS)
-    return f"CASE {arms} ELSE {x} * {IAP_ELSE} END"
-
-
-def _ad(x: str) -> str:
-    arms = " ".join(f"WHEN APPLICATION_FAMILY_NAME = '{a}' THEN {x} * {r}" for a, r in AD_ARMS)
-    return f"CASE {arms} ELSE {x} END"
-
-
-def _sub_arms(cond: str, card, x: str) -> list[str]:
-    out = []
-    for app, rate in card:
-        test = cond if app is None else f"{cond} AND APPLICATION_FAMILY_NAME = '{app}'"
-        out.append(f"WHEN {test} THEN {x} * {rate}")
-    return out
-
-
-def _sub_revenue(x: str, ios_boundary: str) -> str:
-    arms = (
-        _sub_arms(f"MARKET_CD = 'GO' AND CALENDAR_DT < {GOOGLE_CUTOVER}", SUB_LOW, x)
-        + _sub_arms(f"MARKET_CD = 'GO' AND CALENDAR_DT >= {GOOGLE_CUTOVER}", SUB_HIGH, x)
-        + _sub_arms(f"MARKET_CD = 'IT' AND CALENDAR_DT < {ios_boundary}", SUB_HIGH, x)
-        + _sub_arms(f"MARKET_CD = 'IT' AND CALENDAR_DT >= {ios_boundary}", SUB_LOW, x)
-    )
-    return f"ifnull(CASE {' '.join(arms)} ELSE 0 END, 0)"
-
-
-def _sub_ltv(x: str) -> str:
-    arms = (
-        _sub_arms(f"MARKET_CD = 'GO' AND CALENDAR_DT < {GOOGLE_CUTOVER}", SUB_LOW, x)
-        + _sub_arms(f"MARKET_CD = 'GO' AND CALENDAR_DT >= {GOOGLE_CUTOVER}", SUB_HIGH, x)
-        + _sub_arms("MARKET_CD = 'IT'", SUB_LOW, x)
-    )
-    return f"ifnull(CASE {' '.join(arms)} ELSE 0 END, 0)"
-
-
-def _iap_legacy_day(d: str) -> str:
-    """IAP revenue of day d, where the original SQL reads day 1 for SMALL at 14 and 28."""
-    x = f"REVS_DAY_{d}_AMT"
-    small = "REVS_DAY_001_AMT" if d in ("014", "028") else x
-    return (
-        f"CASE WHEN APPLICATION_FAMILY_NAME = 'ECONOMY' THEN {x} * 0.616 "
-        f"WHEN APPLICATION_FAMILY_NAME = 'PROMO' THEN {x} * 0.525 "
-        f"WHEN APPLICATION_FAMILY_NAME = 'SMALL' THEN {small} * 0.546 "
-        f"ELSE {x} * 0.7 END"
-    )
-
-
-FOLD = """CASE WHEN USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC') THEN
-      CASE WHEN CHANNEL_NAME = 'SKANUAC' THEN 'ADWORDS' WHEN CHANNEL_NAME = 'SKANFB' THEN 'SGNFB'
-           ELSE CHANNEL_NAME END
-    ELSE 'ORGANIC' END AS CHANNEL_NAME,
-    CASE WHEN USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC') THEN PROMOTION_NAME ELSE 'ORGANIC' END AS PROMOTION_NAME"""
-
-FACT_SCOPE = f"""APPLICATION_FAMILY_NAME IN {APPS} AND MARKET_CD IN ('IT', 'GO')
-    AND CHANNEL_NAME NOT LIKE '%UNTRUSTED%' AND CALENDAR_DT BETWEEN {START} AND {{end}}
-    AND MVP_CAMPAIGN_TYPE = 'New Installs'"""
+RULES = f"""
+shares (app, iap, ad, full_fee, reduced_fee) AS {SHARES},
+paid (src) AS {PAID},
+alias (raw, name) AS {ALIASES}"""
 
 
 # ---------------------------------------------------------------------------------------
-# Pipeline stages as CTEs (parameterised by run so the gate can build an earlier run)
+# Stages of one run (named with a prefix, so that two runs can stand side by side)
 # ---------------------------------------------------------------------------------------
+def _gross_iap(day: str, legacy: bool = True) -> str:
+    """Gross IAP revenue of a day; SMALL's days 14 and 28 read day 1 in the published job."""
+    x = f"REVS_DAY_{day}_AMT"
+    return f"CASE app WHEN 'SMALL' THEN REVS_DAY_001_AMT ELSE {x} END" if legacy and day in ("014", "028") else x
 
 
-def _stage_ctes(p: str = "", end: str = END, as_of: str = AS_OF, ios_boundary: str = IOS_BOUNDARY) -> str:
-    """CTEs ``{p}fact_rollup`` .. ``{p}channel`` for one run; ``p`` prefixes their names."""
-    sums = [
-        f"{_n('sum(EXPENSE_AMT)')} AS SPEND",
-        f"{_n('sum(USER_QTY)')} AS INSTALL_NUM",
-    ] + [f"{_n(f'sum(RETENTION_DAY_{d}_QTY)')} AS RETENTION_DAY_{d}_QTY" for d in ("001", "003", "007")]
-    for d in DAYS:
-        sums.append(f"{_n(f'sum({_iap_legacy_day(d)})')} AS IAP_REVS_DAY_{d}_AMT")
-        sums.append(f"{_n(f'sum({_ad(f'AD_REVS_DAY_{d}_AMT')})')} AS AD_REVS_DAY_{d}_AMT")
-        sums.append(
-            f"{_n(f'sum({_sub_revenue(f'SUBSCRIPTIONS_REVS_DAY_{d}_AMT', ios_boundary)})')} AS SUB_REVS_DAY_{d}_AMT"
-        )
-    sums.append(f"{_n(f'sum({_iap('LTV_365_LASTEST_VAL')})')} AS IAP_LTV")
-    sums.append(f"{_n(f'sum({_ad('AD_LTV_365_LASTEST_VAL')})')} AS AD_LTV")
-    fact_sums = ",\n    ".join(sums)
-
-    detail_metrics = ", ".join(f"f.{m}" for m in MET if m not in ("SUB_LTV", "TOTAL_LTV"))
-    skan_zero = {m for m in MET} - {"SPEND", "INSTALL_NUM", "IAP_LTV", "TOTAL_LTV"}
-    skan_cols = []
-    for m in MET:
-        if m == "SPEND":
-            continue
-        if m == "INSTALL_NUM":
-            skan_cols.append(f"{_n('sum(INSTALL_NUM)')} AS INSTALL_NUM")
-        elif m == "IAP_LTV":
-            skan_cols.append(f"{_n(f'sum({_iap('GROSS_IAP_LTV_365_LATEST_VAL')})')} AS IAP_LTV")
-        elif m == "TOTAL_LTV":
-            skan_cols.append(f"{_n('sum(NET_OVERALL_LTV_365_LATEST_VAL)')} AS TOTAL_LTV")
-        elif m in skan_zero:
-            skan_cols.append(f"{_n('0')} AS {m}")
-    skan_select = ",\n    ".join(skan_cols)
-
-    def part(prefix: str, src: str, where: str) -> str:
-        cols = ", ".join(f"{_n(f'sum({m})')} AS {prefix}{m}" for m in MET)
-        w = f"WHERE {where}" if where else ""
-        return (
-            f"SELECT APPLICATION_FAMILY_NAME, MARKET_CD, CALENDAR_DT, {cols} FROM {p}{src} {w} "
-            "GROUP BY APPLICATION_FAMILY_NAME, MARKET_CD, CALENDAR_DT"
-        )
+def _net(day: str) -> dict[str, str]:
+    return {
+        f"IAP_REVS_DAY_{day}_AMT": f"sum({_gross_iap(day)} * iap)",
+        f"AD_REVS_DAY_{day}_AMT": f"sum(AD_REVS_DAY_{day}_AMT * ad)",
+        f"SUB_REVS_DAY_{day}_AMT": f"coalesce(sum(SUBSCRIPTIONS_REVS_DAY_{day}_AMT * sub), 0)",
+    }
 
-    residual_cols = ",\n    ".join(
-        _n(f"t.MMP_TOTAL_{m} - coalesce(pd.MMP_PAID_{m}, 0) - coalesce(s.SKAN_PAID_{m}, 0)") + f" AS {m}"
-        for m in MET
-    )
-    keys7 = "APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, USER_SOURCE_TYPE_CD, CHANNEL_NAME, PROMOTION_NAME, CALENDAR_DT"
-    union_cols = f"{keys7}, " + ", ".join(MET)
-    clamp_cols = ",\n    ".join(
-        f"CASE WHEN {m} >= 0 THEN {m} ELSE 0 END AS {'INSTALL' if m == 'INSTALL_NUM' else m}" for m in MET
-    )
-    channel_sums = ", ".join(f"{_n(f'sum({m})')} AS {m}" for m in MET_OUT)
+
+def _stages(p: str = "", run: tuple[str, str, str] = RUN) -> str:
+    end, as_of, year_ago = run
+    net = {"SPEND": "sum(EXPENSE_AMT)", "INSTALL_NUM": "sum(USER_QTY)"} | {m: f"sum({m})" for m in RETAINED}
+    for d in DAYS:
+        net |= _net(d)
+    net |= {"IAP_LTV": "sum(LTV_365_LASTEST_VAL * iap)", "AD_LTV": "sum(AD_LTV_365_LASTEST_VAL * ad)"}
+    skan = dict.fromkeys(METRICS[1:], "0") | {
+        "INSTALL_NUM": "sum(INSTALL_NUM)",
+        "IAP_LTV": "sum(GROSS_IAP_LTV_365_LATEST_VAL * iap)",
+        "TOTAL_LTV": "sum(NET_OVERALL_LTV_365_LATEST_VAL)",
+    }
+    plus, minus = ("sum({}) FILTER (WHERE side = 'all')", "coalesce(sum({}) FILTER (WHERE side <> 'all'), 0)")
     return f"""
-{p}scoped_fact AS (
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, MVP_CAMPAIGN_TYPE, USER_SOURCE_TYPE_CD,
-    {FOLD},
-    CALENDAR_DT, EXPENSE_AMT, USER_QTY, RETENTION_DAY_001_QTY, RETENTION_DAY_003_QTY, RETENTION_DAY_007_QTY,
-    {", ".join(f"REVS_DAY_{d}_AMT, AD_REVS_DAY_{d}_AMT, SUBSCRIPTIONS_REVS_DAY_{d}_AMT" for d in DAYS)},
-    LTV_365_LASTEST_VAL, AD_LTV_365_LASTEST_VAL
-  FROM promo_fact
-  WHERE {FACT_SCOPE.format(end=end)}
+{p}fees (use_, market, d_from, d_to, fee) AS (VALUES
+  ('revenue', 'GO', {EVER}, {CUTOVER}, 'full'), ('revenue', 'GO', {CUTOVER}, {NEVER}, 'reduced'),
+  ('revenue', 'IT', {EVER}, {year_ago}, 'reduced'), ('revenue', 'IT', {year_ago}, {NEVER}, 'full'),
+  ('ltv', 'GO', {EVER}, {CUTOVER}, 'full'), ('ltv', 'GO', {CUTOVER}, {NEVER}, 'reduced'),
+  ('ltv', 'IT', {EVER}, {NEVER}, 'full')),
+{p}sub_shares AS (
+  SELECT use_, app, market, d_from, d_to, CASE fee WHEN 'full' THEN full_fee ELSE reduced_fee END AS sub
+  FROM shares CROSS JOIN {p}fees
 ),
-{p}fact_rollup AS (
-  SELECT {K6},
-    {fact_sums}
-  FROM {p}scoped_fact
-  GROUP BY {K6}
-  HAVING sum(EXPENSE_AMT) > 0 OR sum(USER_QTY) > 0
+{p}netted AS (
+  SELECT f.* EXCLUDE (CHANNEL_NAME, PROMOTION_NAME), s.app, s.iap, s.ad, r.sub,
+    CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE coalesce(alias.name, f.CHANNEL_NAME) END AS CHANNEL_NAME,
+    CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE f.PROMOTION_NAME END AS PROMOTION_NAME
+  FROM promo_fact f
+  JOIN shares s ON s.app = f.APPLICATION_FAMILY_NAME
+  JOIN {p}sub_shares r ON r.use_ = 'revenue' AND r.app = s.app AND r.market = f.MARKET_CD
+    AND f.CALENDAR_DT >= r.d_from AND f.CALENDAR_DT < r.d_to
+  LEFT JOIN paid ON paid.src = f.USER_SOURCE_TYPE_CD
+  LEFT JOIN alias ON alias.raw = f.CHANNEL_NAME
+  WHERE f.CALENDAR_DT >= {START} AND f.CALENDAR_DT <= {end} AND f.MVP_CAMPAIGN_TYPE = 'New Installs'
+    AND f.CHANNEL_NAME NOT LIKE '%UNTRUSTED%'
 ),
-{p}user_max_dt AS (
-  SELECT ACCOUNT_ID, USER_ID, APPLICATION_CD, max(PROJECTION_DT) AS MAX_PROJECTION_DT
-  FROM individual_ltv GROUP BY ACCOUNT_ID, USER_ID, APPLICATION_CD
+{p}fact_rollup AS (
+  SELECT * FROM (
+    SELECT {_names(CAMPAIGN, [_exact(x, m) for m, x in net.items()])} FROM {p}netted GROUP BY ALL
+  ) g WHERE SPEND > 0 OR INSTALL_NUM > 0
 ),
-{p}user_latest AS (
-  SELECT a.ACCOUNT_ID, a.USER_ID, a.APPLICATION_CD, a.SUB_PROJECTEDREVENUE_365 AS SUB_LTV
-  FROM individual_ltv a JOIN {p}user_max_dt b
-    ON a.ACCOUNT_ID = b.ACCOUNT_ID AND a.USER_ID = b.USER_ID AND a.APPLICATION_CD = b.APPLICATION_CD
-   AND a.PROJECTION_DT = b.MAX_PROJECTION_DT
+{p}dated AS (
+  SELECT *, rank() OVER (PARTITION BY ACCOUNT_ID, USER_ID, APPLICATION_CD ORDER BY PROJECTION_DT DESC) AS age
+  FROM individual_ltv
+  WHERE PROJECTION_DT IS NOT NULL AND ACCOUNT_ID IS NOT NULL AND USER_ID IS NOT NULL AND APPLICATION_CD IS NOT NULL
 ),
-{p}install_latest AS (
-  SELECT a.APPLICATION_FAMILY_NAME, a.MARKET_CD, a.USER_SOURCE_TYPE_CD, a.CHANNEL_NAME, a.PROMOTION_NAME,
-    a.INSTALL_DT AS CALENDAR_DT, b.SUB_LTV
-  FROM install a JOIN {p}user_latest b
-    ON a.APPLICATION_CD = b.APPLICATION_CD AND a.ACCOUNT_ID = b.ACCOUNT_ID AND a.USER_ID = b.USER_ID
+{p}per_user AS (
+  SELECT ACCOUNT_ID, USER_ID, APPLICATION_CD, count(*) AS n, sum(SUB_PROJECTEDREVENUE_365) AS gross
+  FROM {p}dated WHERE age = 1 GROUP BY ALL
 ),
-{p}sub_rollup AS (
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, USER_SOURCE_TYPE_CD,
-    CASE WHEN USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC') THEN CHANNEL_NAME ELSE 'ORGANIC' END AS CHANNEL_NAME,
-    CASE WHEN USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC') THEN PROMOTION_NAME ELSE 'ORGANIC' END AS PROMOTION_NAME,
-    CALENDAR_DT,
-    count(*) AS INDIVIDUAL_INSTALLS,
-    {_n(f"sum({_sub_ltv('SUB_LTV')})")} AS SUB_LTV
-  FROM {p}install_latest
-  WHERE APPLICATION_FAMILY_NAME IN {APPS} AND MARKET_CD IN ('IT', 'GO') AND CALENDAR_DT BETWEEN {START} AND {end}
-  GROUP BY 1, 2, 3, 4, 5, 6
+{p}user_value AS (
+  SELECT i.APPLICATION_FAMILY_NAME, i.MARKET_CD, i.USER_SOURCE_TYPE_CD,
+    CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE i.CHANNEL_NAME END AS CHANNEL_NAME,
+    CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE i.PROMOTION_NAME END AS PROMOTION_NAME,
+    i.INSTALL_DT AS CALENDAR_DT, CAST(sum(n) AS BIGINT) AS INDIVIDUAL_INSTALLS,
+    {_exact('coalesce(sum(gross * sub), 0)', 'SUB_LTV')}
+  FROM install i JOIN {p}per_user USING (ACCOUNT_ID, USER_ID, APPLICATION_CD)
+  JOIN {p}sub_shares r ON r.use_ = 'ltv' AND r.app = i.APPLICATION_FAMILY_NAME AND r.market = i.MARKET_CD
+    AND i.INSTALL_DT >= r.d_from AND i.INSTALL_DT < r.d_to
+  LEFT JOIN paid ON paid.src = i.USER_SOURCE_TYPE_CD
+  WHERE i.INSTALL_DT >= {START} AND i.INSTALL_DT <= {end}
+  GROUP BY ALL
 ),
 {p}details AS (
-  SELECT f.APPLICATION_FAMILY_NAME, f.MARKET_CD, f.USER_SOURCE_TYPE_CD, f.CHANNEL_NAME, f.PROMOTION_NAME,
-    f.CALENDAR_DT, {detail_metrics},
-    {_n('coalesce(s.SUB_LTV, 0)')} AS SUB_LTV,
-    {_n('f.IAP_LTV + f.AD_LTV + coalesce(s.SUB_LTV, 0)')} AS TOTAL_LTV
-  FROM {p}fact_rollup f LEFT JOIN {p}sub_rollup s ON {K6_ON('f', 's')}
+  SELECT f.*, coalesce(u.SUB_LTV, 0) AS SUB_LTV, {_exact('f.IAP_LTV + f.AD_LTV + coalesce(u.SUB_LTV, 0)', 'TOTAL_LTV')}
+  FROM {p}fact_rollup f LEFT JOIN {p}user_value u ON {_same('f', 'u', CAMPAIGN)}
 ),
 {p}skan_rollup AS (
-  SELECT APPLICATION_FAMILY_NAME, 'IT' AS MARKET_CD, 'SKAN' AS SOURCE, CHANNEL_NAME,
-    PROMOTION_CD AS PROMOTION_NAME, INSTALL_DT AS CALENDAR_DT,
-    {skan_select}
-  FROM skan_ltv
-  WHERE APPLICATION_FAMILY_NAME IN {APPS} AND CHANNEL_NAME NOT LIKE '%UNTRUSTED%'
-    AND INSTALL_DT >= {START} AND INSTALL_DT < {as_of}
-  GROUP BY 1, 2, 3, 4, 5, 6
+  SELECT APPLICATION_FAMILY_NAME, 'IT' AS MARKET_CD, 'SKAN' AS SOURCE, CHANNEL_NAME, PROMOTION_CD AS PROMOTION_NAME,
+    INSTALL_DT AS CALENDAR_DT, {_names([_exact(x, m) for m, x in skan.items()])}
+  FROM skan_ltv JOIN shares ON app = APPLICATION_FAMILY_NAME
+  WHERE CHANNEL_NAME NOT LIKE '%UNTRUSTED%' AND INSTALL_DT >= {START} AND INSTALL_DT < {as_of}
+  GROUP BY APPLICATION_FAMILY_NAME, CHANNEL_NAME, PROMOTION_CD, INSTALL_DT
 ),
 {p}enriched AS (
-  SELECT s.*, coalesce(d.USER_SOURCE_TYPE_CD, 'MK') AS USER_SOURCE_TYPE_CD,
-    {_n('coalesce(d.SPEND, 0)')} AS SPEND
-  FROM {p}skan_rollup s LEFT JOIN {p}details d ON {K5_ON('s', 'd')}
+  SELECT k.*, coalesce(d.USER_SOURCE_TYPE_CD, 'MK') AS USER_SOURCE_TYPE_CD, coalesce(d.SPEND, 0) AS SPEND
+  FROM {p}skan_rollup k LEFT JOIN {p}details d ON {_same('k', 'd', PLACE)}
 ),
 {p}remainder AS (
   SELECT d.*, 'Non-SKAN' AS SOURCE FROM {p}details d
-  WHERE NOT EXISTS (SELECT 1 FROM {p}enriched e WHERE {K5_ON('e', 'd')})
+  WHERE NOT EXISTS (SELECT 1 FROM {p}skan_rollup k WHERE {_same('k', 'd', PLACE)})
+),
+{p}sides AS (
+  SELECT 'all' AS side, {_names(DAY_KEYS, METRICS)} FROM {p}details WHERE MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD IN ('MK', 'US')
+  UNION ALL
+  SELECT 'unreported', {_names(DAY_KEYS, METRICS)} FROM {p}remainder WHERE MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD = 'MK'
+  UNION ALL
+  SELECT 'reported', {_names(DAY_KEYS, METRICS)} FROM {p}enriched
 ),
-{p}part_total AS ({part('MMP_TOTAL_', 'details', "MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD IN ('MK', 'US')")}),
-{p}part_paid AS ({part('MMP_PAID_', 'remainder', "MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD = 'MK'")}),
-{p}part_skan AS ({part('SKAN_PAID_', 'enriched', '')}),
 {p}residual AS (
-  SELECT t.APPLICATION_FAMILY_NAME, t.MARKET_CD, t.CALENDAR_DT, 'US' AS USER_SOURCE_TYPE_CD,
-    'Non-SKAN' AS SOURCE, 'ORGANIC' AS CHANNEL_NAME, 'ORGANIC' AS PROMOTION_NAME,
-    {residual_cols}
-  FROM {p}part_total t
-  LEFT JOIN {p}part_paid pd ON {K3_ON('t', 'pd')}
-  LEFT JOIN {p}part_skan s ON {K3_ON('t', 's')}
+  SELECT {_names(DAY_KEYS)}, 'US' AS USER_SOURCE_TYPE_CD, 'Non-SKAN' AS SOURCE, 'ORGANIC' AS CHANNEL_NAME,
+    'ORGANIC' AS PROMOTION_NAME, {_names([_exact(f"{plus.format(m)} - {minus.format(m)}", m) for m in METRICS])}
+  FROM {p}sides GROUP BY {_names(DAY_KEYS)} HAVING count(*) FILTER (WHERE side = 'all') > 0
 ),
 {p}campaign_raw AS (
-  SELECT {union_cols} FROM {p}residual
-  UNION ALL
-  SELECT {union_cols} FROM {p}remainder WHERE MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD <> 'US'
-  UNION ALL
-  SELECT {union_cols} FROM {p}enriched
-  UNION ALL
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, 'Non-SKAN' AS SOURCE, USER_SOURCE_TYPE_CD, CHANNEL_NAME,
-    PROMOTION_NAME, CALENDAR_DT, {", ".join(MET)} FROM {p}details WHERE MARKET_CD = 'GO'
+  SELECT {_names(FULL, METRICS)} FROM {p}residual
+  UNION ALL SELECT {_names(FULL, METRICS)} FROM {p}enriched
+  UNION ALL SELECT {_names(FULL, METRICS)} FROM {p}remainder
+    WHERE MARKET_CD = 'GO' OR MARKET_CD = 'IT' AND USER_SOURCE_TYPE_CD <> 'US'
 ),
 {p}campaign AS (
-  SELECT {keys7},
-    {clamp_cols}
-  FROM {p}campaign_raw
+  SELECT {_names(FULL, [f"greatest(coalesce({m}, 0), 0) AS {o}" for m, o in zip(METRICS, OUT)])} FROM {p}campaign_raw
 ),
 {p}channel AS (
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, USER_SOURCE_TYPE_CD, CHANNEL_NAME, CALENDAR_DT,
-    {channel_sums}
-  FROM {p}campaign
-  GROUP BY APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, USER_SOURCE_TYPE_CD, CHANNEL_NAME, CALENDAR_DT
+  SELECT {_names(CHANNEL, [_exact(f"sum({m})", m) for m in OUT])} FROM {p}campaign GROUP BY ALL
 )"""
 
 
-#: when False, the SQL reads fixture relations registered as views (promo_fact, install,
-#: individual_ltv, skan_ltv) instead of deriving them inline; used to run the same
-#: reference-shaped SQL on Spark over the staged fixtures (bench.py)
-_INLINE_FIXTURES = True
-
+def _query(body: str, *stage_sets: str) -> str:
+    return "WITH " + ",".join([RULES, _fixtures(), *stage_sets]) + "\n" + body
 
-def _with(body: str, *stage_sets: str) -> str:
-    parts = ([_fixture_ctes()] if _INLINE_FIXTURES else []) + [s.strip().rstrip(",") for s in stage_sets]
-    parts = [p.strip() for p in parts if p.strip()]
-    if not parts:
-        return body
-    return "WITH " + ",\n".join(parts) + "\n" + body
 
+def _stage(name: str, keys: list[str], metrics: list[str]) -> str:
+    return _query(f"SELECT {_names(keys, [_double(m) for m in metrics])} FROM {name}", _stages())
 
-def _present(cols: list[str]) -> str:
-    return ", ".join(_dbl(c, c) for c in cols)
 
+def _side(side: str, prefix: str) -> str:
+    sums = [_double(f"sum({m})", prefix + m) for m in METRICS]
+    return _query(f"SELECT {_names(DAY_KEYS, sums)} FROM sides WHERE side = '{side}' GROUP BY ALL", _stages())
 
-KEYS6 = ["APPLICATION_FAMILY_NAME", "MARKET_CD", "USER_SOURCE_TYPE_CD", "CHANNEL_NAME", "PROMOTION_NAME", "CALENDAR_DT"]
-KEYS7 = ["APPLICATION_FAMILY_NAME", "MARKET_CD", "SOURCE", "USER_SOURCE_TYPE_CD", "CHANNEL_NAME", "PROMOTION_NAME", "CALENDAR_DT"]
 
+def _published(stage: str, metrics: list[str] = OUT, keys: list[str] = FULL) -> str:
+    cast = [f"CAST(trunc({m}) AS INTEGER) AS {m}" if m in COUNTS else f"CAST({m} AS FLOAT) AS {m}" for m in metrics]
+    return f"SELECT {_names(keys, cast)} FROM {stage}"
 
-def _select_stage(stage: str, keys: list[str], metrics: list[str]) -> str:
-    return _with(f"SELECT {', '.join(keys)}, {_present(metrics)} FROM {stage}", _stage_ctes())
 
-
-def _published(stage: str, extra: str = "") -> str:
-    money = [m for m in MET_OUT if m not in ("INSTALL", "RETENTION_DAY_001_QTY", "RETENTION_DAY_003_QTY", "RETENTION_DAY_007_QTY")]
-    cols = ", ".join(KEYS7) + ", " + ", ".join(
-        f"CAST({m} AS FLOAT) AS {m}" if m in money else f"CAST(trunc({m}) AS INTEGER) AS {m}"
-        for m in MET_OUT
-    )
-    return f"SELECT {cols} FROM {stage} {extra}"
+def _scoped(keys: list[str], columns: dict[str, str]) -> str:
+    cols = [_double(x, m) for m, x in columns.items()]
+    return _query(f"SELECT {_names(keys, cols)} FROM netted GROUP BY {_names(keys)}", _stages())
 
 
 def _q02() -> str:
-    cols = []
+    columns = {}
     for d in DAYS:
-        cols.append(f"{_dbl(f'sum({_iap_legacy_day(d)})', f'IAP_REVS_DAY_{d}_AMT')}")
+        columns[f"IAP_REVS_DAY_{d}_AMT"] = f"sum({_gross_iap(d)} * iap)"
         if d in ("014", "028"):
-            cols.append(f"{_dbl(f'sum({_iap(f"REVS_DAY_{d}_AMT")})', f'IAP_REVS_DAY_{d}_AMT_CLEAN')}")
-    cols.append(_dbl(f"sum({_iap('LTV_365_LASTEST_VAL')})", "IAP_LTV"))
-    return _with(
-        f"SELECT APPLICATION_FAMILY_NAME, MARKET_CD, {', '.join(cols)} FROM promo_fact "
-        f"WHERE {FACT_SCOPE.format(end=END)} GROUP BY 1, 2"
-    )
+            columns[f"IAP_REVS_DAY_{d}_AMT_CLEAN"] = f"sum({_gross_iap(d, legacy=False)} * iap)"
+    return _scoped(DAY_KEYS[:2], columns | {"IAP_LTV": "sum(LTV_365_LASTEST_VAL * iap)"})
 
 
 def _q03() -> str:
-    cols = [_dbl(f"sum({_ad(f'AD_REVS_DAY_{d}_AMT')})", f"AD_REVS_DAY_{d}_AMT") for d in DAYS]
-    cols.append(_dbl(f"sum({_ad('AD_LTV_365_LASTEST_VAL')})", "AD_LTV"))
-    return _with(
-        f"SELECT APPLICATION_FAMILY_NAME, MARKET_CD, {', '.join(cols)} FROM promo_fact "
-        f"WHERE {FACT_SCOPE.format(end=END)} GROUP BY 1, 2"
-    )
+    columns = {m: x for d in DAYS for m, x in _net(d).items() if m.startswith("AD_")}
+    return _scoped(DAY_KEYS[:2], columns | {"AD_LTV": "sum(AD_LTV_365_LASTEST_VAL * ad)"})
 
 
 def _q04() -> str:
-    cols = [
-        _dbl(f"sum({_sub_revenue(f'SUBSCRIPTIONS_REVS_DAY_{d}_AMT', IOS_BOUNDARY)})", f"SUB_REVS_DAY_{d}_AMT")
-        for d in DAYS
-    ]
-    return _with(
-        f"SELECT APPLICATION_FAMILY_NAME, MARKET_CD, CALENDAR_DT, {', '.join(cols)} FROM promo_fact "
-        f"WHERE {FACT_SCOPE.format(end=END)} GROUP BY 1, 2, 3"
-    )
-
-
-def _q05() -> str:
-    return _with(
-        """SELECT a.ACCOUNT_ID, a.USER_ID, a.APPLICATION_CD, a.PROJECTION_DT,
-  CAST(a.IAP_PROJECTEDREVENUE_365 AS DOUBLE) AS IAP_PROJECTEDREVENUE_365,
-  CAST(a.AD_PROJECTEDREVENUE_365 AS DOUBLE) AS AD_PROJECTEDREVENUE_365,
-  CAST(a.SUB_PROJECTEDREVENUE_365 AS DOUBLE) AS SUB_PROJECTEDREVENUE_365
-FROM individual_ltv a JOIN user_max_dt b
-  ON a.ACCOUNT_ID = b.ACCOUNT_ID AND a.USER_ID = b.USER_ID AND a.APPLICATION_CD = b.APPLICATION_CD
- AND a.PROJECTION_DT = b.MAX_PROJECTION_DT""",
-        _stage_ctes(),
-    )
+    return _scoped(DAY_KEYS, {m: x for d in DAYS for m, x in _net(d).items() if m.startswith("SUB_")})
 
 
-def _q06() -> str:
-    return _with(
-        f"SELECT {K6}, INDIVIDUAL_INSTALLS, CAST(SUB_LTV AS DOUBLE) AS SUB_LTV FROM sub_rollup",
-        _stage_ctes(),
-    )
+def _q15() -> str:
+    some = " OR ".join(f"{m} IS NULL OR {m} < 0" for m in METRICS)
+    cols = [_double(f"greatest(coalesce({m}, 0), 0)", o) for m, o in zip(METRICS, OUT)]
+    return _query(f"SELECT {_names(FULL, cols)} FROM campaign_raw WHERE {some}", _stages())
 
 
-def _q09() -> str:
-    cols = ["APPLICATION_FAMILY_NAME", "MARKET_CD", "SOURCE", "USER_SOURCE_TYPE_CD", "CHANNEL_NAME", "PROMOTION_NAME", "CALENDAR_DT"]
-    return _select_stage("enriched", cols, MET)
+def _games(source: str, prefix: str) -> str:
+    return f"""SELECT {_names(GAME)}, max(CALENDAR_DT) AS {prefix}LAST_INSTALL_DT,
+    sum(CAST(SPEND AS DECIMAL(36,12))) AS {prefix}TOTAL_SPEND, sum(INSTALL) AS {prefix}TOTAL_INSTALL FROM {source} GROUP BY ALL"""
 
 
-def _q10() -> str:
-    return _select_stage("remainder", KEYS6 + ["SOURCE"], MET)
+def _gate(cases: dict[str, str], *stage_sets: str) -> str:
+    """CTE ``gate``: every game of both sides for each previous publication."""
+    old = " UNION ALL ".join(f"SELECT '{case}' AS GATE_CASE, * FROM ({_games(f'({sql}) t', 'OLD_')}) o" for case, sql in cases.items())
+    same = " AND ".join(f"o.{k} IS NOT DISTINCT FROM n.{k}" for k in GAME)
+    return f"""
+old_game AS ({old}),
+new_game AS ({_games('channel', 'NEW_')}),
+gate AS (
+  SELECT o.*, n.* EXCLUDE ({_names(GAME)}), n.NEW_LAST_INSTALL_DT < o.OLD_LAST_INSTALL_DT AS DATE_WENT_BACK,
+    n.NEW_TOTAL_INSTALL < o.OLD_TOTAL_INSTALL - 1 AS INSTALLS_DROPPED,
+    n.NEW_TOTAL_SPEND < o.OLD_TOTAL_SPEND * (1 - 0.000001) AS SPEND_DROPPED
+  FROM old_game o JOIN new_game n ON {same}
+)"""
 
 
-def _q_part(stage: str, prefix: str) -> str:
-    return _select_stage(stage, ["APPLICATION_FAMILY_NAME", "MARKET_CD", "CALENDAR_DT"], [prefix + m for m in MET])
+FAILING = (
+    "SELECT * REPLACE (CASE WHEN APPLICATION_FAMILY_NAME = 'ECONOMY' THEN INSTALL * 2 ELSE INSTALL END AS INSTALL) "
+    f"FROM ({_published('campaign')}) c"
+)
+GATE_COLUMNS = _names(
+    GAME, "OLD_LAST_INSTALL_DT", "CAST(OLD_TOTAL_INSTALL AS BIGINT) AS OLD_TOTAL_INSTALL", "NEW_LAST_INSTALL_DT",
+    _double("round(OLD_TOTAL_SPEND, 2)", "OLD_TOTAL_SPEND"), _double("NEW_TOTAL_SPEND"), _double("NEW_TOTAL_INSTALL"), "GATE_CASE",
+)
 
 
-def _q14() -> str:
-    return _select_stage(
-        "residual",
-        ["APPLICATION_FAMILY_NAME", "MARKET_CD", "CALENDAR_DT", "USER_SOURCE_TYPE_CD", "SOURCE", "CHANNEL_NAME", "PROMOTION_NAME"],
-        MET,
-    )
+def _q19() -> str:
+    cases = {"pass": _published("e_campaign"), "fail": FAILING}
+    body = f"SELECT {GATE_COLUMNS} FROM gate WHERE DATE_WENT_BACK OR INSTALLS_DROPPED"
+    return _query(body, _stages(), _stages("e_", EARLIER_RUN), _gate(cases))
 
 
-def _q15() -> str:
-    bad = " OR ".join(f"({m} IS NULL OR {m} < 0)" for m in MET)
-    cols = ", ".join(
-        f"CAST(CASE WHEN {m} >= 0 THEN {m} ELSE 0 END AS DOUBLE) AS {'INSTALL' if m == 'INSTALL_NUM' else m}"
-        for m in MET
-    )
-    return _with(f"SELECT {', '.join(KEYS7)}, {cols} FROM campaign_raw WHERE {bad}", _stage_ctes())
+def _q24() -> str:
+    body = f"SELECT {GATE_COLUMNS}, DATE_WENT_BACK, INSTALLS_DROPPED, SPEND_DROPPED FROM gate"
+    return _query(body, _stages(), _gate({"same": _published("campaign"), "fail": FAILING}))
 
 
-def _q18() -> str:
-    return _with(
-        """SELECT APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, max(CALENDAR_DT) AS LAST_INSTALL_DT,
-  CAST(CAST(sum(SPEND) AS DECIMAL(32,8)) AS DOUBLE) AS TOTAL_SPEND,
-  CAST(CAST(sum(INSTALL) AS DECIMAL(32,8)) AS DOUBLE) AS TOTAL_INSTALL
-FROM channel GROUP BY 1, 2, 3""",
-        _stage_ctes(),
+def _q21() -> str:
+    count, money = "count(*)", [m for m in OUT if m not in COUNTS]
+    part = lambda name, stage, keys: (
+        f"SELECT '{name}' AS OUTPUT, {count} AS ROW_COUNT, "
+        + _names([f"CAST(sum({m}) AS BIGINT) AS {m}" for m in COUNTS])
+        + ", "
+        + _names([_double(f"round(sum(CAST({m} AS DECIMAL(36,12))), 2)", m) for m in money])
+        + f" FROM ({_published(stage, OUT, keys)}) t"
     )
+    outputs = [part(f"{stage}_{kind}", stage, keys) for stage, keys in (("campaign", FULL), ("channel", CHANNEL)) for kind in ("table", "snapshot")]
+    return _query(" UNION ALL ".join(outputs), _stages())
 
 
-def _q19() -> str:
-    earlier = _stage_ctes("e_", end=EARLIER_END, as_of=EARLIER_AS_OF, ios_boundary=EARLIER_IOS_BOUNDARY)
-    pass_prev = _published("e_campaign")
-    fail_prev = (
-        "SELECT * REPLACE (CASE WHEN APPLICATION_FAMILY_NAME = 'ECONOMY' THEN INSTALL * 2 ELSE INSTALL END AS INSTALL) "
-        f"FROM ({_published('campaign')})"
-    )
-    body = f""", pass_prev AS ({pass_prev}),
-fail_prev AS ({fail_prev}),
-new_game AS (
-  SELECT APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, max(CALENDAR_DT) AS NEW_LAST_INSTALL_DT,
-    CAST(sum(SPEND) AS DECIMAL(32,8)) AS NEW_TOTAL_SPEND, CAST(sum(INSTALL) AS DECIMAL(32,8)) AS NEW_TOTAL_INSTALL
-  FROM channel GROUP BY 1, 2, 3
-),
-old_game AS (
-  SELECT 'pass' AS GATE_CASE, APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, max(CALENDAR_DT) AS OLD_LAST_INSTALL_DT,
-    sum(SPEND) AS OLD_TOTAL_SPEND, CAST(sum(INSTALL) AS BIGINT) AS OLD_TOTAL_INSTALL
-  FROM pass_prev GROUP BY 2, 3, 4
-  UNION ALL
-  SELECT 'fail' AS GATE_CASE, APPLICATION_FAMILY_NAME, MARKET_CD, SOURCE, max(CALENDAR_DT),
-    sum(SPEND), CAST(sum(INSTALL) AS BIGINT)
-  FROM fail_prev GROUP BY 2, 3, 4
-)
-SELECT o.APPLICATION_FAMILY_NAME, o.MARKET_CD, o.SOURCE, o.OLD_LAST_INSTALL_DT,
-  round(o.OLD_TOTAL_SPEND, 2) AS OLD_TOTAL_SPEND, o.OLD_TOTAL_INSTALL,
-  n.NEW_LAST_INSTALL_DT, CAST(n.NEW_TOTAL_SPEND AS DOUBLE) AS NEW_TOTAL_SPEND,
-  CAST(n.NEW_TOTAL_INSTALL AS DOUBLE) AS NEW_TOTAL_INSTALL, o.GATE_CASE
-FROM old_game o JOIN new_game n
-  ON o.APPLICATION_FAMILY_NAME IS NOT DISTINCT FROM n.APPLICATION_FAMILY_NAME
- AND o.MARKET_CD IS NOT DISTINCT FROM n.MARKET_CD AND o.SOURCE IS NOT DISTINCT FROM n.SOURCE
-WHERE n.NEW_LAST_INSTALL_DT < o.OLD_LAST_INSTALL_DT OR n.NEW_TOTAL_INSTALL < o.OLD_TOTAL_INSTALL - 1"""
-    head = [_fixture_ctes()] if _INLINE_FIXTURES else []
-    ctes = ",".join([*head, _stage_ctes(), earlier]) + body
-    return f"WITH {ctes}"
+def _q25() -> str:
+    metrics = [m for m in METRICS if m != "SPEND"]
+    body = f"""SELECT {_names(GAME)}, coalesce(arg_min(USER_SOURCE_TYPE_CD, (-spent, USER_SOURCE_TYPE_CD)), 'MK') AS USER_SOURCE_TYPE_CD,
+  {_names(PLACE[2:])}, {_double('sum(spent)', 'SPEND')}, {_names([_double(f'any_value({m})', m) for m in metrics])}
+FROM (
+  SELECT k.*, d.USER_SOURCE_TYPE_CD, coalesce(d.SPEND, 0) AS spent
+  FROM skan_rollup k LEFT JOIN details d ON {_same('k', 'd', PLACE)}
+) m GROUP BY {_names(GAME, PLACE[2:])}"""
+    return _query(body, _stages())
 
 
 def _q22() -> str:
-    def side(name: str, table: str, alias: bool) -> str:
-        channel = (
-            "CASE WHEN CHANNEL_NAME = 'SKANUAC' THEN 'ADWORDS' WHEN CHANNEL_NAME = 'SKANFB' THEN 'SGNFB' ELSE CHANNEL_NAME END"
-            if alias
-            else "CHANNEL_NAME"
-        )
+    def side(name: str, table: str, renamed: str) -> str:
         return f"""SELECT USER_SOURCE_TYPE_CD, CHANNEL_NAME AS RAW_CHANNEL_NAME,
-  CASE WHEN USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC') THEN {channel} ELSE 'ORGANIC' END AS CHANNEL_NAME,
-  CASE WHEN USER_SOURCE_TYPE_CD IN ('MM', 'MK', 'MC') THEN PROMOTION_NAME ELSE 'ORGANIC' END AS PROMOTION_NAME,
-  count(*) AS ROW_COUNT, '{name}' AS SIDE
-FROM {table} GROUP BY 1, 2, 3, 4"""
+  CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE {renamed} END AS CHANNEL_NAME,
+  CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE PROMOTION_NAME END AS PROMOTION_NAME, count(*) AS ROW_COUNT, '{name}' AS SIDE
+FROM {table} LEFT JOIN paid ON src = USER_SOURCE_TYPE_CD LEFT JOIN alias ON raw = CHANNEL_NAME GROUP BY 1, 2, 3, 4"""
 
-    return _with(f"{side('fact', 'promo_fact', True)}\nUNION ALL\n{side('install', 'install', False)}")
+    return _query(f"{side('fact', 'promo_fact', 'coalesce(alias.name, CHANNEL_NAME)')} UNION ALL {side('install', 'install', 'CHANNEL_NAME')}")
 
 
 def _q23() -> str:
-    def mmp(table: str, col: str) -> str:
-        return f"""SELECT CASE WHEN {col} IS NULL THEN 'undated' WHEN {col} < {START} THEN 'before_start'
-    WHEN {col} <= {END} THEN 'in_window' WHEN {col} < {AS_OF} THEN 'lagged_out' ELSE 'not_yet' END AS WINDOW_CLASS,
-  count(*) AS ROW_COUNT, min({col}) AS MIN_DT, max({col}) AS MAX_DT, '{table}' AS TABLE_NAME
-FROM {'promo_fact' if table == 'fact' else table} GROUP BY 1"""
-
-    skan = f"""SELECT CASE WHEN INSTALL_DT IS NULL THEN 'undated' WHEN INSTALL_DT < {START} THEN 'before_start'
-    WHEN INSTALL_DT < {AS_OF} THEN 'in_window' ELSE 'not_yet' END AS WINDOW_CLASS,
-  count(*) AS ROW_COUNT, min(INSTALL_DT) AS MIN_DT, max(INSTALL_DT) AS MAX_DT, 'skan' AS TABLE_NAME
-FROM skan_ltv GROUP BY 1"""
-    return _with(f"{mmp('fact', 'CALENDAR_DT')}\nUNION ALL\n{mmp('install', 'INSTALL_DT')}\nUNION ALL\n{skan}")
-
-
-def oracle_sql(inline_fixtures: bool = True) -> dict[str, str]:
-    """SQL per query. ``inline_fixtures=False`` reads views named like the fixtures."""
-    global _INLINE_FIXTURES
-    _INLINE_FIXTURES = inline_fixtures
-    try:
-        return _oracle_sql()
-    finally:
-        _INLINE_FIXTURES = True
-
-
-def _oracle_sql() -> dict[str, str]:
-    fact_metrics = [m for m in MET if m not in ("SUB_LTV", "TOTAL_LTV")]
-    published = _with(_published("campaign"), _stage_ctes())
+    end, as_of, _ = RUN
+
+    def classes(name: str, table: str, day: str, spans: list[tuple[str, str, str]]) -> str:
+        arms = " ".join(f"WHEN {day} >= {a} AND {day} < {b} THEN '{label}'" for label, a, b in spans)
+        return f"""SELECT CASE {arms} ELSE 'undated' END AS WINDOW_CLASS, count(*) AS ROW_COUNT, min({day}) AS MIN_DT,
+  max({day}) AS MAX_DT, '{name}' AS TABLE_NAME FROM {table} GROUP BY 1"""
+
+    after = f"CAST({end} + INTERVAL 1 DAY AS DATE)"
+    mmp = [("before_start", EVER, START), ("in_window", START, after), ("lagged_out", after, as_of), ("not_yet", as_of, NEVER)]
+    skan = [("before_start", EVER, START), ("in_window", START, as_of), ("not_yet", as_of, NEVER)]
+    return _query(
+        " UNION ALL ".join(
+            [
+                classes("fact", "promo_fact", "CALENDAR_DT", mmp),
+                classes("install", "install", "INSTALL_DT", mmp),
+                classes("skan", "skan_ltv", "INSTALL_DT", skan),
+            ]
+        )
+    )
+
+
+def oracle_sql() -> dict[str, str]:
+    users = ["ACCOUNT_ID", "USER_ID", "APPLICATION_CD", "PROJECTION_DT"]
     return {
-        "q01_campaign_rollup": _select_stage("fact_rollup", KEYS6, fact_metrics),
+        "q01_campaign_rollup": _stage("fact_rollup", CAMPAIGN, METRICS[:-2]),
         "q02_net_iap": _q02(),
         "q03_net_ad": _q03(),
         "q04_net_subscription": _q04(),
-        "q05_latest_projection": _q05(),
-        "q06_install_ltv": _q06(),
-        "q07_campaign_details": _select_stage("details", KEYS6, MET),
-        "q08_skan_rollup": _select_stage(
-            "skan_rollup",
-            ["APPLICATION_FAMILY_NAME", "MARKET_CD", "SOURCE", "CHANNEL_NAME", "PROMOTION_NAME", "CALENDAR_DT"],
-            [m for m in MET if m != "SPEND"],
+        "q05_latest_projection": _query(
+            f"SELECT {_names(users, [_double(f'{k}_PROJECTEDREVENUE_365') for k in ('IAP', 'AD', 'SUB')])} FROM dated WHERE age = 1",
+            _stages(),
         ),
-        "q09_precedence_enrich": _q09(),
-        "q10_precedence_remainder": _q10(),
-        "q11_ios_total": _q_part("part_total", "MMP_TOTAL_"),
-        "q12_ios_paid": _q_part("part_paid", "MMP_PAID_"),
-        "q13_skan_total": _q_part("part_skan", "SKAN_PAID_"),
-        "q14_residual_raw": _q14(),
+        "q06_install_ltv": _stage("user_value", [*CAMPAIGN, "INDIVIDUAL_INSTALLS"], ["SUB_LTV"]),
+        "q07_campaign_details": _stage("details", CAMPAIGN, METRICS),
+        "q08_skan_rollup": _stage("skan_rollup", [*GAME, *PLACE[2:]], METRICS[1:]),
+        "q09_precedence_enrich": _stage("enriched", FULL, METRICS),
+        "q10_precedence_remainder": _stage("remainder", FULL, METRICS),
+        "q11_ios_total": _side("all", "IOS_ALL_"),
+        "q12_ios_paid": _side("unreported", "IOS_UNREPORTED_"),
+        "q13_skan_total": _side("reported", "IOS_REPORTED_"),
+        "q14_residual_raw": _stage("residual", FULL, METRICS),
         "q15_clamp": _q15(),
-        "q16_complete_campaign": _select_stage("campaign", KEYS7, MET_OUT),
-        "q17_channel_rollup": _select_stage(
-            "channel",
-            ["APPLICATION_FAMILY_NAME", "MARKET_CD", "SOURCE", "USER_SOURCE_TYPE_CD", "CHANNEL_NAME", "CALENDAR_DT"],
-            MET_OUT,
+        "q16_complete_campaign": _stage("campaign", FULL, OUT),
+        "q17_channel_rollup": _stage("channel", CHANNEL, OUT),
+        "q18_game_rollup": _query(
+            f"SELECT {_names(GAME)}, LAST_INSTALL_DT, {_double('TOTAL_SPEND')}, {_double('TOTAL_INSTALL')} FROM ({_games('channel', '')}) g",
+            _stages(),
         ),
-        "q18_game_rollup": _q18(),
         "q19_regression_violations": _q19(),
-        "q20_published_schema": published,
-        "q21_sink_roundtrip": published,
+        "q20_published_schema": _query(_published("campaign"), _stages()),
+        "q21_sink_roundtrip": _q21(),
         "q22_channel_fold": _q22(),
         "q23_reporting_window": _q23(),
+        "q24_gate_outcome": _q24(),
+        "q25_precedence_collapse": _q25(),
+        "q26_net_by_card_table": _q04(),
     }

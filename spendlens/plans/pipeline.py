@@ -9,10 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import config as C
 from ..operators.merge import merge_details
 from ..operators.precedence import (
-    FanOutError,
+    assert_no_fanout,
     enriched_rows,
-    fanout_rows,
-    mmp_rows,
     precedence_join,
     remainder_rows,
 )
@@ -25,13 +23,13 @@ from ..operators.rollup import (
     install_ltv_rollup,
     skan_rollup,
 )
-from ..session import materialize
+from ..session import Scratch, require_ansi
 from ..sources.catalog import Sources
 
 
 @dataclass
 class Stages:
-    """Intermediate relations of one run (all lazy unless materialized)."""
+    """Intermediate relations of one run, read from its scratch relations."""
 
     details: DataFrame
     skan: DataFrame
@@ -41,41 +39,33 @@ class Stages:
     channel: DataFrame
 
 
-def build(
-    sources: Sources,
-    cfg: C.JobConfig,
-    materialized: bool = False,
-    materialize_campaign: bool = False,
-) -> Stages:
+def build(sources: Sources, cfg: C.JobConfig, scratch: Scratch, write_campaign: bool = False) -> Stages:
     """Compose the operators.
 
-    The campaign details and the SKAN roll-up meet in one FULL OUTER join on K5
-    (``precedence_join``); enrichment, the anti join, the residual parts and the Google
-    branch are all filters of that one relation. With ``materialized`` it is written once
-    (it would otherwise be recomputed by each of those branches); ``materialize_campaign``
-    also cuts the complete campaign table, for callers that read it twice (publish and the
-    channel roll-up). Everything else stays lazy.
+    The campaign details are read by the iOS join, the Google branch and the residual, and the
+    join by enrichment, anti join and residual: each is written once to ``scratch`` and read from
+    there. ``write_campaign`` also writes the complete campaign table, for callers that read
+    it twice (publish and the channel roll-up). Everything else stays lazy.
     """
-    details = merge_details(
-        campaign_rollup(sources.fact, cfg),
-        install_ltv_rollup(sources.installs, sources.projections, cfg),
+    require_ansi(scratch.spark)
+    if cfg.fanout not in ("keep", "collapse", "error"):
+        raise ValueError(f"unknown fanout policy {cfg.fanout!r}")
+    details = scratch.write(
+        merge_details(
+            campaign_rollup(sources.fact, cfg),
+            install_ltv_rollup(sources.installs, sources.projections, cfg),
+        ),
+        "details",
     )
     skan = skan_rollup(sources.skan, cfg)
-    joined = precedence_join(details, skan)
-    if materialized:
-        joined = materialize(joined, "precedence")
-        details = mmp_rows(joined)
+    joined = scratch.write(precedence_join(details, skan), "precedence")
     if cfg.fanout == "error":
-        found = fanout_rows(joined).limit(20).collect()
-        if found:
-            raise FanOutError(found)
-    elif cfg.fanout != "keep":
-        raise ValueError(f"unknown fanout policy {cfg.fanout!r}")
-    enriched = enriched_rows(joined)
-    remainder = remainder_rows(joined)
+        assert_no_fanout(joined)
+    enriched = enriched_rows(joined, collapse=cfg.fanout == "collapse")
+    remainder = remainder_rows(joined, details)
     campaign = assemble_campaign(details, enriched, remainder, cfg)
-    if materialize_campaign:
-        campaign = materialize(campaign, "campaign")
+    if write_campaign:
+        campaign = scratch.write(campaign, "campaign")
     channel = channel_rollup(campaign)
     return Stages(details, skan, enriched, remainder, campaign, channel)
 
@@ -87,10 +77,17 @@ def run(
     campaign_target: PublishTarget | None = None,
     channel_target: PublishTarget | None = None,
     policy: str = "legacy",
-) -> Stages:
-    """Build, gate against the previous publication, then publish when targets are given."""
-    stages = build(sources, cfg, materialized=True, materialize_campaign=True)
-    assert_no_regression(sources.previous, stages.channel)
-    if campaign_target is not None and channel_target is not None:
-        publish(spark, stages.campaign, stages.channel, campaign_target, channel_target, policy)
-    return stages
+    check_spend: bool = False,
+) -> None:
+    """Build, gate against the previous publication, then publish when targets are given.
+
+    The run's scratch relations are deleted however it ends; what it made is in the targets.
+    """
+    scratch = Scratch(spark)
+    try:
+        stages = build(sources, cfg, scratch, write_campaign=True)
+        assert_no_regression(sources.previous, stages.channel, check_spend)
+        if campaign_target is not None and channel_target is not None:
+            publish(spark, stages.campaign, stages.channel, campaign_target, channel_target, policy)
+    finally:
+        scratch.release()

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..functions.cards import net_by_card, subscription_cards
 from ..functions.fold import fold_organic
 from ..functions.metrics import clamp_nonnegative
 from ..functions.rates import RateBook, sql_col
@@ -24,7 +25,7 @@ from ..functions.window import mmp_window_class, skan_window_class
 from ..operators.merge import merge_details
 from ..operators.precedence import enriched_rows, precedence_join, remainder_rows
 from ..operators.publish import PublishTarget, publish, to_published
-from ..operators.quality import regression_violations
+from ..operators.quality import gate_outcome, regression_violations
 from ..operators.reconcile import (
     assemble_campaign,
     organic_residual,
@@ -42,7 +43,7 @@ from ..operators.rollup import (
     skan_rollup,
 )
 from ..operators.snapshot import latest_per_key
-from ..session import scratch_path
+from ..session import Scratch
 from ..sources import fixtures
 from ..sources.catalog import Sources
 from .pipeline import build
@@ -82,15 +83,16 @@ def _details(src: Sources, cfg: C.JobConfig) -> DataFrame:
 
 
 def _stages(spark: SparkSession, sf_dir: str, cfg: C.JobConfig | None = None, campaign_twice: bool = False):
-    """The run's stages with the multiply-read relations materialized (see ``build``)."""
+    """The run's stages (see ``build``); their scratch relations last as long as the shared folder,
+    since the caller reads the result later."""
     src, base_cfg = _inputs(spark, sf_dir)
-    return build(src, cfg or base_cfg, materialized=True, materialize_campaign=campaign_twice)
+    return build(src, cfg or base_cfg, Scratch(spark), write_campaign=campaign_twice)
 
 
 def _precedence(src: Sources, cfg: C.JobConfig):
     details = _details(src, cfg)
     joined = precedence_join(details, skan_rollup(src.skan, cfg))
-    return details, enriched_rows(joined), remainder_rows(joined)
+    return details, enriched_rows(joined), remainder_rows(joined, details)
 
 
 # -- X1 / X3 -------------------------------------------------------------------------------
@@ -202,17 +204,17 @@ def _parts(spark: SparkSession, sf_dir: str):
 
 def q11_ios_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     total, _, _ = _parts(spark, sf_dir)
-    return present(part_sums(total, "MMP_TOTAL_"))
+    return present(part_sums(total, "IOS_ALL_"))
 
 
 def q12_ios_paid(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, paid, _ = _parts(spark, sf_dir)
-    return present(part_sums(paid, "MMP_PAID_"))
+    return present(part_sums(paid, "IOS_UNREPORTED_"))
 
 
 def q13_skan_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, skan = _parts(spark, sf_dir)
-    return present(part_sums(skan, "SKAN_PAID_"))
+    return present(part_sums(skan, "IOS_REPORTED_"))
 
 
 def q14_residual_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,26 +251,38 @@ def q18_game_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(game_rollup(_stages(spark, sf_dir).channel))
 
 
+def _failing(current) -> DataFrame:
+    """A previous publication like the current run's, one application's installs doubled."""
+    doubled = F.when(F.col(C.APP) == GATE_FAIL_APP, F.col(C.INSTALL) * 2).otherwise(F.col(C.INSTALL))
+    return to_published(current.campaign).withColumn(C.INSTALL, doubled)
+
+
+def _gate_cases(cases: dict[str, DataFrame], judge) -> DataFrame:
+    out = None
+    for name, previous in cases.items():
+        v = judge(previous).withColumn("GATE_CASE", F.lit(name))
+        out = v if out is None else out.unionByName(v)
+    return present(out.withColumn("OLD_TOTAL_SPEND", F.round(F.col("OLD_TOTAL_SPEND"), 2)))
+
+
 def q19_regression_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gate outcomes for two previous publications: a run one quarter earlier (passes) and
-    the current run with one application's installs doubled (fails for that application)."""
+    """Violations for two previous publications: a run one quarter earlier (passes) and the
+    current run with one application's installs doubled (fails for that application)."""
     cfg = fixtures.fixture_config()
     current = _stages(spark, sf_dir, cfg, campaign_twice=True)
-    new_channel = current.channel
+    new = Scratch(spark).write(current.channel, "channel")
     earlier = cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS))
-    pass_prev = to_published(_stages(spark, sf_dir, earlier).campaign)
-    fail_prev = to_published(current.campaign)
-    fail_prev = fail_prev.withColumn(
-        C.INSTALL,
-        F.when(F.col(C.APP) == GATE_FAIL_APP, F.col(C.INSTALL) * 2).otherwise(F.col(C.INSTALL)),
-    )
-    cases = [("pass", pass_prev), ("fail", fail_prev)]
-    out = None
-    for name, prev in cases:
-        v = regression_violations(prev, new_channel).withColumn("GATE_CASE", F.lit(name))
-        out = v if out is None else out.unionByName(v)
-    out = out.withColumn("OLD_TOTAL_SPEND", F.round(F.col("OLD_TOTAL_SPEND"), 2))
-    return present(out)
+    cases = {"pass": to_published(_stages(spark, sf_dir, earlier).campaign), "fail": _failing(current)}
+    return _gate_cases(cases, lambda previous: regression_violations(previous, new))
+
+
+def q24_gate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's full outcome, spend rule included, for the same publication again (every game
+    passes, though it holds 32-bit floats) and for the failing one."""
+    current = _stages(spark, sf_dir, campaign_twice=True)
+    new = Scratch(spark).write(current.channel, "channel")
+    cases = {"same": to_published(current.campaign), "fail": _failing(current)}
+    return _gate_cases(cases, lambda previous: gate_outcome(previous, new))
 
 
 # -- X13 / X14 -----------------------------------------------------------------------------
@@ -279,25 +293,33 @@ def q20_published_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q21_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish campaign and channel tables under a fresh folder of the shared checkpoint
-    location, then read the campaign table back through the catalog."""
+    """Publish campaign and channel tables under a fresh folder of shared storage, and read
+    every output back: both catalog tables and both dated snapshots, each as its row count and the
+    sum of every published metric."""
     cfg = fixtures.fixture_config()
     stages = _stages(spark, sf_dir, cfg, campaign_twice=True)
-    root = scratch_path(spark, "q21")
+    root = Scratch(spark).root
     suffix = root.rsplit("-", 1)[-1]
     stamp = cfg.window.stamp()
-    campaign_t = PublishTarget(
-        table=f"spendlens_campaign_{suffix}",
-        snapshot_path=f"{root}/campaign_{stamp}.parquet",
-        table_path=f"{root}/tables/campaign",
-    )
-    channel_t = PublishTarget(
-        table=f"spendlens_channel_{suffix}",
-        snapshot_path=f"{root}/channel_{stamp}.parquet",
-        table_path=f"{root}/tables/channel",
-    )
-    publish(spark, stages.campaign, stages.channel, campaign_t, channel_t)
-    return spark.table(campaign_t.table)
+    targets = {
+        name: PublishTarget(
+            table=f"spendlens_{name}_{suffix}",
+            snapshot_path=f"{root}/{name}_{stamp}.parquet",
+            table_path=f"{root}/tables/{name}",
+        )
+        for name in ("campaign", "channel")
+    }
+    publish(spark, stages.campaign, stages.channel, targets["campaign"], targets["channel"])
+    out = None
+    for name, target in targets.items():
+        for kind, df in (("table", spark.table(target.table)), ("snapshot", spark.read.parquet(target.snapshot_path))):
+            sums = df.agg(
+                F.count(F.lit(1)).alias("ROW_COUNT"),
+                *[F.sum(m).cast("long").alias(m) for m in C.COUNT_METRICS],
+                *[F.round(F.sum(F.col(m).cast(C.METRIC_DECIMAL)), 2).alias(m) for m in C.MONEY_METRICS],
+            ).withColumn("OUTPUT", F.lit(f"{name}_{kind}"))
+            out = sums if out is None else out.unionByName(sums)
+    return present(out)
 
 
 # -- X2 / X16 ------------------------------------------------------------------------------
@@ -347,6 +369,25 @@ def q23_reporting_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- variants ------------------------------------------------------------------------------
+
+
+def q25_precedence_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched SKAN campaigns under the "collapse" fan-out policy: one row per campaign."""
+    src, cfg = _inputs(spark, sf_dir)
+    joined = precedence_join(_details(src, cfg), skan_rollup(src.skan, cfg))
+    return present(enriched_rows(joined, collapse=True))
+
+
+def q26_net_by_card_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscription revenue (q04) with the shares in an effective-dated card table."""
+    src, cfg = _inputs(spark, sf_dir)
+    gross = {f"SUBSCRIPTIONS_REVS_DAY_{d:03d}_AMT": f"SUB_REVS_DAY_{d:03d}_AMT" for d in C.REVENUE_DAYS}
+    types = column_types(src.fact)
+    sums = scope_fact(src.fact, cfg).groupBy(*C.K3).agg(*[rated(group_sum(types, c), c) for c in gross])
+    return present(net_by_card(sums, subscription_cards(spark, cfg), "SUB", gross))
+
+
 QUERIES: dict[str, QueryFn] = {
     "q01_campaign_rollup": q01_campaign_rollup,
     "q02_net_iap": q02_net_iap,
@@ -371,4 +412,7 @@ QUERIES: dict[str, QueryFn] = {
     "q21_sink_roundtrip": q21_sink_roundtrip,
     "q22_channel_fold": q22_channel_fold,
     "q23_reporting_window": q23_reporting_window,
+    "q24_gate_outcome": q24_gate_outcome,
+    "q25_precedence_collapse": q25_precedence_collapse,
+    "q26_net_by_card_table": q26_net_by_card_table,
 }

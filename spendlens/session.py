@@ -1,11 +1,11 @@
-"""Session helpers: a local session for tests and benchmarks, and lineage cutting."""
+"""Session helpers: a local session for tests and benchmarks, shared storage, scratch relations."""
 
 from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,6 +28,8 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small inputs: partitions of rebalanced writes small enough to fill the cores
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
@@ -55,51 +57,42 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir()
-    return None
+class Scratch:
+    """Relations written once for several readers, in a folder of their own in shared storage.
 
+    Writing cuts the lineage: the files survive executor loss, later plans start from them (with
+    exact size statistics for adaptive planning and column pruning on read), and a relation is
+    computed exactly once (an eager ``checkpoint()`` of an uncached plan computes it twice).
+    """
 
-def ensure_test_checkpoint_dir(spark: SparkSession) -> str:
-    """Tests only: use the configured folder, or a fresh scratch folder when none is set."""
-    found = checkpoint_dir(spark)
-    if found:
-        return found
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spendlens-ckpt-"))
-    return spark.sparkContext.getCheckpointDir()
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = f"{shared_folder(spark)}/spendlens-{uuid.uuid4().hex}"
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage for a relation read several times downstream.
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    With a shared checkpoint folder: write the relation once as Parquet under it and read it
-    back. The written files survive executor loss, later plans start from them (with exact
-    size statistics for adaptive planning and column pruning on read), and the relation is
-    computed exactly once (an eager ``checkpoint()`` of an uncached plan computes it twice).
-    Without a shared folder: a MEMORY_AND_DISK persist, whose lost blocks Spark recomputes
-    from lineage.
-    """
-    spark = df.sparkSession
-    if checkpoint_dir(spark):
-        path = scratch_path(spark, f"spendlens-{name}")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in shared storage: under the checkpoint folder, else under the SQL
-    warehouse (both are cluster-wide locations; never a machine-local temp folder)."""
-    import uuid
-
-    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir", None)
-    if not base:
-        raise RuntimeError("no shared folder: set spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    def release(self) -> None:
+        """Delete everything written; relations read from here can no longer be used."""
+        delete_path(self.spark, self.root)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop API, whatever store the path is in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Fail where an overflowing cast or sum would give NULL (and a clamp then 0) unnoticed."""
+    if str(spark.conf.get("spark.sql.ansi.enabled")).lower() != "true":
+        raise RuntimeError("spark.sql.ansi.enabled must be true: without it overflows become NULL silently")

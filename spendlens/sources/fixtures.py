@@ -10,8 +10,6 @@ what makes results comparable value-for-value with an independent SQL engine.
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.fold import alias_channel
+from ..session import Scratch, hadoop_path
 from .catalog import Sources
 
 # Fixture run parameters.
@@ -49,28 +48,12 @@ def fixture_config(window: C.ReportWindow = FIXTURE_WINDOW) -> C.JobConfig:
     )
 
 
-_READS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` once per session, directory, table and file version.
+    return spark.read.parquet(_place(sf_dir, name))
 
-    Resolving a parquet relation lists files and reads footers on the driver; the derived
-    fixtures read the same four tables many times, so the lazy relation is reused (a
-    DataFrame is immutable, and Catalyst re-plans it inside every query as usual).
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        version = os.stat(path).st_mtime_ns
-    except OSError:
-        version = None
-    key = (id(spark), os.path.abspath(path), version)
-    hit = _READS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = spark.read.parquet(path)
-    _READS[key] = (spark, df)
-    return df
+
+def _place(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def _quarter(ts: Column) -> Column:
@@ -191,9 +174,10 @@ def projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skan_ltv(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> DataFrame:
-    """SKAN postback LTV for a slice of paid iOS lines; channels arrive already aliased."""
+    """SKAN postback LTV: paid iOS lines of the networks that report through SKAN; channels arrive
+    already aliased."""
     d = (dims if dims is not None else _dims(spark, sf_dir)).where(
-        (F.col("l_suppkey") % 10 == 0)
+        F.col(C.CHANNEL).isin([name for name, _ in C.CHANNEL_ALIAS])
         & (F.col("l_linestatus") == "O")
         & F.col(C.SOURCE_TYPE).isin(list(C.PAID_SOURCE_TYPES))
     )
@@ -225,45 +209,32 @@ _STAGED: dict[tuple, tuple[SparkSession, Sources]] = {}
 _SOURCE_TABLES = ("lineitem", "orders", "customer", "part")
 
 
-def load(spark: SparkSession, sf_dir: str, stage: bool = True) -> Sources:
+def _version(spark: SparkSession, path: str) -> tuple:
+    """The files of a path with their sizes and times, in whatever store they are."""
+    fs, p = hadoop_path(spark, path)
+    return tuple(sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
+
+
+def load(spark: SparkSession, sf_dir: str) -> Sources:
     """Fixture inputs for the queries.
 
-    With ``stage`` (and a shared checkpoint folder configured), the derived relations are
-    written once per session as Parquet tables under ``spark.checkpoint.dir`` and read back,
-    so queries scan physical tables with pushed filters and pruned columns, as they would
-    scan the catalog tables in production. Without a shared folder they stay lazy.
+    The derived relations are written as Parquet tables to the shared folder, once a session for
+    each version of the source files, and read back: queries scan physical tables with pushed
+    filters and pruned columns, as they would scan the catalog tables in production.
     """
-    from ..session import checkpoint_dir
-
-    versions = []
-    for t in _SOURCE_TABLES:
-        try:
-            versions.append(os.stat(os.path.join(sf_dir, f"{t}.parquet")).st_mtime_ns)
-        except OSError:
-            versions.append(None)
-    key = (id(spark), os.path.abspath(sf_dir), tuple(versions), stage)
+    key = (id(spark), sf_dir, tuple(_version(spark, _place(sf_dir, t)) for t in _SOURCE_TABLES))
     hit = _STAGED.get(key)
     if hit is not None and hit[0] is spark:
         return hit[1]
-    base = checkpoint_dir(spark) if stage else None
-    if base is None:
-        out = derive(spark, sf_dir)
-    else:
-        root = f"{base.rstrip('/')}/spendlens-fixtures-{uuid.uuid4().hex[:12]}"
-        staged = {}
-        # Enough files that a scan fills every core (a small file is one split).
-        files = 2 * spark.sparkContext.defaultParallelism
-        # The line/order/customer/part join feeds three fixtures: compute it once. Fixtures
-        # derived from it keep its file layout; only the projections need spreading.
-        _dims(spark, sf_dir).repartition(files).write.mode("overwrite").parquet(f"{root}/dims")
-        lazy = derive(spark, sf_dir, spark.read.parquet(f"{root}/dims"))
-        for name in ("fact", "installs", "projections", "skan"):
-            path = f"{root}/{name}"
-            df = getattr(lazy, name)
-            if name == "projections":
-                df = df.repartition(files)
-            df.write.mode("overwrite").parquet(path)
-            staged[name] = spark.read.parquet(path)
-        out = Sources(**staged)
+    scratch = Scratch(spark)
+    # The line/order/customer/part join feeds three fixtures: compute it once. A rebalanced
+    # write has files of the advisory partition size, however large the input is.
+    dims = scratch.write(_dims(spark, sf_dir).hint("rebalance"), "dims")
+    lazy = derive(spark, sf_dir, dims)
+    staged = {}
+    for name in ("fact", "installs", "projections", "skan"):
+        df = getattr(lazy, name)
+        staged[name] = scratch.write(df.hint("rebalance") if name == "projections" else df, name)
+    out = Sources(**staged)
     _STAGED[key] = (spark, out)
     return out

@@ -12,7 +12,7 @@ sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from spendlens import config as C  # noqa: E402
-from spendlens.session import ensure_test_checkpoint_dir, local_session  # noqa: E402
+from spendlens.session import local_session, shared_folder  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -27,7 +27,7 @@ def spark():
         app="spendlens-tests",
         warehouse_dir=tempfile.mkdtemp(prefix="spendlens-warehouse-"),
     )
-    ensure_test_checkpoint_dir(s)
+    shared_folder(s)
     yield s
     s.stop()
 

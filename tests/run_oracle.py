@@ -14,14 +14,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import __spark_entry__ as E  # noqa: E402
 from compare import diff, digest, duck, duck_rows, spark_rows  # noqa: E402
-from spendlens.session import ensure_test_checkpoint_dir, local_session  # noqa: E402
+from spendlens.session import local_session, shared_folder  # noqa: E402
 
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
     spark = local_session(8)
-    ensure_test_checkpoint_dir(spark)
+    shared_folder(spark)
     con = duck(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     bad = 0

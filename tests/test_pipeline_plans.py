@@ -13,9 +13,15 @@ from spendlens.operators.publish import PublishTarget, to_published
 from spendlens.operators.quality import QualityGateError
 from spendlens.operators.rollup import campaign_rollup
 from spendlens.plans.pipeline import build, run
+from spendlens.session import Scratch, hadoop_path, shared_folder
 from spendlens.sources import fixtures
 
 
+def listing(spark, path) -> set[str]:
+    fs, p = hadoop_path(spark, path)
+    return {str(f.getPath()) for f in fs.listStatus(p)} if fs.exists(p) else set()
+
+
 def _plan(df) -> str:
     """The formatted physical plan (what ``df.explain("formatted")`` prints)."""
     jvm = df.sparkSession._jvm
@@ -29,14 +35,17 @@ def test_run_gate_and_publish(spark):
     stamp = cfg.window.stamp()
     tc = PublishTarget("run_campaign", f"{root}/campaign_{stamp}.parquet", f"{root}/t/campaign")
     th = PublishTarget("run_channel", f"{root}/channel_{stamp}.parquet", f"{root}/t/channel")
-    stages = run(spark, src, cfg, tc, th)
+    shared = shared_folder(spark)
+    before = listing(spark, shared)
+    run(spark, src, cfg, tc, th)
+    assert listing(spark, shared) == before, "a run leaves nothing in the shared folder"
     published = spark.table("run_campaign")
-    assert published.count() == stages.campaign.count() > 0
+    assert published.count() == build(src, cfg, Scratch(spark)).campaign.count() > 0
     # next day: the previous publication is the table just written -> passes the gate
     src.previous = published
-    run(spark, src, cfg.with_window(cfg.window.shifted(1)))
+    run(spark, src, cfg.with_window(cfg.window.shifted(1)), check_spend=True)
     # a previous publication with inflated installs fails it
-    inflated = to_published(stages.campaign).withColumn(C.INSTALL, (F.col(C.INSTALL) + 1000).cast("int"))
+    inflated = published.withColumn(C.INSTALL, (F.col(C.INSTALL) + 1000).cast("int"))
     src.previous = inflated
     with pytest.raises(QualityGateError):
         run(spark, src, cfg)
@@ -50,13 +59,17 @@ def test_fanout_error_policy(spark):
 
     cfg = replace(fixtures.fixture_config(), fanout="error")
     with pytest.raises(FanOutError) as e:
-        build(fixtures.load(spark, SMOKE_DIR), cfg, materialized=True)
-    assert e.value.rows and all(r["MATCHES"] > 1 for r in e.value.rows)
+        build(fixtures.load(spark, SMOKE_DIR), cfg, Scratch(spark))
+    assert e.value.total >= len(e.value.shown) > 0 and all(r["MATCHES"] > 1 for r in e.value.shown)
+    one = build(fixtures.load(spark, SMOKE_DIR), replace(cfg, fanout="collapse"), Scratch(spark)).enriched
+    assert one.count() == one.select(*C.K5).distinct().count()
+    with pytest.raises(ValueError):
+        build(fixtures.load(spark, SMOKE_DIR), replace(cfg, fanout="other"), Scratch(spark))
 
 
 def test_channel_sums_equal_campaign_sums(spark):
     cfg = fixtures.fixture_config()
-    st = build(fixtures.load(spark, SMOKE_DIR), cfg)
+    st = build(fixtures.load(spark, SMOKE_DIR), cfg, Scratch(spark))
     a = st.campaign.groupBy().sum(*C.METRICS).collect()[0]
     b = st.channel.groupBy().sum(*C.METRICS).collect()[0]
     assert tuple(a) == tuple(b)
@@ -70,7 +83,7 @@ def test_plan_pushdown_pruning_no_cartesian_no_python(spark):
     assert pushed, plan
     assert "EqualTo(MVP_CAMPAIGN_TYPE,New Installs)" in pushed[0]
     assert "In(APPLICATION_FAMILY_NAME" in pushed[0] and "GreaterThanOrEqual(CALENDAR_DT" in pushed[0]
-    full = _plan(build(src, cfg).channel)
+    full = _plan(build(src, cfg, Scratch(spark)).channel)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in full
     # the projection history is read with only the columns the job needs
@@ -109,14 +122,14 @@ def test_merge_joins_without_extra_shuffle(spark):
 def test_result_independent_of_partitioning(spark):
     cfg = fixtures.fixture_config()
     src = fixtures.load(spark, SMOKE_DIR)
-    base = sorted(tuple(map(str, r)) for r in build(src, cfg).channel.collect())
+    base = sorted(tuple(map(str, r)) for r in build(src, cfg, Scratch(spark)).channel.collect())
     spark.conf.set("spark.sql.shuffle.partitions", "3")
     try:
         src2 = fixtures.Sources(
             fact=src.fact.repartition(5), installs=src.installs.repartition(2),
             projections=src.projections.repartition(7), skan=src.skan.repartition(1),
         )
-        other = sorted(tuple(map(str, r)) for r in build(src2, cfg).channel.collect())
+        other = sorted(tuple(map(str, r)) for r in build(src2, cfg, Scratch(spark)).channel.collect())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert base == other
@@ -130,9 +143,9 @@ def _tree(df) -> list[str]:
 
 
 def test_plan_shape_at_scale(spark):
-    """With broadcasts disabled (the shape a large run gets), the campaign details need 8
-    exchanges and 3 sort-merge joins, and everything downstream of the materialized
-    precedence relation needs 2 exchanges and no join."""
+    """With broadcasts disabled (the shape a large run gets), the campaign details need 6
+    exchanges, 2 sort-merge joins and one scan of the projection history, and everything
+    downstream of the written details and precedence join needs 2 exchanges and no join."""
     from spendlens.operators.merge import merge_details
     from spendlens.operators.rollup import install_ltv_rollup
 
@@ -145,9 +158,10 @@ def test_plan_shape_at_scale(spark):
             campaign_rollup(src.fact, cfg), install_ltv_rollup(src.installs, src.projections, cfg)
         )
         tree = _tree(details)
-        assert sum("Exchange" in line for line in tree) == 8, "\n".join(tree)
-        assert sum("SortMergeJoin" in line for line in tree) == 3
-        downstream = _tree(build(src, cfg, materialized=True).channel)
+        assert sum("Exchange" in line for line in tree) == 6, "\n".join(tree)
+        assert sum("SortMergeJoin" in line for line in tree) == 2
+        assert _plan(details).count("/projections]") == 1
+        downstream = _tree(build(src, cfg, Scratch(spark)).channel)
         assert sum("Exchange" in line for line in downstream) == 2, "\n".join(downstream)
         assert not any("Join" in line for line in downstream)
     finally:

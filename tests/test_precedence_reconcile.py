@@ -4,13 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import D
 from rows import campaign_schema
 
 from spendlens import config as C
 from spendlens.functions.metrics import clamp_nonnegative
 from spendlens.operators.merge import merge_details
-from spendlens.operators.precedence import enrich_winner, fanout_keys, loser_remainder
+from spendlens.operators.precedence import (
+    SKAN_METRICS,
+    FanOutError,
+    assert_no_fanout,
+    enriched_rows,
+    fanout_rows,
+    precedence_join,
+    remainder_rows,
+)
 from spendlens.operators.reconcile import assemble_campaign, organic_residual
 
 DAY = dt.date(2022, 5, 1)
@@ -54,6 +63,11 @@ def test_merge_details_fill_and_total(spark):
     assert "INDIVIDUAL_INSTALLS" not in out["MK"].asDict()
 
 
+def _halves(details, sk):
+    joined = precedence_join(details, sk)
+    return enriched_rows(joined), remainder_rows(joined, details)
+
+
 def _inputs(spark):
     details = spark.createDataFrame(
         [
@@ -77,10 +91,9 @@ def _inputs(spark):
 
 def test_precedence_fanout_defaults_and_anti_join(spark):
     details, sk = _inputs(spark)
-    enriched = enrich_winner(sk, details)
+    enriched, remainder = _halves(details, sk)
     got = sorted((r.CHANNEL_NAME, r.USER_SOURCE_TYPE_CD, r.SPEND) for r in enriched.collect())
     assert got == [("A", "MK", 100), ("A", "MM", 50), ("Q", "MK", 0), ("Z", "MK", 0)]
-    remainder = loser_remainder(details, sk)
     rem = sorted((r.USER_SOURCE_TYPE_CD or "-", r.CHANNEL_NAME) for r in remainder.collect())
     assert ("MK", "A") not in rem and ("MM", "A") not in rem
     assert ("-", "ORGANIC") in rem  # NULL-key row survives the anti join
@@ -89,13 +102,13 @@ def test_precedence_fanout_defaults_and_anti_join(spark):
 
 def test_fanout_keys_lists_campaigns_matching_several_types(spark):
     details, sk = _inputs(spark)
-    got = [(r.CHANNEL_NAME, r.PROMOTION_NAME, r.MATCHES) for r in fanout_keys(details, sk).collect()]
+    got = [(r.CHANNEL_NAME, r.PROMOTION_NAME, r.MATCHES) for r in fanout_rows(precedence_join(details, sk)).collect()]
     assert got == [("A", "P1", 2)]
 
 
 def test_residual_rules(spark, cfg):
     details, sk = _inputs(spark)
-    enriched, remainder = enrich_winner(sk, details), loser_remainder(details, sk)
+    enriched, remainder = _halves(details, sk)
     res = {r.CALENDAR_DT: r for r in organic_residual(details, enriched, remainder, cfg).collect()}
     # total (MK, US on iOS) = 10 + 40 + 3 = 53; paid = 3 (B only); SKAN = 20 + 20 + 6 = 46
     assert res[DAY].INSTALL_NUM == D(53) - 3 - 46
@@ -110,14 +123,14 @@ def test_residual_rules(spark, cfg):
 def test_residual_total_null_stays_null(spark, cfg):
     details = spark.createDataFrame([detail("US", "ORGANIC", "ORGANIC", None, D(4))], campaign_schema())
     sk = spark.createDataFrame([skan("A", "P1", D(1))], campaign_schema(with_source=True, with_spend=False, with_source_type=False))
-    enriched, remainder = enrich_winner(sk, details), loser_remainder(details, sk)
+    enriched, remainder = _halves(details, sk)
     r = organic_residual(details, enriched, remainder, cfg).collect()[0]
     assert r.SPEND is None and r.INSTALL_NUM == 3
 
 
 def test_assemble_union_and_clamp(spark, cfg):
     details, sk = _inputs(spark)
-    enriched, remainder = enrich_winner(sk, details), loser_remainder(details, sk)
+    enriched, remainder = _halves(details, sk)
     rows = assemble_campaign(details, enriched, remainder, cfg).collect()
     assert all(r[m] is not None and r[m] >= 0 for r in rows for m in C.METRICS)
     kinds = sorted((r.MARKET_CD, r.SOURCE, r.USER_SOURCE_TYPE_CD, r.CHANNEL_NAME) for r in rows)
@@ -170,11 +183,11 @@ def test_residual_matches_join_form_on_random_rows(spark, cfg):
         if k5 in sseen:
             continue
         sseen.add(k5)
-        vals = m_row()
+        vals = {m: val() if m in SKAN_METRICS else D(0) for m in C.METRICS_RAW}  # SKAN measures three
         skan_rows.append((*key, *[vals[m] for m in C.METRICS_RAW if m != "SPEND"]))
     details = spark.createDataFrame(details_rows, campaign_schema())
     sk = spark.createDataFrame(skan_rows, campaign_schema(with_source=True, with_spend=False, with_source_type=False))
-    enriched, remainder = enrich_winner(sk, details), loser_remainder(details, sk)
+    enriched, remainder = _halves(details, sk)
     got = {tuple(r[k] for k in C.K3): r.asDict() for r in organic_residual(details, enriched, remainder, cfg).collect()}
 
     # brute force, following the original statement
@@ -212,3 +225,31 @@ def test_residual_matches_join_form_on_random_rows(spark, cfg):
     for key in want:
         for m in C.METRICS_RAW:
             assert got[key][m] == want[key][m], (key, m)
+
+
+def test_collapse_adds_spends_and_keeps_one_row(spark):
+    details, sk = _inputs(spark)
+    rows = enriched_rows(precedence_join(details, sk), collapse=True).collect()
+    got = sorted((r.CHANNEL_NAME, r.USER_SOURCE_TYPE_CD, r.SPEND, r.INSTALL_NUM) for r in rows)
+    assert got == [("A", "MK", 150, 20), ("Q", "MK", 0, 1), ("Z", "MK", 0, 6)]
+
+
+def test_every_fanout_is_counted_and_kept(spark):
+    details = [detail(t, "A", f"P{i}", D(1), D(1)) for i in range(50) for t in ("MK", "MM")]
+    joined = precedence_join(
+        spark.createDataFrame(details, campaign_schema()),
+        spark.createDataFrame(
+            [skan("A", f"P{i}", D(2)) for i in range(60)],
+            campaign_schema(with_source=True, with_spend=False, with_source_type=False),
+        ),
+    )
+    with pytest.raises(FanOutError) as e:
+        assert_no_fanout(joined)
+    assert e.value.total == 50 and "50 SKAN campaign(s)" in str(e.value) and "First 20 of 50" in str(e.value)
+    assert spark.read.parquet(e.value.path).count() == 50
+
+
+def test_only_ios_rows_and_three_skan_metrics_meet_in_the_join(spark):
+    details, sk = _inputs(spark)
+    joined = precedence_join(details, sk)
+    assert joined.where("MARKET_CD = 'GO'").count() == 0 and len(joined.columns) <= 35

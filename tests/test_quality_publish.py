@@ -42,7 +42,7 @@ def test_gate_rules(spark):
     assert with_spend == ["A", "B", "C"]
     with pytest.raises(QualityGateError) as e:
         assert_no_regression(old, new)
-    assert "2 regression" in str(e.value)
+    assert e.value.total == 2 and "2 game(s) regressed" in str(e.value)
     assert_no_regression(None, new)  # first run passes
     assert_no_regression(old.where("APPLICATION_FAMILY_NAME = 'A'"), new)
 
@@ -67,7 +67,7 @@ def test_published_schema(spark):
     assert r.SPEND == 16777218.0  # 32-bit float rounding
     assert r.INSTALL == 16777217  # int truncates
     clean = dict(to_published(_campaign(spark), "clean").dtypes)
-    assert clean["SPEND"] == "decimal(32,8)"
+    assert clean["SPEND"] == C.METRIC_DECIMAL.simpleString()
 
 
 def test_sink_roundtrip_and_rerun(spark):
@@ -87,3 +87,51 @@ def test_sink_roundtrip_and_rerun(spark):
         snap = spark.read.parquet(f"{root}/channel_2022-02-01.parquet")
         assert C.PROMOTION not in snap.columns and snap.count() == 2
     assert dict(back.dtypes)["SPEND"] == "float"
+
+
+def test_every_violation_is_counted_and_kept(spark):
+    rows = [(f"APP{i:02d}", "IT", "SKAN", D2, 10.0, 100) for i in range(50)]
+    old, new = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(*r[:5], 1) for r in rows], SCHEMA)
+    with pytest.raises(QualityGateError) as e:
+        assert_no_regression(old, new)
+    assert e.value.total == 50 and "First 20 of 50" in str(e.value)
+    assert [r.APPLICATION_FAMILY_NAME for r in e.value.shown] == [f"APP{i:02d}" for i in range(20)]
+    assert spark.read.parquet(e.value.path).count() == 50
+
+
+def test_unchanged_publication_passes_the_spend_rule(spark):
+    """16777217.75 is published as the 32-bit float 16777218: no drop."""
+    df = _campaign(spark)
+    assert_no_regression(to_published(df), df, check_spend=True)
+
+
+def test_incomplete_tables_are_not_published(spark):
+    with pytest.raises(ValueError, match="SPEND"):
+        to_published(_campaign(spark).drop("SPEND"))
+
+
+def test_failure_of_the_second_table_leaves_complete_snapshots(spark, monkeypatch):
+    """What readers see then: the new campaign table, the previous channel table, both snapshots."""
+    from spendlens.operators import publish as P
+
+    root = tempfile.mkdtemp(prefix="spendlens-fail-")
+    target = lambda name, day: PublishTarget(f"fail_{name}", f"{root}/{name}_{day}.parquet", f"{root}/t/{name}")
+    df = _campaign(spark)
+    publish(spark, df, df.drop(C.PROMOTION), target("campaign", 1), target("channel", 1))
+    bigger = df.union(df)
+    write, calls = P.write_table, []
+
+    def second_fails(spark, path, t):
+        calls.append(t.table)
+        if len(calls) == 2:
+            raise OSError("disk full")
+        write(spark, path, t)
+
+    monkeypatch.setattr(P, "write_table", second_fails)
+    with pytest.raises(OSError):
+        publish(spark, bigger, bigger.drop(C.PROMOTION), target("campaign", 2), target("channel", 2))
+    assert spark.table("fail_campaign").count() == 4 and spark.table("fail_channel").count() == 2
+    assert spark.read.parquet(f"{root}/channel_2.parquet").count() == 4
+    monkeypatch.setattr(P, "write_table", write)
+    P.write_table(spark, f"{root}/channel_2.parquet", target("channel", 2))
+    assert spark.table("fail_channel").count() == 4
