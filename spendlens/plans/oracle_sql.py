@@ -115,8 +115,8 @@ skan_ltv AS (
     CAST(QTY * 0.80 AS DECIMAL(18,2)) AS INSTALL_NUM,
     CAST(PRICE * 0.9 AS DECIMAL(18,3)) AS GROSS_IAP_LTV_365_LATEST_VAL,
     CAST(PRICE * 0.75 AS DECIMAL(18,4)) AS NET_OVERALL_LTV_365_LATEST_VAL
-  FROM dims JOIN alias ON alias.raw = dims.CHANNEL_NAME JOIN paid ON paid.src = dims.USER_SOURCE_TYPE_CD
-  WHERE l_linestatus = 'O'
+  FROM dims JOIN alias ON alias.raw = dims.CHANNEL_NAME
+  WHERE l_linestatus = 'O' AND USER_SOURCE_TYPE_CD = 'MK'
 )"""
 
 

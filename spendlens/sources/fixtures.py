@@ -174,12 +174,12 @@ def projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def skan_ltv(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> DataFrame:
-    """SKAN postback LTV: paid iOS lines of the networks that report through SKAN; channels arrive
-    already aliased."""
+    """SKAN postback LTV: iOS lines of source type MK of the networks that report through SKAN;
+    channels arrive already aliased."""
     d = (dims if dims is not None else _dims(spark, sf_dir)).where(
         F.col(C.CHANNEL).isin([name for name, _ in C.CHANNEL_ALIAS])
         & (F.col("l_linestatus") == "O")
-        & F.col(C.SOURCE_TYPE).isin(list(C.PAID_SOURCE_TYPES))
+        & (F.col(C.SOURCE_TYPE) == C.RESIDUAL_PAID_TYPE)
     )
     channel = alias_channel(F.col(C.CHANNEL), C.CHANNEL_ALIAS)
     qty, price = F.col("QTY"), F.col("PRICE")
