@@ -56,7 +56,7 @@ ROWS = 6
 #: rounds without a new link, one after the other, that end the comparisons
 PATIENCE = 2
 
-#: cells hashed at a time
+#: cells and darts of the documents signed at a time (some 50 bytes of a worker's memory each)
 CHUNK = 300_000
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -135,6 +135,7 @@ def _weighted(h: np.ndarray, weigh: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _sign(size, weigh, bands, width, batches):
     words = WordHashes()
+    expected = int(bands * width * (math.log(bands * width) + 3))  # darts a document
     for b in batches:
         text = b.column("_text").to_pylist()
         own_rows, node, keys = [], [], []
@@ -146,7 +147,7 @@ def _sign(size, weigh, bands, width, batches):
                 own_rows.append(n - 1)
                 node.append(xxhash.xxh3_64_intdigest(b" ".join(normal_words(t))) - (1 << 63))
                 group.append(_weighted(h, weigh))
-                cells += len(h)
+                cells += len(h) + expected
             if group and (cells >= CHUNK or n == len(text)):
                 elements, weights = (np.concatenate(part) for part in zip(*group))
                 doc = np.repeat(np.arange(len(group)), [len(own) for own, _ in group])
@@ -242,7 +243,8 @@ def classes_by_text(
     candidates = nodes.join(weight, "node").select("node", "weight", "_id", "_key")
     text = written(
         base.join(candidates, base["_id"].eqNullSafe(candidates["_id"]) & (base["_key"] == candidates["_key"]))
-        .select("node", "weight", F.col("_text").alias("text")),
+        .groupBy("node")
+        .agg(F.min("_text").alias("text")),  # rows that repeat the document do not repeat the node
         "candidates",
     )
     classes = weight.select("node", "weight", F.col("node").alias("component"))

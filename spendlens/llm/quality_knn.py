@@ -203,7 +203,10 @@ def fit(
     )
     # at most max_rows ids: bounded, so they can be broadcast
     chosen = drawn(written(known, "labels"), hash63("_id"), max_rows)
-    sample = packed.join(F.broadcast(chosen), "_id").select("label", "terms", "counts").collect()
+    # (rows that repeat an id are one document, so repeats do not add to the sample)
+    one = F.min(F.struct("terms", "counts")).alias("one")
+    picked = packed.join(F.broadcast(chosen), "_id").groupBy("_id", "label").agg(one)
+    sample = picked.select("label", "one.terms", "one.counts").collect()
     sample = sorted((bytes(r["terms"]), bytes(r["counts"]), r["label"]) for r in sample)
     if not sample:
         return Voters(idf, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))

@@ -114,12 +114,14 @@ def clean_lines(docs: DataFrame, *, text_col: str = "text", out_col: str = "_qua
         "aggregate(_judged, 0L, (n, x) -> n + if(x.bad, x.c, 0)) AS _lost",
         "array_join(transform(filter(_judged, x -> NOT x.bad), x -> x.l), '\\n') AS _left",
         f"(_n_words < {MIN_WORDS} OR 100 * _n_repeat > {MAX_REPEATED} * _n_words) AS _base_failed",
+        # a filter on the verdict stops here: pushed further down, it would judge every line twice
+        "monotonically_increasing_id() AS _row_number",
     )
     return summed.select(
         *(F.col("_row").getField(c).alias(c) for c in docs.columns if c != out_col),
         F.expr(
             "struct(_n_words AS n_words, _word_chars AS word_chars, _n_symbols AS n_symbols, _n_dup_lines AS n_dup_lines,"
             " _n_repeat AS n_repeat_words, _base_failed AS base_failed, _lost AS lost_chars,"
-            f" (NOT _base_failed AND {LOST_ONE_IN} * _lost <= _word_chars) AS kept, _left AS text)"
+            f" (NOT _base_failed AND {LOST_ONE_IN} * _lost <= _word_chars AND _row_number >= 0) AS kept, _left AS text)"
         ).alias(out_col),
     )

@@ -192,9 +192,9 @@ def fit(
     chosen = halves[0].union(halves[1])
     base = texts(docs, id_col, text_col, binary=True)
     # at most max_rows ids: bounded, so they can be broadcast
-    sample = written(
-        base.join(F.broadcast(chosen), "_id").mapInArrow(_distinct_words, "label int, words array<binary>"), "sample"
-    )
+    # (rows that repeat an id are one document, so repeats do not add to the sample)
+    picked = base.join(F.broadcast(chosen), "_id").groupBy("_id", "label").agg(F.min("_text").alias("_text"))
+    sample = written(picked.mapInArrow(_distinct_words, "label int, words array<binary>"), "sample")
     n, toxic = sample.agg(F.count(F.lit(1)), F.sum("label")).first()
     rate = (toxic or 0) / max(n, 1)
     # a word that speaks for a category speaks for the overall label too: the others stay behind
