@@ -30,6 +30,54 @@ SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP2 = r"""
+WITH RECURSIVE rules (verdict, rule) AS (VALUES
+  ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')
+), page AS (
+  SELECT page_id, html, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM pages
+), fitting AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM page JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+    AND starts_with(path, substr(rule, strpos(rule, '/')))
+  GROUP BY page_id
+), judged AS (SELECT page.*, rule, verdict FROM page LEFT JOIN fitting USING (page_id)
+), hosts AS (
+  SELECT host, count(*) AS pages, count(*) FILTER (WHERE verdict = 'allow') AS trusted,
+         count(*) FILTER (WHERE verdict = 'block') AS blocked FROM judged GROUP BY host
+), link AS (
+  SELECT host AS src, regexp_replace(translate(unnest(list_distinct(regexp_extract_all(coalesce(html, ''),
+    '(?:href|HREF|src|SRC)\s*=\s*["'']?\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1))),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^.*@|:\d*$', '', 'g') AS dst FROM judged
+), edge AS (SELECT src, dst, count(*) AS pages FROM link WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+), both_ways AS (SELECT 'trust' AS walk, src, dst, pages FROM edge UNION ALL SELECT 'distrust', dst, src, pages FROM edge
+), seeds AS (
+  SELECT walk, host, seed, sum(seed) OVER (PARTITION BY walk) AS total FROM (
+    SELECT walk, host, CAST(coalesce(CASE walk WHEN 'trust' THEN trusted ELSE blocked END, 0) AS DOUBLE) AS seed
+    FROM (SELECT host FROM hosts WHERE host <> '' UNION SELECT src FROM edge UNION SELECT dst FROM edge) h
+    CROSS JOIN (VALUES ('trust'), ('distrust')) w (walk) LEFT JOIN hosts USING (host))
+), moves AS (
+  SELECT walk, src, dst, pages / sum(pages) OVER (PARTITION BY walk, src) AS share FROM both_ways
+  UNION ALL SELECT walk, host, host, 0 FROM seeds
+), ranks AS (
+  SELECT 0 AS step, walk, host, seed AS rank FROM seeds
+  UNION ALL
+  SELECT step + 1, f.walk, f.host, flow + CASE WHEN total > 0 THEN seed / total * (total - moved) ELSE 0 END
+  FROM (
+    SELECT r.step, m.walk, m.dst AS host, sum(0.85 * r.rank * m.share) AS flow,
+           sum(sum(0.85 * r.rank * m.share)) OVER (PARTITION BY m.walk) AS moved
+    FROM ranks r JOIN moves m ON r.walk = m.walk AND r.host = m.src WHERE r.step < 30 GROUP BY r.step, m.walk, m.dst
+  ) f JOIN seeds s ON s.walk = f.walk AND s.host = f.host
+), scores AS (
+  SELECT host, max(rank) FILTER (WHERE walk = 'trust') AS trust, max(rank) FILTER (WHERE walk = 'distrust') AS distrust
+  FROM ranks WHERE step = 30 GROUP BY host
+)
+SELECT page_id, judged.host, path, rule, coalesce(verdict,
+  CASE WHEN distrust > trust AND distrust >= 0.5 * pages THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN hosts ON hosts.host = judged.host LEFT JOIN scores ON scores.host = judged.host
+"""
+
 OP5 = r"""
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -99,6 +147,7 @@ FROM judged
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": OP2,
     "op5_quality_rules": OP5,
     "op8_substring_dedup": OP8,
     "op9_decontamination": OP9,

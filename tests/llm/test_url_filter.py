@@ -108,3 +108,27 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id int, url string, html string")
     assert U.filter_urls(df, RULES).count() == 0
+
+
+def test_sql_of_the_query_with_links(spark, tmp_path):
+    """The query and its SQL over pages whose hosts do link."""
+    from compare import digest, duck_rows, spark_rows
+    from spendlens.llm.oracle import ORACLE_SQL
+
+    import duckdb
+
+    rnd = random.Random(4)
+    hosts = [f"{a}.example.{b}" for a in ("x", "y", "www", "z", "q") for b in ("com", "net", "org")]
+    pages = []
+    for i in range(300):
+        links = "".join(f'<a href="{rnd.choice(["http://", "//", "HTTPS://u@"])}{rnd.choice(hosts).upper()}:80/p">l</a>' for _ in range(rnd.randint(0, 4)))
+        host = rnd.choice(hosts)
+        folder = rnd.choice(["es", "fr", "es", "en"] if host.endswith("net") else ["en", "fr", "es", "de"])
+        pages.append((i, f"http://{host}/{folder}/{i}", links or None))
+    pages += [(1000, None, None), (1001, "none", '<a href="//x.example.org/">')]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = spark_rows(QUERIES["op2_url_filter"](spark, str(tmp_path)))
+    assert digest(*got) == digest(*duck_rows(con, ORACLE_SQL["op2_url_filter"]))
+    assert {r[got[0].index("verdict")] for r in got[1] if r[got[0].index("rule")] is None} == {"allow", "block"}
