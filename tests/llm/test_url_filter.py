@@ -125,6 +125,8 @@ def test_sql_of_the_query_with_links(spark, tmp_path):
         host = rnd.choice(hosts)
         folder = rnd.choice(["es", "fr", "es", "en"] if host.endswith("net") else ["en", "fr", "es", "de"])
         pages.append((i, f"http://{host}/{folder}/{i}", links or None))
+    pages += [(500 + i, f"http://evil.net/{'fr' if i else 'en'}/", None) for i in range(30)]
+    pages += [(600, "http://farm.org/", '<a href="http://evil.net/">')]
     pages += [(1000, None, None), (1001, "none", '<a href="//x.example.org/">')]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     con = duckdb.connect()
