@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix64, rows, texts, written
+from .common import WordHashes, mix64, texts, written
 
 WINDOW = 50
 GRAM = 16
