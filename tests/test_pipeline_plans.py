@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SMOKE_DIR
 
 from spendlens import config as C
-from spendlens.operators.publish import PublishTarget, to_published
+from spendlens.operators.publish import PublishTarget
 from spendlens.operators.quality import QualityGateError
 from spendlens.operators.rollup import campaign_rollup
 from spendlens.plans.pipeline import build, run
