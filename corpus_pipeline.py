@@ -48,8 +48,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.share_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         "n_tokens",
         "token_ids",

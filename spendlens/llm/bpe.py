@@ -154,19 +154,27 @@ def _decode(shared, batches):
         yield pa.RecordBatch.from_arrays([*b.columns, text], [*b.schema.names, "decoded"])
 
 
+def _round_trip(shared, pattern, batches):
+    return _decode(shared, _encode(shared, pattern, batches))
+
+
 def share_ranks(spark: SparkSession, path: str):
     """The rank table as a broadcast variable (its size is the vocabulary file's)."""
     return spark.sparkContext.broadcast(load_ranks(path))
 
 
-def encode(docs: DataFrame, ranks, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, ranks, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """Per document row: id, n_tokens, token_ids (little-endian unsigned 32-bit integers).
 
-    ``ranks`` comes from ``share_ranks``; no special tokens are known.
+    ``ranks`` comes from ``share_ranks``; no special tokens are known. ``decoded`` adds what
+    ``decode`` would, in the same worker.
     """
     base = texts(docs, id_col, text_col)
     id_type = base.schema["_id"].dataType.simpleString()
-    out = base.mapInArrow(partial(_encode, ranks, pattern), f"_id {id_type}, n_tokens bigint, token_ids binary")
+    columns = f"_id {id_type}, n_tokens bigint, token_ids binary" + ", decoded binary" * decoded
+    out = base.mapInArrow(partial(_round_trip if decoded else _encode, ranks, pattern), columns)
     return out.withColumnRenamed("_id", id_col)
 
 

@@ -2,7 +2,7 @@
 
 Alternating *large-star* and *small-star* steps: each node's links are moved to the smallest
 node it knows, which leaves every component a star round its smallest node after a number of
-steps that grows with the logarithm of its size. Each step is one aggregate (map-side first)
+steps that grows with the logarithm of its size. Each half step is one aggregate (map-side first)
 and one join, and is written to the shared folder: nothing of the graph reaches the driver but
 its counts, and a lost executor costs at most a step. A node with very many links is a hot key
 only in the joins, which Spark can split.
@@ -43,8 +43,8 @@ def components(links: DataFrame) -> DataFrame:
     now = written(links.where("u != v").select("u", "v").distinct(), "links")
     state = _state(now)
     while state[0]:
-        after = _small_star(_large_star(now)).where("u != v").distinct()
-        now = written(after, "links")
+        half = written(_large_star(now).distinct(), "links")
+        now = written(_small_star(half).where("u != v").distinct(), "links")
         before, state = state, _state(now)
         if state == before:
             break

@@ -45,6 +45,7 @@ _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 #: spans of at least so many words are cut from documents that stay
 MIN_CUT = WINDOW
 
+_SPANS_SQL = "array<struct<start:bigint,end:bigint>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -225,18 +226,25 @@ def _scanner(shared, batches):
         )
 
 
-def _scan(
-    base: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, shard_words: int, words_per_hit: int
-) -> DataFrame:
-    """``base`` (with _text) and n_words, n_hit, spans, items, contaminated."""
-    spans, items = "array<struct<start:bigint,end:bigint>>", "array<string>"
-    out = base.withColumns({"spans": F.lit(None).cast(spans), "items": F.lit(None).cast(items)})
+def _scanners(shared: list, batches):
+    """All shards one after the other, in the same worker."""
+    for one in shared:
+        batches = _scanner(one, batches)
+    return batches
+
+
+def _report(shared, batches):
+    for b in _scanners(shared, batches):
+        yield with_columns(b, ("_text",))
+
+
+def _scanned(base: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, shard_words: int, run, **added):
+    """``base`` (with _text) mapped by ``run`` (given the shards and the batches, with empty spans and
+    items to add to); its result has the other columns of ``base`` and those added."""
+    out = base.withColumns({"spans": F.lit(None).cast(_SPANS_SQL), "items": F.lit(None).cast("array<string>")})
     automata = _automata(benchmark, item_col, item_text_col, window, shard_words)
-    for shared in [base.sparkSession.sparkContext.broadcast(x) for x in automata] or [None]:
-        out = map_columns(out, partial(_scanner, shared), n_words="bigint", spans=spans, items=items)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    hit = out.withColumn("n_hit", n_hit).withColumn("items", F.sort_array(F.array_distinct("items")))
-    return hit.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * words_per_hit >= F.col("n_words")))
+    shared = [base.sparkSession.sparkContext.broadcast(x) for x in automata] or [None]
+    return map_columns(out, partial(run, shared), ("_text", "spans", "items"), **added)
 
 
 def find_contamination(
@@ -258,17 +266,34 @@ def find_contamination(
     and at least one word in ``words_per_hit`` is.
     """
     base = texts(docs, id_col, text_col, binary=True)
-    found = _scan(base, benchmark, item_col, item_text_col, window, shard_words, words_per_hit)
-    return found.select(F.col("_id").alias(id_col), "n_words", "n_hit", "spans", "items", "contaminated")
+    found = _scanned(
+        base, benchmark, item_col, item_text_col, window, shard_words, _report,
+        n_words="bigint", spans=_SPANS_SQL, items="array<string>",
+    )
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.withColumn("n_hit", n_hit).select(
+        F.col("_id").alias(id_col),
+        "n_words",
+        "n_hit",
+        "spans",
+        F.sort_array(F.array_distinct("items")).alias("items"),
+        ((F.col("n_hit") > 0) & (F.col("n_hit") * words_per_hit >= F.col("n_words"))).alias("contaminated"),
+    )
 
 
-def _cut(least, batches):
-    for b in batches:
-        out = []
-        for t, spans in zip(b.column("_text").to_pylist(), b.column("spans").to_pylist()):
-            long_ = [(s["start"], s["end"]) for s in spans if s["end"] - s["start"] >= least]
-            out.append(cut_words(t, long_).decode("utf-8", "replace") if long_ else None)
-        yield with_columns(b, ("spans",), cut=pa.array(out, pa.string()))
+def _clean(words_per_hit, least, shared, batches):
+    """The rows that are not contaminated, long spans cut."""
+    for b in _scanners(shared, batches):
+        take, out = [], []
+        columns = (b.column(c).to_pylist() for c in ("_text", "n_words", "spans"))
+        for i, (t, n, spans) in enumerate(zip(*columns)):
+            hit = sum(s["end"] - s["start"] for s in spans)
+            if hit == 0 or hit * words_per_hit < n:
+                long_ = [(s["start"], s["end"]) for s in spans if s["end"] - s["start"] >= least]
+                take.append(i)
+                out.append(cut_words(t, long_) if long_ else t)
+        kept = b.take(pa.array(take, pa.int64()))
+        yield with_columns(kept, ("n_words", "spans", "items"), _text=pa.array(out, pa.binary()))
 
 
 def decontaminate(
@@ -287,10 +312,9 @@ def decontaminate(
     """The rows of ``docs`` that are not contaminated, spans of ``min_cut`` words or more cut out
     of their texts (a text without such a span stays as it is; null becomes empty)."""
     base = carried(docs, text_col, binary=True)
-    found = _scan(base, benchmark, item_col, item_text_col, window, shard_words, words_per_hit)
-    clean = found.where(~F.col("contaminated")).select("_row", "_text", "spans")
-    cut = map_columns(clean, partial(_cut, min_cut), ("spans",), cut="string")
-    return restored(cut, docs, text_col, F.coalesce("cut", F.decode("_text", "UTF-8")), length_col)
+    run = partial(_clean, words_per_hit, min_cut)
+    clean = _scanned(base, benchmark, item_col, item_text_col, window, shard_words, run, _text="binary")
+    return restored(clean, docs, text_col, F.decode("_text", "UTF-8"), length_col)
 
 
 def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

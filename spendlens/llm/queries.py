@@ -53,8 +53,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.share_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    encoded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),

@@ -394,7 +394,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_
     return train(picked) if any(w["secret"] for w in picked) else None
 
 
-def _scan(shared, batches):
+def _scan(shared, batches, keep_text=False):
     field = shared.value
     scorer = Scorer(field) if field is not None else None
     for b in batches:
@@ -404,17 +404,15 @@ def _scan(shared, batches):
             extra = crf_spans(t, scorer, base) if scorer else []
             spans = sorted([*base, *extra], key=lambda s: (s[1], KINDS.index(s[0])))
             out.append([{"kind": k, "start": x, "end": y} for k, x, y in spans])
-        yield with_columns(b, spans=pa.array(out, _MARKUP))
-
-
-def _marked(base: DataFrame, field: Field | None) -> DataFrame:
-    shared = base.sparkSession.sparkContext.broadcast(field)
-    return map_columns(base, partial(_scan, shared), spans="array<struct<kind:string,start:bigint,end:bigint>>")
+        yield with_columns(b, () if keep_text else ("_text",), spans=pa.array(out, _MARKUP))
 
 
 def find_secrets(docs: DataFrame, field: Field | None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document row: id and spans (kind, start, end), by start and then kind."""
-    return _marked(texts(docs, id_col, text_col), field).select(F.col("_id").alias(id_col), "spans")
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+    spans = "array<struct<kind:string,start:bigint,end:bigint>>"
+    found = map_columns(texts(docs, id_col, text_col), partial(_scan, shared), ("_text",), spans=spans)
+    return found.select(F.col("_id").alias(id_col), "spans")
 
 
 def redact_text(text: str, spans: list[tuple[int, int]], mark: str) -> str:
@@ -427,8 +425,8 @@ def redact_text(text: str, spans: list[tuple[int, int]], mark: str) -> str:
     return "".join([*out, text[at:]])
 
 
-def _redact(mark, batches):
-    for b in batches:
+def _redact(shared, mark, batches):
+    for b in _scan(shared, batches, keep_text=True):
         out = []
         for t, spans in zip(b.column("_text").to_pylist(), b.column("spans").to_pylist()):
             out.append(redact_text(t, [(s["start"], s["end"]) for s in spans], mark) if spans else t)
@@ -439,6 +437,6 @@ def redact(
     docs: DataFrame, field: Field | None, *, text_col: str = "text", length_col: str | None = None, mark: str = "[SECRET]"
 ) -> DataFrame:
     """``docs`` with every secret replaced by ``mark`` (null texts become empty)."""
-    found = _marked(carried(docs, text_col), field)
-    done = map_columns(found, partial(_redact, mark), ("spans",), _text="string")
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+    done = map_columns(carried(docs, text_col), partial(_redact, shared, mark), _text="string")
     return restored(done, docs, text_col, F.col("_text"), length_col)
