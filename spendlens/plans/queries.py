@@ -189,8 +189,10 @@ def q09_precedence_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q10_precedence_remainder(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, cfg = _inputs(spark, sf_dir)
-    _, _, remainder = _precedence(src, cfg)
-    return present(remainder)
+    # read by the join and by the rows of other markets: written once, as the daily run does
+    details = Scratch(spark).write(_details(src, cfg), "details")
+    joined = precedence_join(details, skan_rollup(src.skan, cfg))
+    return present(remainder_rows(joined, details))
 
 
 # -- X9 ------------------------------------------------------------------------------------
