@@ -17,9 +17,13 @@ from .common import written
 
 
 def _star(links: DataFrame) -> DataFrame:
-    """Links (u, v) with u's smallest neighbour, itself included, as m."""
-    lowest = links.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return links.join(lowest, "u")
+    """Links (u, v) with u's smallest neighbour, itself included, as m.
+
+    The minima are written first: joined straight from their aggregate, they would tie all links
+    of a node to the one task that made its minimum, and a hot node could not be split.
+    """
+    lowest = links.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
+    return links.join(written(lowest, "lowest"), "u")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
