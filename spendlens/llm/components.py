@@ -2,39 +2,33 @@
 
 Alternating *large-star* and *small-star* steps: each node's links are moved to the smallest
 node it knows, which leaves every component a star round its smallest node after a number of
-steps that grows with the logarithm of its size. Each half step is one aggregate (map-side first)
-and one join, and is written to the shared folder: nothing of the graph reaches the driver but
-its counts, and a lost executor costs at most a step. A node with very many links is a hot key
-only in the joins, which Spark can split.
+steps that grows with the logarithm of its size. The minima are aggregated map-side first, and
+each pair of steps is written to the shared folder: nothing of the graph reaches the driver but
+its counts, and a lost executor costs at most one pair.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 
-def _star(links: DataFrame) -> DataFrame:
-    """Links (u, v) with u's smallest neighbour, itself included, as m.
-
-    The minima are written first: joined straight from their aggregate, they would tie all links
-    of a node to the one task that made its minimum, and a hot node could not be split.
-    """
-    lowest = links.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
-    return links.join(written(lowest, "lowest"), "u")
-
-
 def _large_star(links: DataFrame) -> DataFrame:
+    """Every larger neighbour of a node, linked to the node's smallest (itself included)."""
     both = links.union(links.select("v", "u"))
-    return _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    lowest = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
+    return both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    s = _star(down)
-    return s.select(F.col("v").alias("u"), F.col("m").alias("v")).union(s.select("u", F.col("m").alias("v")))
+    """A node and its smaller neighbours, linked to the smallest of them.
+
+    After a large step few different ones are left for a node, so a window over them is small."""
+    down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    lowest = down.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    return lowest.selectExpr("inline(array(struct(v AS u, m AS v), struct(u AS u, m AS v)))")
 
 
 def _state(links: DataFrame) -> tuple:
@@ -47,8 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     now = written(links.where("u != v").select("u", "v").distinct(), "links")
     state = _state(now)
     while state[0]:
-        half = written(_large_star(now).distinct(), "links")
-        now = written(_small_star(half).where("u != v").distinct(), "links")
+        now = written(_small_star(_large_star(now)).where("u != v").distinct(), "links")
         before, state = state, _state(now)
         if state == before:
             break
