@@ -17,10 +17,13 @@ members are compared with pivots, the member whose buckets hold most documents (
 group of copies), the next such member outside the first one's class, and one drawn anew each
 round. Each comparison is the exact similarity of the two texts; links join classes
 (``components``), and further rounds compare what is still apart in a common bucket, until
-``PATIENCE`` rounds find no link. A round costs at most three comparisons a member and bucket,
+``PATIENCE`` rounds find hardly any link. A round costs at most three comparisons a member and bucket,
 each pair of texts being compared once. What of a bucket is in one class needs no comparison,
-so groups of copies end early; in a large bucket of texts that are not quite alike a link whose
-ends both are never pivots can stay unseen (the README has the measured share).
+so groups of copies end early. Members of a bucket that are still in different classes then are
+joined exactly (``_finish``): two texts alike share an element among the rarest of each (prefix
+filter, the prefix being that for the sizes of both), and what meets there in another class, and
+can be alike by the place of the common element, is compared. So nothing that shares a bucket
+is missed.
 
 Scale: one pass for signatures; band rows, pivots and classes are aggregated map-side first; a
 bucket that holds a third of all documents gives each of them a few comparisons, and the joins it
@@ -53,8 +56,17 @@ SIMILARITY = 0.8
 BANDS = 25
 ROWS = 6
 
-#: rounds without a new link, one after the other, that end the comparisons
+#: rounds, one after the other, that end the comparisons with pivots, if fewer than this share of
+#: their pairs are links; the exact join does the rest
 PATIENCE = 2
+FRUITFUL = 0.01
+
+#: the exact join: counters of the order by frequency (elements that share one are counted together,
+#: which changes the order and so the work, not the result), ratio of the bounds of a class of sizes,
+#: and rows of a key above which it is salted
+BINS = 1 << 20
+SIZE_STEP = 1.03
+HOT = 500
 
 #: cells and darts of the documents signed at a time (some 50 bytes of a worker's memory each)
 CHUNK = 300_000
@@ -187,6 +199,100 @@ def _compare(size, weigh, least, batches):
             )
 
 
+def _elements(words: WordHashes, text: bytes, size: int, weigh: str) -> np.ndarray:
+    """The weighted set as a plain one: an element of weight w is w elements."""
+    own, weights = _weighted(shingles(words, text, size), weigh)
+    times = weights.astype(np.int64)
+    if (times == 1).all():
+        return own
+    number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.repeat(own, times) ^ np.where(number > 0, mix64(number.astype(np.uint64)), np.uint64(0))
+
+
+def _bin(elements: np.ndarray) -> np.ndarray:
+    return (mix64(elements) % np.uint64(BINS)).astype(np.int64)
+
+
+def _count_bins(size, weigh, batches):
+    words = WordHashes()
+    for (text,) in rows(batches, "text"):
+        found = [_bin(_elements(words, t, size, weigh)) for t in text]
+        at, times = np.unique(np.concatenate(found), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(times)], ["bin", "n"])
+
+
+def _least_common(least: float, total):
+    """The fewest common elements of two sets of so many elements together that are alike."""
+    return math.ceil(least / (1 + least) * total - 1e-6)
+
+
+def _size_class(n: float) -> int:
+    return math.floor(math.log(n) / math.log(SIZE_STEP))
+
+
+def _prefixes(shared, size, weigh, least, batches):
+    words, counts = WordHashes(), shared.value
+    fields = ("element", "low", "high", "own", "node", "component", "size", "place")
+    kinds = (np.int64, np.int32, np.int32, np.int32, np.int64, np.int64, np.int64, np.int64)
+    for node, component, text in rows(batches, "node", "component", "text"):
+        found: list[tuple] = []
+        held = 0
+        for k, (i, c, t) in enumerate(zip(node, component, text), 1):
+            elements = _elements(words, t, size, weigh)
+            n, often = len(elements), counts[_bin(elements)]
+            order = np.lexsort((elements, often))
+            elements, some = elements[order].view(np.int64), often[order] > 1  # others are in no other text
+            own = _size_class(n)
+            for other in range(_size_class(max(1.0, least * n * (1 - 1e-9))), _size_class(n / least * (1 + 1e-9)) + 1):
+                smallest = max(SIZE_STEP**other * (1 - 1e-9), least * n)
+                at = np.flatnonzero(some[: max(0, n - _least_common(least, n + smallest) + 1)])
+                if len(at):
+                    found.append((elements[at], min(own, other), max(own, other), own, i, c, n, at))
+                    held += len(at)
+            if found and (held >= CHUNK or k == len(node)):
+                lengths = [len(f[0]) for f in found]
+                columns = [np.concatenate([f[0] for f in found])]
+                columns += [np.repeat(np.array([f[j] for f in found], kinds[j]), lengths) for j in range(1, 7)]
+                columns.append(np.concatenate([f[7] for f in found]))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.from_numpy_dtype(d)) for x, d in zip(columns, kinds)], list(fields))
+                found, held = [], 0
+
+
+def _finish(apart: DataFrame, size: int, weigh: str, least: float) -> DataFrame:
+    """Pairs (u, v) of different components of ``apart`` (node, component, text) that can be alike:
+    every pair that is alike is among them."""
+    spark = apart.sparkSession
+    counts = np.zeros(BINS, np.int32)
+    # at most BINS rows reach the driver
+    binned = apart.select("text").mapInArrow(partial(_count_bins, size, weigh), "bin bigint, n bigint")
+    often = binned.groupBy("bin").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).where("n > 1").toArrow()
+    counts[often.column("bin").to_numpy()] = often.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+    prefix = written(
+        apart.mapInArrow(
+            partial(_prefixes, shared, size, weigh, least),
+            "element bigint, low int, high int, own int, node bigint, component bigint, size bigint, place bigint",
+        ),
+        "prefixes",
+    )
+    key = ["element", "low", "high"]
+    # keys of one component, or without a partner of the other size, join nothing
+    met = prefix.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("c"), F.max("component").alias("d"),
+        F.min("own").alias("a"), F.max("own").alias("b"),
+    ).where("c != d AND a = low AND b = high").select(*key, F.ceil(F.col("n") / HOT).cast("int").alias("salts"))
+    salted = prefix.join(met, key).withColumn("mine", F.pmod(F.xxhash64("node"), "salts").cast("int"))
+    cells = salted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    side = "element, low, high, {0} AS s, {1} AS t, node AS {2}, component AS {2}_c, size AS {2}_n, place AS {2}_p"
+    left = cells.where("own = low").selectExpr(*side.format("mine", "other", "x").split(", "))
+    right = cells.where("own = high").selectExpr(*side.format("other", "mine", "y").split(", "))
+    both = left.join(right, [*key, "s", "t"]).where(
+        f"""x_c != y_c AND (low < high OR x < y)
+        AND least(x_n - x_p, y_n - y_p) >= ceil({least / (1 + least)!r}D * (x_n + y_n) - 1e-6D)"""
+    )
+    return both.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+
+
 def _pivots(members: DataFrame) -> DataFrame:
     """Pairs (node, pivot) of members of a bucket that are in different classes."""
     best = F.max(F.struct("weight", "node", "component")).alias("hub")
@@ -247,6 +353,15 @@ def classes_by_text(
         .agg(F.min("_text").alias("text")),  # rows that repeat the document do not repeat the node
         "candidates",
     )
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        other = text.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+        return written(
+            pairs.join(text.select("node", "text"), "node").join(other, "pivot")
+            .mapInArrow(partial(_compare, shingle, weigh, least), "u bigint, v bigint"),
+            "links",
+        )
+
     classes = weight.select("node", "weight", F.col("node").alias("component"))
     links = compared = None
     turn = barren = 0
@@ -256,25 +371,31 @@ def classes_by_text(
         if compared is not None:
             pairs = pairs.join(compared, ["u", "v"], "left_anti")
         pairs = written(pairs, "pairs")
-        mine = text.select("node", "text")
-        other = text.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
-        new = written(
-            pairs.select("node", "pivot").join(mine, "node").join(other, "pivot")
-            .mapInArrow(partial(_compare, shingle, weigh, least), "u bigint, v bigint"),
-            "links",
-        )
+        new = alike(pairs.select("node", "pivot"))
         done = pairs.select("u", "v")
         compared = done if compared is None else compared.union(done)
         turn += 1
-        if new.isEmpty():
-            barren = PATIENCE if pairs.isEmpty() else barren + 1
+        n_pairs, n_new = pairs.count(), new.count()
+        barren = PATIENCE if not n_pairs else 0 if n_new >= FRUITFUL * n_pairs else barren + 1
+        if not n_new:
             continue
-        barren = 0
         links = new if links is None else links.union(new)
         found = written(components(links), "classes")
         classes = weight.join(found, "node", "left").select(
             "node", "weight", F.coalesce("component", "node").alias("component")
         )
+    members = met.join(classes, "node")
+    mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    open_nodes = members.join(mixed.select("bucket"), "bucket").select("node", "component").distinct()
+    apart = written(open_nodes.join(text, "node").select("node", "component", "text"), "apart")
+    if not apart.isEmpty():
+        pairs = _finish(apart, shingle, weigh, least)
+        if compared is not None:
+            pairs = pairs.join(compared, ["u", "v"], "left_anti")
+        new = alike(written(pairs.selectExpr("u AS node", "v AS pivot"), "pairs"))
+        if not new.isEmpty():
+            links = new if links is None else links.union(new)
+            found = written(components(links), "classes")
     if links is None:
         named = nodes.select("node", F.col("_id").alias("class_id"))
     else:

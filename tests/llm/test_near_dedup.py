@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from llm_fixtures import documents, odd_docs  # noqa: F401
@@ -100,6 +100,57 @@ def test_group_of_near_copies_without_a_common_original(spark):
     assert got == brute_classes(docs) and {got[i] for i in range(60)} == {0}
 
 
+def template_pages(n, seed=11):
+    """Pages of one template with eight one-word slots: pairs that share three slots are alike."""
+    rnd = random.Random(seed)
+    words = [f"t{k}" for k in range(271)]
+    docs = []
+    for i in range(n):
+        own = list(words)
+        for k in range(8):
+            own[20 + 30 * k] = f"s{k}x{rnd.randrange(30)}"
+        docs.append((i, " ".join(own)))
+    return docs
+
+
+def all_pairs(docs, weigh="one", least=0.8):
+    """Classes by the exact similarity of every pair (dense, for small tables)."""
+    sets = [Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for w in (t.split() for _, t in docs)]
+    if weigh == "one":
+        sets = [Counter(dict.fromkeys(s, 1)) for s in sets]
+    place = {x: k for k, x in enumerate({(x, j) for s in sets for x, n in s.items() for j in range(n)})}
+    m = np.zeros((len(sets), len(place)), np.float32)
+    for k, s in enumerate(sets):
+        m[k, [place[x, j] for x, n in s.items() for j in range(n)]] = 1
+    common, size = m @ m.T, m.sum(axis=1)
+    u, v = np.nonzero(common >= least * (size[:, None] + size - common) - 1e-3)
+    return grouped((docs[a][0], docs[b][0]) for a, b in zip(u.tolist(), v.tolist()))
+
+
+def test_hidden_pairs_of_a_template(spark):
+    docs = template_pages(300)
+    want = all_pairs(docs)
+    assert 150 < len(set(want.values())) < 290
+    got = {r.doc_id: r.class_id for r in N.near_duplicates(spark.createDataFrame(docs, "doc_id int, text string")).collect()}
+    assert got == want
+
+
+def test_exact_join_finds_all_pairs(spark, monkeypatch):
+    """Without any link before it, of all sizes, weights of one and of counts, hot keys salted."""
+    monkeypatch.setattr(N, "HOT", 7)
+    rnd = random.Random(2)
+    docs = [(i, " ".join(t.split()[: rnd.randint(1, 271)])) for i, t in template_pages(60)]
+    docs += [(100 + i, " ".join([f"r{i % 9}"] * rnd.randint(1, 60) + ["a b c d e f"] * 4)) for i in range(60)]
+    rows = [(i, i, t.encode()) for i, t in docs]
+    apart = spark.createDataFrame(rows, "node long, component long, text binary")
+    for weigh in ("one", "count"):
+        pairs = {(r.u, r.v) for r in N._finish(apart, 5, weigh, 0.8).collect()}
+        words = N.WordHashes()
+        sets = {i: N._weighted(N.shingles(words, t, 5), weigh) for i, _, t in rows}
+        want = {(a, b) for a in sets for b in sets if a < b and N.similarity(sets[a], sets[b]) >= 0.8 - 1e-9}
+        assert want and want <= pairs and len(pairs) < len(docs) * (len(docs) - 1) / 2
+
+
 def test_odd_rows(spark, odd_docs):
     got = sorted(((r.doc_id or -1), r.class_id) for r in N.near_duplicates(odd_docs).collect() if r.class_id is not None)
     assert got == [(-1, 1), (1, 1), (2, 1), (2, 1), (3, 3), (4, 4), (5, 5), (6, 6), (7, 7)]
