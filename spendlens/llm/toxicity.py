@@ -1,7 +1,8 @@
 """Toxicity by a classifier chain of linear models.
 
 Categories are predicted one after the other, the overall verdict last; each model is a logistic
-regression on which words a document has and on the log-odds that the models before it gave. For
+regression on which words and heads of words (their first ``HEADS`` characters, which inflected and
+compound words have in common) a document has and on the log-odds that the models before it gave. For
 training, those come from out-of-fold predictions: every fold's are made by models that have not
 seen it, so a later model learns how far earlier ones can be trusted on new text. For scoring,
 models fitted on all training rows run in the same order.
@@ -12,8 +13,9 @@ label alone.
 
 Scale: one map over the documents. Training takes at most ``TRAIN_ROWS`` labelled documents, chosen
 by a hash of the id (half of them labelled toxic, as far as there are). Their words are counted in
-Spark; of at most ``VOCABULARY`` words that speak for the label it comes to the driver which documents
-have them, and those words with their weights are what is broadcast.
+Spark; of the ``VOCABULARY`` that speak most for the label it comes to the driver which documents
+have them, and those words with their weights are what is broadcast. No word has to pass a test of
+significance: one with little evidence is scaled down (``evidence``), so the ridge holds it near 0.
 
 Defined results: a null or empty text has no words and gets the models' base rates; null labels
 are left out, a document labelled more than once is toxic if one label says so; without labels
@@ -45,16 +47,32 @@ OVERALL = "toxic"
 
 TRAIN_ROWS = 8_000
 VOCABULARY = 2_000
-#: words in fewer training documents are left out, and those whose documents have a category less
-#: than so many standard deviations more often than others
+#: words in fewer training documents are left out
 MIN_DOCUMENTS = 4
-MIN_DEVIATION = 8.0
-PRESELECT = 4.0
+#: documents that a word's log-odds are shrunk by, and standard errors taken off them
+PRIOR = 2.0
+CAUTION = 2.0
+#: lengths in characters of the heads of words that are features too
+HEADS = (4, 5, 6, 7)
 FOLDS = 5
 L2 = 0.02
 THRESHOLD = 0.5
 
 
+def features(word: bytes) -> list[bytes]:
+    """A word and its heads (marked by ``*``, which no word has)."""
+    text = word.decode("utf-8", "replace")
+    return [word, *(text[:n].encode() + b"*" for n in HEADS if len(text) > n)]
+
+
+def evidence(n: np.ndarray, k: np.ndarray, rate: float) -> np.ndarray:
+    """How far words in n documents, k of them of the class, speak for it: the lower bound of their
+    shrunken log-odds against the class's share, or 0."""
+    with_, without = k + PRIOR * rate, n - k + PRIOR * (1 - rate)
+    odds = np.log(with_ / without) - np.log(rate / (1 - rate))
+    return np.where(n >= MIN_DOCUMENTS, np.maximum(0, odds - CAUTION * np.sqrt(1 / with_ + 1 / without)), 0)
+
+
 @dataclass
 class Chain:
     """The vocabulary and, for each link, its name, word weights, weights of earlier links, bias."""
@@ -97,23 +115,22 @@ class Sparse:
 def logistic(present: list[np.ndarray], n_words: int, earlier: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of words and of earlier links, and bias, by accelerated gradient descent.
 
-    Only words that speak for the class in these rows take part (the others weigh nothing, so a
-    long clean text around a few such words does not outvote them).
+    Words take part as far as they speak for the class in these rows (the others weigh nothing, so
+    a long clean text around a few such words does not outvote them).
     """
     m = Sparse(present, n_words)
     count = m.gradient(np.ones(m.n))
     with_y, rate = m.gradient(y), y.mean()
-    deviation = (with_y - count * rate) / np.sqrt(np.maximum(count * rate * (1 - rate), 1e-12))
-    use = (count >= MIN_DOCUMENTS) & (deviation >= MIN_DEVIATION)
-    m.keep(use)
+    part = evidence(count, with_y, rate)
+    m.keep(part > 0)
     w, v, b = np.zeros(n_words), np.zeros(earlier.shape[1]), float(np.log((rate + 1e-9) / (1 - rate + 1e-9)))
     scale = np.maximum(np.abs(earlier).max(axis=0, initial=1.0), 1.0)
     e = earlier / scale
     # a step short enough for the largest curvature (a power iteration over the words in use)
-    x = use / np.sqrt(max(use.sum(), 1))
+    x = part / (np.linalg.norm(part) or 1.0)
     top = 1.0
     for _ in range(15):
-        x = m.gradient(m.scores(x))
+        x = part * m.gradient(m.scores(part * x))
         top = float(np.linalg.norm(x)) or 1.0
         x /= top
     rate_ = 1 / (0.25 * (top + m.n * (1 + e.shape[1])) + L2)
@@ -122,19 +139,23 @@ def logistic(present: list[np.ndarray], n_words: int, earlier: np.ndarray, y: np
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
         at = now + (t - 1) / after * (now - was)
         w, v, b = at[:n_words], at[n_words:-1], at[-1]
-        p = 1 / (1 + np.exp(-np.clip(m.scores(w) + e @ v + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(m.scores(part * w) + e @ v + b, -30, 30)))
         r = y - p
-        g = np.concatenate([m.gradient(r) - L2 * w, e.T @ r - L2 * v, [r.sum()]])
+        g = np.concatenate([part * m.gradient(r) - L2 * w, e.T @ r - L2 * v, [r.sum()]])
         was, now, t = now, at + rate_ * g, after
         if np.abs(now - was).max() < 1e-5:
             break
-    return now[:n_words], now[n_words:-1] / scale, float(now[-1])
+    return part * now[:n_words], now[n_words:-1] / scale, float(now[-1])
 
 
 def train(docs_words: list[list[bytes]], toxic: np.ndarray) -> Chain:
-    """A chain from the distinct words of training documents and their labels."""
+    """A chain from the distinct words (and heads) of training documents and their labels."""
     counts = Counter(w for words in docs_words for w in words)
-    kept = sorted((w for w, n in counts.items() if n >= MIN_DOCUMENTS), key=lambda w: (-counts[w], w))[:VOCABULARY]
+    common = [w for w, n in counts.items() if n >= MIN_DOCUMENTS]
+    ours = Counter(w for words, y in zip(docs_words, toxic) if y for w in words)
+    rate = min(max(float(np.mean(toxic)) if len(toxic) else 0.0, 1e-9), 1 - 1e-9)
+    says = evidence(np.array([counts[w] for w in common], float), np.array([ours[w] for w in common], float), rate)
+    kept = [w for _, w in sorted(zip(-says, common))[:VOCABULARY]]
     index = {w: i for i, w in enumerate(kept)}
     present = [np.array([index[w] for w in words if w in index], int) for words in docs_words]
     labels = {}
@@ -168,7 +189,7 @@ def train(docs_words: list[list[bytes]], toxic: np.ndarray) -> Chain:
 
 def _distinct_words(batches):
     for b in batches:
-        found = [sorted(set(normal_words(t))) for t in b.column("_text").to_pylist()]
+        found = [sorted({f for w in set(normal_words(t)) for f in features(w)}) for t in b.column("_text").to_pylist()]
         yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(found, pa.list_(pa.binary()))], ["label", "words"])
 
 
@@ -201,23 +222,38 @@ def fit(
     counted = sample.select("label", F.explode("words").alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("n"), F.sum("label").alias("k")
     )
-    lead = F.col("k") - F.col("n") * rate
-    telling = counted.where((F.col("n") >= MIN_DOCUMENTS) & (lead * lead >= F.col("n") * (rate * (1 - rate) * PRESELECT**2)) & (lead > 0))
-    vocabulary = [bytes(r["word"]) for r in telling.orderBy(F.desc("k"), "word").limit(VOCABULARY).collect()]
+    # the order of ``evidence``
+    with_, without = F.col("k") + PRIOR * rate, F.col("n") - F.col("k") + PRIOR * (1 - rate)
+    says = F.log(with_ / without) - CAUTION * F.sqrt(1 / with_ + 1 / without)
+    telling = counted.where((F.col("n") >= MIN_DOCUMENTS) & (F.col("k") > F.col("n") * rate)) if 0 < rate < 1 else counted.limit(0)
+    vocabulary = [bytes(r["word"]) for r in telling.orderBy(says.desc(), "word").limit(VOCABULARY).collect()]
     vocabulary += [c.encode() for cues in CATEGORIES.values() for c in cues]
     words = F.array_intersect("words", F.array(*map(F.lit, sorted(set(vocabulary)))))
     found = sorted(([bytes(w) for w in r["words"]], r["label"]) for r in sample.select("label", words.alias("words")).collect())
     return train([w for w, _ in found], np.array([y for _, y in found], float))
 
 
+class Indices(dict):
+    """Word -> vocabulary indices of its features, remembered for at most ``limit`` words."""
+
+    def __init__(self, vocabulary: dict[bytes, int], limit: int = 200_000):
+        super().__init__()
+        self.vocabulary, self.limit = vocabulary, limit
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = own = tuple(self.vocabulary[f] for f in features(word) if f in self.vocabulary)
+        return own
+
+
 def _score(shared, names, batches):
     chain = shared.value
-    get = chain.words.get
+    indices = Indices(chain.words)
     for b in batches:
         present = []
         for t in b.column("_text").to_pylist():
-            own = {get(w, -1) for w in normal_words(t)}
-            own.discard(-1)
+            own = {i for w in set(normal_words(t)) for i in indices[w]}
             present.append(np.fromiter(own, int, len(own)))
         p = chain.probabilities(present)
         yield pa.RecordBatch.from_arrays(

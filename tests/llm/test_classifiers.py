@@ -33,6 +33,36 @@ def test_toxicity_on_documents_it_has_not_seen(spark):
     assert all(0 <= r.p_insult <= 1 and 0 <= r.p_toxic <= 1 for r in rows)
 
 
+def test_toxicity_recall_on_every_unseen_label_by_language(spark):
+    found = {}
+    for sf in ("/root/testdata/sf0.01", SF):
+        docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+        seen = F.xxhash64("doc_id", F.lit(5)) % 2 == 0
+        chain = T.fit(docs, labels.where(seen))
+        unseen = labels.where(~seen).withColumnRenamed("toxic", "label").join(docs.select("doc_id", "lang"), "doc_id")
+        rows = T.score(docs, chain).join(unseen, "doc_id").groupBy("lang", "label").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("toxic").cast("int")).alias("k")
+        ).collect()
+        found[sf] = {(r.lang, r.label): (r.k, r.n) for r in rows if r.label is not None}
+        print(sf, sorted(found[sf].items()))
+    assert all(k >= 0.6 * n > 0 for (_, label), (k, n) in found[SF].items() if label)
+    assert all(k <= 0.06 * n for (_, label), (k, n) in found[SF].items() if not label)
+    # sf0.01 has two to six unseen toxic labels a language but English, too few to ask for a share
+    k, n = found["/root/testdata/sf0.01"]["en", 1]
+    assert k >= 0.8 * n > 0
+
+
+def test_rare_inflected_words_speak_when_half_of_the_sample_is_toxic():
+    """Sixteen toxic documents with a stem in ever new forms among as many clean ones as toxic."""
+    words = [{b"idiot", b"w%d" % (i % 40)} if i % 2 else {b"v%d" % (i % 40)} for i in range(800)]
+    words += [{b"achlich%c%c" % (97 + i, 97 + i), b"u%d" % i} for i in range(16)]
+    y = np.array([float(i % 2) for i in range(800)] + [1.0] * 16)
+    chain = T.train([sorted({f for w in ws for f in T.features(w)}) for ws in words], y)
+    at = [np.array(T.Indices(chain.words)[w], int) for w in (b"achlichzz", b"v3")]
+    p = chain.probabilities(at)[:, -1]
+    assert p[0] > 0.7 and p[1] < 0.4
+
+
 def test_later_links_use_earlier_ones():
     rng = np.random.default_rng(0)
     words = [[b"idiot"] * (i % 4 == 0) + [b"w%d" % rng.integers(30)] for i in range(400)]
