@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_folder
+from ..session import Scratch, delete_path, shared_folder
 
 #: rows and bytes of one Arrow batch: a task holds one batch of texts at a time, so very long
 #: documents never add up in a Python worker
@@ -136,3 +136,38 @@ def rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[lis
     for b in batches:
         if b.num_rows:
             yield tuple(b.column(c).to_pylist() for c in columns)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], *keys: str, least: int = 1) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of at least ``least`` that end where the keys (integers) change, and where each run of
+    equal keys starts, from batches in which equal keys are neighbours."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def starts(rows: pa.Table) -> np.ndarray:
+        columns = [rows.column(k).to_numpy() for k in keys]
+        return np.append(0, np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1)
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n > least:
+            rows = pa.Table.from_batches(held)
+            first = starts(rows)
+            if first[-1] >= least:
+                yield rows.slice(0, first[-1]), first[:-1]
+                held = rows.slice(first[-1]).combine_chunks().to_batches()
+                n = rows.num_rows - int(first[-1])
+    if held:
+        rows = pa.Table.from_batches(held)
+        yield rows, starts(rows)
+
+
+def released(scratch: Scratch, *names: str) -> None:
+    """Delete relations that no later step reads, and have the driver drop the shuffles of finished
+    steps (Spark removes their files once the driver has collected the plans they belong to)."""
+    for name in names:
+        delete_path(scratch.spark, scratch.path(name))
+    scratch.spark._jvm.System.gc()

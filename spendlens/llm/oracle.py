@@ -146,10 +146,29 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM judged
 """
 
+OP12 = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS k
+  FROM (SELECT doc_id, i, b[i:i + 99] AS x FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 98)) AS i FROM d))),
+g AS (SELECT doc_id, i, i > lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) + 100 AS cut FROM w WHERE k > 1),
+s AS (
+  SELECT doc_id, min(i) AS a, max(i) + 99 AS z
+  FROM (SELECT doc_id, i, sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g) GROUP BY doc_id, run),
+k AS (  -- what is left: before each removed run, and after the last
+  SELECT doc_id, a, z, 1 + lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS f, a - 1 AS t FROM s
+  UNION ALL SELECT doc_id, octet_length(b) + 1, octet_length(b), 1 + coalesce(z, 0), octet_length(b)
+  FROM d LEFT JOIN (SELECT doc_id, max(z) AS z FROM s GROUP BY doc_id) USING (doc_id))
+SELECT doc_id, any_value(octet_length(b))::BIGINT AS n_bytes, sum(z - a + 1)::BIGINT AS n_removed, (count(*) - 1)::BIGINT AS n_spans,
+       sha256(unhex(string_agg(hex(b[f:t]), '' ORDER BY a))) AS kept_sha256
+FROM d JOIN k USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": OP2,
     "op5_quality_rules": OP5,
     "op8_substring_dedup": OP8,
     "op9_decontamination": OP9,
     "op10_warc": OP10,
+    "op12_suffix_dedup": OP12,
 }

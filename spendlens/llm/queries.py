@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dedup, quality_knn, quality_rules, secrets, substring_dedup, toxicity, url_filter, warc
+from . import bpe, decontaminate, near_dedup, quality_knn, quality_rules, repeat_tree, secrets, substring_dedup, toxicity, url_filter, warc
 from .common import bounded_batches
 
 
@@ -108,6 +108,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeat_tree.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -119,4 +131,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }

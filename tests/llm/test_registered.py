@@ -28,7 +28,7 @@ def con():
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(QUERIES)
 
 
