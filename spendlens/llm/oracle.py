@@ -164,6 +164,45 @@ SELECT doc_id, any_value(octet_length(b))::BIGINT AS n_bytes, sum(z - a + 1)::BI
 FROM d JOIN k USING (doc_id) GROUP BY doc_id
 """
 
+OP13 = r"""
+WITH RECURSIVE crc AS (  -- the table of the checksum's bytes
+  SELECT list(c ORDER BY b) AS t
+  FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS b))
+), run AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS r FROM documents)
+), hashed AS (
+  SELECT r, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda x, b: xor(x >> 8, t[1 + xor(x & 255, b)])), 4294967295) AS h
+  FROM (SELECT doc_id, r, count(*) AS n,
+               list_transform(range(1, octet_length(encode(doc_id || ':' || r)) + 1),
+                              lambda k: ('0x' || hex(encode(doc_id || ':' || r)[k:k]))::BIGINT) AS bytes
+        FROM run GROUP BY doc_id, r), crc
+), word AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN r[:h % length(r)] || r[h % length(r) + 2:] ELSE r END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), less AS (  -- every word without one of its code points
+  SELECT word, n, i, word[:i] || word[i + 2:] AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM word)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN word b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN word b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min({'less': -other_n, 'form': encode(other)}) AS b FROM near GROUP BY word
+), formed AS (
+  SELECT word.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -b.less >= 10 * n THEN decode(b.form) END AS form, CASE WHEN -b.less >= 10 * n THEN -b.less END AS form_n
+  FROM word LEFT JOIN best USING (word)
+), walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT walk.word, f.form FROM walk JOIN formed f ON f.word = walk.at WHERE f.form IS NOT NULL
+), root AS (
+  SELECT walk.word, walk.at AS root FROM walk JOIN formed f ON f.word = walk.at WHERE f.form IS NULL
+)
+SELECT formed.word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM formed JOIN root USING (word)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": OP2,
     "op5_quality_rules": OP5,
@@ -171,4 +210,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_decontamination": OP9,
     "op10_warc": OP10,
     "op12_suffix_dedup": OP12,
+    "op13_spelling_variants": OP13,
 }

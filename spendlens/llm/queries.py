@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dedup, quality_knn, quality_rules, repeat_tree, secrets, substring_dedup, toxicity, url_filter, warc
+from . import bpe, decontaminate, near_dedup, pivotal_grams, quality_knn, quality_rules, repeat_tree, secrets, substring_dedup, toxicity, url_filter, warc
 from .common import bounded_batches
 
 
@@ -120,6 +120,10 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotal_grams.group_variants(pivotal_grams.count_words(_table(spark, sf_dir, "documents"), drop_every=31))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
@@ -132,4 +136,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }
