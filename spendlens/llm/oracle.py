@@ -146,6 +146,65 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM judged
 """
 
+OP11 = r"""
+WITH RECURSIVE bits AS (  -- the table of the checksum's bytes
+  SELECT list(c ORDER BY b) AS t
+  FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS b))
+), doc AS (
+  SELECT doc_id, source, lang, n_chars, text,
+         CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+                                   lambda x, b: xor(x >> 8, t[1 + xor(x & 255, b)])), 4294967295) % 5 = 0
+              THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS altered
+  FROM documents, bits
+), fields AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM doc
+), leaf AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(strlen(altered) || ':' || altered, '-')) AS checked,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS i
+  FROM fields
+), tree(source, level, i, h, m) AS (
+  SELECT source, 0, i, leaf, count(*) OVER (PARTITION BY source) FROM leaf
+  UNION ALL SELECT source, any_value(level) + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(m) + 15) // 16
+  FROM tree WHERE m > 1 GROUP BY source, i // 16
+), top(level, i, h, m, source) AS (
+  SELECT 0, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1, h, count(*) OVER (), source FROM tree WHERE m = 1
+  UNION ALL SELECT any_value(level) + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (any_value(m) + 15) // 16, NULL
+  FROM top WHERE m > 1 GROUP BY i // 16
+), node AS (  -- one numbering of levels: the source's own, then 100 and on
+  SELECT source, level, i, h FROM tree WHERE m > 1
+  UNION ALL SELECT NULL, 100 + level, i, h FROM top WHERE m > 1
+), step AS (  -- each leaf's way up
+  SELECT doc_id, leaf.source, tree.level, leaf.i // (16 ** tree.level)::BIGINT AS i
+  FROM leaf JOIN (SELECT DISTINCT source, level FROM tree WHERE m > 1) AS tree ON tree.source IS NOT DISTINCT FROM leaf.source
+  UNION ALL
+  SELECT doc_id, leaf.source, 100 + up.level, top.i // (16 ** up.level)::BIGINT
+  FROM leaf JOIN top ON top.level = 0 AND top.source IS NOT DISTINCT FROM leaf.source
+       CROSS JOIN (SELECT DISTINCT level FROM top WHERE m > 1) AS up
+), run AS (
+  SELECT step.doc_id, step.level,
+         coalesce(string_agg(h, '' ORDER BY node.i) FILTER (node.i < step.i), '') AS before,
+         coalesce(string_agg(h, '' ORDER BY node.i) FILTER (node.i > step.i), '') AS after
+  FROM step JOIN node ON node.level = step.level AND node.i // 16 = step.i // 16
+       AND (node.level >= 100 OR node.source IS NOT DISTINCT FROM step.source)
+  GROUP BY step.doc_id, step.level
+), path AS (
+  SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY level)) AS proof_sha256,
+         list({'before': before, 'after': after} ORDER BY level) AS steps
+  FROM run GROUP BY doc_id
+), climb AS (
+  SELECT doc_id, checked AS h, coalesce(steps, []) AS steps, 1 AS k FROM leaf LEFT JOIN path USING (doc_id)
+  UNION ALL SELECT doc_id, sha256(steps[k].before || h || steps[k].after), steps, k + 1 FROM climb WHERE k <= len(steps)
+)
+SELECT leaf.doc_id, leaf, tree.h AS subroot, top.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       climb.h AS folded_root, climb.h = top.h AS verified
+FROM leaf JOIN tree ON tree.m = 1 AND tree.source IS NOT DISTINCT FROM leaf.source JOIN top ON top.m = 1
+     JOIN climb ON climb.doc_id = leaf.doc_id AND k = len(steps) + 1 LEFT JOIN path ON path.doc_id = leaf.doc_id
+"""
+
 OP12 = r"""
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
 w AS (
@@ -209,6 +268,7 @@ ORACLE_SQL: dict[str, str] = {
     "op8_substring_dedup": OP8,
     "op9_decontamination": OP9,
     "op10_warc": OP10,
+    "op11_merkle_manifest": OP11,
     "op12_suffix_dedup": OP12,
     "op13_spelling_variants": OP13,
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, near_dedup, pivotal_grams, quality_knn, quality_rules, repeat_tree, secrets, substring_dedup, toxicity, url_filter, warc
+from . import bpe, decontaminate, merkle_log, near_dedup, pivotal_grams, quality_knn, quality_rules, repeat_tree, secrets, substring_dedup, toxicity, url_filter, warc
 from .common import bounded_batches
 
 
@@ -108,6 +108,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(tampered, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    made = merkle_log.Manifest(_table(spark, sf_dir, "documents"), altered={"text": text})
+    return made.verified().withColumnRenamed("id", "doc_id")
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeat_tree.remove_repeats(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -135,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_suffix_dedup": op12_suffix_dedup,
     "op13_spelling_variants": op13_spelling_variants,
 }
