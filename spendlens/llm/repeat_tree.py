@@ -49,16 +49,18 @@ from .substring_dedup import RollingHash, sliding_min
 
 LENGTH = 100
 GRAM = 24
-#: different pieces of a bucket that one task sorts
-BUCKET = 1_024
-#: window starts handled at once, and pieces sorted at once
+#: different pieces of a bucket that one task sorts: some 1.1 MB of text with 300,000 suffixes, which take 120 MB
+BUCKET = 8_192
+#: window starts handled at once, and pieces of small buckets sorted at once
 _BLOCK = 1 << 18
-_CHUNK = 2_048
+_CHUNK = 512
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
 _PLACE = np.uint64((1 << 20) - 1)
 _BASE = 0x9E3779B97F4A7C15
 
-_FIRST = "struct<no_id:boolean,id:{0},key:bigint,key2:bigint,at:int>"
+#: a place: a document by its number, which grows with the order of documents, and a byte of it
+_PLACE_TYPE = "struct<doc:bigint,at:int>"
+_DOC = ("_id", "_key", "_key2")
 
 
 class _Cutter:
@@ -92,8 +94,7 @@ def _anchors(length, gram, batches):
         if of:
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-            names = ("_id", "_key", "_key2")
-            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(of)) for c in names), lists], [*names, "grams"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(of)) for c in _DOC), lists], [*_DOC, "grams"])
 
 
 def _cut_pieces(length, gram, batches):
@@ -116,10 +117,9 @@ def _cut_pieces(length, gram, batches):
                 for column, value in zip(out.values(), row):
                     column.append(value)
         take = pa.array(out.pop("of"), pa.int64())
-        arrays = [b.column(c).take(take) for c in ("_id", "_key", "_key2")]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
-        arrays += [pa.array(v, kind) for v, kind in zip(out.values(), kinds)]
-        yield pa.RecordBatch.from_arrays(arrays, ["_id", "_key", "_key2", *out])
+        arrays = [b.column("doc").take(take), *(pa.array(v, kind) for v, kind in zip(out.values(), kinds))]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc", *out])
 
 
 class SuffixArray:
@@ -144,11 +144,13 @@ class SuffixArray:
         left = size[piece] - start
         at = base[piece] + start
         width = int(left.max()) if len(left) else 1
-        rows = np.lib.stride_tricks.sliding_window_view(text, width)[at]
-        rows = np.where(np.arange(width) < left[:, None], rows, 0).astype(np.uint8)
         # padded with zeros: a shorter suffix sorts before a longer one that goes on with zeros
         order = np.argsort(left, kind="stable")
-        order = order[np.argsort(np.ascontiguousarray(rows[order]).view(f"S{width}").ravel(), kind="stable")]
+        piece, start, left, at = piece[order], start[order], left[order], at[order]
+        rows = np.lib.stride_tricks.sliding_window_view(text, width)[at]
+        for i in range(0, len(rows), 4_096):
+            rows[i : i + 4_096][np.arange(width) >= left[i : i + 4_096, None]] = 0
+        order = np.argsort(rows.view(f"S{width}").ravel(), kind="stable")
         self.piece, self.start, rows, left = piece[order], start[order], rows[order], left[order]
         common = np.zeros(len(order) + 1, np.int64)
         for i in range(1, len(order), 4_096):  # a few rows at a time: the comparison is as wide as they are
@@ -202,11 +204,9 @@ def _trees(length, listed, batches):
     for rows, _ in whole_runs(batches, "gram", least=_CHUNK):
         b = rows.to_pydict()
         array = SuffixArray(b["piece"], length, rolling)
-        docs = [(f["no_id"], 0 if f["no_id"] else f["id"], f["key"], f["key2"]) for f in b["first"]]
-        places = {doc: i for i, doc in enumerate(sorted(set(docs)))}
-        place = np.fromiter(map(places.__getitem__, docs), np.int64, len(docs))
-        at = np.fromiter((f["at"] for f in b["first"]), np.int64, len(docs))
-        rank = (place[array.piece] << 32) + at[array.piece] + array.start
+        doc = np.unique([f["doc"] for f in b["first"]], return_inverse=True)[1]
+        at = np.array([f["at"] for f in b["first"]], np.int64)
+        rank = (doc[array.piece] << 32) + at[array.piece] + array.start
         piece, start = array.piece.tolist(), array.start.tolist()
         if listed:
             out = {k: [] for k in ("c1", "c2", "start", "length", "repeat")}
@@ -281,7 +281,7 @@ def _cut(batches):
 
 
 def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["_id"].eqNullSafe(b["_id"]) & a["_key"].eqNullSafe(b["_key"]) & a["_key2"].eqNullSafe(b["_key2"])
+    return a["_id"].eqNullSafe(b["_id"]) & (a["_key"] == b["_key"]) & (a["_key2"] == b["_key2"])
 
 
 class _Run:
@@ -298,36 +298,39 @@ class _Run:
         )
         self.id_type = base.schema["_id"].dataType.simpleString()
         self.scratch = scratch = Scratch(docs.sparkSession)
-        doc = f"_id {self.id_type}, _key bigint, _key2 bigint"
 
-        signed = scratch.write(base.mapInArrow(partial(_anchors, length, gram), f"{doc}, grams array<bigint>"), "signed")
+        kind = f"_id {self.id_type}, _key bigint, _key2 bigint, grams array<bigint>"
+        signed = scratch.write(base.mapInArrow(partial(_anchors, length, gram), kind), "signed")
         # equal texts: the first of them stands for all, and the others go
-        first = signed.groupBy("_key", "_key2").agg(F.min("_id").alias("first"))
+        rows = signed.select(*_DOC).distinct()
+        first = rows.groupBy("_key", "_key2").agg(F.min("_id").alias("first"))
         later = (F.col("first") < F.col("_id")) | (F.col("_id").isNull() & F.col("first").isNotNull())
-        marked = signed.join(first, ["_key", "_key2"]).withColumn("copy", F.coalesce(later, F.lit(False)))
-        marked = scratch.write(marked.select("_id", "_key", "_key2", "grams", "copy"), "marked")
+        rows = scratch.write(rows.join(first, ["_key", "_key2"]).select(*_DOC, F.coalesce(later, F.lit(False)).alias("copy")), "rows")
+        self.copies = rows.where("copy").select(*_DOC)
+        # numbers that grow with the order of documents: the range partition, then the place in it
+        order = (F.col("_id").isNull().alias("no_id"), "_id", "_key", "_key2")
+        ordered = rows.where("NOT copy").repartitionByRange(*order).sortWithinPartitions(*order)
+        self.docs = docs = scratch.write(ordered.select(*_DOC, F.monotonically_increasing_id().alias("doc")), "docs")
+        marked = scratch.write(signed.join(docs, _same(signed, docs)).select("doc", "grams"), "marked")
         released(scratch, "signed")
-        self.copies = scratch.write(marked.where("copy").select("_id", "_key", "_key2").distinct(), "copies")
-        grams = marked.where("NOT copy").select("_id", "_key", "_key2", F.explode("grams").alias("gram"))
+        grams = marked.select("doc", F.explode("grams").alias("gram"))
         shared = scratch.write(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "shared")
-        wanted = grams.join(shared, "gram").groupBy("_id", "_key", "_key2").agg(F.collect_set("gram").alias("wanted"))
-        wanted = scratch.write(wanted, "wanted")
+        released(scratch)
+        wanted = grams.join(shared, "gram").groupBy("doc").agg(F.collect_set("gram").alias("wanted"))
+        wanted = scratch.write(wanted.join(docs, "doc"), "wanted")
         released(scratch, "marked", "shared")
-        #: (document, gram, c1, c2, piece, starts): the pieces that may have a part elsewhere
+        #: (doc, gram, c1, c2, piece, starts): the pieces that may have a part elsewhere
         self.pieces = scratch.write(
             base.join(wanted, _same(base, wanted))
-            .select(base["_id"], base["_key"], base["_key2"], "_text", "wanted")
-            .mapInArrow(partial(_cut_pieces, length, gram), f"{doc}, gram bigint, c1 bigint, c2 bigint, piece binary, starts array<int>"),
+            .select("doc", "_text", "wanted")
+            .mapInArrow(
+                partial(_cut_pieces, length, gram),
+                "doc bigint, gram bigint, c1 bigint, c2 bigint, piece binary, starts array<int>",
+            ),
             "pieces",
         )
         released(scratch, "wanted")
-        place = F.struct(
-            F.col("_id").isNull().alias("no_id"),
-            F.col("_id").alias("id"),
-            F.col("_key").alias("key"),
-            F.col("_key2").alias("key2"),
-            F.col("starts")[0].alias("at"),
-        )
+        place = F.struct("doc", F.col("starts")[0].alias("at"))
         #: different pieces: their first place and how often they occur
         self.distinct = scratch.write(
             self.pieces.groupBy("c1", "c2").agg(
@@ -353,9 +356,8 @@ class _Run:
     def split(self) -> tuple[DataFrame, DataFrame]:
         """Of the larger buckets: their strings, and those strings' first places."""
         hot = self.sized.where(F.col("size") > self.bucket).select("c1", "c2", "first", "piece")
-        first = _FIRST.format(self.id_type)
         strings = hot.mapInArrow(
-            partial(_strings, self.length), f"c1 bigint, c2 bigint, first {first}, start int, h1 bigint, h2 bigint"
+            partial(_strings, self.length), f"c1 bigint, c2 bigint, first {_PLACE_TYPE}, start int, h1 bigint, h2 bigint"
         ).withColumn("first", F.col("first").withField("at", F.col("first.at") + F.col("start")))
         strings = self.scratch.write(strings, "strings")
         owners = strings.groupBy("h1", "h2").agg(F.min("first").alias("owner"), F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -380,26 +382,26 @@ def remove_repeats(
     beaten = strings.join(owners, ["h1", "h2"]).where("first != owner")
     lost = run.trees(listed=False).union(beaten.groupBy("c1", "c2").agg(F.collect_list(own)))
     lost = scratch.write(lost, "lost")
+    released(scratch, "strings")
     repeated = (
         run.distinct.select("c1", "c2", "first", "n", F.length("piece").alias("size"))
         .join(lost, ["c1", "c2"], "left")
         .where("n > 1 OR spans IS NOT NULL")
     )
     # every place of a repeated piece goes but the first, which loses what lies elsewhere still earlier
-    is_first = "first.id <=> _id AND first.key = _key AND first.key2 = _key2"
-    gone = run.pieces.select("_id", "_key", "_key2", "c1", "c2", "starts").join(repeated, ["c1", "c2"]).selectExpr(
-        "_id", "_key", "_key2",
-        f"""concat(
-            transform(filter(starts, s -> NOT ({is_first} AND s = first.at)), s -> struct(s AS start, s + size AS end)),
-            CASE WHEN {is_first} THEN transform(coalesce(spans, array()), p -> struct(first.at + p.start AS start, first.at + p.end AS end))
-                 ELSE array() END) AS gone""",
+    gone = run.pieces.select("doc", "c1", "c2", "starts").join(repeated, ["c1", "c2"]).selectExpr(
+        "doc",
+        """concat(
+            transform(filter(starts, s -> doc != first.doc OR s != first.at), s -> struct(s AS start, s + size AS end)),
+            CASE WHEN doc = first.doc AND spans IS NOT NULL
+                 THEN transform(spans, p -> struct(first.at + p.start AS start, first.at + p.end AS end)) ELSE array() END) AS gone""",
     )
-    gone = gone.where("size(gone) > 0").groupBy("_id", "_key", "_key2").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    removed = gone.withColumn("copy", F.lit(False)).union(
+    gone = gone.where("size(gone) > 0").groupBy("doc").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    removed = gone.join(run.docs, "doc").select(*_DOC, "gone", F.lit(False).alias("copy")).union(
         run.copies.select("*", F.array().cast("array<struct<start:int,end:int>>"), F.lit(True))
-    )
+    )
     removed = scratch.write(removed, "removed")
-    released(scratch, "pieces", "distinct", "strings", "lost", "copies")
+    released(scratch, "pieces", "distinct", "lost", "docs", "rows")
     return (
         base.join(removed, _same(base, removed), "left")
         .select(base["_id"], "_text", "gone", "copy")
@@ -427,7 +429,7 @@ def repeat_groups(
     whole = run.distinct.where("n > 1").selectExpr(
         "c1", "c2", "0 AS start", "length(piece) AS length", "concat(hex(c1), hex(c2)) AS repeat"
     )
-    found = run.pieces.select("_id", "_key", "_key2", "c1", "c2", "starts").join(parts.unionByName(whole), ["c1", "c2"])
+    found = run.pieces.select("doc", "c1", "c2", "starts").join(parts.unionByName(whole), ["c1", "c2"]).join(run.docs, "doc")
     return found.select(
         "repeat",
         F.col("length").cast("long"),
