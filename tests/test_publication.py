@@ -1,0 +1,203 @@
+"""Joint publication, keyed verification, rejects and partial publication."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import tempfile
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from spendlens import config as C
+from spendlens.operators import publication as J
+from spendlens.operators import publish as P
+from spendlens.operators.verify import SinkMismatch, assert_written, differing, digests
+
+D1, D2 = dt.date(2022, 1, 1), dt.date(2022, 2, 1)
+
+
+def campaign(spark, *rows):
+    """Rows of (application, promotion, value of every metric)."""
+    fields = [T.StructField(k, T.StringType()) for k in C.CAMPAIGN_KEYS[:-1]] + [T.StructField(C.DATE, T.DateType())]
+    fields += [T.StructField(m, C.METRIC_DECIMAL) for m in C.METRICS]
+    data = [(app, "IT", "SKAN", "MK", "X", promo, D1, *[Decimal(str(v))] * len(C.METRICS)) for app, promo, v in rows]
+    return spark.createDataFrame(data, T.StructType(fields))
+
+
+def tables(df):
+    out = P.to_published(df)
+    return {"campaign": out, "channel": out.drop(C.PROMOTION)}
+
+
+def shown(spark, view):
+    return sorted((r[C.APP], r.INSTALL) for r in spark.table(view).collect())
+
+
+@pytest.fixture
+def joint(spark):
+    root = tempfile.mkdtemp(prefix="spendlens-joint-")
+    name = os.path.basename(root).replace("-", "_").lower()
+    made = J.job_publication(spark, root, f"{name}_campaign", f"{name}_channel")
+    yield made
+    for o in made.outputs.values():
+        spark.sql(f"DROP VIEW IF EXISTS {o.view}")
+
+
+def test_both_tables_change_with_one_commit(spark, joint):
+    views = [o.view for o in joint.outputs.values()]
+    first = joint.publish(tables(campaign(spark, ("A", "p", 1), ("B", "p", 2))), "2022-01-01")
+    assert (first.commit, first.version, first.rows) == (1, 1, {"campaign": 2, "channel": 2})
+    assert [shown(spark, v) for v in views] == [[("A", 1), ("B", 2)]] * 2
+    second = joint.publish(tables(campaign(spark, ("A", "p", 5))), "2022-01-02")
+    assert joint.current() == second and [shown(spark, v) for v in views] == [[("A", 5)]] * 2
+    assert spark.table(views[0]).columns[0] == C.APP and J.VERSION not in spark.table(views[0]).columns
+    assert dict(spark.table(views[0]).dtypes)["SPEND"] == "float"
+
+
+def test_killed_second_write_leaves_both_tables(spark, joint, monkeypatch):
+    views = [o.view for o in joint.outputs.values()]
+    joint.publish(tables(campaign(spark, ("A", "p", 1))), "2022-01-01")
+    good = tables(campaign(spark, ("A", "p", 7)))
+    broken = good | {"channel": good["channel"].withColumn("SPEND", F.raise_error(F.lit("killed")).cast("float"))}
+    with pytest.raises(Exception, match="killed"):
+        joint.publish(broken, "2022-01-02")
+    assert [shown(spark, v) for v in views] == [[("A", 1)]] * 2 and joint.current().version == 1
+    # nor does a sink that wrote something else get committed
+    wrong = campaign(spark, ("A", "p", 8))
+    monkeypatch.setattr(J.Publication, "read", lambda self, name, version=None: tables(wrong)[name])
+    with pytest.raises(SinkMismatch):
+        joint.publish(good, "2022-01-02")
+    monkeypatch.undo()
+    assert [shown(spark, v) for v in views] == [[("A", 1)]] * 2
+    # the next run takes a version of its own and goes through
+    third = joint.publish(good, "2022-01-02")
+    assert third.version == 4 and [shown(spark, v) for v in views] == [[("A", 7)]] * 2
+
+
+def test_commit_cut_short_is_none_and_two_runs_conflict(spark, joint):
+    joint.publish(tables(campaign(spark, ("A", "p", 1))), "2022-01-01")
+    with open(f"{joint.root}/commits/{2:012d}.json", "w") as f:
+        f.write('{"commit": 2, "vers')
+    view = joint.outputs["campaign"].view
+    assert joint.current().commit == 1 and shown(spark, view) == [("A", 1)]
+    assert joint.publish(tables(campaign(spark, ("A", "p", 2))), "2022-01-02").commit == 3
+    before = joint.current()
+    joint.publish(tables(campaign(spark, ("A", "p", 3))), "2022-01-03")
+    with pytest.raises(J.CommitConflict):
+        joint._commit(9, "2022-01-03", {}, before)
+    assert shown(spark, view) == [("A", 3)]
+
+
+def test_rollback_and_expiry(spark, joint):
+    view = joint.outputs["channel"].view
+    for n in (1, 2, 3, 4):
+        joint.publish(tables(campaign(spark, ("A", "p", n))), f"2022-01-0{n}")
+    back = joint.rollback(2)
+    assert (back.commit, back.version, back.run_date) == (5, 2, "2022-01-02") and shown(spark, view) == [("A", 2)]
+    assert joint.expire(2) == [1, 3] and shown(spark, view) == [("A", 2)]
+    with pytest.raises(ValueError, match="expired"):
+        joint.rollback(1)
+    with pytest.raises(ValueError, match="never"):
+        joint.rollback(99)
+    assert joint.rollback(4).version == 4 and shown(spark, view) == [("A", 4)]
+
+
+def test_only_the_current_version_is_scanned(spark, joint):
+    for n in (1, 2):
+        joint.publish(tables(campaign(spark, ("A", "p", n), ("B", "q", n))), f"2022-01-0{n}")
+    files = spark.table(joint.outputs["campaign"].view).select(F.input_file_name().alias("f"), C.APP).distinct().collect()
+    assert {f"{J.VERSION}=2" in r.f for r in files} == {True}
+    plan = spark.table(joint.outputs["campaign"].view)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(RUN_VERSION" in plan
+
+
+def test_other_columns_and_tables_are_refused(spark, joint):
+    good = tables(campaign(spark, ("1", "p", 1), ("2", "p", 2)))  # names that look like numbers
+    joint.publish(good, "2022-01-01")
+    assert shown(spark, joint.outputs["campaign"].view) == [("1", 1), ("2", 2)]
+    with pytest.raises(ValueError, match="differ"):
+        joint.publish(good | {"channel": good["channel"].withColumn("SPEND", F.col("SPEND").cast("double"))}, "2022-01-02")
+    with pytest.raises(ValueError, match="campaign"):
+        joint.publish({"campaign": good["campaign"]}, "2022-01-02")
+    assert joint.current().version == 1
+
+
+# -- verification -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("portable", [False, True])
+def test_swaps_and_losses_change_digests(spark, portable):
+    df = P.to_published(campaign(spark, ("A", "p", 1), ("A", "q", 2), ("B", "p", 3)))
+    got = {r[C.APP]: tuple(r)[1:] for r in digests(df, C.CAMPAIGN_KEYS, portable=portable).collect()}
+    again = {r[C.APP]: tuple(r)[1:] for r in digests(df.repartition(5), C.CAMPAIGN_KEYS, portable=portable).collect()}
+    assert got == again
+    values = F.when(F.col(C.PROMOTION) == "p", 2).when(F.col(C.PROMOTION) == "q", 1)
+    other = {r[C.APP]: tuple(r)[1:] for r in digests(df.withColumn("INSTALL", F.when(F.col(C.APP) == "A", values).otherwise(3).cast("int")), C.CAMPAIGN_KEYS, portable=portable).collect()}
+    assert other["B"] == got["B"]
+    assert other["A"][:2] == got["A"][:2] and other["A"][2] != got["A"][2]  # swapped values: keys are the same
+
+
+def test_what_differs_is_named(spark):
+    df = P.to_published(campaign(spark, ("A", "p", 1), ("A", "q", 2), ("B", "p", 3)))
+    assert differing(df, df.repartition(3), C.CAMPAIGN_KEYS).count() == 0
+    assert_written("x", df, df, C.CAMPAIGN_KEYS)
+    keys_swapped = df.withColumn(C.PROMOTION, F.when(F.col(C.APP) == "A", F.translate(C.PROMOTION, "pq", "qp")).otherwise(F.col(C.PROMOTION)))
+    for wrong in (keys_swapped, df.where("INSTALL != 2"), df.union(df.where("INSTALL = 2"))):
+        with pytest.raises(SinkMismatch) as e:
+            assert_written("x", df, wrong, C.CAMPAIGN_KEYS)
+        assert e.value.total == 1 and e.value.shown[0][C.APP] == "A"
+    with pytest.raises(ValueError, match="columns"):
+        assert_written("x", df, df.withColumn("INSTALL", F.col("INSTALL").cast("long")), C.CAMPAIGN_KEYS)
+
+
+# -- cast policies ----------------------------------------------------------------------------
+
+
+def test_rows_that_do_not_fit(spark):
+    df = campaign(spark, ("A", "p", 2**31), ("A", "q", 2**31 - 1), ("B", "p", -(2**31) - 1), ("B", "q", 0)).withColumn(
+        "RETENTION_DAY_001_QTY", F.lit(None).cast(C.METRIC_DECIMAL)
+    )
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        P.to_published(df).collect()
+    fit = P.to_published(df, "reject")
+    assert sorted((r[C.APP], r.INSTALL) for r in fit.collect()) == [("A", 2**31 - 1), ("B", 0)]
+    assert fit.dtypes == P.to_published(df.where("INSTALL = 0")).dtypes
+    bad = {(r[C.APP], r[C.PROMOTION]): (r.INSTALL, r[P.REJECTED]) for r in P.rejected_rows(df).collect()}
+    names = ["INSTALL", "RETENTION_DAY_003_QTY", "RETENTION_DAY_007_QTY"]
+    assert bad == {("A", "p"): (Decimal(2**31), names), ("B", "p"): (Decimal(-(2**31) - 1), names)}
+    with pytest.raises(ValueError, match="policy"):
+        P.to_published(df, "other")
+
+
+# -- one application at a time ----------------------------------------------------------------
+
+
+def test_a_run_of_one_application_leaves_the_others(spark):
+    root = tempfile.mkdtemp(prefix="spendlens-part-")
+    name = os.path.basename(root).replace("-", "_")
+    targets = [P.PublishTarget(f"{name}_{x}", f"{root}/{x}.parquet", f"{root}/t/{x}") for x in ("campaign", "channel")]
+
+    def put(*rows, only=None):
+        df = campaign(spark, *rows)
+        P.publish(spark, df, df.drop(C.PROMOTION), *targets, only=only)
+
+    def files(folder):
+        return sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+
+    put(("A one", "p", 1), ("B", "p", 2), ("C", "p", 3))
+    before = [files(f"{root}/{x}/{C.APP}=B") for x in ("campaign.parquet", "t/campaign", "t/channel")]
+    put(("A one", "p", 10), ("A one", "q", 11), ("B", "p", 99), only=("A one",))  # B is not of this run
+    for t in targets:
+        assert shown(spark, t.table) == [("A one", 10), ("A one", 11), ("B", 2), ("C", 3)]
+        back = spark.read.parquet(t.snapshot_path)
+        assert sorted((r[C.APP], r.INSTALL) for r in back.collect()) == [("A one", 10), ("A one", 11), ("B", 2), ("C", 3)]
+    assert before == [files(f"{root}/{x}/{C.APP}=B") for x in ("campaign.parquet", "t/campaign", "t/channel")]
+    put(("C", "p", 30), only=("C", "A one"))  # an application of the run without rows loses its partition
+    for t in targets:
+        assert shown(spark, t.table) == [("B", 2), ("C", 30)]
+    assert not os.path.exists(f"{root}/campaign.parquet/{C.APP}=A one")
+    for t in targets:
+        spark.sql(f"DROP TABLE {t.table}")
