@@ -178,6 +178,10 @@ class JobConfig:
     legacy_day1_override: bool = True
     #: apply the channel alias on the install side too (the published job does not)
     alias_install_channels: bool = False
+    #: predicates of the fact side on the install side too (the published job has neither): channels not
+    #: like this pattern, and this campaign type of installs that have the column
+    install_excluded_channel_pattern: str | None = None
+    install_campaign_type: str | None = None
     #: a SKAN campaign matching several MMP source types: "keep" one enriched row per match
     #: (the published job), "collapse" them to one row (spends added, source type of the largest
     #: spend), or "error" (fail the run, naming such campaigns)

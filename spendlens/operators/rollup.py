@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
+from ..functions.cards import CardBook
 from ..functions.fold import fold_organic
 from ..functions.metrics import normalize_decimals, renamed_sums, sum_metrics, zero_metric
-from ..functions.rates import RateBook, sql_col
+from ..functions.rates import RateBook, sql_col, sql_str
 
 
 def sum_of(sql: str, name: str):
@@ -54,6 +55,25 @@ def rated(sql: str, name: str):
     return F.expr(f"{sql} AS {sql_col(name)}")
 
 
+def carded_sum(types: dict[str, T.DataType], column: str, name: str):
+    """``sum(column) AS name``, to be multiplied by a share column (one digit more than a literal rate)."""
+    sql = group_sum(types, column)
+    if isinstance(types[column], T.DecimalType):
+        sql = f"CAST(sum({sql_col(column)}) AS DECIMAL({RATED_SUM_PRECISION - 1},{types[column].scale}))"
+    return rated(sql, name)
+
+
+def netted(rollup: DataFrame, book: CardBook, nets: dict[str, tuple[str, str]]) -> DataFrame:
+    """``rollup`` with each gross sum (net name -> kind, gross SQL) times its share of the book, under its net
+    name. Subscriptions that are NULL, or that no card covers, are 0; IAP and ads keep NULL sums."""
+    sums = {}
+    for name, (kind, gross) in nets.items():
+        product = f"{gross} * {book.share(kind)}"
+        sums[name] = f"coalesce({product}, 0)" if kind.startswith("SUB") else product
+    kept = [sql_col(c) for c in rollup.columns if c not in nets and not c.startswith("GROSS_")]
+    return book.joined(rollup).selectExpr(*kept, *[f"{x} AS {sql_col(n)}" for n, x in sums.items()])
+
+
 def scope_fact(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     """Rows of the campaign fact inside the run: apps, markets, trusted channels, window,
     new-install campaigns. The channel test reads the raw name, before any alias."""
@@ -67,11 +87,14 @@ def scope_fact(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     )
 
 
-def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
+def campaign_rollup(fact: DataFrame, cfg: C.JobConfig, cards: CardBook | None = None) -> DataFrame:
     """X1: spend, installs, retention and net revenue / LTV per campaign and day (K6).
 
-    Groups with neither positive spend nor positive installs are dropped.
+    Groups with neither positive spend nor positive installs are dropped. Shares are the configured ones, or those of
+    ``cards``, which the groups that are left meet once.
     """
+    if cards is not None:
+        return _campaign_rollup_by_cards(fact, cfg, cards)
     folded = fold_organic(scope_fact(fact, cfg), cfg.paid_source_types, cfg.channel_alias)
     book = RateBook(cfg)
     sub_card = book.subscription_revenue()
@@ -105,6 +128,31 @@ def campaign_rollup(fact: DataFrame, cfg: C.JobConfig) -> DataFrame:
     return normalize_decimals(out, C.METRICS_RAW)
 
 
+def _campaign_rollup_by_cards(fact: DataFrame, cfg: C.JobConfig, cards: CardBook) -> DataFrame:
+    folded = fold_organic(scope_fact(fact, cfg), cfg.paid_source_types, cfg.channel_alias)
+    types = column_types(fact)
+    gross = {}
+    for d in C.REVENUE_DAYS:
+        day = f"{d:03d}"
+        gross |= {f"IAP_REVS_DAY_{day}_AMT": ("IAP", f"REVS_DAY_{day}_AMT"), f"AD_REVS_DAY_{day}_AMT": ("AD", f"AD_REVS_DAY_{day}_AMT")}
+        gross |= {f"SUB_REVS_DAY_{day}_AMT": ("SUB", f"SUBSCRIPTIONS_REVS_DAY_{day}_AMT")}
+    gross |= {"IAP_LTV": ("IAP", "LTV_365_LASTEST_VAL"), "AD_LTV": ("AD", "AD_LTV_365_LASTEST_VAL")}
+    groups = folded.groupBy(*C.K6).agg(
+        *renamed_sums(["EXPENSE_AMT", "USER_QTY", *C.RETENTION_METRICS], ["SPEND", C.INSTALL_RAW, *C.RETENTION_METRICS]),
+        *[carded_sum(types, column, f"GROSS_{name}") for name, (_, column) in gross.items()],
+    )
+    nets = {name: (kind, sql_col(f"GROSS_{name}")) for name, (kind, _) in gross.items()}
+    for d in C.REVENUE_DAYS:  # the published job's quirk: some applications' later days read day 1
+        for app in RateBook(cfg).tier_c_day1_overrides(d):
+            later = f"CASE WHEN {C.APP} = {sql_str(app)} THEN GROSS_IAP_REVS_DAY_001_AMT ELSE GROSS_IAP_REVS_DAY_{d:03d}_AMT END"
+            nets[f"IAP_REVS_DAY_{d:03d}_AMT"] = ("IAP", later)
+    out = netted(groups.where((F.col("SPEND") > 0) | (F.col(C.INSTALL_RAW) > 0)), cards, nets)
+    order = [*C.K6, "SPEND", C.INSTALL_RAW, *C.RETENTION_METRICS, *gross]
+    return normalize_decimals(out.select(*order), C.METRICS_RAW)
+
+
+#: how many equal installs a row stands for, where installs come counted
+INSTALLS = "INSTALLS"
 #: integer digits kept for one user's summed projection, and for an install count: their
 #: product has (16 + s) + 10 + 1 digits, which stays within 38 for every scale allowed
 USER_LTV_INT_DIGITS = 16
@@ -138,8 +186,27 @@ def latest_user_ltv(projections: DataFrame) -> DataFrame:
     )
 
 
+def scope_installs(installs: DataFrame, cfg: C.JobConfig) -> DataFrame:
+    """Install records inside the run: apps, markets, window. Channel and campaign type are tested only where
+    the configuration asks for it (the published job does not), on the raw channel name, before any alias."""
+    w = cfg.window
+    scoped = installs.withColumnRenamed("INSTALL_DT", C.DATE).where(
+        F.col(C.APP).isin(list(cfg.apps))
+        & F.col(C.MARKET).isin(list(cfg.markets))
+        & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
+    )
+    if cfg.install_excluded_channel_pattern is not None:
+        scoped = scoped.where(~F.col(C.CHANNEL).like(cfg.install_excluded_channel_pattern))
+    if cfg.install_campaign_type is not None:
+        spelled = [c for c in installs.columns if c.upper() == "MVP_CAMPAIGN_TYPE"]
+        if not spelled:
+            raise ValueError("installs: missing MVP_CAMPAIGN_TYPE, which install_campaign_type tests")
+        scoped = scoped.where(F.col(sql_col(spelled[0])) == F.lit(cfg.install_campaign_type))
+    return scoped
+
+
 def install_ltv_rollup(
-    installs: DataFrame, projections: DataFrame, cfg: C.JobConfig
+    installs: DataFrame, projections: DataFrame, cfg: C.JobConfig, cards: CardBook | None = None
 ) -> DataFrame:
     """X5: installs joined to each user's latest projection, netted and summed per K6.
 
@@ -150,24 +217,26 @@ def install_ltv_rollup(
     Skew: installs are first counted per (user key, campaign columns) with a partial
     aggregate, so a user key holding a large share of all installs (a sentinel account)
     reaches the join as one row per campaign and day, not one row per install. The user
-    side is already one row per key. Both multiplications by the counts are exact.
+    side is already one row per key. Both multiplications by the counts are exact. Installs that come counted
+    (a column ``INSTALLS``) keep their counts.
     """
-    w = cfg.window
-    scoped = installs.withColumnRenamed("INSTALL_DT", C.DATE).where(
-        F.col(C.APP).isin(list(cfg.apps))
-        & F.col(C.MARKET).isin(list(cfg.markets))
-        & F.col(C.DATE).between(F.lit(w.start), F.lit(w.end))
-    )
-    scoped = scoped.groupBy(*C.USER_KEY, *C.K6).agg(F.count(F.lit(1)).alias("INSTALLS"))
+    scoped = scope_installs(installs, cfg)
+    counted = F.sum(INSTALLS) if INSTALLS in installs.columns else F.count(F.lit(1))
+    scoped = scoped.groupBy(*C.USER_KEY, *C.K6).agg(counted.alias(INSTALLS))
     joined = scoped.join(latest_user_ltv(projections), on=list(C.USER_KEY), how="inner")
     alias = cfg.channel_alias if cfg.alias_install_channels else None
     folded = fold_organic(joined, cfg.paid_source_types, alias).withColumns(
         {
-            "MATCHED_ROWS": F.col("INSTALLS") * F.col("LATEST_ROWS"),
+            "MATCHED_ROWS": F.col(INSTALLS) * F.col("LATEST_ROWS"),
             "MATCHED_SUB_LTV": F.col("LATEST_SUB_LTV")
-            * F.col("INSTALLS").cast(T.DecimalType(COUNT_DIGITS, 0)),
+            * F.col(INSTALLS).cast(T.DecimalType(COUNT_DIGITS, 0)),
         }
     )
+    if cards is not None:
+        matched = carded_sum(column_types(folded), "MATCHED_SUB_LTV", "GROSS_SUB_LTV")
+        groups = folded.groupBy(*C.K6).agg(sum_of("MATCHED_ROWS", "INDIVIDUAL_INSTALLS"), matched)
+        out = netted(groups, cards, {"SUB_LTV": ("SUB_LTV", "GROSS_SUB_LTV")})
+        return normalize_decimals(out.select(*C.K6, "INDIVIDUAL_INSTALLS", "SUB_LTV"), ["SUB_LTV"])
     card = RateBook(cfg).subscription_ltv()
     out = folded.groupBy(*C.K6).agg(
         sum_of("MATCHED_ROWS", "INDIVIDUAL_INSTALLS"),
@@ -176,7 +245,7 @@ def install_ltv_rollup(
     return normalize_decimals(out, ["SUB_LTV"])
 
 
-def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
+def skan_rollup(skan: DataFrame, cfg: C.JobConfig, cards: CardBook | None = None) -> DataFrame:
     """X7: SKAN postbacks per campaign and install day, in the campaign schema.
 
     Market is always iOS and SOURCE is SKAN; metrics SKAN does not report are zero.
@@ -189,12 +258,17 @@ def skan_rollup(skan: DataFrame, cfg: C.JobConfig) -> DataFrame:
         & (F.col("INSTALL_DT") >= F.lit(w.start))
         & (F.col("INSTALL_DT") < F.lit(w.skan_end_exclusive))
     )
-    book = RateBook(cfg)
-    types = column_types(skan)
+    types, gross = column_types(skan), "GROSS_IAP_LTV_365_LATEST_VAL"
+    if cards is None:
+        net = rated(RateBook(cfg).iap.sql(group_sum(types, gross)), "IAP_LTV")
+    else:
+        net = carded_sum(types, gross, "GROSS_IAP_LTV")
     agg = scoped.groupBy(C.APP, C.CHANNEL, "PROMOTION_CD", "INSTALL_DT").agg(
-        *renamed_sums(["INSTALL_NUM", "NET_OVERALL_LTV_365_LATEST_VAL"], [C.INSTALL_RAW, "TOTAL_LTV"]),
-        rated(book.iap.sql(group_sum(types, "GROSS_IAP_LTV_365_LATEST_VAL")), "IAP_LTV"),
+        *renamed_sums(["INSTALL_NUM", "NET_OVERALL_LTV_365_LATEST_VAL"], [C.INSTALL_RAW, "TOTAL_LTV"]), net
     )
+    if cards is not None:
+        dated = agg.withColumns({C.MARKET: F.lit(C.IOS_MARKET), C.DATE: F.col("INSTALL_DT")})
+        agg = netted(dated, cards, {"IAP_LTV": ("IAP", "GROSS_IAP_LTV")})
     zero = zero_metric()
     reported = {C.INSTALL_RAW, "IAP_LTV", "TOTAL_LTV"}
     out = agg.select(
