@@ -49,3 +49,29 @@ def test_latest_matches_brute_force_on_fixture(spark):
         best[r[:3]] = max(best.get(r[:3], r[3]), r[3])
     want = sorted(r for r in rows if None not in r[:4] and r[3] == best[r[:3]])
     assert got == want
+
+
+def test_one_row_per_key(spark):
+    """Against rank and row_number: the ties kept, and the one row of them that is largest."""
+    import random
+
+    import pytest
+
+    rnd = random.Random(3)
+    days = [dt.date(2020, 1, 1), dt.date(2020, 2, 1), None]
+    rows = [(rnd.choice([1, 2, 3, None]), rnd.choice(["a", "b", None]), rnd.choice(days), rnd.choice([1, 2, 3, None])) for _ in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    df.createOrReplaceTempView("snaps")
+    valid = "SELECT * FROM snaps WHERE K1 IS NOT NULL AND K2 IS NOT NULL AND DT IS NOT NULL"
+    over = "OVER (PARTITION BY K1, K2 ORDER BY DT DESC"
+    kept = spark.sql(f"SELECT K1, K2, DT, V FROM (SELECT *, rank() {over}) AS n FROM ({valid})) WHERE n = 1")
+    one = spark.sql(f"SELECT K1, K2, DT, V FROM (SELECT *, row_number() {over}, V DESC NULLS LAST) AS n FROM ({valid})) WHERE n = 1")
+    by = lambda d: sorted(map(str, d.collect()))
+    assert by(latest_per_key(df, ["K1", "K2"], "DT")) == by(kept)
+    single = latest_per_key(df, ["K1", "K2"], "DT", ties="one", tie_break=["V"])
+    assert by(single) == by(one) and single.columns == df.columns and len(by(kept)) > len(by(one))
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    for bad in ({"ties": "some"}, {"tie_break": ["V"]}):
+        with pytest.raises(ValueError):
+            latest_per_key(df, ["K1", "K2"], "DT", **bad)
