@@ -15,7 +15,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from .. import config as C
+from ..operators.publication import job_publication
 from ..operators.publish import PublishTarget
+from ..operators.quality import rules_from_table
 from ..sources.catalog import Sources, TableNames
 from .pipeline import run
 
@@ -41,7 +43,17 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--start", type=_date, default=C.DEFAULT_START)
     p.add_argument("--delay-days", type=int, default=C.REPORT_DELAY_DAYS)
     p.add_argument("--google-reduced-fee-from", type=_date, default=C.GOOGLE_REDUCED_FEE_FROM)
-    p.add_argument("--policy", choices=("legacy", "clean"), default="legacy")
+    p.add_argument("--policy", choices=("legacy", "clean", "reject"), default="legacy")
+    p.add_argument("--rejects-dir", help="folder for rows that do not fit the published types (--policy reject)")
+    p.add_argument("--cards", help="share-card table (default: the configured shares)")
+    p.add_argument("--gate-rules", help="gate-rule table (default: the published job's rules)")
+    p.add_argument("--publish-dir", help="folder of a joint publication: --campaign-table and --channel-table are its views")
+    p.add_argument("--replace-apps", action="store_true", help="replace the partitions of --apps alone in every output")
+    p.add_argument("--format", default="parquet", help="format of the catalog tables")
+    p.add_argument("--table-dir", help="location of the catalog tables (default: managed)")
+    p.add_argument("--alias-install-channels", action="store_true", help="apply channel aliases to installs too")
+    p.add_argument("--install-excluded-channels", help="pattern of channels whose installs do not count")
+    p.add_argument("--install-campaign-type", help="campaign type that installs must have")
     p.add_argument("--markets", default=",".join(C.MARKETS), help="comma-separated market codes")
     p.add_argument("--fanout", choices=("keep", "collapse", "error"), default="keep",
                    help="SKAN campaigns that match several MMP source types")
@@ -52,6 +64,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
+    if args.publish_dir and (args.snapshot_dir or args.replace_apps):
+        parser().error("--publish-dir stands alone: a version has every application, and is its own snapshot")
     spark = spark or SparkSession.builder.getOrCreate()
     cfg = C.JobConfig(
         apps=tuple(a.strip() for a in args.apps.split(",") if a.strip()),
@@ -60,6 +74,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         google_reduced_fee_from=args.google_reduced_fee_from,
         markets=tuple(m.strip() for m in args.markets.split(",") if m.strip()),
         fanout=args.fanout,
+        alias_install_channels=args.alias_install_channels,
+        install_excluded_channel_pattern=args.install_excluded_channels,
+        install_campaign_type=args.install_campaign_type,
     )
     if args.clean:
         cfg = cfg.clean()
@@ -76,11 +93,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.snapshot_dir:
         stamp = cfg.window.stamp()
         base = args.snapshot_dir.rstrip("/")
-        targets = (
-            PublishTarget(names.campaign_table, f"{base}/campaign_{stamp}.parquet"),
-            PublishTarget(names.channel_table, f"{base}/channel_{stamp}.parquet"),
+        location = (lambda name: f"{args.table_dir.rstrip('/')}/{name}") if args.table_dir else lambda name: None
+        targets = tuple(
+            PublishTarget(table, f"{base}/{name}_{stamp}.parquet", location(name), args.format)
+            for name, table in (("campaign", names.campaign_table), ("channel", names.channel_table))
         )
-    run(spark, sources, cfg, *targets, policy=args.policy, check_spend=args.check_spend)
+    joint = job_publication(spark, args.publish_dir, names.campaign_table, names.channel_table) if args.publish_dir else None
+    report = run(
+        spark,
+        sources,
+        cfg,
+        *targets,
+        policy=args.policy,
+        check_spend=args.check_spend,
+        cards=spark.table(args.cards) if args.cards else None,
+        rules=rules_from_table(spark.table(args.gate_rules)) if args.gate_rules else None,
+        publication=joint,
+        rejects=args.rejects_dir,
+        only=cfg.apps if args.replace_apps else None,
+    )
+    for name, n in report.rejected.items():
+        print(f"{name}: {n} row(s) rejected, in {args.rejects_dir}")
     return 0
 
 

@@ -135,19 +135,19 @@ def _gross_iap(day: str, legacy: bool = True) -> str:
     return f"CASE app WHEN 'SMALL' THEN REVS_DAY_001_AMT ELSE {x} END" if legacy and day in ("014", "028") else x
 
 
-def _net(day: str) -> dict[str, str]:
+def _net(day: str, legacy: bool = True) -> dict[str, str]:
     return {
-        f"IAP_REVS_DAY_{day}_AMT": f"sum({_gross_iap(day)} * iap)",
+        f"IAP_REVS_DAY_{day}_AMT": f"sum({_gross_iap(day, legacy)} * iap)",
         f"AD_REVS_DAY_{day}_AMT": f"sum(AD_REVS_DAY_{day}_AMT * ad)",
         f"SUB_REVS_DAY_{day}_AMT": f"coalesce(sum(SUBSCRIPTIONS_REVS_DAY_{day}_AMT * sub), 0)",
     }
 
 
-def _stages(p: str = "", run: tuple[str, str, str] = RUN) -> str:
+def _stages(p: str = "", run: tuple[str, str, str] = RUN, legacy: bool = True, installs: str = "install") -> str:
     end, as_of, year_ago = run
     net = {"SPEND": "sum(EXPENSE_AMT)", "INSTALL_NUM": "sum(USER_QTY)"} | {m: f"sum({m})" for m in RETAINED}
     for d in DAYS:
-        net |= _net(d)
+        net |= _net(d, legacy)
     net |= {"IAP_LTV": "sum(LTV_365_LASTEST_VAL * iap)", "AD_LTV": "sum(AD_LTV_365_LASTEST_VAL * ad)"}
     skan = dict.fromkeys(METRICS[1:], "0") | {
         "INSTALL_NUM": "sum(INSTALL_NUM)",
@@ -198,7 +198,7 @@ def _stages(p: str = "", run: tuple[str, str, str] = RUN) -> str:
     CASE WHEN paid.src IS NULL THEN 'ORGANIC' ELSE i.PROMOTION_NAME END AS PROMOTION_NAME,
     i.INSTALL_DT AS CALENDAR_DT, CAST(sum(n) AS BIGINT) AS INDIVIDUAL_INSTALLS,
     {_exact('coalesce(sum(gross * sub), 0)', 'SUB_LTV')}
-  FROM install i JOIN {p}per_user USING (ACCOUNT_ID, USER_ID, APPLICATION_CD)
+  FROM {installs} i JOIN {p}per_user USING (ACCOUNT_ID, USER_ID, APPLICATION_CD)
   JOIN {p}sub_shares r ON r.use_ = 'ltv' AND r.app = i.APPLICATION_FAMILY_NAME AND r.market = i.MARKET_CD
     AND i.INSTALL_DT >= r.d_from AND i.INSTALL_DT < r.d_to
   LEFT JOIN paid ON paid.src = i.USER_SOURCE_TYPE_CD
@@ -338,17 +338,83 @@ def _q24() -> str:
     return _query(body, _stages(), _gate({"same": _published("campaign"), "fail": FAILING}))
 
 
+def _digest(columns: list[str]) -> str:
+    """Sum of 60 bits of the MD5 of each row's texts, columns by name; fractions in whole 1024ths."""
+
+    def text(c: str) -> str:
+        x = f"CAST(floor(CAST({c} AS DOUBLE) * 1024) AS BIGINT)" if c in OUT and c not in COUNTS else c
+        return rf"coalesce(CAST({x} AS VARCHAR), '\N')"
+
+    row = " || '|' || ".join(text(c) for c in sorted(columns))
+    return f"CAST(sum(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)) AS VARCHAR)"
+
+
+def _digests(label: str, source: str, keys: list[str]) -> str:
+    """What is read back of one output, by application; ``source`` is a published relation."""
+    money = [m for m in OUT if m not in COUNTS]
+    sums = [f"CAST(sum({m}) AS BIGINT) AS {m}" for m in COUNTS]
+    sums += [_double(f"round(sum(CAST({m} AS DECIMAL(36,12))), 2)", m) for m in money]
+    return f"""SELECT {label}, APPLICATION_FAMILY_NAME, count(*) AS ROW_COUNT, {_digest(keys)} AS KEY_DIGEST,
+  {_digest([*keys, *OUT])} AS ROW_DIGEST, {_names(sums)} FROM ({source}) t GROUP BY APPLICATION_FAMILY_NAME"""
+
+
+OUTPUTS = (("campaign", FULL), ("channel", CHANNEL))
+
+
 def _q21() -> str:
-    count, money = "count(*)", [m for m in OUT if m not in COUNTS]
-    part = lambda name, stage, keys: (
-        f"SELECT '{name}' AS OUTPUT, {count} AS ROW_COUNT, "
-        + _names([f"CAST(sum({m}) AS BIGINT) AS {m}" for m in COUNTS])
-        + ", "
-        + _names([_double(f"round(sum(CAST({m} AS DECIMAL(36,12))), 2)", m) for m in money])
-        + f" FROM ({_published(stage, OUT, keys)}) t"
-    )
-    outputs = [part(f"{stage}_{kind}", stage, keys) for stage, keys in (("campaign", FULL), ("channel", CHANNEL)) for kind in ("table", "snapshot")]
-    return _query(" UNION ALL ".join(outputs), _stages())
+    parts = [_digests(f"'{o}_{kind}' AS OUTPUT", _published(o, OUT, keys), keys) for o, keys in OUTPUTS for kind in ("table", "snapshot")]
+    return _query(" UNION ALL ".join(parts), _stages())
+
+
+def _q31() -> str:
+    """The rerun replaces SMALL's rows by those of a run without the day-1 quirk."""
+    parts = []
+    for o, keys in OUTPUTS:
+        mixed = f"SELECT * FROM {o} WHERE APPLICATION_FAMILY_NAME <> 'SMALL' UNION ALL SELECT * FROM n_{o} WHERE APPLICATION_FAMILY_NAME = 'SMALL'"
+        parts += [_digests(f"'{o}_{kind}' AS OUTPUT", _published(f"({mixed}) m", OUT, keys), keys) for kind in ("table", "snapshot")]
+    return _query(" UNION ALL ".join(parts), _stages(), _stages("n_", legacy=False))
+
+
+def _q36() -> str:
+    shown = (("earlier", "e_"), ("current", ""), ("view", "e_"))
+    parts = [
+        _digests(f"'{o}' AS OUTPUT, '{label}' AS SHOWN", _published(p + o, OUT, keys), keys) for o, keys in OUTPUTS for label, p in shown
+    ]
+    return _query(" UNION ALL ".join(parts), _stages(), _stages("e_", EARLIER_RUN))
+
+
+def _q30() -> str:
+    """Whole numbers beyond 32 bits do not fit."""
+    scaled = {m: f"{m} * 20000000" for m in COUNTS}
+    bad = [f"CASE WHEN trunc({x}) > 2147483647 THEN '{m}' END" for m, x in scaled.items()]
+    body = f"""SELECT {_names(FULL)}, CASE WHEN REJECTED_METRICS = '' THEN CAST(trunc(INSTALL * 20000000) AS DOUBLE)
+  ELSE CAST(INSTALL * 20000000 AS DOUBLE) END AS INSTALL,
+  CASE WHEN REJECTED_METRICS = '' THEN 'published' ELSE 'rejected' END AS STATUS, REJECTED_METRICS
+FROM (SELECT *, concat_ws(',', {_names(bad)}) AS REJECTED_METRICS FROM campaign) c"""
+    return _query(body, _stages())
+
+
+def _q33() -> str:
+    """Each rule as one arm: the published job's two, the spend rule, and two of one market and one source."""
+    arms = [
+        ("DATE_AHEAD", "SOURCE = 'SKAN' AND NEW_LAST_INSTALL_DT > OLD_LAST_INSTALL_DT + 31"),
+        ("DATE_WENT_BACK", "DATE_WENT_BACK"),
+        ("INSTALLS_DROPPED", "INSTALLS_DROPPED"),
+        ("INSTALLS_GREW", "MARKET_CD = 'GO' AND NEW_TOTAL_INSTALL > OLD_TOTAL_INSTALL * (1 + 0.02)"),
+        ("SPEND_DROPPED", "SPEND_DROPPED"),
+    ]
+    failed = _names([f"CASE WHEN {test} THEN '{name}' END" for name, test in arms])
+    cases = {"earlier": _published("e_campaign"), "fail": FAILING}
+    body = f"SELECT {GATE_COLUMNS}, concat_ws(',', {failed}) AS FAILED_RULES FROM gate"
+    return _query(body, _stages(), _stages("e_", EARLIER_RUN), _gate(cases))
+
+
+def _q34() -> str:
+    users = ["ACCOUNT_ID", "USER_ID", "APPLICATION_CD"]
+    money = [f"{k}_PROJECTEDREVENUE_365" for k in ("SUB", "IAP", "AD")]
+    first = f"row_number() OVER (PARTITION BY {_names(users)} ORDER BY PROJECTION_DT DESC, {_names([f'{m} DESC' for m in money])})"
+    body = f"SELECT {_names(users, 'PROJECTION_DT', [_double(m) for m in money])} FROM (SELECT *, {first} AS n FROM dated) d WHERE n = 1"
+    return _query(body, _stages())
 
 
 def _q25() -> str:
@@ -429,4 +495,17 @@ def oracle_sql() -> dict[str, str]:
         "q24_gate_outcome": _q24(),
         "q25_precedence_collapse": _q25(),
         "q26_net_by_card_table": _q04(),
+        "q27_campaign_rollup_by_cards": _stage("fact_rollup", CAMPAIGN, METRICS[:-2]),
+        "q28_install_ltv_by_cards": _stage("user_value", [*CAMPAIGN, "INDIVIDUAL_INSTALLS"], ["SUB_LTV"]),
+        "q29_skan_by_cards": _stage("skan_rollup", [*GAME, *PLACE[2:]], METRICS[1:]),
+        "q30_published_rejects": _q30(),
+        "q31_application_rerun": _q31(),
+        "q32_install_ltv_bucketed": _stage("user_value", [*CAMPAIGN, "INDIVIDUAL_INSTALLS"], ["SUB_LTV"]),
+        "q33_gate_rules": _q33(),
+        "q34_latest_single": _q34(),
+        "q35_install_ltv_filtered": _query(
+            f"SELECT {_names([*CAMPAIGN, 'INDIVIDUAL_INSTALLS'], [_double('SUB_LTV')])} FROM user_value",
+            _stages(installs="(SELECT * FROM install WHERE CHANNEL_NAME NOT LIKE '%UNTRUSTED%')"),
+        ),
+        "q36_joint_publication": _q36(),
     }

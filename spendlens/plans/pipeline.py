@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
+from ..functions.cards import CardBook, conformed_cards
 from ..operators.merge import merge_details
 from ..operators.precedence import (
     assert_no_fanout,
@@ -14,8 +16,9 @@ from ..operators.precedence import (
     precedence_join,
     remainder_rows,
 )
-from ..operators.publish import PublishTarget, publish
-from ..operators.quality import assert_no_regression
+from ..operators.publication import Commit, Publication
+from ..operators.publish import PublishTarget, publish, rejected_rows, to_published
+from ..operators.quality import GateRule, assert_no_regression
 from ..operators.reconcile import assemble_campaign
 from ..operators.rollup import (
     campaign_rollup,
@@ -39,8 +42,18 @@ class Stages:
     channel: DataFrame
 
 
-def build(sources: Sources, cfg: C.JobConfig, scratch: Scratch, write_campaign: bool = False) -> Stages:
-    """Compose the operators.
+@dataclass
+class RunReport:
+    """What a run published: the commit of a joint publication, and how many rows each output rejected."""
+
+    commit: Commit | None = None
+    rejected: dict[str, int] = field(default_factory=dict)
+
+
+def build(
+    sources: Sources, cfg: C.JobConfig, scratch: Scratch, write_campaign: bool = False, cards: DataFrame | None = None
+) -> Stages:
+    """Compose the operators. Shares are the configured ones, or those of the table ``cards``.
 
     The campaign details are read by the iOS join, the Google branch and the residual, and the
     join by enrichment, anti join and residual: each is written once to ``scratch`` and read from
@@ -50,14 +63,15 @@ def build(sources: Sources, cfg: C.JobConfig, scratch: Scratch, write_campaign:
     require_ansi(scratch.spark)
     if cfg.fanout not in ("keep", "collapse", "error"):
         raise ValueError(f"unknown fanout policy {cfg.fanout!r}")
+    book = CardBook(scratch.write(conformed_cards(cards), "cards"), cfg) if cards is not None else None
     details = scratch.write(
         merge_details(
-            campaign_rollup(sources.fact, cfg),
-            install_ltv_rollup(sources.installs, sources.projections, cfg),
+            campaign_rollup(sources.fact, cfg, book),
+            install_ltv_rollup(sources.installs, sources.projections, cfg, book),
         ),
         "details",
     )
-    skan = skan_rollup(sources.skan, cfg)
+    skan = skan_rollup(sources.skan, cfg, book)
     joined = scratch.write(precedence_join(details, skan), "precedence")
     if cfg.fanout == "error":
         assert_no_fanout(joined)
@@ -78,16 +92,42 @@ def run(
     channel_target: PublishTarget | None = None,
     policy: str = "legacy",
     check_spend: bool = False,
-) -> None:
-    """Build, gate against the previous publication, then publish when targets are given.
+    *,
+    cards: DataFrame | None = None,
+    rules: Sequence[GateRule] | None = None,
+    publication: Publication | None = None,
+    rejects: str | None = None,
+    only: Sequence[str] | None = None,
+) -> RunReport:
+    """Build, gate against the previous publication, then publish.
+
+    ``publication`` replaces both tables together; targets are written one after the other (``only``: the partitions
+    of those applications alone). ``cards`` and ``rules`` are the share and gate-rule tables, if they are not the
+    configured ones. Under the policy ``reject`` rows that do not fit the published types go to the folder
+    ``rejects``, which is needed then, and the rest is published.
 
     The run's scratch relations are deleted however it ends; what it made is in the targets.
     """
+    if (policy == "reject") != (rejects is not None):
+        raise ValueError("a folder for rejected rows belongs to the policy 'reject'")
+    if publication is not None and only is not None:
+        raise ValueError("a joint publication replaces whole tables")
     scratch = Scratch(spark)
+    report = RunReport()
     try:
-        stages = build(sources, cfg, scratch, write_campaign=True)
-        assert_no_regression(sources.previous, stages.channel, check_spend)
+        stages = build(sources, cfg, scratch, write_campaign=True, cards=cards)
+        channel = scratch.write(stages.channel, "channel")
+        assert_no_regression(sources.previous, channel, check_spend, rules)
+        for name, df in (("campaign", stages.campaign), ("channel", channel)):
+            if rejects is not None:
+                path = f"{rejects.rstrip('/')}/{name}_{cfg.window.stamp()}"
+                rejected_rows(df).write.mode("overwrite").parquet(path)
+                report.rejected[name] = spark.read.parquet(path).count()
+        if publication is not None:
+            tables = {"campaign": to_published(stages.campaign, policy), "channel": to_published(channel, policy)}
+            report.commit = publication.publish(tables, cfg.window.stamp())
         if campaign_target is not None and channel_target is not None:
-            publish(spark, stages.campaign, stages.channel, campaign_target, channel_target, policy)
+            publish(spark, stages.campaign, channel, campaign_target, channel_target, policy, only)
     finally:
         scratch.release()
+    return report

@@ -11,21 +11,34 @@ computing the same exact values produces identical numbers.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..functions.cards import net_by_card, subscription_cards
+from ..functions.cards import CardBook, configured_cards, net_by_card, subscription_cards
 from ..functions.fold import fold_organic
 from ..functions.metrics import clamp_nonnegative
 from ..functions.rates import RateBook, sql_col
 from ..functions.window import mmp_window_class, skan_window_class
 from ..operators.merge import merge_details
 from ..operators.precedence import enriched_rows, precedence_join, remainder_rows
-from ..operators.publish import PublishTarget, publish, to_published
-from ..operators.quality import gate_outcome, regression_violations
+from ..operators.publication import job_publication
+from ..operators.publish import REJECTED, PublishTarget, publish, rejected_rows, to_published
+from ..operators.quality import (
+    DATE_RULE,
+    INSTALL_RULE,
+    SPEND_RULE,
+    GateRule,
+    gate_by_rules,
+    gate_outcome,
+    regression_violations,
+    rule_table,
+    rules_from_table,
+)
 from ..operators.reconcile import (
     assemble_campaign,
     organic_residual,
@@ -43,8 +56,10 @@ from ..operators.rollup import (
     skan_rollup,
 )
 from ..operators.snapshot import latest_per_key
+from ..operators.verify import digests
 from ..session import Scratch
 from ..sources import fixtures
+from ..sources.bucketed import bucketed_sources
 from ..sources.catalog import Sources
 from .pipeline import build
 
@@ -275,7 +290,7 @@ def q19_regression_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = Scratch(spark).write(current.channel, "channel")
     earlier = cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS))
     cases = {"pass": to_published(_stages(spark, sf_dir, earlier).campaign), "fail": _failing(current)}
-    return _gate_cases(cases, lambda previous: regression_violations(previous, new))
+    return _gate_cases(cases, lambda previous: regression_violations(previous, new).drop("FAILED_RULES"))
 
 
 def q24_gate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,34 +309,105 @@ def q20_published_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_published(_stages(spark, sf_dir).campaign)
 
 
-def q21_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish campaign and channel tables under a fresh folder of shared storage, and read
-    every output back: both catalog tables and both dated snapshots, each as its row count and the
-    sum of every published metric."""
-    cfg = fixtures.fixture_config()
-    stages = _stages(spark, sf_dir, cfg, campaign_twice=True)
-    root = Scratch(spark).root
+def _output_digests(df: DataFrame, keys, label: dict[str, str]) -> DataFrame:
+    """Per application: row count, metric sums and the portable digests of keys and rows."""
+    sums = df.groupBy(C.APP).agg(
+        *[F.sum(m).cast("long").alias(m) for m in C.COUNT_METRICS],
+        *[F.round(F.sum(F.col(m).cast(C.METRIC_DECIMAL)), 2).alias(m) for m in C.MONEY_METRICS],
+    )
+    found = digests(df, keys, portable=True).select(
+        C.APP, "ROW_COUNT", *[F.col(c).cast("string").alias(c) for c in ("KEY_DIGEST", "ROW_DIGEST")]
+    )
+    return found.join(sums, C.APP).withColumns({k: F.lit(v) for k, v in label.items()})
+
+
+def _union(parts) -> DataFrame:
+    out = None
+    for part in parts:
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _targets(root: str, cfg: C.JobConfig) -> dict[str, PublishTarget]:
     suffix = root.rsplit("-", 1)[-1]
-    stamp = cfg.window.stamp()
-    targets = {
+    return {
         name: PublishTarget(
             table=f"spendlens_{name}_{suffix}",
-            snapshot_path=f"{root}/{name}_{stamp}.parquet",
+            snapshot_path=f"{root}/{name}_{cfg.window.stamp()}.parquet",
             table_path=f"{root}/tables/{name}",
         )
-        for name in ("campaign", "channel")
+        for name in OUTPUT_KEYS
     }
-    publish(spark, stages.campaign, stages.channel, targets["campaign"], targets["channel"])
-    out = None
+
+
+def _read_back(spark: SparkSession, targets: dict[str, PublishTarget]) -> DataFrame:
+    """Both catalog tables and both dated snapshots, by application."""
+    parts = []
     for name, target in targets.items():
         for kind, df in (("table", spark.table(target.table)), ("snapshot", spark.read.parquet(target.snapshot_path))):
-            sums = df.agg(
-                F.count(F.lit(1)).alias("ROW_COUNT"),
-                *[F.sum(m).cast("long").alias(m) for m in C.COUNT_METRICS],
-                *[F.round(F.sum(F.col(m).cast(C.METRIC_DECIMAL)), 2).alias(m) for m in C.MONEY_METRICS],
-            ).withColumn("OUTPUT", F.lit(f"{name}_{kind}"))
-            out = sums if out is None else out.unionByName(sums)
-    return present(out)
+            parts.append(_output_digests(df, OUTPUT_KEYS[name], {"OUTPUT": f"{name}_{kind}"}))
+    return present(_union(parts))
+
+
+OUTPUT_KEYS = {"campaign": C.CAMPAIGN_KEYS, "channel": C.KCH}
+
+
+def q21_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish campaign and channel tables under a fresh folder of shared storage, and read
+    every output back: both catalog tables and both dated snapshots, each by application as its row count, the
+    sum of every published metric and digests of its keys and rows."""
+    cfg = fixtures.fixture_config()
+    stages = _stages(spark, sf_dir, cfg, campaign_twice=True)
+    targets = _targets(Scratch(spark).root, cfg)
+    publish(spark, stages.campaign, stages.channel, *targets.values())
+    return _read_back(spark, targets)
+
+
+def q30_published_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cast policy "reject" on counts scaled beyond 32 bits: every row with its status, the metrics
+    that did not fit, and its installs as they are published or rejected."""
+    campaign = _stages(spark, sf_dir, campaign_twice=True).campaign
+    scaled = campaign.withColumns({m: (F.col(m) * REJECT_SCALE).cast(C.METRIC_DECIMAL) for m in C.COUNT_METRICS})
+    columns = [*C.CAMPAIGN_KEYS, F.col(C.INSTALL).cast("double").alias(C.INSTALL)]
+    good = to_published(scaled, "reject").select(*columns, F.lit("published").alias("STATUS"), F.lit("").alias(REJECTED))
+    bad = rejected_rows(scaled).select(*columns, F.lit("rejected").alias("STATUS"), F.array_join(REJECTED, ",").alias(REJECTED))
+    return good.union(bad)
+
+
+#: counts times this exceed 32 bits from 108 on
+REJECT_SCALE = 20_000_000
+
+
+def q31_application_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published run, then a run of one application with corrected day-14 and day-28 revenue that replaces only
+    its partitions: all four outputs read back by application."""
+    cfg = fixtures.fixture_config()
+    first = _stages(spark, sf_dir, cfg, campaign_twice=True)
+    again = _stages(spark, sf_dir, replace(cfg, legacy_day1_override=False), campaign_twice=True)
+    targets = _targets(Scratch(spark).root, cfg)
+    publish(spark, first.campaign, first.channel, *targets.values())
+    publish(spark, again.campaign, again.channel, *targets.values(), only=(cfg.tiers.tier_c,))
+    return _read_back(spark, targets)
+
+
+def q36_joint_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs published jointly and a rollback to the first: each version, and what the views show then."""
+    cfg = fixtures.fixture_config()
+    root = Scratch(spark).root
+    suffix = root.rsplit("-", 1)[-1]
+    joint = job_publication(spark, root, f"spendlens_campaign_view_{suffix}", f"spendlens_channel_view_{suffix}")
+    versions = {}
+    for label, window in (("earlier", cfg.window.shifted(GATE_PASS_SHIFT_DAYS)), ("current", cfg.window)):
+        stages = _stages(spark, sf_dir, cfg.with_window(window), campaign_twice=True)
+        channel = Scratch(spark).write(stages.channel, "channel")
+        tables = {"campaign": to_published(stages.campaign), "channel": to_published(channel)}
+        versions[label] = joint.publish(tables, window.stamp()).version
+    joint.rollback(versions["earlier"])
+    parts = []
+    for name, output in joint.outputs.items():
+        parts += [_output_digests(joint.read(name, v), output.keys, {"OUTPUT": name, "SHOWN": label}) for label, v in versions.items()]
+        parts.append(_output_digests(spark.table(output.view), output.keys, {"OUTPUT": name, "SHOWN": "view"}))
+    return present(_union(parts))
 
 
 # -- X2 / X16 ------------------------------------------------------------------------------
@@ -390,6 +476,74 @@ def q26_net_by_card_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(net_by_card(sums, subscription_cards(spark, cfg), "SUB", gross))
 
 
+def _book(spark: SparkSession, cfg: C.JobConfig) -> CardBook:
+    return CardBook(configured_cards(spark, cfg), cfg)
+
+
+def q27_campaign_rollup_by_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q01 with every share from the card table."""
+    src, cfg = _inputs(spark, sf_dir)
+    return present(campaign_rollup(src.fact, cfg, _book(spark, cfg)))
+
+
+def q28_install_ltv_by_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q06 with every share from the card table."""
+    src, cfg = _inputs(spark, sf_dir)
+    return present(install_ltv_rollup(src.installs, src.projections, cfg, _book(spark, cfg)))
+
+
+def q29_skan_by_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q08 with every share from the card table."""
+    src, cfg = _inputs(spark, sf_dir)
+    return present(skan_rollup(src.skan, cfg, _book(spark, cfg)))
+
+
+def q32_install_ltv_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q06 on user-level inputs that are bucketed on the user key."""
+    src, cfg = _inputs(spark, sf_dir)
+    root = Scratch(spark).root
+    suffix = root.rsplit("-", 1)[-1]
+    own = bucketed_sources(src, f"spendlens_installs_{suffix}", f"spendlens_projections_{suffix}", location=root)
+    return present(install_ltv_rollup(own.installs, own.projections, cfg))
+
+
+def q33_gate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate by a rule table, on the failing publication of q24 and on that of a run one quarter earlier: every game
+    with the rules it fails. The published job's rules, the spend rule, and growth rules of one market."""
+    cfg = fixtures.fixture_config()
+    current = _stages(spark, sf_dir, cfg, campaign_twice=True)
+    new = Scratch(spark).write(current.channel, "channel")
+    earlier = _stages(spark, sf_dir, cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS)))
+    rules = rules_from_table(rule_table(spark, GATE_RULES))
+    cases = {"earlier": to_published(earlier.campaign), "fail": _failing(current)}
+    judged = _gate_cases(cases, lambda previous: gate_by_rules(previous, new, rules))
+    return judged.withColumn("FAILED_RULES", F.array_join("FAILED_RULES", ","))
+
+
+GATE_RULES = (
+    DATE_RULE,
+    INSTALL_RULE,
+    SPEND_RULE,
+    GateRule("INSTALLS_GREW", "TOTAL_INSTALL", "share_not_above", Decimal("0.02"), (None, C.GOOGLE_MARKET, None)),
+    GateRule("DATE_AHEAD", "LAST_INSTALL_DT", "not_above", Decimal(31), (None, None, C.SKAN_SOURCE)),
+)
+
+
+def q34_latest_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each user's latest projections the one with the largest subscription revenue, then the largest others."""
+    src, _ = _inputs(spark, sf_dir)
+    return present(
+        latest_per_key(src.projections, C.USER_KEY, "PROJECTION_DT", ties="one", tie_break=["SUB_PROJECTEDREVENUE_365"])
+    )
+
+
+def q35_install_ltv_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q06 without installs of the channels that the fact side excludes."""
+    src, cfg = _inputs(spark, sf_dir)
+    cfg = replace(cfg, install_excluded_channel_pattern=cfg.excluded_channel_pattern)
+    return present(install_ltv_rollup(src.installs, src.projections, cfg))
+
+
 QUERIES: dict[str, QueryFn] = {
     "q01_campaign_rollup": q01_campaign_rollup,
     "q02_net_iap": q02_net_iap,
@@ -417,4 +571,14 @@ QUERIES: dict[str, QueryFn] = {
     "q24_gate_outcome": q24_gate_outcome,
     "q25_precedence_collapse": q25_precedence_collapse,
     "q26_net_by_card_table": q26_net_by_card_table,
+    "q27_campaign_rollup_by_cards": q27_campaign_rollup_by_cards,
+    "q28_install_ltv_by_cards": q28_install_ltv_by_cards,
+    "q29_skan_by_cards": q29_skan_by_cards,
+    "q30_published_rejects": q30_published_rejects,
+    "q31_application_rerun": q31_application_rerun,
+    "q32_install_ltv_bucketed": q32_install_ltv_bucketed,
+    "q33_gate_rules": q33_gate_rules,
+    "q34_latest_single": q34_latest_single,
+    "q35_install_ltv_filtered": q35_install_ltv_filtered,
+    "q36_joint_publication": q36_joint_publication,
 }

@@ -167,3 +167,84 @@ def test_plan_shape_at_scale(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_inputs_need_no_exchange_of_users(spark):
+    """On inputs bucketed on the user key the campaign details need 3 exchanges fewer than 6, the history none,
+    and the roll-up is the same."""
+    from spendlens.operators.merge import merge_details
+    from spendlens.operators.rollup import install_ltv_rollup
+    from spendlens.sources.bucketed import bucketed_sources
+
+    cfg, src = fixtures.fixture_config(), fixtures.load(spark, SMOKE_DIR)
+    root = tempfile.mkdtemp(prefix="spendlens-buckets-")
+    own = bucketed_sources(src, "plan_installs", "plan_projections", buckets=4, location=root)
+    same = [install_ltv_rollup(s.installs, s.projections, cfg) for s in (src, own)]
+    assert sorted(map(str, same[0].collect())) == sorted(map(str, same[1].collect()))
+    assert own.installs.count() <= src.installs.count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        users = install_ltv_rollup(own.installs, own.projections, cfg)
+        assert sum("Exchange" in line for line in _tree(users)) == 1, "\n".join(_tree(users))
+        details = merge_details(campaign_rollup(own.fact, cfg), users)
+        assert sum("Exchange" in line for line in _tree(details)) == 2, "\n".join(_tree(details))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for t in ("plan_installs", "plan_projections"):
+            spark.sql(f"DROP TABLE {t}")
+
+
+def test_run_with_cards_rules_and_a_joint_publication(spark):
+    from spendlens.functions.cards import configured_cards
+    from spendlens.operators.publication import job_publication
+    from spendlens.operators.quality import DEFAULT_RULES, GateRule
+
+    cfg, src = fixtures.fixture_config(), fixtures.load(spark, SMOKE_DIR)
+    root = tempfile.mkdtemp(prefix="spendlens-run-joint-")
+    joint = job_publication(spark, root, "run_joint_campaign", "run_joint_channel")
+    shared = shared_folder(spark)
+    before = listing(spark, shared)
+    report = run(spark, src, cfg, cards=configured_cards(spark, cfg), publication=joint)
+    assert report.commit.version == 1 and spark.table("run_joint_campaign").count() == report.commit.rows["campaign"] > 0
+    src.previous = spark.table("run_joint_campaign")
+    # a gate that fails publishes nothing
+    strict = (*DEFAULT_RULES, GateRule("MUST_GROW", "TOTAL_INSTALL", "not_below"), GateRule("NO_SPEND", "TOTAL_SPEND", "not_above"))
+    smaller = fixtures.Sources(fact=src.fact.where("CALENDAR_DT < '1997-01-01'"), installs=src.installs, projections=src.projections, skan=src.skan, previous=src.previous)
+    with pytest.raises(QualityGateError):
+        run(spark, smaller, cfg, rules=strict, publication=joint)
+    assert joint.current().version == 1
+    assert run(spark, src, cfg.with_window(cfg.window.shifted(1)), publication=joint).commit.version == 2
+    src.previous = None
+    # rejects need a folder, and have one
+    with pytest.raises(ValueError, match="reject"):
+        run(spark, src, cfg, policy="reject")
+    report = run(spark, src, cfg, policy="reject", rejects=f"{root}/rejects", publication=joint)
+    assert report.rejected == {"campaign": 0, "channel": 0} and report.commit.version == 3
+    with pytest.raises(ValueError, match="whole tables"):
+        run(spark, src, cfg, publication=joint, only=("SMALL",))
+    # the gate's violations stay where its message says; all else of a run is gone
+    left = {p.rsplit("/", 1)[-1] for p in listing(spark, shared) - before}
+    assert len(left) == 1
+    for v in ("run_joint_campaign", "run_joint_channel"):
+        spark.sql(f"DROP VIEW {v}")
+
+
+def test_install_predicates(spark):
+    from dataclasses import replace
+
+    from spendlens.operators.rollup import install_ltv_rollup
+
+    cfg, src = fixtures.fixture_config(), fixtures.load(spark, SMOKE_DIR)
+    by = lambda df: sorted(map(str, df.collect()))
+    pattern = replace(cfg, install_excluded_channel_pattern="%UNTRUSTED%")
+    trusted = src.installs.where("CHANNEL_NAME NOT LIKE '%UNTRUSTED%'")
+    assert by(install_ltv_rollup(src.installs, src.projections, pattern)) == by(install_ltv_rollup(trusted, src.projections, cfg))
+    assert trusted.count() < src.installs.count()
+    typed = src.installs.withColumn("mvp_campaign_type", F.when(F.col("USER_ID") % 2 == 0, "New Installs"))
+    of_type = replace(cfg, install_campaign_type="New Installs")
+    expected = install_ltv_rollup(src.installs.where("USER_ID % 2 = 0"), src.projections, cfg)
+    assert by(install_ltv_rollup(typed, src.projections, of_type)) == by(expected)
+    with pytest.raises(ValueError, match="MVP_CAMPAIGN_TYPE"):
+        install_ltv_rollup(src.installs, src.projections, of_type)
