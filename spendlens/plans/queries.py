@@ -282,24 +282,34 @@ def _gate_cases(cases: dict[str, DataFrame], judge) -> DataFrame:
     return present(out.withColumn("OLD_TOTAL_SPEND", F.round(F.col("OLD_TOTAL_SPEND"), 2)))
 
 
+def _earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The campaign table that a run one quarter earlier published: an input of the gate, so it is staged
+    once a session as the other inputs are."""
+    cfg = fixtures.fixture_config()
+    earlier = cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS))
+
+    def make(scratch: Scratch) -> DataFrame:
+        stages = build(fixtures.load(spark, sf_dir), earlier, scratch)
+        return scratch.write(to_published(stages.campaign), "published")
+
+    return fixtures.staged(spark, sf_dir, "previous", make)
+
+
 def q19_regression_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Violations for two previous publications: a run one quarter earlier (passes) and the
     current run with one application's installs doubled (fails for that application)."""
-    cfg = fixtures.fixture_config()
-    current = _stages(spark, sf_dir, cfg, campaign_twice=True)
-    new = Scratch(spark).write(current.channel, "channel")
-    earlier = cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS))
-    cases = {"pass": to_published(_stages(spark, sf_dir, earlier).campaign), "fail": _failing(current)}
-    return _gate_cases(cases, lambda previous: regression_violations(previous, new).drop("FAILED_RULES"))
+    current = _stages(spark, sf_dir, campaign_twice=True)
+    cases = {"pass": _earlier(spark, sf_dir), "fail": _failing(current)}
+    # games of the campaign table are those of the channel table, which sums it
+    return _gate_cases(cases, lambda previous: regression_violations(previous, current.campaign).drop("FAILED_RULES"))
 
 
 def q24_gate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate's full outcome, spend rule included, for the same publication again (every game
     passes, though it holds 32-bit floats) and for the failing one."""
     current = _stages(spark, sf_dir, campaign_twice=True)
-    new = Scratch(spark).write(current.channel, "channel")
     cases = {"same": to_published(current.campaign), "fail": _failing(current)}
-    return _gate_cases(cases, lambda previous: gate_outcome(previous, new))
+    return _gate_cases(cases, lambda previous: gate_outcome(previous, current.campaign))
 
 
 # -- X13 / X14 -----------------------------------------------------------------------------
@@ -510,13 +520,10 @@ def q32_install_ltv_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q33_gate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gate by a rule table, on the failing publication of q24 and on that of a run one quarter earlier: every game
     with the rules it fails. The published job's rules, the spend rule, and growth rules of one market."""
-    cfg = fixtures.fixture_config()
-    current = _stages(spark, sf_dir, cfg, campaign_twice=True)
-    new = Scratch(spark).write(current.channel, "channel")
-    earlier = _stages(spark, sf_dir, cfg.with_window(cfg.window.shifted(GATE_PASS_SHIFT_DAYS)))
+    current = _stages(spark, sf_dir, campaign_twice=True)
     rules = rules_from_table(rule_table(spark, GATE_RULES))
-    cases = {"earlier": to_published(earlier.campaign), "fail": _failing(current)}
-    judged = _gate_cases(cases, lambda previous: gate_by_rules(previous, new, rules))
+    cases = {"earlier": _earlier(spark, sf_dir), "fail": _failing(current)}
+    judged = _gate_cases(cases, lambda previous: gate_by_rules(previous, current.campaign, rules))
     return judged.withColumn("FAILED_RULES", F.array_join("FAILED_RULES", ","))
 
 

@@ -10,6 +10,8 @@ what makes results comparable value-for-value with an independent SQL engine.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -205,7 +207,8 @@ def derive(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> S
     )
 
 
-_STAGED: dict[tuple, tuple[SparkSession, Sources]] = {}
+#: what a session has staged, by version of the source files; it goes with the session
+_STAGED: weakref.WeakKeyDictionary[SparkSession, dict[tuple, tuple[Scratch, object]]] = weakref.WeakKeyDictionary()
 _SOURCE_TABLES = ("lineitem", "orders", "customer", "part")
 
 
@@ -215,6 +218,22 @@ def _version(spark: SparkSession, path: str) -> tuple:
     return tuple(sorted((str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)))
 
 
+def staged(spark: SparkSession, sf_dir: str, name: str, make: Callable[[Scratch], object]):
+    """What ``make`` writes to a scratch folder, once a session for each version of the source files."""
+    key = (name, sf_dir, tuple(_version(spark, _place(sf_dir, t)) for t in _SOURCE_TABLES))
+    own = _STAGED.setdefault(spark, {})
+    if key not in own:
+        scratch = Scratch(spark)
+        own[key] = (scratch, make(scratch))
+    return own[key][1]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything a session has staged; relations read from there can no longer be used."""
+    for scratch, _ in _STAGED.pop(spark, {}).values():
+        scratch.release()
+
+
 def load(spark: SparkSession, sf_dir: str) -> Sources:
     """Fixture inputs for the queries.
 
@@ -222,19 +241,16 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
     each version of the source files, and read back: queries scan physical tables with pushed
     filters and pruned columns, as they would scan the catalog tables in production.
     """
-    key = (id(spark), sf_dir, tuple(_version(spark, _place(sf_dir, t)) for t in _SOURCE_TABLES))
-    hit = _STAGED.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    scratch = Scratch(spark)
-    # The line/order/customer/part join feeds three fixtures: compute it once. A rebalanced
-    # write has files of the advisory partition size, however large the input is.
-    dims = scratch.write(_dims(spark, sf_dir).hint("rebalance"), "dims")
-    lazy = derive(spark, sf_dir, dims)
-    staged = {}
-    for name in ("fact", "installs", "projections", "skan"):
-        df = getattr(lazy, name)
-        staged[name] = scratch.write(df.hint("rebalance") if name == "projections" else df, name)
-    out = Sources(**staged)
-    _STAGED[key] = (spark, out)
-    return out
+
+    def make(scratch: Scratch) -> Sources:
+        # The line/order/customer/part join feeds three fixtures: compute it once. A rebalanced
+        # write has files of the advisory partition size, however large the input is.
+        dims = scratch.write(_dims(spark, sf_dir).hint("rebalance"), "dims")
+        lazy = derive(spark, sf_dir, dims)
+        tables = {}
+        for name in ("fact", "installs", "projections", "skan"):
+            df = getattr(lazy, name)
+            tables[name] = scratch.write(df.hint("rebalance") if name == "projections" else df, name)
+        return Sources(**tables)
+
+    return staged(spark, sf_dir, "inputs", make)

@@ -248,3 +248,26 @@ def test_install_predicates(spark):
     assert by(install_ltv_rollup(typed, src.projections, of_type)) == by(expected)
     with pytest.raises(ValueError, match="MVP_CAMPAIGN_TYPE"):
         install_ltv_rollup(src.installs, src.projections, of_type)
+
+
+def test_literal_shape_of_the_bench_is_the_same_result(spark):
+    import bench
+    from spendlens.plans.queries import q07_campaign_details
+
+    cfg, src = fixtures.fixture_config(), fixtures.load(spark, SMOKE_DIR)
+    ours = q07_campaign_details(spark, SMOKE_DIR)
+    literal = bench.literal_details(spark, src, cfg)
+    columns = [f"CAST({c} AS DOUBLE)" if c in C.METRICS_RAW else c for c in sorted(ours.columns)]
+    assert sorted(ours.columns) == sorted(literal.columns)
+    assert sorted(map(str, ours.selectExpr(*columns).collect())) == sorted(map(str, literal.selectExpr(*columns).collect()))
+
+
+def test_staged_inputs_are_one_and_can_be_released(spark):
+    own = spark.newSession()
+    a, b = (fixtures.load(own, SMOKE_DIR) for _ in range(2))
+    assert a is b and a is not fixtures.load(spark, SMOKE_DIR)
+    place = a.fact.inputFiles()[0].rsplit("/fact/", 1)[0]
+    assert listing(spark, place)
+    fixtures.release(own)
+    assert not listing(spark, place) and fixtures.load(own, SMOKE_DIR) is not a
+    fixtures.release(own)
