@@ -47,10 +47,14 @@ WITH RECURSIVE rules (verdict, rule) AS (VALUES
   SELECT host, count(*) AS pages, count(*) FILTER (WHERE verdict = 'allow') AS trusted,
          count(*) FILTER (WHERE verdict = 'block') AS blocked FROM judged GROUP BY host
 ), link AS (
-  SELECT host AS src, regexp_replace(translate(unnest(list_distinct(regexp_extract_all(coalesce(html, ''),
-    '(?:href|HREF|src|SRC)\s*=\s*["'']?\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1))),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^.*@|:\d*$', '', 'g') AS dst FROM judged
-), edge AS (SELECT src, dst, count(*) AS pages FROM link WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
+  SELECT page, src, unnest(x) AS y
+  FROM (SELECT row_number() OVER () AS page, host AS src,
+               regexp_extract_all(html, '(?i:href|src)\s*=\s*["'']?\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#"''\s<>]+)', 1) AS x FROM judged)
+), edge AS (  -- a page counts once for a host, whatever its spellings
+  SELECT src, dst, count(DISTINCT page) AS pages
+  FROM (SELECT page, src, regexp_replace(split_part(translate(y, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '@', -1), ':[0-9]*$', '') AS dst
+        FROM link)
+  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst
 ), both_ways AS (SELECT 'trust' AS walk, src, dst, pages FROM edge UNION ALL SELECT 'distrust', dst, src, pages FROM edge
 ), seeds AS (
   SELECT walk, host, seed, sum(seed) OVER (PARTITION BY walk) AS total FROM (
@@ -67,14 +71,14 @@ WITH RECURSIVE rules (verdict, rule) AS (VALUES
   FROM (
     SELECT r.step, m.walk, m.dst AS host, sum(0.85 * r.rank * m.share) AS flow,
            sum(sum(0.85 * r.rank * m.share)) OVER (PARTITION BY m.walk) AS moved
-    FROM ranks r JOIN moves m ON r.walk = m.walk AND r.host = m.src WHERE r.step < 30 GROUP BY r.step, m.walk, m.dst
+    FROM ranks r JOIN moves m ON r.walk = m.walk AND r.host = m.src WHERE r.step < 150 GROUP BY r.step, m.walk, m.dst
   ) f JOIN seeds s ON s.walk = f.walk AND s.host = f.host
 ), scores AS (
   SELECT host, max(rank) FILTER (WHERE walk = 'trust') AS trust, max(rank) FILTER (WHERE walk = 'distrust') AS distrust
-  FROM ranks WHERE step = 30 GROUP BY host
+  FROM ranks WHERE step = 150 GROUP BY host
 )
 SELECT page_id, judged.host, path, rule, coalesce(verdict,
-  CASE WHEN distrust > trust AND distrust >= 0.5 * pages THEN 'block' ELSE 'allow' END) AS verdict
+  CASE WHEN round(distrust * 100) > round(trust * 100) AND round(distrust * 100) >= round(50 * pages) THEN 'block' ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN hosts ON hosts.host = judged.host LEFT JOIN scores ON scores.host = judged.host
 """
 
