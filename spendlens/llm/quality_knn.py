@@ -72,7 +72,7 @@ class Terms(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        shape = word[:24].translate(_SHAPES)
+        shape = word.translate(_SHAPES)
         form = self.forms.get(shape)
         if form is None:
             if len(self.forms) >= self.limit:
@@ -111,7 +111,7 @@ def _pack(batches):
             counts = terms.counts(t)
             own = np.flatnonzero(counts)
             at.append(own.astype("<u2").tobytes())
-            times.append(np.minimum(counts[own], 65_535).astype("<u2").tobytes())
+            times.append(counts[own].astype("<u4").tobytes())
         yield pa.RecordBatch.from_arrays(
             [b.column("_id"), pa.array(at, pa.binary()), pa.array(times, pa.binary())], ["_id", "terms", "counts"]
         )
@@ -134,7 +134,7 @@ def weighted(at: list[bytes], times: list[bytes], idf: np.ndarray) -> np.ndarray
     x = np.zeros((len(at), TERMS), np.float32)
     for i, (a, t) in enumerate(zip(at, times)):
         a = np.frombuffer(a, "<u2")
-        x[i, a] = (1 + np.log(np.frombuffer(t, "<u2"))) * idf[a]
+        x[i, a] = (1 + np.log(np.frombuffer(t, "<u4"))) * idf[a]
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
