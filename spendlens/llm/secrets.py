@@ -9,23 +9,28 @@ field tags every token of a text as begin, inside or outside of a secret. Its fe
 - of the file: how dense assignments are in it, and tokens with digits.
 
 Weights are learned on the driver from a bounded sample of token windows (``TRAIN_WINDOWS``),
-half around base spans and half from anywhere, whose tags come from the base spans; windows are
-chosen by a hash of the document, so the sample is the same on every run. Decoding is Viterbi's,
+half around base spans and half from anywhere, whose tags come from the base spans. Equal windows count as
+one (copies of a text, of whatever number, are one text to learn from), and different ones are
+drawn by a hash of what they hold, so the sample keeps its bound and is the same on every run. Decoding is Viterbi's,
 over whole texts. A token whose margin for *outside* exceeds what any choice of its two
 transitions could win back is outside on every best path, so the chain is cut there and only
 the stretches between such tokens are decoded: the result is that of decoding the whole chain.
 
-Scale: one map over the documents for the windows, of which only the sample (rows below a hash
-threshold) leaves the executors, and one for the scan; no shuffle. The weights broadcast are a few
+Scale: one map over the documents for the windows, whose hashes are counted by partial aggregates and of
+which only the sample (rows below a hash threshold) leaves the executors, and one for the scan. Both take
+time in proportion to a text and the secrets in it (neighbouring intervals are found by bisection). The weights broadcast are a few
 tables of ``BUCKETS`` rows whatever the input is.
 
 Defined results: a null text is empty and has no spans; offsets are code points, end exclusive; a
 span of the field that meets a base span is left out; a table without any base span trains no field
-and gives the base spans alone; repeated rows are scanned row by row.
+and gives the base spans alone; repeated rows are scanned row by row; a very long text is scanned whole, and
+so is a very long token (only a training window is cut, ``2 * MARGIN`` characters from its secret); spans
+that start together are listed in the order of ``KINDS``; columns other than id and text pass by unread.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from functools import partial
@@ -85,6 +90,25 @@ def _secret_part(text: str, span: tuple[str, int, int]) -> tuple[int, int]:
     return ASSIGN.match(text, start).span(1) if kind == "assign" else (start, end)
 
 
+class Intervals:
+    """Which of some intervals a stretch of text meets. Intervals of one kind do not overlap."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.kinds: dict[str, tuple[list[int], list[int], list[int]]] = {}
+        for i, (kind, start, end) in enumerate(spans):
+            for column, v in zip(self.kinds.setdefault(kind, ([], [], [])), (start, end, i)):
+                column.append(v)
+
+    def first(self, start: int, end: int) -> int | None:
+        """The first of the intervals, as they were given, that meets [start, end)."""
+        found = None
+        for starts, ends, at in self.kinds.values():
+            k = bisect.bisect_right(ends, start)  # those before end where the stretch begins, or before
+            if k < len(starts) and starts[k] < end and (found is None or at[k] < found):
+                found = at[k]
+        return found
+
+
 def _bucket(feature: str) -> int:
     return xxhash.xxh3_64_intdigest(feature) % BUCKETS
 
@@ -106,7 +130,7 @@ def shape(token: str) -> tuple:
     return (
         (digits > 0, upper > 0, digits + upper + marks < n, marks > 0),
         length,
-        min(len(_RUNS.sub(r"\1", classes[:64])), 16) // 2,
+        min(len(_RUNS.sub(r"\1", classes)), 16) // 2,
         min(len(set(token)), 32) // 2,
         round(8 * digits / n),
         digits > 0 and _HEX.fullmatch(token) is not None,
@@ -262,14 +286,16 @@ def crf_spans(text: str, scorer: Scorer, base: list[tuple[str, int, int]]) -> li
         else:
             spans.append([at[i][0], at[i][1]])
         last = i
-    return [("crf", a, b) for a, b in spans if not any(a < z and x < b for _, x, z in base)]
+    known = Intervals(base)
+    return [("crf", a, b) for a, b in spans if known.first(a, b) is None]
 
 
 def _cut_out(text: str, start: int, end: int) -> tuple[int, int]:
-    """[start, end) widened to whole stretches between white space."""
-    while start > 0 and not text[start - 1].isspace():
+    """[start, end) widened to whole stretches between white space, by ``MARGIN`` characters at most."""
+    first, last = max(0, start - MARGIN), min(len(text), end + MARGIN)
+    while start > first and not text[start - 1].isspace():
         start -= 1
-    while end < len(text) and not text[end].isspace():
+    while end < last and not text[end].isspace():
         end += 1
     return start, end
 
@@ -279,13 +305,14 @@ def training_windows(text: str) -> list[tuple[bool, list[str], list[int]]]:
     a hash of the text names."""
     spans = base_spans(text)
     parts = [_secret_part(text, s) for s in spans]
+    secrets = Intervals([(kind, a, b) for (kind, _, _), (a, b) in zip(spans, parts)])
     anywhere = xxhash.xxh3_64_intdigest(text) % max(len(text), 1)
     out = []
     for secret, a, b in [(False, anywhere, anywhere), *((True, a, b) for a, b in parts)]:
         a, b = _cut_out(text, max(0, a - MARGIN), min(len(text), b + MARGIN))
         tokens, tags, last = [], [], None
         for m in TOKEN.finditer(text, a, b):
-            inside = next((k for k, (x, y) in enumerate(parts) if x < m.end() and m.start() < y), None)
+            inside = secrets.first(m.start(), m.end())
             tokens.append(m.group())
             tags.append(OUTSIDE if inside is None else INSIDE if inside == last else BEGIN)
             last = inside
@@ -300,10 +327,10 @@ def _windows(batches):
         out = []
         for t in text:
             file = None
-            for n, (secret, tokens, tags) in enumerate(training_windows(t)):
+            for secret, tokens, tags in training_windows(t):
                 file = file or file_features(t)
-                draw = xxhash.xxh3_64_intdigest(f"{n} {t}") >> 1
-                out.append((secret, draw, tokens, tags, file))
+                held = "\0".join([str(secret), *file, *map(str, tags), *tokens])  # all that is learned from it
+                out.append((secret, xxhash.xxh3_64_intdigest(held) >> 1, tokens, tags, file))
         if out:
             kinds = (pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
@@ -311,75 +338,94 @@ def _windows(batches):
             )
 
 
-def train(windows: list) -> Field:
-    """Weights by regularised maximum likelihood (forward-backward gradients, Adam steps)."""
-    field = Field()
-    n, width = len(windows), max(len(w["tokens"]) for w in windows)
-    pad = BUCKETS  # a row that stays zero
-    k_own = 8
-    own = np.full((n, width, k_own), pad)
-    near = np.full((len(_PLACES), n, width), pad)
-    file = np.full((n, 2), pad)
-    y = np.zeros((n, width), int)
-    size = np.zeros(n, int)
-    for i, w in enumerate(windows):
-        size[i] = len(w["tokens"])
-        y[i, : size[i]] = w["tags"]
-        file[i] = [_bucket(f) for f in w["file"]]
-        context = [_bucket(context_feature(t)) for t in w["tokens"]]
-        for j, t in enumerate(w["tokens"]):
-            f = [_bucket(x) for x in shape_features(shape(t))]
-            own[i, j, : len(f)] = f
-            for p, d in enumerate(_PLACES):
-                if 0 <= j + d < size[i]:
-                    near[p, i, j] = context[j + d]
-    here = np.arange(width) < size[:, None]
-    weights = [np.zeros((BUCKETS + 1, 3)), np.zeros((len(_PLACES), BUCKETS + 1, 3)), np.zeros((BUCKETS + 1, 3)), np.zeros((3, 3))]
-    first = [np.zeros_like(w) for w in weights]
-    second = [np.zeros_like(w) for w in weights]
-    gold = np.eye(3)[y] * here[..., None]
-    gold_move = np.zeros((3, 3))
-    np.add.at(gold_move, (y[:, :-1][here[:, 1:]], y[:, 1:][here[:, 1:]]), 1)
+#: a row of the weights that stays zero, for features that are not there
+_PAD = BUCKETS
+_OWN = 8
+
+
+class Sample:
+    """Training windows as arrays: features and tags of every token, padded to the longest window."""
+
+    def __init__(self, windows: list):
+        n, width = len(windows), max(len(w["tokens"]) for w in windows)
+        self.n, self.width = n, width
+        self.own = np.full((n, width, _OWN), _PAD)
+        self.near = np.full((len(_PLACES), n, width), _PAD)
+        self.file = np.full((n, 2), _PAD)
+        y, size = np.zeros((n, width), int), np.zeros(n, int)
+        for i, w in enumerate(windows):
+            size[i] = len(w["tokens"])
+            y[i, : size[i]] = w["tags"]
+            self.file[i] = [_bucket(f) for f in w["file"]]
+            context = [_bucket(context_feature(t)) for t in w["tokens"]]
+            for j, t in enumerate(w["tokens"]):
+                f = [_bucket(x) for x in shape_features(shape(t))]
+                self.own[i, j, : len(f)] = f
+                for p, d in enumerate(_PLACES):
+                    if 0 <= j + d < size[i]:
+                        self.near[p, i, j] = context[j + d]
+        self.here = here = np.arange(width) < size[:, None]
+        self.gold = np.eye(3)[y] * here[..., None]
+        self.gold_move = np.zeros((3, 3))
+        np.add.at(self.gold_move, (y[:, :-1][here[:, 1:]], y[:, 1:][here[:, 1:]]), 1)
+
+
+def zero_weights() -> list[np.ndarray]:
+    """Own, near, file and move weights, with the row of ``_PAD``."""
+    return [np.zeros((BUCKETS + 1, 3)), np.zeros((len(_PLACES), BUCKETS + 1, 3)), np.zeros((BUCKETS + 1, 3)), np.zeros((3, 3))]
+
+
+def likelihood(weights: list[np.ndarray], s: Sample) -> tuple[float, list[np.ndarray]]:
+    """Log-likelihood of the tags and its gradient, by forward and backward sums over all taggings."""
+    w_own, w_near, w_file, move = weights
+    e = w_own[s.own].sum(axis=2) + w_file[s.file].sum(axis=1)[:, None, :]
+    for p in range(len(_PLACES)):
+        e += w_near[p][s.near[p]]
+    here, width = s.here, s.width
+    alpha, beta = np.zeros((s.n, width, 3)), np.zeros((s.n, width, 3))
+    alpha[:, 0] = e[:, 0]
+    for j in range(1, width):
+        on = alpha[:, j - 1, :, None] + move
+        top = on.max(axis=1)
+        new = top + np.log(np.exp(on - top[:, None]).sum(axis=1)) + e[:, j]
+        alpha[:, j] = np.where(here[:, j, None], new, alpha[:, j - 1])
+    for j in range(width - 2, -1, -1):
+        on = move + (e[:, j + 1] + beta[:, j + 1])[:, None, :]
+        top = on.max(axis=2)
+        beta[:, j] = np.where(here[:, j + 1, None], top + np.log(np.exp(on - top[..., None]).sum(axis=2)), 0.0)
+    top = alpha[:, -1].max(axis=1)
+    total = top + np.log(np.exp(alpha[:, -1] - top[:, None]).sum(axis=1))
+    prob = np.exp(alpha + beta - total[:, None, None]) * here[..., None]
+    pair = alpha[:, :-1, :, None] + move + (e + beta)[:, 1:, None, :] - total[:, None, None, None]
+    pair = (np.exp(np.minimum(pair, 0)) * here[:, 1:, None, None]).sum(axis=(0, 1))
+    diff = s.gold - prob
 
     def scatter(index: np.ndarray, grad: np.ndarray) -> np.ndarray:
-        return np.stack([np.bincount(index.ravel(), grad[..., s].ravel(), BUCKETS + 1) for s in range(3)], axis=1)
+        return np.stack([np.bincount(index.ravel(), grad[..., y].ravel(), BUCKETS + 1) for y in range(3)], axis=1)
+
+    grads = [
+        scatter(s.own, np.broadcast_to(diff[:, :, None, :], (*s.own.shape, 3))),
+        np.stack([scatter(s.near[p], diff) for p in range(len(_PLACES))]),
+        scatter(s.file, np.broadcast_to(diff.sum(axis=1)[:, None, :], (*s.file.shape, 3))),
+        s.gold_move - pair,
+    ]
+    value = (e * s.gold).sum() + (move * s.gold_move).sum() - total.sum()
+    return float(value), grads
 
+
+def train(windows: list) -> Field:
+    """Weights by regularised maximum likelihood (Adam steps)."""
+    field, sample = Field(), Sample(windows)
+    weights, first, second = zero_weights(), zero_weights(), zero_weights()
     for step in range(1, EPOCHS + 1):
-        w_own, w_near, w_file, move = weights
-        e = w_own[own].sum(axis=2) + w_file[file].sum(axis=1)[:, None, :]
-        for p in range(len(_PLACES)):
-            e += w_near[p][near[p]]
-        alpha, beta = np.zeros((n, width, 3)), np.zeros((n, width, 3))
-        alpha[:, 0] = e[:, 0]
-        for j in range(1, width):
-            on = alpha[:, j - 1, :, None] + move
-            top = on.max(axis=1)
-            new = top + np.log(np.exp(on - top[:, None]).sum(axis=1)) + e[:, j]
-            alpha[:, j] = np.where(here[:, j, None], new, alpha[:, j - 1])
-        for j in range(width - 2, -1, -1):
-            on = move + (e[:, j + 1] + beta[:, j + 1])[:, None, :]
-            top = on.max(axis=2)
-            beta[:, j] = np.where(here[:, j + 1, None], top + np.log(np.exp(on - top[..., None]).sum(axis=2)), 0.0)
-        top = alpha[:, -1].max(axis=1)
-        total = top + np.log(np.exp(alpha[:, -1] - top[:, None]).sum(axis=1))
-        prob = np.exp(alpha + beta - total[:, None, None]) * here[..., None]
-        pair = alpha[:, :-1, :, None] + move + (e + beta)[:, 1:, None, :] - total[:, None, None, None]
-        pair = (np.exp(np.minimum(pair, 0)) * here[:, 1:, None, None]).sum(axis=(0, 1))
-        diff = gold - prob
-        grads = [
-            scatter(own, np.broadcast_to(diff[:, :, None, :], (*own.shape, 3))),
-            np.stack([scatter(near[p], diff) for p in range(len(_PLACES))]),
-            scatter(file, np.broadcast_to(diff.sum(axis=1)[:, None, :], (*file.shape, 3))),
-            gold_move - pair,
-        ]
-        for k, g in enumerate(grads):
-            g = g / n - L2 * weights[k]
+        for k, g in enumerate(likelihood(weights, sample)[1]):
+            g = g / sample.n - L2 * weights[k]
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.99 * second[k] + 0.01 * g * g
             weights[k] += 0.2 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
-        weights[0][pad] = weights[2][pad] = 0
-        weights[1][:, pad] = 0
-    field.own, field.near, field.file, field.move = weights[0][:pad], weights[1][:, :pad], weights[2][:pad], weights[3]
+        weights[0][_PAD] = weights[2][_PAD] = 0
+        weights[1][:, _PAD] = 0
+    field.own, field.near, field.file, field.move = weights[0][:_PAD], weights[1][:, :_PAD], weights[2][:_PAD], weights[3]
     return field
 
 
@@ -389,7 +435,10 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_
     windows = written(texts(docs, id_col, text_col).mapInArrow(_windows, schema), "windows")
     picked = []
     for secret in (True, False):
-        picked += drawn(windows.where(F.col("secret") == secret), F.col("draw"), max_windows // 2).collect()
+        own = windows.where(F.col("secret") == secret)
+        below = drawn(own.select("draw").distinct(), F.col("draw"), max_windows // 2)
+        # the draws below the threshold are few: of the windows only theirs move
+        picked += own.join(F.broadcast(below), "draw", "left_semi").dropDuplicates(["draw"]).collect()
     picked.sort(key=lambda w: (w["draw"], w["tokens"]))
     return train(picked) if any(w["secret"] for w in picked) else None
 

@@ -101,3 +101,116 @@ def test_redaction_and_odd_rows(spark, odd_docs, field):
         assert S.redact(odd_docs, f).columns == odd_docs.columns
     assert S.fit(odd_docs) is None
     assert S.fit(odd_docs.limit(0)) is None and S.find_secrets(odd_docs.limit(0), None).count() == 0
+
+
+def plain_spans(text, field, base):
+    """Spans of the field by one Viterbi over the whole text and a comparison of all with all."""
+    at = [m.span() for m in S.TOKEN.finditer(text)]
+    if not at:
+        return []
+    tokens, file = [text[a:b] for a, b in at], S.file_features(text)
+    e = np.zeros((len(tokens), 3)) + field.file[[S._bucket(f) for f in file]].sum(axis=0)
+    for j, t in enumerate(tokens):
+        e[j] += field.own[[S._bucket(f) for f in S.shape_features(S.shape(t))]].sum(axis=0)
+        for p, d in enumerate((-1, -2, 1)):
+            if 0 <= j + d < len(tokens):
+                e[j] += field.near[p][S._bucket(S.context_feature(tokens[j + d]))]
+    spans, last = [], None
+    for j, y in enumerate(S.viterbi(e, field.move, False, False)):
+        if y:
+            if y == S.INSIDE and last == j - 1:
+                spans[-1][1] = at[j][1]
+            else:
+                spans.append(list(at[j]))
+            last = j
+    return [("crf", a, b) for a, b in spans if not any(a < z and x < b for _, x, z in base)]
+
+
+def test_spans_of_the_query_are_a_plain_decode_of_every_text(spark, documents):
+    field = S.fit(documents)
+    got = {r.doc_id: r.spans for r in QUERIES["op3_secret_scan"](spark, "/root/testdata/sf0.01").collect()}
+    some = 0
+    for d in documents.collect():
+        base = literal_spans(d.text or "")
+        crf = plain_spans(d.text or "", field, base)
+        listed = sorted([*base, *crf], key=lambda s: (s[1], S.KINDS.index(s[0])))
+        assert got[d.doc_id] == ",".join(f"{k}:{a}:{b}" for k, a, b in listed), d.doc_id
+        some += len(crf)
+    texts = [f"see {'x1Y2' * 5} and password: {'q9' * 6}, it" for _ in range(3)] + ["", "a", "key " * 50 + "Zx81kQpL0aBcD9" * 3]
+    scorer = S.Scorer(field)
+    for t in texts:
+        base = S.base_spans(t)
+        assert S.crf_spans(t, scorer, base) == plain_spans(t, field, base)
+
+
+def test_gradient_is_the_numeric_one():
+    rng = np.random.default_rng(5)
+    windows = []
+    for n in (1, 2, 5, 9):
+        tokens = [rng.choice(["password", "=", "a1B2c3d4e5f6", "the", "key", "'", "0123456789abcdef0123"]) for _ in range(n)]
+        windows.append({"tokens": tokens, "tags": rng.integers(0, 3, n).tolist(), "file": ["assign=1", f"digits={n}"]})
+    sample, weights = S.Sample(windows), S.zero_weights()
+    for w in weights:
+        w[...] = rng.normal(0, 0.5, w.shape)
+    weights[0][S._PAD] = weights[2][S._PAD] = 0
+    weights[1][:, S._PAD] = 0
+    grads = S.likelihood(weights, sample)[1]
+    step, checked = 1e-5, 0
+    for w, g in zip(weights, grads):
+        places = [tuple(p) for p in np.argwhere(np.abs(g) > 1e-6) if S._PAD not in p[:-1]]
+        for k in rng.choice(len(places), min(25, len(places)), replace=False):
+            at, before = places[k], w[places[k]]
+            w[at] = before + step
+            up = S.likelihood(weights, sample)[0]
+            w[at] = before - step
+            down = S.likelihood(weights, sample)[0]
+            w[at] = before
+            assert abs((up - down) / (2 * step) - g[at]) < 1e-4
+            checked += 1
+    assert checked > 50
+
+
+def test_intervals_against_all_of_them():
+    rnd = random.Random(6)
+    for _ in range(300):
+        spans = []
+        for kind in S.KINDS[:3]:
+            at = 0
+            while (at := at + rnd.randint(0, 9)) < 60:
+                spans.append((kind, at, at := at + rnd.randint(1, 6)))
+        spans.sort(key=lambda s: (s[1], S.KINDS.index(s[0])))
+        known = S.Intervals(spans)
+        for a in range(0, 66, 3):
+            for b in (a + 1, a + 4):
+                assert known.first(a, b) == next((i for i, (_, x, z) in enumerate(spans) if a < z and x < b), None)
+
+
+def test_many_secrets_in_one_text(field):
+    """Twenty thousand secrets in a text, with and without white space: time grows with the text, not its square."""
+    import time
+
+    scorer = S.Scorer(field)
+    for between in ("\n", ";"):
+        text = between.join(f"password={i:09d}abc" for i in range(20_000))
+        start = time.time()
+        base = S.base_spans(text)
+        S.crf_spans(text, scorer, base)
+        assert len(base) == 20_000 and time.time() - start < 6
+        start = time.time()
+        assert len(S.training_windows(text)) == 20_001 and time.time() - start < 20
+    token = "aB3" * 200_000
+    assert S.shape(token)[1:4] == (12, 8, 1)
+
+
+def test_copies_do_not_flood_the_sample(spark, monkeypatch):
+    """A third of the table is one text; the sample keeps its bound and holds that text's windows once."""
+    copy = "\n".join(f"line {i} has api_key = K{i:03d}abcdefgh" for i in range(40))
+    rows = [(i, copy) for i in range(400)] + [(1_000 + i, f"text {i} with secret: {i:05d}xyz{i} in it, and more of it {i * i}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(6)
+    seen = []
+    monkeypatch.setattr(S, "train", lambda windows: seen.append(windows))
+    S.fit(df, max_windows=300)
+    S.fit(df, max_windows=10_000)
+    few, all_ = seen
+    assert 150 < len(few) <= 300 and len({(w["draw"], w["secret"]) for w in few}) == len(few)
+    assert len({tuple(w["tokens"]) for w in all_ if w["secret"]}) == sum(w["secret"] for w in all_) == 840
