@@ -103,7 +103,7 @@ WITH doc AS (
 ), lost AS (
   SELECT doc_id, sum(c) AS chars, sum(CASE WHEN
       (seps >= 3 AND 4 * seps >= w)
-      OR regexp_matches(l, '(?i)licensed under|licenced under|all rights reserved|terms of use|terms of service|privacy policy|cookie|javascript|copyright|lorem ipsum|sign up|sign in|log in|subscribe|click here|read more')
+      OR (w <= 12 AND regexp_matches(lower(l), '(^|[^\p{L}\p{N}])(licensed under|licenced under|all rights reserved|terms of use|terms of service|privacy policy|cookies?|javascript|copyright|lorem ipsum|sign up|sign in|log in|subscribe|click here|read more)($|[^\p{L}\p{N}])'))
       OR 10 * syms > c OR 3 * bangs > w OR (w >= 5 AND 2 * caps > letters) THEN c ELSE 0 END) AS gone
   FROM line GROUP BY doc_id
 ), base AS (

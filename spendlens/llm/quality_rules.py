@@ -9,7 +9,8 @@ own task time only. Windows are compared by 64-bit hash within one document.
 A line that has a word fails by
 
 - *navigation*: three or more separators, and at least one for four words;
-- *boilerplate*: one of the phrases of ``BOILERPLATE``;
+- *boilerplate*: one of the phrases of ``BOILERPLATE``, as words of their own, in a line of at most
+  ``BOILERPLATE_WORDS`` words: a phrase in a longer line is prose about it;
 - *punctuation*: over a tenth of its characters are symbols ``#*$%&|<>``, or it has a ``!!`` for
   fewer than three words, or five words or more of which most letters are capitals.
 
@@ -39,8 +40,9 @@ SEPARATORS = "[|»›>•]"
 SYMBOLS = "[#*$%&|<>]"
 BOILERPLATE = (
     "licensed under", "licenced under", "all rights reserved", "terms of use", "terms of service", "privacy policy",
-    "cookie", "javascript", "copyright", "lorem ipsum", "sign up", "sign in", "log in", "subscribe", "click here", "read more",
+    "cookie", "cookies", "javascript", "copyright", "lorem ipsum", "sign up", "sign in", "log in", "subscribe", "click here", "read more",
 )
+BOILERPLATE_WORDS = 12
 
 
 def _sql(pattern: str) -> str:
@@ -65,9 +67,11 @@ def _words(text: str) -> str:
 def _fails() -> str:
     """SQL: whether the line l of w words, c characters that are not blank, fails a rule."""
     separators = _count("x.l", SEPARATORS)
+    some = " OR ".join(f"contains(x.low, '{phrase}')" for phrase in BOILERPLATE)  # cheap, and rarely true
+    whole = _sql(rf"(^|[^\p{{L}}\p{{N}}])({'|'.join(BOILERPLATE)})($|[^\p{{L}}\p{{N}}])")
     return (
         f"({separators} >= 3 AND 4 * {separators} >= x.w)"
-        f" OR {' OR '.join(f"contains(x.low, '{phrase}')" for phrase in BOILERPLATE)}"
+        f" OR (x.w <= {BOILERPLATE_WORDS} AND ({some}) AND x.low rlike {whole})"
         f" OR 10 * {_count('x.l', SYMBOLS)} > x.c"
         f" OR 3 * (length(x.l) - length(replace(x.l, '!!', ''))) > 2 * x.w"
         f" OR (x.w >= 5 AND 2 * {_count('x.l', '[' + chr(92) + 'p{Lu}]')} > {_count('x.l', '[' + chr(92) + 'p{L}]')})"

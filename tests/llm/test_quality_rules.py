@@ -63,6 +63,25 @@ def test_rejected_by_lost_text_alone(spark):
     assert not q.base_failed and not q.kept
 
 
+def test_phrases_are_words_of_short_lines(spark):
+    prose = " ".join(f"The catalog in room{i} has a design in blue, and copyright is a word there" for i in range(40))
+    short = ["a catalog in blue", "redesign up there", "cookiecutter", "the biologs in it", "precopyrighted"]
+    gone = ["Please LOG IN", "all rights reserved.", "(c) Copyright 2020", "accept cookies", "read more…", "»sign up«"]
+    rows = [row(1, prose), row(2, prose + "\nAll rights reserved")] + [row(10 + i, x) for i, x in enumerate([*short, *gone])]
+    got = judged(spark, rows)
+    assert got[1].judged.lost_chars == 0 and got[1].judged.text == prose
+    assert got[2].judged.text == prose and got[2].judged.lost_chars > 0
+    left = [got[10 + i].judged.text != "" for i in range(len(short) + len(gone))]
+    assert left == [True] * len(short) + [False] * len(gone)
+
+
+def test_repeated_rows_and_long_lines(spark):
+    long = " ".join(f"word{i}" for i in range(60_000)) + " log in copyright"
+    df = spark.createDataFrame([row(1, long)] * 3 + [row(2, "log in")] * 2, "doc_id int, text string, q string, _words string, _text_ string")
+    got = Q.clean_lines(df, out_col="judged").collect()
+    assert sorted((r.doc_id, r.judged.kept, r.judged.lost_chars) for r in got) == [(1, True, 0)] * 3 + [(2, False, 5)] * 2
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id int, text string")
     assert Q.clean_lines(df).count() == 0
