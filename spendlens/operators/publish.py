@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.rates import sql_str
 from ..session import delete_path
-from .verify import assert_written
+from .verify import assert_written, known_digests
 
 
 #: type of money and of counts under each cast policy
@@ -154,21 +154,26 @@ def publish(
     overwrite drops first). Both dated snapshots are complete by then, so running ``write_table`` again
     from them mends it without computing anything.
     """
-    outputs = [
-        ("campaign", to_published(campaign, policy), campaign_target, C.CAMPAIGN_KEYS),
-        ("channel", to_published(channel, policy), channel_target, C.KCH),
-    ]
-
-    def verified(what: str, plan: DataFrame, written: DataFrame, keys: Sequence[str]) -> None:
+    outputs = []
+    for name, df, target, keys in (
+        ("campaign", campaign, campaign_target, C.CAMPAIGN_KEYS),
+        ("channel", channel, channel_target, C.KCH),
+    ):
+        plan = to_published(df, policy)
+        if only is not None:
+            plan = plan.where(F.col(C.APP).isin(list(only)))
+        keys = [k for k in keys if k in plan.columns]
+        outputs.append((name, plan, target, keys, known_digests(plan, keys) if verify else None))
+
+    def verified(what: str, plan: DataFrame, written: DataFrame, keys: Sequence[str], expected: DataFrame | None) -> None:
         if verify:
             own = written if only is None else written.where(F.col(C.APP).isin(list(only)))
-            rows = plan if only is None else plan.where(F.col(C.APP).isin(list(only)))
-            assert_written(what, rows, own, [k for k in keys if k in plan.columns])
+            assert_written(what, plan, own, keys, expected=expected)
 
-    for name, df, target, keys in outputs:
-        write_snapshot(df, target.snapshot_path, only)
-        verified(f"{name} snapshot", df, _snapshot(spark, target.snapshot_path), keys)
-    for name, df, target, keys in outputs:
+    for name, plan, target, keys, expected in outputs:
+        write_snapshot(plan, target.snapshot_path, only)
+        verified(f"{name} snapshot", plan, _snapshot(spark, target.snapshot_path), keys, expected)
+    for name, plan, target, keys, expected in outputs:
         part = {} if only is None else {"only": only}
         write_table(spark, target.snapshot_path, target, **part)
-        verified(f"{name} table", df, spark.table(target.table), keys)
+        verified(f"{name} table", plan, spark.table(target.table), keys, expected)

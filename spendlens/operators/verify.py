@@ -62,25 +62,39 @@ def digests(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (C.APP,), po
     )
 
 
-def differing(expected: DataFrame, written: DataFrame, keys: Sequence[str], by: Sequence[str] = (C.APP,)) -> DataFrame:
-    """Groups whose digests differ between two relations of the same columns, or that only one has."""
+def known_digests(df: DataFrame, keys: Sequence[str], by: Sequence[str] = (C.APP,)) -> DataFrame:
+    """``digests`` computed now, to compare several sinks with (one row a group: an application, by default)."""
+    found = digests(df, keys, by)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def differing(expected: DataFrame, written: DataFrame, by: Sequence[str] = (C.APP,)) -> DataFrame:
+    """Groups whose digests differ between two relations of ``digests``, or that only one has."""
     names = ("ROW_COUNT", "KEY_DIGEST", "ROW_DIGEST")
-    a, b = digests(expected, keys, by).alias("a"), digests(written.select(expected.columns), keys, by).alias("b")
     same_group = " AND ".join(f"a.{sql_col(k)} <=> b.{sql_col(k)}" for k in by)
     same = " AND ".join(f"a.{n} <=> b.{n}" for n in names)
-    return a.join(b, F.expr(same_group), "full").where(f"NOT ({same})").selectExpr(
+    return expected.alias("a").join(written.alias("b"), F.expr(same_group), "full").where(f"NOT ({same})").selectExpr(
         *[f"coalesce(a.{sql_col(k)}, b.{sql_col(k)}) AS {sql_col(k)}" for k in by],
         *[f"{side}.{n} AS {name}_{n}" for side, name in (("a", "PLAN"), ("b", "SINK")) for n in names],
     )
 
 
-def assert_written(output: str, expected: DataFrame, written: DataFrame, keys: Sequence[str], by: Sequence[str] = (C.APP,)) -> None:
-    """Raise SinkMismatch unless ``written`` has the rows of ``expected``, types included."""
-    types = {f.name: f.dataType for f in expected.schema.fields}
+def assert_written(
+    output: str,
+    plan: DataFrame,
+    written: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str] = (C.APP,),
+    expected: DataFrame | None = None,
+) -> None:
+    """Raise SinkMismatch unless ``written`` has the rows of ``plan``, types included. ``expected``: the plan's
+    ``known_digests``, where several sinks are compared with it."""
+    types = {f.name: f.dataType for f in plan.schema.fields}
     found = {f.name: f.dataType for f in written.schema.fields}
     if types != found:
         raise ValueError(f"{output} has columns {found}, not {types}")
-    wrong = differing(expected, written, keys, by)
+    expected = digests(plan, keys, by) if expected is None else expected
+    wrong = differing(expected, digests(written.select(plan.columns), keys, by), by)
     shown = wrong.orderBy(*by).limit(SHOWN).collect()
     if shown:
         raise SinkMismatch(output, wrong.count(), shown)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from spendlens import config as C
 from spendlens.operators import publication as J
 from spendlens.operators import publish as P
-from spendlens.operators.verify import SinkMismatch, assert_written, differing, digests
+from spendlens.operators.verify import SinkMismatch, assert_written, differing, digests, known_digests
 
 D1, D2 = dt.date(2022, 1, 1), dt.date(2022, 2, 1)
 
@@ -105,6 +105,19 @@ def test_rollback_and_expiry(spark, joint):
     assert joint.rollback(4).version == 4 and shown(spark, view) == [("A", 4)]
 
 
+def test_command_line_of_a_publication(spark, joint, capsys):
+    from spendlens.plans.publication_cli import main
+
+    for n in (1, 2, 3):
+        joint.publish(tables(campaign(spark, ("A", "p", n))), f"2022-01-0{n}")
+    args = ["--publish-dir", joint.root, "--campaign-table", joint.outputs["campaign"].view, "--channel-table", joint.outputs["channel"].view]
+    assert main([*args, "--rollback", "2"], spark) == 0 and shown(spark, joint.outputs["channel"].view) == [("A", 2)]
+    assert main([*args, "--expire", "2"], spark) == 0 and main([*args, "--history"], spark) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert out[:2] == ["commit 4: version 2 of 2022-01-02", "deleted versions: 1"]
+    assert out[2] == "commit 4: version 2 of 2022-01-02, campaign 1 rows, channel 1 rows" and len(out) == 6
+
+
 def test_only_the_current_version_is_scanned(spark, joint):
     for n in (1, 2):
         joint.publish(tables(campaign(spark, ("A", "p", n), ("B", "q", n))), f"2022-01-0{n}")
@@ -142,7 +155,8 @@ def test_swaps_and_losses_change_digests(spark, portable):
 
 def test_what_differs_is_named(spark):
     df = P.to_published(campaign(spark, ("A", "p", 1), ("A", "q", 2), ("B", "p", 3)))
-    assert differing(df, df.repartition(3), C.CAMPAIGN_KEYS).count() == 0
+    one, other = (digests(x, C.CAMPAIGN_KEYS) for x in (df, df.repartition(3)))
+    assert differing(one, other).count() == 0 == differing(known_digests(df, C.CAMPAIGN_KEYS), other).count()
     assert_written("x", df, df, C.CAMPAIGN_KEYS)
     keys_swapped = df.withColumn(C.PROMOTION, F.when(F.col(C.APP) == "A", F.translate(C.PROMOTION, "pq", "qp")).otherwise(F.col(C.PROMOTION)))
     for wrong in (keys_swapped, df.where("INSTALL != 2"), df.union(df.where("INSTALL = 2"))):
@@ -153,6 +167,28 @@ def test_what_differs_is_named(spark):
         assert_written("x", df, df.withColumn("INSTALL", F.col("INSTALL").cast("long")), C.CAMPAIGN_KEYS)
 
 
+def test_a_plain_sink_that_holds_something_else_fails_the_run(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="spendlens-verify-")
+    name = os.path.basename(root).replace("-", "_")
+    targets = [P.PublishTarget(f"{name}_{x}", f"{root}/{x}.parquet", f"{root}/t/{x}") for x in ("campaign", "channel")]
+    df = campaign(spark, ("A", "p", 1), ("A", "q", 2))
+    write = P.write_table
+
+    def swapped(spark, path, target):
+        """A sink that gives each row the installs of another."""
+        write(spark, path, target)
+        other = spark.table(target.table).withColumn("INSTALL", (3 - F.col("INSTALL")).cast("int"))
+        other.write.mode("overwrite").parquet(f"{root}/other")
+        spark.read.parquet(f"{root}/other").select(spark.table(target.table).columns).write.insertInto(target.table, overwrite=True)
+
+    monkeypatch.setattr(P, "write_table", swapped)
+    with pytest.raises(SinkMismatch, match="campaign table: 1 group"):
+        P.publish(spark, df, df.drop(C.PROMOTION), *targets)
+    P.publish(spark, df, df.drop(C.PROMOTION), *targets, verify=False)
+    for t in targets:
+        spark.sql(f"DROP TABLE {t.table}")
+
+
 # -- cast policies ----------------------------------------------------------------------------
 
 
