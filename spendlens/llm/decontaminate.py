@@ -7,19 +7,24 @@ tracking the longest match that ends at each word: a match of ``window`` words o
 window by itself, is found on the suffix-link path of the current state. A word inside any
 window is *hit*.
 
-Scale: one map over the documents, no shuffle. The items are read in shards of at most
-``shard_words`` words (a window never spans items), one automaton each, and every shard's
-automaton is broadcast on its own; its size is bounded by ``shard_words`` however large the
-benchmark is. Documents pass through the shards one map after the other and carry their hits.
+Scale: the items are dealt to shards of some ``shard_words`` words (a window never spans items), and tasks build
+each shard's automaton and write it to the shared folder. One automaton at a time is read and broadcast: its
+size is bounded by ``shard_words``, or by the longest item, however large the benchmark is. With one
+shard (a benchmark of up to some 400 KB) the documents are mapped once, without a shuffle. With more, each shard is one
+map over the documents that writes the hits of texts that have any, by two hashes of the text; these are
+merged and joined back, and the documents are shuffled for that once.
 
 Defined results: a null or empty text has no words and no hits; a null item is no item; items
-with equal words are each reported; repeated document rows are judged row by row; an empty
-benchmark or document table gives no hits or no rows.
+with equal words are each reported; repeated document rows are judged row by row; very long texts
+and items are read whole; an empty benchmark or document table gives no hits or no rows; other columns
+may have any name.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from functools import partial
 
 import numpy as np
@@ -27,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, map_columns, restored, texts, with_columns
+from ..session import Scratch
+from .common import bounded_batches, carried, map_columns, restored, texts, whole_runs, with_columns, written
 
 #: words of a window
 WINDOW = 13
@@ -177,24 +183,51 @@ class SuffixAutomaton:
                 spans.append([start, i + 1])
 
 
-def _automata(benchmark: DataFrame, item_col: str, text_col: str, window: int, shard_words: int):
-    """One (automaton, item ids of each of its sequences) a shard; items are dealt to shards by a
-    hash, into as many as their number of words needs."""
-    items = benchmark.where(F.col(text_col).isNotNull()).select(
-        F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")
-    )
-    # a word takes at least two bytes with its separator
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // (2 * shard_words)))
-    for k in range(shards):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == k) if shards > 1 else items
-        ids: dict[tuple[bytes, ...], list[str]] = {}
-        for r in part.toLocalIterator():
-            if seq := tuple(normal_words(bytes(r["text"]))):
-                ids.setdefault(seq, []).append(r["item"])
-        if ids:
+#: bytes of an automaton in one row
+_PART_BYTES = 4 << 20
+
+
+def _build(window, batches):
+    """(shard, part, bytes) of each shard's automaton and the item ids of each of its sequences."""
+    for rows, starts in whole_runs(batches, "shard"):
+        for a, z in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows]):
+            own = rows.slice(a, z - a).to_pydict()
+            ids: dict[tuple[bytes, ...], list[str]] = {}
+            for item, text in zip(own["item"], own["text"]):
+                if seq := tuple(normal_words(text)):
+                    ids.setdefault(seq, []).append(item)
+            if not ids:
+                continue
             order = sorted(ids)
-            yield SuffixAutomaton([list(s) for s in order], window), [ids[s] for s in order]
+            made = (SuffixAutomaton([list(s) for s in order], window), [sorted(ids[s], key=str) for s in order])
+            packed = zlib.compress(pickle.dumps(made, pickle.HIGHEST_PROTOCOL), 1)
+            for k, at in enumerate(range(0, len(packed), _PART_BYTES)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([own["shard"][0]]), pa.array([k], pa.int32()), pa.array([packed[at : at + _PART_BYTES]], pa.binary())],
+                    ["shard", "part", "bytes"],
+                )
+
+
+class Shards:
+    """The automata of a benchmark, in the shared folder."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, window: int, shard_words: int):
+        bounded_batches(benchmark.sparkSession)
+        items = benchmark.where(F.col(f"`{text_col}`").isNotNull()).select(
+            F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{text_col}`").cast("binary").alias("text")
+        )
+        # a word takes at least two bytes with its separator
+        size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        n = max(1, -(-size // (2 * shard_words)))
+        dealt = items.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(n))).repartition("shard").sortWithinPartitions("shard")
+        self.parts = written(dealt.mapInArrow(partial(_build, window), "shard bigint, part int, bytes binary"), "automata")
+        #: shards that have an item
+        self.numbers = sorted(r["shard"] for r in self.parts.select("shard").distinct().collect())
+
+    def load(self, k: int) -> tuple:
+        """The automaton of a shard, and its sequences' item ids."""
+        parts = self.parts.where(F.col("shard") == k).orderBy("part").collect()
+        return pickle.loads(zlib.decompress(b"".join(bytes(p["bytes"]) for p in parts)))
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -208,7 +241,7 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
 
 
 def _scanner(shared, batches):
-    automaton, item_ids = shared.value if shared else (None, None)
+    automaton, item_ids = shared.value or (None, None)
     for b in batches:
         n_words, out_spans, out_items = [], [], []
         for t, old, named in zip(*(b.column(c).to_pylist() for c in ("_text", "spans", "items"))):
@@ -226,25 +259,42 @@ def _scanner(shared, batches):
         )
 
 
-def _scanners(shared: list, batches):
-    """All shards one after the other, in the same worker."""
-    for one in shared:
-        batches = _scanner(one, batches)
-    return batches
-
-
 def _report(shared, batches):
-    for b in _scanners(shared, batches):
+    for b in _scanner(shared, batches):
         yield with_columns(b, ("_text",))
 
 
+def _hits(shared, batches):
+    """(_key, _key2, spans, items) of the texts that a shard has a window of."""
+    for b in _scanner(shared, batches):
+        some = pa.array([i for i, found in enumerate(b.column("spans").to_pylist()) if found], pa.int64())
+        yield b.take(some).select(["_key", "_key2", "spans", "items"])
+
+
 def _scanned(base: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, shard_words: int, run, **added):
-    """``base`` (with _text) mapped by ``run`` (given the shards and the batches, with empty spans and
-    items to add to); its result has the other columns of ``base`` and those added."""
-    out = base.withColumns({"spans": F.lit(None).cast(_SPANS_SQL), "items": F.lit(None).cast("array<string>")})
-    automata = _automata(benchmark, item_col, item_text_col, window, shard_words)
-    shared = [base.sparkSession.sparkContext.broadcast(x) for x in automata] or [None]
-    return map_columns(out, partial(run, shared), ("_text", "spans", "items"), **added)
+    """``base`` (with _text) mapped by ``run`` (given the one shard, or none where the hits are known, and the
+    batches, with spans and items to add to); its result has the other columns of ``base`` and those added."""
+    spark = base.sparkSession
+    shards = Shards(benchmark, item_col, item_text_col, window, shard_words)
+    if len(shards.numbers) <= 1:
+        known = base.withColumns({"spans": F.lit(None).cast(_SPANS_SQL), "items": F.lit(None).cast("array<string>")})
+        shared = spark.sparkContext.broadcast(shards.load(shards.numbers[0]) if shards.numbers else None)
+        return map_columns(known, partial(run, shared), ("_text", "spans", "items"), **added)
+    scratch = Scratch(spark)
+    keys = {"_key": F.xxhash64("_text"), "_key2": F.xxhash64(F.lit(1), "_text")}
+    texts_ = base.select("_text").withColumns(keys | {"spans": F.lit(None).cast(_SPANS_SQL), "items": F.lit(None).cast("array<string>")})
+    kinds = f"_key bigint, _key2 bigint, spans {_SPANS_SQL}, items array<string>"
+    paths = []
+    for k in shards.numbers:
+        shared = spark.sparkContext.broadcast(shards.load(k))
+        scratch.write(texts_.mapInArrow(partial(_hits, shared), kinds).dropDuplicates(["_key", "_key2"]), f"hits-{k}")
+        paths.append(scratch.path(f"hits-{k}"))
+        shared.destroy()
+    hits = spark.read.schema(kinds).parquet(*paths).groupBy("_key", "_key2").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")
+    )
+    known = base.withColumns(keys).join(hits, ["_key", "_key2"], "left").drop("_key", "_key2")
+    return map_columns(known, partial(run, spark.sparkContext.broadcast(None)), ("_text", "spans", "items"), **added)
 
 
 def find_contamination(
@@ -283,7 +333,7 @@ def find_contamination(
 
 def _clean(words_per_hit, least, shared, batches):
     """The rows that are not contaminated, long spans cut."""
-    for b in _scanners(shared, batches):
+    for b in _scanner(shared, batches):
         take, out = [], []
         columns = (b.column(c).to_pylist() for c in ("_text", "n_words", "spans"))
         for i, (t, n, spans) in enumerate(zip(*columns)):

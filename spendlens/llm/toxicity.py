@@ -4,7 +4,8 @@ Categories are predicted one after the other, the overall verdict last; each mod
 regression on which words and heads of words (their first ``HEADS`` characters, which inflected and
 compound words have in common) a document has and on the log-odds that the models before it gave. For
 training, those come from out-of-fold predictions: every fold's are made by models that have not
-seen it, so a later model learns how far earlier ones can be trusted on new text. For scoring,
+seen it, nor a copy of a text in it, so a later model learns how far earlier ones can be trusted on
+new text. For scoring,
 models fitted on all training rows run in the same order.
 
 Only the overall label is given. A category's label is derived from it: the document is toxic
@@ -20,7 +21,8 @@ significance: one with little evidence is scaled down (``evidence``), so the rid
 Defined results: a null or empty text has no words and gets the models' base rates; null labels
 are left out, a document labelled more than once is toxic if one label says so; without labels
 of both classes every probability is the share of toxic labels (0 without any); repeated
-documents are scored row by row.
+documents are scored row by row; words of equal evidence are taken in byte order; a very long text is read
+whole, as its different words; columns other than id, text and label pass by unread.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn, hash63, texts, written
+from .common import drawn, hash63, rows, texts, written
 from .decontaminate import normal_words
 
 # Fixed cue words of the derived categories, in the order of the chain.
@@ -148,6 +151,12 @@ def logistic(present: list[np.ndarray], n_words: int, earlier: np.ndarray, y: np
     return part * now[:n_words], now[n_words:-1] / scale, float(now[-1])
 
 
+def folds(docs_words: list[list[bytes]]) -> np.ndarray:
+    """The fold of each document, by a hash of its words: copies of a text are in one, so what is predicted
+    out of a fold has not seen them."""
+    return np.array([xxhash.xxh3_64_intdigest(b"\0".join(words)) % FOLDS for words in docs_words], int)
+
+
 def train(docs_words: list[list[bytes]], toxic: np.ndarray) -> Chain:
     """A chain from the distinct words (and heads) of training documents and their labels."""
     counts = Counter(w for words in docs_words for w in words)
@@ -164,7 +173,7 @@ def train(docs_words: list[list[bytes]], toxic: np.ndarray) -> Chain:
         labels[name] = toxic * has
     labels[OVERALL] = toxic
     n = len(present)
-    fold = np.arange(n) % FOLDS
+    fold = folds(docs_words)
     out_of_fold = np.zeros((n, 0))
     links = []
     for name, y in labels.items():
@@ -193,6 +202,13 @@ def _distinct_words(batches):
         yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(found, pa.list_(pa.binary()))], ["label", "words"])
 
 
+def _known_words(vocabulary, batches):
+    """Rows of (label, words) with the words of the vocabulary alone, in order."""
+    for label, words in rows(batches, "label", "words"):
+        own = [[w for w in ws if w in vocabulary.value] for ws in words]
+        yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(own, pa.list_(pa.binary()))], ["label", "words"])
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -228,8 +244,9 @@ def fit(
     telling = counted.where((F.col("n") >= MIN_DOCUMENTS) & (F.col("k") > F.col("n") * rate)) if 0 < rate < 1 else counted.limit(0)
     vocabulary = [bytes(r["word"]) for r in telling.orderBy(says.desc(), "word").limit(VOCABULARY).collect()]
     vocabulary += [c.encode() for cues in CATEGORIES.values() for c in cues]
-    words = F.array_intersect("words", F.array(*map(F.lit, sorted(set(vocabulary)))))
-    found = sorted(([bytes(w) for w in r["words"]], r["label"]) for r in sample.select("label", words.alias("words")).collect())
+    known_words = docs.sparkSession.sparkContext.broadcast(frozenset(vocabulary))  # VOCABULARY and the cues at most
+    held = sample.mapInArrow(partial(_known_words, known_words), sample.schema).collect()
+    found = sorted(([bytes(w) for w in r["words"]], r["label"]) for r in held)
     return train([w for w, _ in found], np.array([y for _, y in found], float))
 
 

@@ -16,13 +16,14 @@ aggregated map-side first, so a payload that a third of all pages share costs on
 
 Files go to the folder executors share, through pyarrow's file systems, under names made for
 the attempt; only the rows of tasks that succeeded name them, so a task that is lost or run
-twice leaves at most an unreferenced file. An archive holds at most ``ARCHIVE_BYTES`` of
-payload (or one larger record) and ``ARCHIVE_RECORDS`` records.
+twice leaves at most an unreferenced file. An archive holds at most ``ARCHIVE_BYTES`` before
+compression (or one larger record) and ``ARCHIVE_RECORDS`` records.
 
 Defined results: a null payload is empty; a null url has no target header; equal payloads of
 at least ``MIN_REVISIT_BYTES`` refer to the smallest id, rows of that id itself all stay
-responses; a null id is never referred to and its record stays a response; an empty table
-writes no archive.
+responses; a null id is never referred to and its record stays a response; a very long payload
+is a record in memory of one task; an empty table writes no archive; columns other than the three
+named are not written, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ from .common import bounded_batches, rows, written
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
 ARCHIVE_RECORDS = 20_000
+#: archives of a task, where there are many
+TASK_ARCHIVES = 16
 CHUNK = 1 << 20
 GZIP_LEVEL = 5
 GZIP_BITS = 31
@@ -160,7 +163,7 @@ class _Archive:
         self.out.close()
 
 
-def _write(folder, batches):
+def _write(folder, most_bytes, most_records, batches):
     archive = None
     for b in batches:
         id_, url, payload = (b.column(c).to_pylist() for c in ("_id", "_url", "_payload"))
@@ -168,12 +171,13 @@ def _write(folder, batches):
             continue
         report = []
         for i, u, p in zip(id_, url, payload):
-            if archive and (archive.bytes >= ARCHIVE_BYTES or archive.records >= ARCHIVE_RECORDS):
+            digest = hashlib.sha256(p).hexdigest()
+            record = response_record(i, u, p, digest)
+            if archive and (archive.bytes + len(record) > most_bytes or archive.records >= most_records):
                 archive.close()
                 archive = None
             archive = archive or _Archive(folder)
-            digest = hashlib.sha256(p).hexdigest()
-            seq = archive.add(response_record(i, u, p, digest))
+            seq = archive.add(record)
             report.append((archive.uri, seq, digest, len(p)))
         uri, seq, digest, size = zip(*report)
         yield pa.RecordBatch.from_arrays(
@@ -185,19 +189,25 @@ def _write(folder, batches):
 
 
 def write_archives(
-    pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html"
+    pages: DataFrame,
+    *,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    payload_col: str = "html",
+    archive_bytes: int = ARCHIVE_BYTES,
+    archive_records: int = ARCHIVE_RECORDS,
 ) -> DataFrame:
     """Write every page as a response record; one row (archive, seq, _id, digest, bytes) each."""
     bounded_batches(pages.sparkSession)
     folder = f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     base = pages.select(
-        F.col(id_col).alias("_id"),
-        F.col(url_col).cast("string").alias("_url"),
-        F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("_payload"),
+        F.col(f"`{id_col}`").alias("_id"),
+        F.col(f"`{url_col}`").cast("string").alias("_url"),
+        F.coalesce(F.col(f"`{payload_col}`").cast("binary"), F.lit(b"")).alias("_payload"),
     )
     id_type = base.schema["_id"].dataType.simpleString()
     schema = f"archive string, seq int, _id {id_type}, digest string, bytes bigint"
-    return written(base.mapInArrow(partial(_write, folder), schema), "warc-report")
+    return written(base.mapInArrow(partial(_write, folder, archive_bytes, archive_records), schema), "warc-report")
 
 
 def revisits(report: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -261,8 +271,10 @@ def normalise(uri: str, out_uri: str, index_uri: str, again: dict[int, str]) ->
 
 
 def _per_file(df: DataFrame, files: int) -> DataFrame:
-    """One row (a file) a task, as far as the count goes."""
-    return df.repartition(max(1, files))
+    """A few archives (rows) a task: one each while that keeps the cores busy, then up to ``TASK_ARCHIVES``, so a
+    task handles a gigabyte and their number stays that of gigabytes. A task holds one record at a time."""
+    busy = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(files, max(busy, -(-files // TASK_ARCHIVES)))))
 
 
 def normalise_archives(report: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:

@@ -72,6 +72,68 @@ def test_later_links_use_earlier_ones():
     assert p[0, -1] > 0.9 and p[1, -1] < 0.1
 
 
+def test_copies_are_in_one_fold():
+    words = [[b"w%d" % (i % 7), b"v%d" % (i % 5)] for i in range(200)]
+    fold = T.folds(words)
+    assert len({(tuple(w), f) for w, f in zip(words, fold)}) == len({tuple(w) for w in words}) == 35
+    assert set(fold) == set(range(T.FOLDS))
+
+
+def dense_chain(present, labels):
+    """The chain by dense Newton steps on the same rows, folds and scaled words."""
+    n, k = len(present), max(int(p.max(initial=-1)) for p in present) + 1
+    x = np.zeros((n, k))
+    for i, p in enumerate(present):
+        x[i, p] = 1
+
+    def fitted(rows, earlier, y):
+        part = T.evidence(x[rows].sum(axis=0), (x[rows] * y[:, None]).sum(axis=0), y.mean())
+        scale = np.maximum(np.abs(earlier).max(axis=0, initial=1.0), 1.0)
+        a = np.column_stack([x[rows] * part, earlier / scale, np.ones(len(rows))])
+        ridge = np.append(np.full(a.shape[1] - 1, T.L2), 0.0)
+        w = np.zeros(a.shape[1])
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-a @ w))
+            hessian = a.T @ (a * (p * (1 - p))[:, None]) + np.diag(ridge + 1e-12)
+            w = w + np.linalg.solve(hessian, a.T @ (y - p) - ridge * w)
+        return part * w[:k], w[k:-1] / scale, w[-1]
+
+    return x, fitted
+
+
+def test_chain_against_a_dense_one():
+    rng = np.random.default_rng(9)
+    docs, toxic = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        own = {b"c%d" % rng.integers(40) for _ in range(6)} | ({b"idiot"} if bad and rng.random() < 0.6 else set())
+        own |= {b"trash"} if bad and rng.random() < 0.4 else set()
+        own |= {b"t%d" % rng.integers(4)} if rng.random() < (0.8 if bad else 0.1) else set()
+        docs.append(sorted(own) + [b"d%d" % i])
+        toxic.append(float(bad))
+    toxic = np.array(toxic)
+    chain = T.train(docs, toxic)
+    present = [np.array([chain.words[w] for w in ws if w in chain.words], int) for ws in docs]
+    x, fitted = dense_chain(present, toxic)
+    fold, out_of_fold = T.folds(docs), np.zeros((len(docs), 0))
+    everyone = np.arange(len(docs))
+    for (name, word, earlier, bias), cues in zip(chain.links, [*T.CATEGORIES.values(), None]):
+        y = toxic if cues is None else toxic * np.array([any(c.encode() in ws for c in cues) for ws in docs])
+        if not 0 < y.sum() < len(docs):
+            out_of_fold = np.column_stack([out_of_fold, np.full(len(docs), bias)])
+            continue
+        w, v, b = fitted(everyone, out_of_fold, y)
+        ours = 1 / (1 + np.exp(-(x @ word[: x.shape[1]] + out_of_fold @ earlier + bias)))
+        theirs = 1 / (1 + np.exp(-(x @ w + out_of_fold @ v + b)))
+        assert np.abs(ours - theirs).max() < 0.02, name
+        odds = np.zeros(len(docs))
+        for k in range(T.FOLDS):
+            rest, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+            w, v, b = fitted(rest, out_of_fold[rest], y[rest])
+            odds[test] = x[test] @ w + out_of_fold[test] @ v + b
+        out_of_fold = np.column_stack([out_of_fold, odds])
+
+
 def test_toxicity_odd_rows(spark, odd_docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     some = spark.createDataFrame([(1, 1), (2, None), (None, 1), (1, 0), (6, 0), (77, 1)], "doc_id bigint, toxic int")
@@ -102,11 +164,11 @@ def test_votes_are_those_of_all_cosines():
     axes = rng.normal(size=(K.TERMS, 4)).astype(np.float32)
     labels = rng.integers(0, 2, 60).astype(float)
     at = [rng.choice(K.TERMS, 20, replace=False).astype("<u2").tobytes() for _ in range(9)]
-    times = [rng.integers(1, 9, 20).astype("<u2").tobytes() for _ in range(9)]
+    times = [rng.integers(1, 9, 20).astype("<u4").tobytes() for _ in range(9)]
     got = K.Voters(idf, axes, vectors, labels).scores(at, times)
     for i in range(9):
         x = np.zeros(K.TERMS)
-        x[np.frombuffer(at[i], "<u2")] = 1 + np.log(np.frombuffer(times[i], "<u2"))
+        x[np.frombuffer(at[i], "<u2")] = 1 + np.log(np.frombuffer(times[i], "<u4"))
         z = (x / np.linalg.norm(x)) @ axes
         c = vectors @ (z / np.linalg.norm(z))
         near = np.argsort(c)[-K.NEIGHBOURS :]
@@ -114,6 +176,32 @@ def test_votes_are_those_of_all_cosines():
         assert abs(got[i] - (w * labels[near]).sum() / w.sum()) < 1e-4
 
 
+def test_terms_of_long_words_and_many_repeats():
+    """The shape of a word is that of all of it, and a count has no ceiling."""
+    import pyarrow as pa
+
+    terms = K.Terms()
+    long = b"a" * 30 + b"9"
+    assert terms[long] % K.TERMS != terms[b"a" * 31] % K.TERMS
+    assert terms["é".encode() * 40] % K.TERMS == terms["é".encode() * 7] % K.TERMS
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([b"ab " * 100_000])], ["_id", "_text"])
+    (packed,) = K._pack([batch])
+    at = np.frombuffer(packed.column("terms")[0].as_py(), "<u2")
+    times = np.frombuffer(packed.column("counts")[0].as_py(), "<u4")
+    assert len(at) == len(times) and times.max() >= 100_000
+
+
+def test_ties_at_the_last_neighbour():
+    """Equal cosines beyond the last place are cut by place; the score is still a share of votes."""
+    idf = np.ones(K.TERMS, np.float32)
+    axes = np.zeros((K.TERMS, 2), np.float32)
+    axes[:, 0] = 1
+    vectors = np.tile(np.array([[1, 0]], np.float32), (3 * K.NEIGHBOURS, 1))
+    at, times = [np.array([5], "<u2").tobytes()] * 2, [np.array([1], "<u4").tobytes()] * 2
+    for labels in (np.ones(len(vectors)), np.zeros(len(vectors))):
+        assert np.allclose(K.Voters(idf, axes, vectors, labels).scores(at, times), labels[:2])
+
+
 def test_quality_odd_rows(spark, odd_docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     some = spark.createDataFrame([(1, 1), (2, None), (None, 1), (6, 0), (7, 1)], "doc_id bigint, quality int")

@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 from llm_fixtures import odd_docs  # noqa: F401
 
-from spendlens.llm.decontaminate import SuffixAutomaton, cut_words, decontaminate, find_contamination, normal_words
+from pyspark import Broadcast
+
+from spendlens.llm.decontaminate import Shards, SuffixAutomaton, cut_words, decontaminate, find_contamination, normal_words
 
 
 def brute(words, items, window=13):
@@ -62,6 +64,41 @@ def test_odd_rows_and_shards(spark, odd_docs):
     assert none.where("n_hit > 0 or contaminated").count() == 0 and none.count() == odd_docs.count()
 
 
+def test_many_shards_one_at_a_time(spark, monkeypatch):
+    """A benchmark of many shards: the hits are those of brute force, and one automaton is loaded at a time."""
+    rnd = random.Random(8)
+    letters = "abcdefgh"
+    items = [(i, " ".join(rnd.choice(letters) for _ in range(rnd.randint(1, 30)))) for i in range(40)] + [(90, None), (91, "")]
+    docs = [(i, " ".join(rnd.choice(letters) for _ in range(rnd.randint(0, 60))), "k") for i in range(50)]
+    docs += [(60, items[3][1], "k"), (61, items[3][1], "k"), (61, items[3][1], "k"), (None, None, "k")]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    df = spark.createDataFrame(docs, "doc_id int, text string, _key string")
+    live, most = set(), [0]
+    load = Shards.load
+
+    def counted(self, k):
+        live.add(k)
+        most[0] = max(most[0], len(live))
+        return load(self, k)
+
+    destroy = Broadcast.destroy
+    monkeypatch.setattr(Shards, "load", counted)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: (live.clear(), destroy(self, *a))[1])
+    rows = find_contamination(df, bench, window=4, shard_words=40).collect()
+    assert len(Shards(bench, "item_id", "text", 4, 40).numbers) >= 8 and most[0] == 1
+    words = [normal_words((t or "").encode()) for _, t in items]
+    expected = []
+    for i, t, _ in docs:
+        own = normal_words((t or "").encode())
+        hit, found = brute(own, words, 4)
+        expected.append((str(i), len(own), len(hit), sorted(str(items[k][0]) for k in found)))
+    got = [(str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in rows]
+    assert sorted(got) == sorted(expected)
+    one, many = (decontaminate(df, bench, window=4, min_cut=4, shard_words=n) for n in (200_000, 40))
+    assert one.columns == many.columns == df.columns
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
 def test_decontaminate_cuts_and_drops(spark):
     passage = " ".join(f"p{i}" for i in range(15))
     filler = " ".join(f"w{i}" for i in range(400))

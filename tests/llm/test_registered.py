@@ -108,3 +108,22 @@ def test_stages_take_odd_rows(spark, odd_docs):
             out = stage(spark, some, SF)
             assert name == "byte_bpe" or out.columns == docs.columns
             assert out.count() <= some.count()
+
+
+def test_stages_on_repeated_rows_ties_and_clashing_columns(spark):
+    """What each stage does with rows that repeat, copies of several ids, null ids and columns named as its own."""
+    words = " ".join(f"word{i} of{i % 7} line" for i in range(60))
+    other = " ".join(f"other{i} thing{i % 5} here" for i in range(60))
+    rows = [(5, words), (5, words), (9, words), (None, words), (7, other), (8, None), (6, ""), (None, other + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars", "'x' AS _row", "1 AS _text", "2 AS spans", "'q' AS kept", "3 AS _key"
+    )
+    by = dict(corpus_pipeline.STAGES)
+    left = lambda name: sorted(str(r.doc_id) for r in by[name](spark, docs, SF).collect())
+    assert left("quality_rules") == ["5", "5", "7", "9", "None", "None"]
+    assert left("near_dedup") == ["5", "5", "6", "7", "8"]  # the tailed text is a near copy of 7
+    assert left("decontamination") == left("secret_scan") == left("byte_bpe") == sorted(str(i) for i, _ in rows)
+    for name in ("quality_rules", "near_dedup", "decontamination", "secret_scan"):
+        out = by[name](spark, docs, SF)
+        assert out.columns == docs.columns
+        assert {(r._row, r._text, r.spans, r.kept, r._key) for r in out.collect()} == {("x", 1, 2, "q", 3)}

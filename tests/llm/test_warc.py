@@ -7,6 +7,7 @@ import json
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendlens.llm import warc
 
@@ -89,5 +90,29 @@ def test_members_are_read_one_after_the_other():
     assert b"".join(warc._inflated(io.BytesIO(data))) == b"one" + b"two" * 1000
 
 
-def test_small_archives_and_empty_table(spark, pages, monkeypatch):
+def test_empty_table(spark, pages):
     assert warc.read_archives(warc.normalise_archives(warc.write_archives(pages.limit(0)))).count() == 0
+
+
+@pytest.mark.parametrize("limits", [{"archive_records": 3}, {"archive_bytes": 1_200}, {"archive_bytes": 1}])
+def test_archives_roll_over(spark, pages, limits):
+    """Full archives are followed by further ones, and what is read back is the same."""
+    report = warc.write_archives(pages.coalesce(1), **limits)
+    sizes = {r.archive: (r.n, r.seqs) for r in report.groupBy("archive").agg(F.count("seq").alias("n"), F.collect_set("seq").alias("seqs")).collect()}
+    assert len(sizes) > 2 and all(sorted(seqs) == list(range(n)) for n, seqs in sizes.values())
+    if "archive_records" in limits:
+        assert sorted(n for n, _ in sizes.values()) == [3, 3, 3]
+    else:
+        for archive, (n, _) in sizes.items():
+            assert n == 1 or len(gzip.decompress(_bytes(archive))) <= limits["archive_bytes"]
+    read = lambda r: sorted(map(str, warc.read_archives(warc.normalise_archives(r)).collect()))
+    assert read(report) == read(warc.write_archives(pages))
+
+
+def test_extra_columns_and_long_payloads(spark):
+    long = "<p>" + "y" * 3_000_000
+    rows = [(1, "u", long, "a", 1, b"z"), (2, "u", long, "b", 2, b"z"), (2, "u", long, "b", 2, b"z")]
+    df = spark.createDataFrame(rows, "`page.id` int, _url string, `h.tml` string, archive string, _id int, _payload binary")
+    report = warc.write_archives(df, id_col="page.id", url_col="_url", payload_col="h.tml")
+    got = sorted((r.id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_archives(warc.normalise_archives(report)).collect())
+    assert got == [("1", 3_000_003, "response", None)] + [("2", 3_000_003, "revisit", "1")] * 2
