@@ -4,6 +4,12 @@
 DataFrame; ``run`` writes each as Parquet in the folder executors share and reads it back as the
 next one's ``docs``, so a stage's work is done once and survives any executor. Every stage works
 on all rows that the one before it kept. All but the last return the columns of their input.
+
+Defined results: a null text is empty; a document without words fails the quality rules and goes, so empty
+texts get no further; rows that repeat an id and a text are judged alike and stay or go together;
+of near copies the smallest id stays, with every row of that id, and a null id only if no copy of it has
+one; very long texts and ties are the operators' matter (see their modules); extra columns, whatever
+their names, are returned by all stages but the last as they came; an empty table stays empty.
 """
 
 from __future__ import annotations
