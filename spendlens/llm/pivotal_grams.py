@@ -49,6 +49,8 @@ RATIO = 10
 PREFIX = 5
 LONG = 64
 SHORT = 4
+#: words of a task that makes keys: a word is small, but has some fifteen keys
+TASK_WORDS = 50_000
 
 #: Latin-1 bytes to words: A-Z lower-cased, other letters of [a-zÀ-ÿ] kept, the rest blank
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0xC0 else 32 for b in range(256))
@@ -203,9 +205,10 @@ def near_words(words: DataFrame, *, prefix: int = PREFIX) -> DataFrame:
     spark = words.sparkSession
     counts = words.select("word").mapInArrow(_gram_counts, "gram bigint, n bigint, first bigint, last bigint")
     rows = counts.groupBy("gram").agg(F.sum("n"), F.sum("first"), F.sum("last")).collect()  # 65,536 at most
+    words = words.select("word", "n").repartition(max(1, -(-words.count() // TASK_WORDS)))
     order = spark.sparkContext.broadcast(GramOrder(*np.array(rows, np.int64).reshape(-1, 4).T))
     keyed = [
-        words.select("word", "n").mapInArrow(partial(_keyed, order, prefix, pivots), "key bigint, word string, n bigint, last int")
+        words.mapInArrow(partial(_keyed, order, prefix, pivots), "key bigint, word string, n bigint, last int")
         for pivots in (True, False)
     ]
     s, r = (k.alias(name) for k, name in zip(keyed, "sr"))
