@@ -7,17 +7,24 @@ run, its command line and the registered queries).
 """
 
 from .config import JobConfig, ReportWindow, RoyaltyTiers
+from .functions.cards import CardBook
+from .operators.publication import Publication, job_publication
 from .operators.publish import PublishTarget
+from .operators.quality import GateRule
 from .plans.pipeline import build, run
 from .sources.catalog import Sources, TableNames
 
 __all__ = [
+    "CardBook",
+    "GateRule",
     "JobConfig",
+    "Publication",
     "PublishTarget",
     "ReportWindow",
     "RoyaltyTiers",
     "Sources",
     "TableNames",
     "build",
+    "job_publication",
     "run",
 ]
