@@ -67,24 +67,35 @@ def _times(base: Column, multiplier: str, dtype: T.DecimalType) -> Column:
 
 
 def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items joined to order, customer and part, with the shared campaign dimensions."""
+    """Line items joined to order, customer and part, with the shared campaign dimensions.
+
+    Orders meet their customers before the lines do, and lines come to the joins with their flags instead of
+    the columns these are read from. Line items cross the network once for their orders, whatever the size of either,
+    and a second time only where parts are too many to be broadcast; they are never sorted for the orders.
+    """
     line = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
-    )
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
+        (F.col("l_suppkey") % 10 == 3).alias("NO_SOURCE_TYPE"),
+        (F.col("l_linestatus") == "O").alias("IOS_LINE"),
+        (F.col("l_returnflag") == "R").alias("RETARGETED"),
+        (F.col("l_linenumber") == 1).alias("FIRST_LINE"),
+        _quarter(F.col("l_shipdate")).alias("EVENT_DT"),
     )
-    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    joined = (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    orders = (
+        _table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    )
+    joined = (
+        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .drop("l_partkey", "p_partkey")
+        .join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     priority = F.col("o_orderpriority")
     source_type = (
-        F.when(F.col("l_suppkey") % 10 == 3, F.lit(None).cast("string"))
+        F.when(F.col("NO_SOURCE_TYPE"), F.lit(None).cast("string"))
         .when(priority == "1-URGENT", "MM")
         .when(priority == "2-HIGH", "MK")
         .when(priority == "3-MEDIUM", "MC")
@@ -102,22 +113,21 @@ def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         F.col("p_type").alias(C.APP),
         F.when(F.col("p_size") == 50, "XX")
-        .when(F.col("l_linestatus") == "O", C.IOS_MARKET)
+        .when(F.col("IOS_LINE"), C.IOS_MARKET)
         .otherwise(C.GOOGLE_MARKET)
         .alias(C.MARKET),
         source_type.alias(C.SOURCE_TYPE),
         channel.alias(C.CHANNEL),
         F.concat(F.lit("P"), (F.col("p_size") % 3).cast("string")).alias(C.PROMOTION),
-        _quarter(F.col("l_shipdate")).alias("EVENT_DT"),
-        F.when(F.col("l_returnflag") == "R", "Retargeting")
+        F.col("EVENT_DT"),
+        F.when(F.col("RETARGETED"), "Retargeting")
         .otherwise(C.CAMPAIGN_TYPE)
         .alias("MVP_CAMPAIGN_TYPE"),
         F.col("l_quantity").cast(T.DecimalType(18, 0)).alias("QTY"),
         F.col("l_extendedprice").cast(MONEY).alias("PRICE"),
         F.col("l_discount").cast(T.DecimalType(4, 2)).alias("DISCOUNT"),
-        F.col("l_linenumber"),
-        F.col("l_suppkey"),
-        F.col("l_linestatus"),
+        F.col("FIRST_LINE"),
+        F.col("IOS_LINE"),
         F.col("o_custkey"),
         F.col("o_orderstatus"),
     )
@@ -147,7 +157,7 @@ def promo_fact(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None)
 
 def installs(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) -> DataFrame:
     """Install records: the first line of each order is one install of its customer."""
-    d = (dims if dims is not None else _dims(spark, sf_dir)).where(F.col("l_linenumber") == 1)
+    d = (dims if dims is not None else _dims(spark, sf_dir)).where(F.col("FIRST_LINE"))
     return d.select(
         C.APP, C.MARKET, C.SOURCE_TYPE, C.CHANNEL, C.PROMOTION,
         F.col("EVENT_DT").alias("INSTALL_DT"),
@@ -180,7 +190,7 @@ def skan_ltv(spark: SparkSession, sf_dir: str, dims: DataFrame | None = None) ->
     channels arrive already aliased."""
     d = (dims if dims is not None else _dims(spark, sf_dir)).where(
         F.col(C.CHANNEL).isin([name for name, _ in C.CHANNEL_ALIAS])
-        & (F.col("l_linestatus") == "O")
+        & F.col("IOS_LINE")
         & (F.col(C.SOURCE_TYPE) == C.RESIDUAL_PAID_TYPE)
     )
     channel = alias_channel(F.col(C.CHANNEL), C.CHANNEL_ALIAS)
@@ -243,14 +253,10 @@ def load(spark: SparkSession, sf_dir: str) -> Sources:
     """
 
     def make(scratch: Scratch) -> Sources:
-        # The line/order/customer/part join feeds three fixtures: compute it once. A rebalanced
-        # write has files of the advisory partition size, however large the input is.
-        dims = scratch.write(_dims(spark, sf_dir).hint("rebalance"), "dims")
+        # The line/order/customer/part join feeds three fixtures: compute it once. Its last exchange
+        # sizes the files already; nothing is dealt out again for the write.
+        dims = scratch.write(_dims(spark, sf_dir), "dims")
         lazy = derive(spark, sf_dir, dims)
-        tables = {}
-        for name in ("fact", "installs", "projections", "skan"):
-            df = getattr(lazy, name)
-            tables[name] = scratch.write(df.hint("rebalance") if name == "projections" else df, name)
-        return Sources(**tables)
+        return Sources(**{name: scratch.write(getattr(lazy, name), name) for name in ("fact", "installs", "projections", "skan")})
 
     return staged(spark, sf_dir, "inputs", make)
