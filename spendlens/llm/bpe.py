@@ -9,7 +9,8 @@ logarithmic point update, so a piece of n bytes costs O(n log n) however long it
 
 Scale: two maps, no shuffle. The rank table is read on the driver and broadcast; its size is
 that of the vocabulary file, whatever the documents are. Workers remember the ids of at most
-2 ``MEMO`` short pieces.
+2 ``MEMO`` short pieces, from one task to the next. Texts without characters beyond U+FFFF, where
+that is possible, are split by the standard library's ``re`` with the pattern's classes spelled out.
 
 Defined results: a null text encodes as the empty text (no ids, empty bytes); repeated rows
 are encoded row by row; any text decodes to exactly its own bytes.
@@ -18,8 +19,10 @@ are encoded row by row; any text decodes to exactly its own bytes.
 from __future__ import annotations
 
 import base64
+import re
 import struct
-from functools import partial
+from collections.abc import Callable
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,54 @@ def compile_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(inside.replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]"))
 
 
+@lru_cache(maxsize=8)
+def _members(kind: str) -> str:
+    """The characters up to U+FFFF of a class, as ranges of a set. Surrogates are in no text."""
+    match, found, first = regex.compile(kind).match, [], None
+    for c in range(0x10001):
+        if c < 0x10000 and not 0xD800 <= c < 0xE000 and match(chr(c)):
+            first = c if first is None else first
+        elif first is not None:
+            found.append(rf"\u{first:04x}-\u{c - 1:04x}")
+            first = None
+    return "".join(found)
+
+
+def spell_out(pattern: str) -> re.Pattern | None:
+    """The pattern for ``re``, equal to ``compile_pattern``'s on texts without characters beyond U+FFFF; none if it has
+    more than plain characters, sets, \\s, \\S, \\p{L}, \\p{N} and groups or lookaheads."""
+    if re.search(r"\(\?(?![:!=])|\[\^?\]|&&|--|\|\||~~", pattern):
+        return None
+    out, inside = [], False
+    for token in re.findall(r"\\p\{[LN]\}|\\.|.", pattern, re.S):
+        if token in (r"\s", r"\p{L}", r"\p{N}"):
+            members = _WHITE if token == r"\s" else _members(token)
+            token = members if inside else f"[{members}]"
+        elif token == r"\S" and not inside:
+            token = f"[^{_WHITE}]"
+        elif token[0] == "\\" or token == "[" and inside:
+            return None
+        elif token in "[]":
+            inside = token == "["
+        out.append(token)
+    return re.compile("".join(out))
+
+
+@lru_cache(maxsize=8)
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """Text -> its pieces."""
+    general, spelled = compile_pattern(pattern).findall, spell_out(pattern)
+    if spelled is None:
+        return general
+    plain = spelled.findall
+
+    def split(text: str) -> list[str]:
+        narrow = text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text)
+        return plain(text) if narrow else general(text)
+
+    return split
+
+
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece by rank-ordered merging over a segment tree."""
     whole = ranks.get(piece)
@@ -114,9 +165,9 @@ class Encoder(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.pattern = ranks, pattern
         self.old: dict[str, bytes] = {}
-        self.split = compile_pattern(pattern).findall
+        self.split = splitter(pattern)
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
@@ -134,8 +185,19 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.split(text)))
 
 
+#: the last encoder of a worker process, which later tasks of the same vocabulary go on with
+_LAST: list[Encoder] = []
+
+
+def kept_encoder(ranks: dict[bytes, int], pattern: str) -> Encoder:
+    """The worker's encoder for this very rank table and pattern, or a new one in its place."""
+    if not _LAST or _LAST[0].ranks is not ranks or _LAST[0].pattern != pattern:
+        _LAST[:] = [Encoder(ranks, pattern)]
+    return _LAST[0]
+
+
 def _encode(shared, pattern, batches):
-    encoder = Encoder(shared.value, pattern)
+    encoder = kept_encoder(shared.value, pattern)
     for b in batches:
         ids = [encoder.encode(t) for t in b.column("_text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
